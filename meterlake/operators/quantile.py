@@ -5,8 +5,8 @@ Spark's ``percentile`` aggregate is exact but its final merge keeps every
 distinct value of a group in one task.  That is fine for small groups and
 unbounded for a hot one (a load type holding a third of all rows).  So:
 
-* groups with ``n <= small`` rows: ``percentile(v, p, freq)`` over
-  ``(v, count)`` pairs pre-aggregated map-side — exact, bounded by ``small``.
+* a cheap count per group decides the plan; groups with ``n <= small`` rows
+  use ``percentile`` (exact, state bounded by ``small`` values per group).
 * larger groups, per target rank:
   1. ``percentile_approx`` brackets ``[lo, hi]`` at ``p -/+ delta``; with
      relative error ``1/accuracy < delta`` the exact order statistics lie
@@ -62,27 +62,30 @@ def long_quantiles(long: DataFrame, keys: list[str], probs: list[float], *,
     """Exact quantiles of ``v`` per ``keys`` on a long (keys..., v) frame."""
     if 1.0 / accuracy >= delta:
         raise ValueError("need 1/accuracy < delta for a guaranteed bracket")
+    p_arr = F.array(*[F.lit(p) for p in probs])
+    counts = long.groupBy(*keys).agg(F.count("v").alias("n"))
+    # bounded driver decision: is any group too large for one task?
+    any_large = len(counts.where(F.col("n") > small).limit(1).collect()) > 0
+
+    def exact_small(rows: DataFrame) -> DataFrame:
+        return (rows.groupBy(*keys).agg(F.percentile("v", p_arr).alias("q_arr"))
+                .select(*keys, F.posexplode(F.arrays_zip(
+                    p_arr.alias("p"), F.col("q_arr").alias("q"))).alias("i", "pq"))
+                .select(*keys, F.col("pq.p").alias("p"), F.col("pq.q").alias("q")))
+
+    if not any_large:
+        return exact_small(long)
+    small_q = exact_small(long.join(counts.where(F.col("n") <= small).select(*keys),
+                                    keys, "left_semi"))
     lo_ps = [max(p - delta, 0.0) for p in probs]
     hi_ps = [min(p + delta, 1.0) for p in probs]
-    stats = long.groupBy(*keys).agg(
-        F.count("v").alias("n"),
+    stats = (long.join(counts.where(F.col("n") > small), keys).groupBy(*keys).agg(
+        F.first("n").alias("n"),
         F.percentile_approx("v", F.array(*[F.lit(p) for p in lo_ps]), accuracy).alias("lo_arr"),
-        F.percentile_approx("v", F.array(*[F.lit(p) for p in hi_ps]), accuracy).alias("hi_arr"),
-    )
-    p_arr = F.array(*[F.lit(p) for p in probs])
-
-    # -- small groups: exact percentile over map-side pre-aggregated pairs
-    small_keys = stats.where(F.col("n") <= small).select(*keys)
-    pairs = (long.join(small_keys, keys, "left_semi")
-             .groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("freq")))
-    small_q = (pairs.groupBy(*keys)
-               .agg(F.percentile("v", p_arr, F.col("freq")).alias("q_arr"))
-               .select(*keys, F.posexplode(
-                   F.arrays_zip(p_arr.alias("p"), F.col("q_arr").alias("q"))).alias("i", "pq"))
-               .select(*keys, F.col("pq.p").alias("p"), F.col("pq.q").alias("q")))
+        F.percentile_approx("v", F.array(*[F.lit(p) for p in hi_ps]), accuracy).alias("hi_arr")))
 
     # -- large groups: bracket -> histogram -> exact pick inside one cell
-    targets = (stats.where(F.col("n") > small)
+    targets = (stats
                .select(*keys, "n", F.posexplode(F.arrays_zip(
                    p_arr.alias("p"), F.col("lo_arr").alias("lo"),
                    F.col("hi_arr").alias("hi"))).alias("i", "t"))

@@ -111,7 +111,7 @@ def clean_rules(spark, sf):
                                       NUM_NO_NSM))
 def clean_pipeline(spark, sf):
     """The full cleaning job (flagship)."""
-    return V.meter_clean(spark, sf)
+    return V.build_meter_clean(spark, sf)
 
 
 @register("truncate_nsm", O.with_(O.CHAIN_CLEAN, "SELECT row_id, nsm FROM meter_clean"))

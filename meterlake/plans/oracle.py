@@ -112,7 +112,7 @@ def with_(ctes: list[str], body: str) -> str:
 
 def rounded(sql: str, doubles: list[str], digits: int = 6, bigints: list[str] = ()) -> str:
     """Wrap ``sql`` so listed columns are rounded DOUBLE / cast BIGINT."""
-    rep = [f"round(CAST({c} AS DOUBLE), {digits}) AS {c}" for c in doubles]
+    rep = [f"round(round(CAST({c} AS DOUBLE), 9), {digits}) + 0.0 AS {c}" for c in doubles]
     rep += [f"CAST({c} AS BIGINT) AS {c}" for c in bigints]
     if not rep:
         return sql

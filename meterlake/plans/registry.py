@@ -1,8 +1,10 @@
 """Query registry: key -> (spark callable(spark, sf_dir) -> DataFrame, oracle SQL or None).
 
-Every Spark result goes through ``finish``: DOUBLE columns rounded (the
-oracle rounds the same columns), INT widened to BIGINT, so both engines
-produce the same names, types and values.
+Every Spark result goes through ``finish``: DOUBLE columns rounded to 9 and
+then 6 decimals (the oracle rounds the same columns the same way; the first
+step absorbs last-bit differences between engines so exact decimal ties
+round alike), INT widened to BIGINT, so both engines produce the same names,
+types and values.
 """
 
 from __future__ import annotations
@@ -23,7 +25,8 @@ def finish(df: DataFrame, digits: int = 6, digits_by: dict | None = None) -> Dat
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            out.append(F.round(c.cast("double"), digits_by.get(f.name, digits)).alias(f.name))
+            out.append((F.round(F.round(c.cast("double"), 9), digits_by.get(f.name, digits))
+                        + F.lit(0.0)).alias(f.name))
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             out.append(c.cast("bigint").alias(f.name))
         else:
@@ -45,4 +48,4 @@ def register(key: str, sql: str | None = None, digits: int = 6, digits_by: dict
 
 
 def load_all() -> None:
-    from meterlake.plans import clean_queries  # noqa: F401
+    from meterlake.plans import clean_queries, feature_queries, profile_queries  # noqa: F401

@@ -1,12 +1,31 @@
-"""Spark-side meter views over the driver's tables (FIXTURES.md §2)."""
+"""Spark-side meter views over the driver's tables (FIXTURES.md §2).
+
+``meter_clean`` and ``meter_features`` are stage outputs: like the
+reference's processed files they are written once per session as parquet in
+the shared checkpoint folder and scanned by downstream queries (column
+pruning, predicate pushdown, and a lineage cut that survives executor loss).
+The ``build_*`` functions return the lazy plans themselves.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.operators import clean as C
+from meterlake.session import scratch_path
 from meterlake.sources.tables import meter_raw, table  # noqa: F401
 
+_STAGES: dict[tuple, DataFrame] = {}
+
+
+def materialize(spark: SparkSession, df: DataFrame, name: str, sf: str) -> DataFrame:
+    key = (spark.sparkContext.applicationId, name, sf)
+    if key not in _STAGES:
+        path = scratch_path(spark, name)
+        df.write.mode("overwrite").parquet(path)
+        _STAGES[key] = spark.read.parquet(path)
+    return _STAGES[key]
+
 
 def meter_typed(spark: SparkSession, sf: str) -> DataFrame:
     return C.clean_types(meter_raw(spark, sf))
@@ -20,10 +39,18 @@ def meter_filled(spark: SparkSession, sf: str) -> DataFrame:
     return C.clean_nulls(meter_cat(spark, sf))
 
 
-def meter_clean(spark: SparkSession, sf: str) -> DataFrame:
+def build_meter_clean(spark: SparkSession, sf: str) -> DataFrame:
     return C.clean_final(C.clean_rules(meter_filled(spark, sf)))
 
 
-def meter_features(spark: SparkSession, sf: str) -> DataFrame:
+def meter_clean(spark: SparkSession, sf: str) -> DataFrame:
+    return materialize(spark, build_meter_clean(spark, sf), "meter_clean", sf)
+
+
+def build_meter_features(spark: SparkSession, sf: str) -> DataFrame:
     from meterlake.operators.features import engineer
     return engineer(meter_clean(spark, sf))
+
+
+def meter_features(spark: SparkSession, sf: str) -> DataFrame:
+    return materialize(spark, build_meter_features(spark, sf), "meter_features", sf)
