@@ -164,7 +164,7 @@ def run_name(spark, sf):
 NUMF = S.NUM_SKEW + S.NUM_LIN
 
 
-def _prep_sql(fit_src: str, apply_src: str, categories=("WEEKDAY", "WEEKEND")) -> str:
+def _prep_sql(fit_src: str, apply_src: str, categories=("WEEKDAY", "WEEKEND"), label: bool = False) -> str:
     med = "med AS (SELECT " + ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS {c}" for c in NUMF) \
         + f" FROM {fit_src})"
 
@@ -172,7 +172,7 @@ def _prep_sql(fit_src: str, apply_src: str, categories=("WEEKDAY", "WEEKEND")) -
         return (f"SELECT {src}.row_id, " + ", ".join(
             (f"ln(1 + coalesce(CAST({src}.{c} AS DOUBLE), med.{c})) AS {c}" if c in S.NUM_SKEW
              else f"coalesce(CAST({src}.{c} AS DOUBLE), med.{c}) AS {c}") for c in NUMF)
-            + f", {src}.week_status, {src}.load_type FROM {src}, med")
+            + f", {src}.week_status, {src}.load_type, {src}.usage_kwh AS label FROM {src}, med")
     fit_imp = f"fit_imp AS ({imp(fit_src)})"
     app_imp = f"app_imp AS ({imp(apply_src)})"
     mm = "mm AS (SELECT " + ", ".join(f"min({c}) AS {c}__mn, max({c}) AS {c}__mx" for c in NUMF) \
@@ -186,7 +186,7 @@ def _prep_sql(fit_src: str, apply_src: str, categories=("WEEKDAY", "WEEKEND")) -
         cols.append(f"CAST(coalesce(a.week_status = '{v}', false) AS DOUBLE) AS cat_nom__week_status_{v}")
     cols.append("CASE a.load_type " + " ".join(f"WHEN '{v}' THEN {float(i)}" for i, v in enumerate(S.LOAD_ORDER))
                 + " ELSE -1.0 END AS cat_ord__load_type")
-    body = "SELECT a.row_id, " + ", ".join(cols) + " FROM app_imp a, mm"
+    body = "SELECT a.row_id, " + ", ".join(cols) + (", a.label" if label else "") + " FROM app_imp a, mm"
     return med, fit_imp, app_imp, mm, body
 
 
@@ -195,15 +195,16 @@ def _prep_names():
             + ["cat_nom__week_status_WEEKEND", "cat_ord__load_type"])
 
 
-def _prep_oracle(even_odd: bool = False) -> str:
+def _prep_oracle(even_odd: bool = False, label: bool = False) -> str:
     if even_odd:
         extra = ["fit_src AS (SELECT * FROM meter_features WHERE row_id % 2 = 0)",
                  "app_src AS (SELECT * FROM meter_features WHERE row_id % 2 = 1)"]
-        parts = _prep_sql("fit_src", "app_src")
+        parts = _prep_sql("fit_src", "app_src", label=label)
     else:
         extra = []
-        parts = _prep_sql("meter_features", "meter_features")
-    return O.rounded(O.with_(O.CHAIN_FEATURES + extra + list(parts[:4]), parts[4]), _prep_names())
+        parts = _prep_sql("meter_features", "meter_features", label=label)
+    return O.rounded(O.with_(O.CHAIN_FEATURES + extra + list(parts[:4]), parts[4]),
+                     _prep_names() + (["label"] if label else []))
 
 
 @register("preprocess_apply", _prep_oracle())

@@ -49,4 +49,4 @@ def register(key: str, sql: str | None = None, digits: int = 6, digits_by: dict
 
 def load_all() -> None:
     from meterlake.plans import (clean_queries, eval_queries, feature_queries,  # noqa: F401
-                                 profile_queries)
+                                 model_queries, profile_queries, score_queries)
