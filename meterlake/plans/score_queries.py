@@ -184,3 +184,18 @@ def response_pack(spark, sf):
     reqs = SC.requests_from_meter(V.meter_clean(spark, sf))
     resp, _verdicts = SC.score_requests(reqs, SC.FIXED_RULES)
     return SC.unpack_responses(resp)
+
+
+@register("score_stream", ORACLE_RESPONSE := O.rounded(O.with_(
+    O.CHAIN_CLEAN + [REQ_REC, _reason_sql(), VERDICT, REQ_INT, REQ_FEAT],
+    "SELECT request_id, CAST(count(*) AS BIGINT) AS n_predictions, sum(prediction) AS pred_sum, "
+    f"'{SC.MODEL_VERSION}' AS model_version FROM (SELECT request_id, {_rules_sql('req_feat')} FROM req_feat "
+    "WHERE request_id IN (SELECT request_id FROM verdict WHERE reasons = '')) GROUP BY request_id"),
+    ["pred_sum"]))
+def score_stream(spark, sf):
+    """The request files scored by a Structured Streaming query (availableNow,
+    foreachBatch, per-epoch idempotent sink); equals the batch responses."""
+    from meterlake.streaming.score_stream import run_to_completion
+    reqs = SC.requests_from_meter(V.meter_clean(spark, sf))
+    responses, _rejects = run_to_completion(spark, reqs, SC.FIXED_RULES)
+    return SC.unpack_responses(responses)
