@@ -51,7 +51,8 @@ def fit_forest(df: DataFrame, cols: Sequence[str], label: str = "label", num_tre
     """L3: random forest (sqrt feature subsets); sklearn's min-split has no MLlib knob."""
     rf = RandomForestRegressor(featuresCol=FEATURES, labelCol=label, numTrees=num_trees,
                                maxDepth=max_depth, minInstancesPerNode=min_leaf,
-                               featureSubsetStrategy="sqrt", seed=seed, maxBins=64)
+                               featureSubsetStrategy="sqrt", seed=seed, maxMemoryInMB=1024,
+                               cacheNodeIds=True)
     return Pipeline(stages=[VectorAssembler(inputCols=list(cols), outputCol=FEATURES,
                                             handleInvalid="keep"), rf]).fit(df)
 
@@ -125,7 +126,8 @@ def fit_pca_regressor(df: DataFrame, cols: Sequence[str], kind: str = "linear",
     pca_model, k, _ = fit_pca95(df, cols)
     reg = {"linear": LinearRegression(solver="normal", regParam=0.0),
            "forest": RandomForestRegressor(numTrees=kw.get("num_trees", 100), maxDepth=kw.get("max_depth", 20),
-                                           minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=42),
+                                           minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=42,
+                                           maxMemoryInMB=1024, cacheNodeIds=True),
            "gbt": GBTRegressor(maxIter=kw.get("rounds", 100), stepSize=0.1, maxDepth=kw.get("max_depth", 6),
                                subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42)}[kind]
     reg.setFeaturesCol(FEATURES).setLabelCol(label)

@@ -165,8 +165,8 @@ _RULED = [c for c in S.NUMERIC]
 
 
 @register("cell_diff", O.with_(O.CHAIN_CLEAN, " UNION ALL ".join(
-    f"SELECT f.row_id, '{c}' AS \"column\", round(round(CAST(f.{c} AS DOUBLE), 9), 6) + 0.0 AS value_a, "
-    f"round(round(CAST(r.{c} AS DOUBLE), 9), 6) + 0.0 AS value_b FROM meter_filled f JOIN meter_ruled r "
+    f"SELECT f.row_id, '{c}' AS \"column\", {O.normalize_double(f'CAST(f.{c} AS DOUBLE)')} AS value_a, "
+    f"{O.normalize_double(f'CAST(r.{c} AS DOUBLE)')} AS value_b FROM meter_filled f JOIN meter_ruled r "
     f"ON f.row_id = r.row_id WHERE f.{c} IS DISTINCT FROM r.{c}" for c in _RULED)))
 def cell_diff(spark, sf):
     """G1 keyed: every cell the quality rules changed (full outer join, null-safe compare)."""

@@ -110,9 +110,22 @@ def with_(ctes: list[str], body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
 
+def _half_up(x: str, digits: int) -> str:
+    k = repr(float(10 ** digits))
+    return f"(floor(({x}) * {k} + 0.5) / {k})"
+
+
+def normalize_double(x: str, digits: int = 6) -> str:
+    e = f"floor(log10(abs({x})))"
+    small = _half_up(_half_up(x, 9), digits)
+    large = f"({_half_up(f'({x}) / pow(10.0, {e})', 11)} * pow(10.0, {e}))"
+    return (f"CASE WHEN isnan({x}) OR isinf({x}) THEN {x} WHEN abs({x}) < 1e6 THEN {small} "
+            f"ELSE {large} END")
+
+
 def rounded(sql: str, doubles: list[str], digits: int = 6, bigints: list[str] = ()) -> str:
     """Wrap ``sql`` so listed columns are rounded DOUBLE / cast BIGINT."""
-    rep = [f"round(round(CAST({c} AS DOUBLE), 9), {digits}) + 0.0 AS {c}" for c in doubles]
+    rep = [f"{normalize_double(f'CAST({c} AS DOUBLE)', digits)} AS {c}" for c in doubles]
     rep += [f"CAST({c} AS BIGINT) AS {c}" for c in bigints]
     if not rep:
         return sql

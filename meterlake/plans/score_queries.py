@@ -22,12 +22,16 @@ from meterlake.sources import io as IO
 NUM_NO_NSM = [c for c in S.NUMERIC if c != S.NSM]
 
 
-@register("scan_csv_raw", O.with_(O.CHAIN_TYPED, "SELECT * FROM meter_raw"))
+@register("scan_csv_raw", O.rounded(O.with_(O.CHAIN_TYPED, "SELECT row_id, date, " + ", ".join(
+    f"{O.num(c)} AS {c}" for c in S.NUMERIC) + ", " + ", ".join(S.CATEGORICAL) + " FROM meter_raw"), S.NUMERIC))
 def scan_csv_raw(spark, sf):
-    """A1: raw CSV (file column names, all STRING) read back with a declared schema."""
+    """A1: raw CSV (file column names, all STRING) read back with a declared
+    schema; numeric text compared as DOUBLE (its text form is engine-specific)."""
+    from meterlake.functions import expr as X
     path = scratch_path(spark, "raw_csv")
     IO.write_csv(IO.to_file_names(V.meter_raw(spark, sf)), path)
-    return IO.scan_csv_raw(spark, path)
+    raw = IO.scan_csv_raw(spark, path)
+    return raw.select(*[X.to_double_or_null(c).alias(c) if c in S.NUMERIC else F.col(c) for c in raw.columns])
 
 
 @register("scan_clean", O.rounded(O.with_(O.CHAIN_CLEAN, "SELECT * FROM meter_clean"), NUM_NO_NSM))
