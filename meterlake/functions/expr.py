@@ -29,11 +29,23 @@ def nan_to_null(c: str | Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+INF_TEXT = ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"]
+WHITESPACE = " \t\n\x0b\x0c\r"
+
+
 def to_double_or_null(c: str | Column) -> Column:
-    """H1: text -> DOUBLE; unparsable and NaN -> NULL."""
+    """H1: text -> DOUBLE; unparsable and NaN -> NULL.
+
+    ``try_cast`` also accepts Java literal suffixes ('1.0d', '2f') that
+    pandas rejects; only text that parsed *and* contains a d/f needs the
+    check (inf spellings are the legitimate ones), so the common path is one
+    cast and two byte searches, no regex."""
     c = col(c)
-    v = F.when(c.rlike(NUMERIC_TEXT), c.try_cast("double"))
-    return nan_to_null(v)
+    v = c.try_cast("double")
+    low = F.lower(c)
+    suspicious = (F.instr(low, "d") > 0) | (F.instr(low, "f") > 0)
+    ok = ~suspicious | F.btrim(low, F.lit(WHITESPACE)).isin(*INF_TEXT)
+    return F.when(ok & ~F.isnan(v), v)
 
 
 def to_timestamp_or_null(c: str | Column, *formats: str) -> Column:
@@ -51,8 +63,9 @@ def truncate_to_long(c: str | Column) -> Column:
 
 
 def normalize_text(c: str | Column) -> Column:
-    """H4: upper-case and strip all surrounding whitespace (Python str.strip)."""
-    return F.upper(F.regexp_replace(col(c), r"^\s+|\s+$", ""))
+    """H4: upper-case and strip surrounding whitespace (the ASCII set of
+    Python ``str.strip``; Spark's ``trim`` alone strips spaces only)."""
+    return F.upper(F.btrim(col(c), F.lit(WHITESPACE)))
 
 
 def null_tokens(c: str | Column, tokens=NULL_TOKENS) -> Column:

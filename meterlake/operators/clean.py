@@ -73,8 +73,12 @@ def modes_struct(df: DataFrame, cols: Sequence[str]) -> Column:
 
 def clean_categoricals(df: DataFrame, cols: Sequence[str] = S.CATEGORICAL) -> DataFrame:
     """Normalise text, tokens -> NULL, fill with the column mode (else UNKNOWN)."""
-    cols = present(df, cols)
-    norm = normalized_categoricals(df, cols)
+    return fill_modes(normalized_categoricals(df, present(df, cols)), cols)
+
+
+def fill_modes(norm: DataFrame, cols: Sequence[str] = S.CATEGORICAL) -> DataFrame:
+    """I1 second half on already-normalised columns: NULL -> mode, else UNKNOWN."""
+    cols = present(norm, cols)
     if not cols:
         return norm
     modes = modes_struct(norm, cols)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake import schema as S
-from meterlake.operators.clean import column_modes, present
+from meterlake.operators.clean import present
 from meterlake.operators.quantile import quantiles
 
 PARAM_SCHEMA = "group string, feature string, stat string, category string, value double"
@@ -141,22 +141,31 @@ def fit(df: DataFrame, num_skew: Sequence[str] = S.NUM_SKEW, num_lin: Sequence[s
     if nums:
         med = quantiles(df, nums, [0.5]).select("column", "q").collect()
         p.medians = {r["column"]: r["q"] for r in med}
+        # a median imputation cannot move min / max, and log1p is monotone, so
+        # the scaler bounds come from one pass independent of the medians
         exprs = []
         for c in nums:
-            x = impute(F.col(c).cast("double"), p.medians.get(c))
+            x = F.col(c).cast("double")
+            lo, hi = F.min(x), F.max(x)
             if c in num_skew:
-                x = F.log1p(x)
-            exprs += [F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+                lo, hi = F.log1p(lo), F.log1p(hi)
+            exprs += [lo.alias(f"{c}__min"), hi.alias(f"{c}__max")]
         row = df.agg(*exprs).first()
         p.mins = {c: row[f"{c}__min"] for c in nums}
         p.maxs = {c: row[f"{c}__max"] for c in nums}
     cats = cat_nom + cat_ord
     if cats:
-        p.modes = {r["column"]: r["mode"] for r in column_modes(df, cats).collect()}
-        imputed = df.select(*[F.coalesce(F.col(c), F.lit(p.modes.get(c))).alias(c) for c in cat_nom])
+        # one value-count pass (bounded by the categories) gives modes and levels
+        from meterlake.operators.profile import value_counts
+        vc = value_counts(df, cats).select("column", "value", "n").collect()
+        for c in cats:
+            rows = [(r["value"], r["n"]) for r in vc if r["column"] == c]
+            p.modes[c] = min(rows, key=lambda t: (-t[1], t[0]))[0] if rows else None
         for c in cat_nom:
-            vals = imputed.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c).collect()
-            p.categories[c] = [r[0] for r in vals]
+            levels = sorted(v for v, _ in [(r["value"], r["n"]) for r in vc if r["column"] == c])
+            if p.modes[c] is None:
+                levels = []
+            p.categories[c] = levels
         p.ordinal = {c: list(ordinal_levels[c]) for c in cat_ord}
     return p
 

@@ -5,8 +5,9 @@ Spark's ``percentile`` aggregate is exact but its final merge keeps every
 distinct value of a group in one task.  That is fine for small groups and
 unbounded for a hot one (a load type holding a third of all rows).  So:
 
-* a cheap count per group decides the plan; groups with ``n <= small`` rows
-  use ``percentile`` (exact, state bounded by ``small`` values per group).
+* a row count (or, when the table is larger than ``small``, a count per
+  group) decides the plan; groups with ``n <= small`` rows use
+  ``percentile`` (exact, state bounded by ``small`` values per group).
 * larger groups, per target rank:
   1. ``percentile_approx`` brackets ``[lo, hi]`` at ``p -/+ delta``; with
      relative error ``1/accuracy < delta`` the exact order statistics lie
@@ -30,7 +31,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SMALL_GROUP = 100_000
+SMALL_GROUP = 1_000_000
 ACCURACY = 20_000
 DELTA = 5e-4
 BUCKETS = 65_536
@@ -52,20 +53,25 @@ def quantiles(df: DataFrame, value_cols: Sequence[str] | str, probs: Sequence[fl
         value_cols = [value_cols]
     probs = [float(p) for p in probs]
     long = to_long(df, value_cols, by)
+    # no group can exceed the table: a row count (metadata-only on a stored
+    # table) settles the common case without a per-group size job
+    bounded = df.count() <= small
     return long_quantiles(long, list(by) + ["column"], probs, small=small,
-                          accuracy=accuracy, delta=delta, buckets=buckets)
+                          accuracy=accuracy, delta=delta, buckets=buckets, bounded=bounded)
 
 
 def long_quantiles(long: DataFrame, keys: list[str], probs: list[float], *,
                    small: int = SMALL_GROUP, accuracy: int = ACCURACY,
-                   delta: float = DELTA, buckets: int = BUCKETS) -> DataFrame:
-    """Exact quantiles of ``v`` per ``keys`` on a long (keys..., v) frame."""
+                   delta: float = DELTA, buckets: int = BUCKETS, bounded: bool = False) -> DataFrame:
+    """Exact quantiles of ``v`` per ``keys`` on a long (keys..., v) frame.
+
+    ``bounded=True``: the caller knows no group exceeds ``small`` rows."""
     if 1.0 / accuracy >= delta:
         raise ValueError("need 1/accuracy < delta for a guaranteed bracket")
     p_arr = F.array(*[F.lit(p) for p in probs])
     counts = long.groupBy(*keys).agg(F.count("v").alias("n"))
     # bounded driver decision: is any group too large for one task?
-    any_large = len(counts.where(F.col("n") > small).limit(1).collect()) > 0
+    any_large = (not bounded) and len(counts.where(F.col("n") > small).limit(1).collect()) > 0
 
     def exact_small(rows: DataFrame) -> DataFrame:
         return (rows.groupBy(*keys).agg(F.percentile("v", p_arr).alias("q_arr"))

@@ -39,7 +39,7 @@ def prepared(spark, sf):
         f = V.meter_features(spark, sf)
         p = PR.fit(f)
         t = f.select(S.ROW_ID, *p.columns(), F.col(S.TARGET).cast("double").alias("label"))
-        t = V.materialize(spark, t.where(F.col("label").isNotNull()), "feature_table", sf)
+        t = V.materialize(spark, lambda: t.where(F.col("label").isNotNull()), "feature_table", sf)
         return p, t, p.output_names()
     return _memo(spark, sf, "prepared", build)
 

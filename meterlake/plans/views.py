@@ -18,9 +18,13 @@ from meterlake.sources.tables import meter_raw, table  # noqa: F401
 _STAGES: dict[tuple, DataFrame] = {}
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str, sf: str) -> DataFrame:
+def materialize(spark: SparkSession, build, name: str, sf: str) -> DataFrame:
+    """Write ``build()`` once per (session, stage, sf) and return the scan of
+    it; ``build`` is a DataFrame or a callable, called only on a miss (so a
+    hit plans nothing and runs no statistics job)."""
     key = (spark.sparkContext.applicationId, name, sf)
     if key not in _STAGES:
+        df = build() if callable(build) else build
         path = scratch_path(spark, name)
         df.write.mode("overwrite").parquet(path)
         _STAGES[key] = spark.read.parquet(path)
@@ -31,8 +35,14 @@ def meter_typed(spark: SparkSession, sf: str) -> DataFrame:
     return C.clean_types(meter_raw(spark, sf))
 
 
+def meter_norm(spark: SparkSession, sf: str) -> DataFrame:
+    """Typed + normalised categoricals: the text parsing happens once, written
+    as a stage table; modes, medians and the final projection scan it."""
+    return materialize(spark, lambda: C.normalized_categoricals(meter_typed(spark, sf)), "meter_norm", sf)
+
+
 def meter_cat(spark: SparkSession, sf: str) -> DataFrame:
-    return C.clean_categoricals(meter_typed(spark, sf))
+    return C.fill_modes(meter_norm(spark, sf))
 
 
 def meter_filled(spark: SparkSession, sf: str) -> DataFrame:
@@ -44,7 +54,7 @@ def build_meter_clean(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def meter_clean(spark: SparkSession, sf: str) -> DataFrame:
-    return materialize(spark, build_meter_clean(spark, sf), "meter_clean", sf)
+    return materialize(spark, lambda: build_meter_clean(spark, sf), "meter_clean", sf)
 
 
 def build_meter_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -53,4 +63,4 @@ def build_meter_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def meter_features(spark: SparkSession, sf: str) -> DataFrame:
-    return materialize(spark, build_meter_features(spark, sf), "meter_features", sf)
+    return materialize(spark, lambda: build_meter_features(spark, sf), "meter_features", sf)

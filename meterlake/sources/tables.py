@@ -9,8 +9,21 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations"]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a source that has fewer splits than the session's default
+    parallelism (a small single-row-group file would otherwise run every
+    per-row expression in one task).  Large inputs already have many splits
+    and are returned untouched, so this costs nothing at scale."""
+    sc = df.sparkSession.sparkContext
+    target = sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_small else df
 
 
 # Deterministic dirt injected into ``events`` (FIXTURES.md §2).  One text for
@@ -53,5 +66,6 @@ def meter_raw_sql(dialect: str) -> str:
 
 def meter_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-STRING meter table with the fixture dirt (row_id = event_id)."""
-    events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value", "props")
+    events = spread(table(spark, sf_dir, "events", spread_small=False)
+                    .select("event_id", "ts", "event_type", "value", "props"))
     return spark.sql(meter_raw_sql("spark"), events=events)
