@@ -21,7 +21,9 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = False) -> DataFrame:
+    """A driver table; ``spread_small`` for plans whose per-row work is heavy
+    (text parsing) — cheap aggregations are better off without the shuffle."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return spread(df) if spread_small else df
 
