@@ -119,8 +119,11 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     long = (df.select(*[F.col(c).cast("string").alias(c) for c in cols])
             .unpivot([], list(cols), "column", "value").where(F.col("value").isNotNull()))
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    tot = F.sum("n").over(Window.partitionBy("column"))
-    return counts.withColumn("pct", F.col("n") * 100.0 / tot)
+    # totals: one row per profiled column (bounded by the schema) -> broadcast;
+    # a window per column would put a high-cardinality column in one task
+    totals = counts.groupBy("column").agg(F.sum("n").alias("_total"))
+    return (counts.join(F.broadcast(totals), "column")
+            .select("column", "value", "n", (F.col("n") * 100.0 / F.col("_total")).alias("pct")))
 
 
 def describe_categorical(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -150,3 +150,24 @@ def nanlike_count(spark, sf):
     aggs = [F.count(F.when(X.normalize_text(c).isin(*X.NULL_TOKENS) | F.col(c).isNull(), 1)).alias(c)
             for c in S.CATEGORICAL]
     return raw.agg(*aggs).unpivot([], S.CATEGORICAL, "column", "n")
+
+
+@register("drop_if_present", O.rounded(O.with_(O.CHAIN_TYPED, "SELECT row_id, date, " + ", ".join(
+    f"{O.num(c)} AS {c}" for c in NUMS) + ", " + ", ".join(S.CATEGORICAL) + " FROM meter_raw"), NUMS))
+def drop_if_present(spark, sf):
+    """B2: a junk column (the events' raw ``props`` text) is dropped if present;
+    dropping an absent name is a no-op."""
+    ev = V.table(spark, sf, "events").select(F.col("event_id").alias(S.ROW_ID),
+                                              F.col("props").alias("mixed_type_col"))
+    raw = V.meter_raw(spark, sf).join(ev, S.ROW_ID).drop("mixed_type_col", "column_that_is_not_there")
+    # numeric text compared as DOUBLE (its text form is engine-specific)
+    return raw.select(*[X.to_double_or_null(c).alias(c) if c in NUMS else F.col(c) for c in raw.columns])
+
+
+@register("rename_map", O.rounded(O.with_(
+    O.CHAIN_CLEAN, "SELECT row_id, " + ", ".join(f'{c} AS "{S.CSV_NAMES[c]}"' for c in S.METER_COLUMNS)
+    + " FROM meter_clean"), [f'"{S.CSV_NAMES[c]}"' for c in S.NUMERIC if c != S.NSM]))
+def rename_map(spark, sf):
+    """Rename by map (internal -> file names with dots and parentheses)."""
+    from meterlake.sources.io import to_file_names
+    return to_file_names(V.meter_clean(spark, sf))

@@ -309,3 +309,11 @@ def category_codes(spark, sf):
 def standard_scale(spark, sf):
     """Mean 0, population std 1."""
     return PR.standard_scale(V.meter_clean(spark, sf), S.NUMERIC)
+
+
+@register("project_features", O.rounded(mf(
+    "SELECT * EXCLUDE (date, usage_kwh, day_of_week) FROM meter_features"),
+    [c for c in BASE_DOUBLES if c != S.TARGET] + DOUBLE_FEATS))
+def project_features(spark, sf):
+    """B1: exclude date, target and weekday name (absent names are ignored)."""
+    return V.meter_features(spark, sf).drop(*S.EXCLUDE_FROM_FEATURES, "not_a_column")

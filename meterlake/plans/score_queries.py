@@ -203,3 +203,15 @@ def score_stream(spark, sf):
     reqs = SC.requests_from_meter(V.meter_clean(spark, sf))
     responses, _rejects = run_to_completion(spark, reqs, SC.FIXED_RULES)
     return SC.unpack_responses(responses)
+
+
+@register("align_predictions", O.rounded(O.with_(
+    O.CHAIN_CLEAN, f"SELECT p.row_id, c.usage_kwh AS label, p.prediction FROM "
+    f"(SELECT row_id, {_rules_sql('meter_clean')} FROM meter_clean) p JOIN meter_clean c ON p.row_id = c.row_id"),
+    ["label", "prediction"]))
+def align_predictions(spark, sf):
+    """C4: predictions paired with labels by key (1:1 equi-join on row_id), not by position."""
+    d = V.meter_clean(spark, sf)
+    pred = SC.score_rules(d).select(S.ROW_ID, "prediction")
+    labels = d.select(S.ROW_ID, F.col(S.TARGET).alias("label"))
+    return pred.join(labels, S.ROW_ID)

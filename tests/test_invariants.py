@@ -55,3 +55,10 @@ def test_rulefit_small(spark, sf):
     pred = model.transform(t)
     m = EV.metrics(pred, "label", "prediction").first()
     assert m.r2_score > 0
+
+
+def test_missing_model_raises(spark, tmp_path):
+    import pytest
+    from pyspark.errors import AnalysisException
+    with pytest.raises(AnalysisException):
+        MD.load_rule_model(spark, str(tmp_path / "no_model"))
