@@ -82,8 +82,14 @@ def _groups(df: DataFrame, inference: bool, divisor: float) -> list[tuple[list[s
     return groups
 
 
-def engineer(df: DataFrame, *, partial: bool = False) -> DataFrame:
-    """J8 (and J9 with ``partial=True``: a group whose inputs are absent is skipped)."""
+TARGET_DERIVED = ["co2_per_kwh", S.HIGH_FLAG, "nsm_per_kwh"]
+
+
+def engineer(df: DataFrame, *, partial: bool = False, exclude_target_features: bool = False) -> DataFrame:
+    """J8 (and J9 with ``partial=True``: a group whose inputs are absent is skipped).
+
+    ``exclude_target_features`` leaves out the three columns computed from the
+    target itself (they leak the label into the features)."""
     new = {}
     for needs, cols in _groups(df, False, INFERENCE_DIVISOR):
         if all(n in df.columns for n in needs):
@@ -92,6 +98,8 @@ def engineer(df: DataFrame, *, partial: bool = False) -> DataFrame:
             raise ValueError(f"missing input columns {needs}")
     if not partial:
         new = {k: new[k] for k in S.ENGINEERED}
+    if exclude_target_features:
+        new = {k: v for k, v in new.items() if k not in TARGET_DERIVED}
     return df.withColumns(new)
 
 

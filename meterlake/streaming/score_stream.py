@@ -52,7 +52,7 @@ def run_to_completion(spark: SparkSession, requests: DataFrame, model, preproces
     out = scratch_path(spark, "stream_out")
     rej = scratch_path(spark, "stream_rejects")
     write_request_files(requests, src)
-    q = score_stream(spark, src, out, rej, model, preprocessor, max_files_per_trigger=1)
+    q = score_stream(spark, src, out, rej, model, preprocessor, max_files_per_trigger=2)
     q.awaitTermination()
     responses = spark.read.parquet(out).drop("epoch")
     try:

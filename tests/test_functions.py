@@ -60,3 +60,10 @@ def test_safe_ratio_and_cyclic(spark):
     s, c = X.cyclic(F.col("h"), 24)
     r = df.select(X.safe_ratio("a", "b").alias("r"), s.alias("s"), c.alias("c")).first()
     assert r.r == 1.0 / 1e-6 and abs(r.s - 1.0) < 1e-12 and abs(r.c) < 1e-12
+
+
+def test_exclude_target_features(spark, sf):
+    from meterlake.operators.features import TARGET_DERIVED, engineer
+    from meterlake.plans import views as V
+    cols = engineer(V.meter_clean(spark, sf), exclude_target_features=True).columns
+    assert not set(TARGET_DERIVED) & set(cols) and "hour_sin" in cols
