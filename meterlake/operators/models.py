@@ -4,8 +4,8 @@
 * PCA keeping 95 % variance behind a centring step;
 * RuleFit (Friedman & Popescu 2008): boosted shallow trees -> every non-root
   node is a rule (conjunction of splits on its path) -> 0/1 rule columns plus
-  winsorised linear terms -> lasso path until at most ``max_rules`` rules
-  survive.  The result is a ``RuleModel`` (one projection to score).
+  winsorised linear terms -> lasso path (log grid, then bisection) to the
+  weakest penalty that keeps at most ``max_rules`` rules.  The result is a ``RuleModel`` (one projection to score).
 
 Only metadata-sized objects reach the driver: tree node tables, coefficient
 vectors, explained-variance vectors.
@@ -182,7 +182,7 @@ def _simplify(rule: str) -> str:
 def fit_rulefit(df: DataFrame, cols: Sequence[str], label: str = "label", max_rules: int = 30,
                 tree_size: int = 4, n_trees: int = 100, exp_rand_tree_size: bool = True,
                 include_linear: bool = True, trim: float = 0.025, seed: int = 42,
-                lambdas: int = 12) -> tuple[RuleModel, DataFrame]:
+                lambdas: int = 12, bisect_steps: int = 4) -> tuple[RuleModel, DataFrame]:
     """Returns (RuleModel, rule table with support and importance)."""
     spark = df.sparkSession
     cols = list(cols)
@@ -226,19 +226,31 @@ def fit_rulefit(df: DataFrame, cols: Sequence[str], label: str = "label", max_ru
     # lasso path from strong to weak penalty; keep the last fit within max_rules
     y_sd = df.agg(F.stddev_samp(label)).first()[0] or 1.0
     grid = [y_sd * 10 ** (1 - 4 * i / (lambdas - 1)) for i in range(lambdas)]
-    chosen = None
-    for lam in grid:
+    def lasso(lam):
         m = LinearRegression(featuresCol=FEATURES, labelCol=label, elasticNetParam=1.0, regParam=lam,
                              maxIter=200, standardization=True).fit(design)
-        coefs = m.coefficients.toArray()
-        nz_rules = int(np.count_nonzero(coefs[:len(rules)]))
-        if nz_rules <= max_rules:
-            chosen = m
+        return m, int(np.count_nonzero(m.coefficients.toArray()[:len(rules)]))
+
+    chosen, ok_lam, bad_lam = None, None, None
+    for lam in grid:
+        m, nz = lasso(lam)
+        if nz <= max_rules:
+            chosen, ok_lam = m, lam
         else:
+            bad_lam = lam
             break
-    design.unpersist()
     if chosen is None:
         chosen = m
+    elif bad_lam is not None:
+        # refine between the last feasible and the first infeasible penalty
+        for _ in range(bisect_steps):
+            mid = math.sqrt(ok_lam * bad_lam)
+            m, nz = lasso(mid)
+            if nz <= max_rules:
+                chosen, ok_lam = m, mid
+            else:
+                bad_lam = mid
+    design.unpersist()
     coefs = chosen.coefficients.toArray()
     supports = df.agg(*[F.avg(F.coalesce(F.expr(r), F.lit(False)).cast("double")).alias(i)
                         for i, r in zip(rule_ids, rules)]).first() if rules else {}
