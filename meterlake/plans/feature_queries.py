@@ -211,7 +211,7 @@ def _prep_oracle(even_odd: bool = False, label: bool = False) -> str:
 def preprocess_apply(spark, sf):
     """K7 (+K1, K3, K4, K5, K6): fit the 4-group transformer and apply it; 30 outputs."""
     f = V.meter_features(spark, sf)
-    return PR.fit(f).transform(f)
+    return V.fitted_preprocessor(spark, sf).transform(f)
 
 
 @register("preprocess_transform_new", _prep_oracle(even_odd=True))

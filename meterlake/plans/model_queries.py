@@ -37,7 +37,7 @@ def prepared(spark, sf):
     """(preprocessor, feature table with label, feature names) — materialized once."""
     def build():
         f = V.meter_features(spark, sf)
-        p = PR.fit(f)
+        p = V.fitted_preprocessor(spark, sf)
         t = f.select(S.ROW_ID, *p.columns(), F.col(S.TARGET).cast("double").alias("label"))
         t = V.materialize(spark, lambda: t.where(F.col("label").isNotNull()), "feature_table", sf)
         return p, t, p.output_names()

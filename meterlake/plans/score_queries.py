@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from meterlake import schema as S
 from meterlake.functions.rules import REQUEST_ENUMS, REQUEST_RANGES, REQUEST_REQUIRED
-from meterlake.operators import prep as PR
 from meterlake.operators import score as SC
 from meterlake.plans import oracle as O
 from meterlake.plans import views as V
@@ -54,7 +53,7 @@ def sink_clean(spark, sf):
 def load_features(spark, sf):
     """A5 + A2: one feature table (row_id, 30 features, label) written and read back."""
     f = V.meter_features(spark, sf)
-    p = PR.fit(f)
+    p = V.fitted_preprocessor(spark, sf)
     path = scratch_path(spark, "features")
     table = f.select(S.ROW_ID, *p.columns(), F.col(S.TARGET).alias("label"))
     IO.sink_features(table, p.output_names(), path)
@@ -68,7 +67,7 @@ def load_features(spark, sf):
 def feature_info(spark, sf):
     """A5: column-group metadata of the fitted transformer."""
     f = V.meter_features(spark, sf)
-    p = PR.fit(f)
+    p = V.fitted_preprocessor(spark, sf)
     return IO.sink_features(f.limit(0).select(S.ROW_ID), p.output_names(), scratch_path(spark, "finfo"))
 
 

@@ -64,3 +64,16 @@ def build_meter_features(spark: SparkSession, sf: str) -> DataFrame:
 
 def meter_features(spark: SparkSession, sf: str) -> DataFrame:
     return materialize(spark, lambda: build_meter_features(spark, sf), "meter_features", sf)
+
+
+_FITTED: dict[tuple, object] = {}
+
+
+def fitted_preprocessor(spark: SparkSession, sf: str):
+    """The 4-group transformer fitted on ``meter_features``, once per session
+    (its parameter table is the stage artifact, like the stage tables)."""
+    from meterlake.operators.prep import fit
+    key = (spark.sparkContext.applicationId, "preprocessor", sf)
+    if key not in _FITTED:
+        _FITTED[key] = fit(meter_features(spark, sf))
+    return _FITTED[key]
