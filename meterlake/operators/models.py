@@ -136,6 +136,22 @@ def fit_pca_regressor(df: DataFrame, cols: Sequence[str], kind: str = "linear",
 
 
 # ---------------------------------------------------------------- L5, L7 RuleFit
+class _no_wholestage:
+    """Whole-stage codegen off for one job whose projection has hundreds of
+    rule expressions (a single generated method would pass the JVM's 64 KB
+    limit); expression-level codegen still applies."""
+
+    def __init__(self, spark):
+        self.spark = spark
+
+    def __enter__(self):
+        self.prev = self.spark.conf.get("spark.sql.codegen.wholeStage")
+        self.spark.conf.set("spark.sql.codegen.wholeStage", "false")
+
+    def __exit__(self, *exc):
+        self.spark.conf.set("spark.sql.codegen.wholeStage", self.prev)
+        return False
+
 def _tree_sizes(n_trees: int, mean_size: int, seed: int) -> list[int]:
     rng = np.random.default_rng(seed)
     return [int(2 + math.floor(rng.exponential(max(mean_size - 2, 1e-9)))) for _ in range(n_trees)]
@@ -222,7 +238,9 @@ def fit_rulefit(df: DataFrame, cols: Sequence[str], label: str = "label", max_ru
                                 for i, r in zip(rule_ids, rules)],
                        *[F.expr(e).alias(n_) for n_, e in lin_terms])
     names = rule_ids + [n_ for n_, _ in lin_terms]
-    design = assemble(design, names).select(label, FEATURES).cache()
+    with _no_wholestage(spark):  # one very wide projection: per-expression codegen instead
+        design = assemble(design, names).select(label, FEATURES).cache()
+        design.count()
     # lasso path from strong to weak penalty; keep the last fit within max_rules
     y_sd = df.agg(F.stddev_samp(label)).first()[0] or 1.0
     grid = [y_sd * 10 ** (1 - 4 * i / (lambdas - 1)) for i in range(lambdas)]
@@ -252,8 +270,9 @@ def fit_rulefit(df: DataFrame, cols: Sequence[str], label: str = "label", max_ru
                 bad_lam = mid
     design.unpersist()
     coefs = chosen.coefficients.toArray()
-    supports = df.agg(*[F.avg(F.coalesce(F.expr(r), F.lit(False)).cast("double")).alias(i)
-                        for i, r in zip(rule_ids, rules)]).first() if rules else {}
+    with _no_wholestage(spark):
+        supports = df.agg(*[F.avg(F.coalesce(F.expr(r), F.lit(False)).cast("double")).alias(i)
+                            for i, r in zip(rule_ids, rules)]).first() if rules else {}
     rm_rules, rm_linear, table = [], [], []
     for j, (rid, cond) in enumerate(zip(rule_ids, rules)):
         c = float(coefs[j])
