@@ -61,7 +61,7 @@ def load_features(spark, sf):
     return x.join(y, S.ROW_ID)
 
 
-@register("feature_info", "SELECT * FROM (VALUES " + ", ".join(
+@register("feature_info", "SELECT feature, \"group\", CAST(position AS BIGINT) AS position FROM (VALUES " + ", ".join(
     f"('{n}', '{n.split('__', 1)[0]}', {i})" for i, n in enumerate(_prep_names()))
     + ") t(feature, \"group\", position)")
 def feature_info(spark, sf):
