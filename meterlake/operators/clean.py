@@ -4,8 +4,8 @@ apply the quality rules, truncate NSM.
 
 Statistics are computed by distributed aggregations and applied without
 joins where they are global (scalar subqueries), and by an equi-join where
-they are per group (AQE picks broadcast for the small side and splits skewed
-partitions otherwise).
+they are per group (broadcast behind a row-count check; beyond it a shuffle
+join whose skewed partitions AQE splits).
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from meterlake import schema as S
 from meterlake.functions import expr as X
 from meterlake.functions.rules import QUALITY_RULES, apply_rule
-from meterlake.operators.quantile import quantiles
+from meterlake.operators.quantile import quantiles, sized
 
 UNKNOWN = "UNKNOWN"
 
@@ -100,7 +100,9 @@ def fill_group_median(df: DataFrame, value: str = S.TARGET, by: str = S.LOAD_TYP
     median (pandas ``Series.get`` default applies only to unseen keys, which
     cannot happen after I1, so it is off by default).
     """
-    med = group_median(df, value, by).withColumnRenamed("median", "_grp_median")
+    # one row per group: broadcast behind a size check (a hot group is never
+    # shuffled by key), a plain join beyond it
+    med, _n = sized(group_median(df, value, by).withColumnRenamed("median", "_grp_median"))
     filled = F.coalesce(F.col(value), F.col("_grp_median"))
     if global_fallback:
         g = quantiles(df, [value], [0.5]).select("q").scalar()

@@ -37,6 +37,21 @@ DELTA = 5e-4
 BUCKETS = 65_536
 
 
+BROADCAST_ROWS = 100_000
+
+
+def sized(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, int]:
+    """Broadcast behind a size check: a table of at most ``limit`` rows is
+    collected once and returned as a broadcast local relation; a larger one is
+    returned as is (shuffle join, AQE skew handling).  Returns (frame, rows or
+    limit + 1)."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return df, limit + 1
+    local = df.sparkSession.createDataFrame(rows, df.schema)
+    return F.broadcast(local), len(rows)
+
+
 def to_long(df: DataFrame, value_cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by..., column, v) with nulls and NaN dropped (pandas ``skipna``)."""
     cols = list(value_cols)
@@ -70,8 +85,12 @@ def long_quantiles(long: DataFrame, keys: list[str], probs: list[float], *,
         raise ValueError("need 1/accuracy < delta for a guaranteed bracket")
     p_arr = F.array(*[F.lit(p) for p in probs])
     counts = long.groupBy(*keys).agg(F.count("v").alias("n"))
-    # bounded driver decision: is any group too large for one task?
-    any_large = (not bounded) and len(counts.where(F.col("n") > small).limit(1).collect()) > 0
+    # bounded driver decision: which groups are too large for one task?  There
+    # are at most rows / small of them; up to BROADCAST_ROWS they come back as a
+    # small local table that is broadcast (no shuffle of a hot group by key),
+    # beyond that the joins stay shuffle joins (AQE splits skewed partitions).
+    large = None if bounded else sized(counts.where(F.col("n") > small))
+    any_large = large is not None and large[1] > 0
 
     def exact_small(rows: DataFrame) -> DataFrame:
         return (rows.groupBy(*keys).agg(F.percentile("v", p_arr).alias("q_arr"))
@@ -81,11 +100,11 @@ def long_quantiles(long: DataFrame, keys: list[str], probs: list[float], *,
 
     if not any_large:
         return exact_small(long)
-    small_q = exact_small(long.join(counts.where(F.col("n") <= small).select(*keys),
-                                    keys, "left_semi"))
+    large_df, n_large = large
+    small_q = exact_small(long.join(large_df.select(*keys), keys, "left_anti"))
     lo_ps = [max(p - delta, 0.0) for p in probs]
     hi_ps = [min(p + delta, 1.0) for p in probs]
-    stats = (long.join(counts.where(F.col("n") > small), keys).groupBy(*keys).agg(
+    stats = (long.join(large_df, keys).groupBy(*keys).agg(
         F.first("n").alias("n"),
         F.percentile_approx("v", F.array(*[F.lit(p) for p in lo_ps]), accuracy).alias("lo_arr"),
         F.percentile_approx("v", F.array(*[F.lit(p) for p in hi_ps]), accuracy).alias("hi_arr")))
@@ -109,6 +128,7 @@ def long_quantiles(long: DataFrame, keys: list[str], probs: list[float], *,
     cell_of = (F.when(F.col("v") < F.col("lo"), F.lit(-1).cast("long"))
                .when(F.col("v") <= F.col("hi"), cell))
     tcols = [*keys, "i", "lo", "hi"]
+    targets = sized(targets)[0]
     hist = (long.join(targets.select(*tcols), keys)
             .where(F.col("v") <= F.col("hi"))
             .select(*keys, "i", cell_of.alias("cell"))
@@ -122,7 +142,7 @@ def long_quantiles(long: DataFrame, keys: list[str], probs: list[float], *,
                      & (((F.col("start") <= F.col("r_lo")) & (F.col("r_lo") < F.col("cum")))
                         | ((F.col("start") <= F.col("r_hi")) & (F.col("r_hi") < F.col("cum")))))
               .select(*keys, "i", "cell", "start", "lo", "hi", "r_lo", "r_hi", "pos", "p"))
-    in_cell = (long.join(picked, keys)
+    in_cell = (long.join(sized(picked)[0], keys)
                .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
                .where(cell == F.col("cell"))
                .groupBy(*keys, "i", "cell", "start", "r_lo", "r_hi", "pos", "p", "v")
