@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.operators.quantile import quantiles, to_long
+from meterlake.operators.quantile import quantiles, sized, to_long
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
@@ -180,13 +180,13 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Quartiles, IQR, Tukey bounds, outlier count and % of all rows."""
     q = (quantiles(df, cols, [0.25, 0.75]).groupBy("column").pivot("p", [0.25, 0.75])
          .agg(F.first("q")).toDF("column", "q1", "q3"))
-    b = (q.withColumn("iqr", F.col("q3") - F.col("q1"))
-         .withColumn("lower", F.col("q1") - 1.5 * F.col("iqr"))
-         .withColumn("upper", F.col("q3") + 1.5 * F.col("iqr")))
+    b, _n = sized(q.withColumn("iqr", F.col("q3") - F.col("q1"))
+                  .withColumn("lower", F.col("q1") - 1.5 * F.col("iqr"))
+                  .withColumn("upper", F.col("q3") + 1.5 * F.col("iqr")))   # one row per column
     long = to_long(df, cols)
     total = df.select(F.count(F.lit(1))).scalar()
     # one stats row per profiled column: a proven, tiny broadcast
-    flagged = (long.join(F.broadcast(b.select("column", "lower", "upper")), "column")
+    flagged = (long.join(b.select("column", "lower", "upper"), "column")
                .groupBy("column").agg(F.count_if((F.col("v") < F.col("lower"))
                                                  | (F.col("v") > F.col("upper"))).alias("n_out")))
     return (b.join(flagged, "column", "left")
@@ -196,11 +196,11 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def zscore_outliers(df: DataFrame, cols: Sequence[str], z: float = 3.0) -> DataFrame:
     """|z| > 3 with population std; % over all rows."""
-    m = moments(df, cols).select("column", "mean", "std_pop")
+    m, _n = sized(moments(df, cols).select("column", "mean", "std_pop"))   # one row per column
     long = to_long(df, cols)
     total = df.select(F.count(F.lit(1))).scalar()
     zc = F.abs((F.col("v") - F.col("mean")) / F.col("std_pop"))
-    cnt = (long.join(F.broadcast(m), "column").groupBy("column")
+    cnt = (long.join(m, "column").groupBy("column")
            .agg(F.count_if(zc > z).alias("n_out")))
     return (m.join(cnt, "column", "left").withColumn("n_out", F.coalesce("n_out", F.lit(0)))
             .withColumn("pct", F.col("n_out") * 100.0 / total))
@@ -276,11 +276,11 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Quartiles, whiskers at the furthest point within 1.5 IQR, flier count."""
     q = (quantiles(df, cols, [0.25, 0.5, 0.75]).groupBy("column").pivot("p", [0.25, 0.5, 0.75])
          .agg(F.first("q")).toDF("column", "q1", "med", "q3"))
-    b = (q.withColumn("lo_f", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")))
-         .withColumn("hi_f", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))))
+    b, _n = sized(q.withColumn("lo_f", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")))
+                  .withColumn("hi_f", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))))   # per column
     long = to_long(df, cols)
     v = F.col("v")
-    agg = (long.join(F.broadcast(b.select("column", "lo_f", "hi_f")), "column").groupBy("column").agg(
+    agg = (long.join(b.select("column", "lo_f", "hi_f"), "column").groupBy("column").agg(
         F.min(F.when(v >= F.col("lo_f"), v)).alias("whisker_lo"),
         F.max(F.when(v <= F.col("hi_f"), v)).alias("whisker_hi"),
         F.count_if((v < F.col("lo_f")) | (v > F.col("hi_f"))).alias("fliers")))
