@@ -16,12 +16,13 @@ def metric_aggs(y: Column, yhat: Column, full: bool = True) -> list[Column]:
     e = y - yhat
     n = F.count(e)
     sse = F.sum(e * e)
-    mse = sse / n
-    r2 = 1 - sse / (F.var_pop(y) * n)
+    mse = F.try_divide(sse, n)
+    # ANSI-safe: a constant label (zero variance) or empty input gives NULL, not an error
+    r2 = 1 - F.try_divide(sse, F.var_pop(y) * n)
     out = [F.count(e).alias("n"), mse.alias("mse"), F.sqrt(mse).alias("rmse"),
            F.avg(F.abs(e)).alias("mae"), r2.alias("r2_score")]
     if full:
-        out.append((F.avg(F.abs(e / (y + F.lit(MAPE_EPS)))) * 100).alias("mape"))
+        out.append((F.avg(F.abs(F.try_divide(e, y + F.lit(MAPE_EPS)))) * 100).alias("mape"))
     return out
 
 
@@ -58,6 +59,6 @@ def degradation(base: DataFrame, drifted: DataFrame, keys: Sequence[str] = (),
         *[F.max(f"drift_{m}").alias(f"drift_{m}") for m in metrics_cols])
     rows = [F.struct(F.lit(m).alias("metric"), F.col(f"base_{m}").alias("base"),
                      F.col(f"drift_{m}").alias("drifted"),
-                     ((F.col(f"drift_{m}") - F.col(f"base_{m}")) / F.col(f"base_{m}") * 100)
+                     (F.try_divide(F.col(f"drift_{m}") - F.col(f"base_{m}"), F.col(f"base_{m}")) * 100)
                      .alias("change_pct")) for m in metrics_cols]
     return j.select(*keys, F.inline(F.array(*rows)))

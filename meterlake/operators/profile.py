@@ -191,7 +191,7 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                                                  | (F.col("v") > F.col("upper"))).alias("n_out")))
     return (b.join(flagged, "column", "left")
             .withColumn("n_out", F.coalesce("n_out", F.lit(0)))
-            .withColumn("pct", F.col("n_out") * 100.0 / total))
+            .withColumn("pct", F.try_divide(F.col("n_out") * 100.0, total)))
 
 
 def zscore_outliers(df: DataFrame, cols: Sequence[str], z: float = 3.0) -> DataFrame:
@@ -199,11 +199,11 @@ def zscore_outliers(df: DataFrame, cols: Sequence[str], z: float = 3.0) -> DataF
     m, _n = sized(moments(df, cols).select("column", "mean", "std_pop"))   # one row per column
     long = to_long(df, cols)
     total = df.select(F.count(F.lit(1))).scalar()
-    zc = F.abs((F.col("v") - F.col("mean")) / F.col("std_pop"))
+    zc = F.abs(F.try_divide(F.col("v") - F.col("mean"), F.col("std_pop")))   # constant column -> NULL
     cnt = (long.join(m, "column").groupBy("column")
            .agg(F.count_if(zc > z).alias("n_out")))
     return (m.join(cnt, "column", "left").withColumn("n_out", F.coalesce("n_out", F.lit(0)))
-            .withColumn("pct", F.col("n_out") * 100.0 / total))
+            .withColumn("pct", F.try_divide(F.col("n_out") * 100.0, total)))
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -255,7 +255,7 @@ def histogram(df: DataFrame, c: str, bins: int = 50, density: bool = False) -> D
         "bin", (mn + F.col("bin") * width).alias("lo"), (mn + (F.col("bin") + 1) * width).alias("hi"),
         F.coalesce("n", F.lit(0)).alias("n")))
     if density:
-        out = out.withColumn("density", F.col("n") / (n * width))
+        out = out.withColumn("density", F.try_divide(F.col("n"), n * width))
     return out.orderBy("bin")
 
 
@@ -268,7 +268,7 @@ def normal_overlay(df: DataFrame, c: str, points: int = 100) -> DataFrame:
     mu, sd = s.getField("mu"), s.getField("sd")
     x = mn + F.col("i") * (mx - mn) / (points - 1)
     g = spark.range(points).select(F.col("id").cast("int").alias("i"))
-    pdf = F.exp(-0.5 * F.pow((x - mu) / sd, 2)) / (sd * F.lit(math.sqrt(2 * math.pi)))
+    pdf = F.try_divide(F.exp(-0.5 * F.pow(F.try_divide(x - mu, sd), 2)), sd * F.lit(math.sqrt(2 * math.pi)))
     return g.select("i", x.alias("x"), pdf.alias("pdf"))
 
 
@@ -310,7 +310,7 @@ def completeness(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     cols = list(cols or df.columns)
     nulls = sum((F.count_if(F.col(f"`{c}`").isNull()) for c in cols), F.lit(0))
     return df.agg(F.count(F.lit(1)).alias("rows"), nulls.alias("nulls")).select(
-        "rows", "nulls", (1 - F.col("nulls") / (F.col("rows") * len(cols))).alias("completeness"))
+        "rows", "nulls", (1 - F.try_divide(F.col("nulls"), F.col("rows") * len(cols))).alias("completeness"))
 
 
 def fill_global_median(df: DataFrame, c: str) -> DataFrame:

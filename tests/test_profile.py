@@ -45,3 +45,15 @@ def test_corr_self_is_one(spark):
     df = spark.range(10).select(F.col("id").cast("double").alias("a"), (F.col("id") * 2.0 + 1).alias("b"))
     c = {(r.a, r.b): r.r for r in P.corr_matrix(df, ["a", "b"]).collect()}
     assert c[("a", "b")] == pytest.approx(1.0) and c[("b", "a")] == pytest.approx(1.0)
+
+
+def test_constant_columns_do_not_raise(spark):
+    from meterlake.operators.evaluate import metrics
+    df = spark.createDataFrame([(5.0, 4.0), (5.0, 6.0)], "y double, p double")
+    m = metrics(df, "y", "p").first()
+    assert m.r2_score is None and m.rmse == 1.0
+    z = P.zscore_outliers(df, ["y"]).first()
+    assert z.n_out == 0
+    h = P.histogram(df, "y", 5, density=True).collect()
+    assert sum(r.n for r in h) == 2
+    assert P.normal_overlay(df, "y", 3).count() == 3
