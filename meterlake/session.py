@@ -41,16 +41,23 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+_LOCAL_CKPT: str | None = None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
     Uses ``spark.checkpoint.dir`` when the cluster names one; otherwise (local
-    tests only) a fresh folder under the system temp dir.
+    tests only) one fresh folder under the system temp dir, registered as the
+    context's checkpoint dir (core configs cannot be changed at runtime).
     """
+    global _LOCAL_CKPT
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="meterlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        if _LOCAL_CKPT is None:
+            _LOCAL_CKPT = tempfile.mkdtemp(prefix="meterlake-ckpt-")
+            spark.sparkContext.setCheckpointDir(_LOCAL_CKPT)
+        d = _LOCAL_CKPT
     return d
 
 
