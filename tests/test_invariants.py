@@ -62,3 +62,17 @@ def test_missing_model_raises(spark, tmp_path):
     from pyspark.errors import AnalysisException
     with pytest.raises(AnalysisException):
         MD.load_rule_model(spark, str(tmp_path / "no_model"))
+
+
+def test_two_pipeline_runs_identical(spark, sf):
+    """G2 / reproducibility: two independent runs of clean -> features -> transformer
+    produce identical tables (pyspark.testing, NULL == NULL)."""
+    from pyspark.testing import assertDataFrameEqual
+
+    from meterlake.operators import prep as PR
+    from meterlake.operators.features import engineer
+    a = engineer(V.build_meter_clean(spark, sf))
+    b = engineer(V.build_meter_clean(spark, sf))
+    assertDataFrameEqual(a, b)
+    pa, pb = PR.fit(a), PR.fit(b)
+    assertDataFrameEqual(pa.to_table(spark), pb.to_table(spark))
