@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake import schema as S
@@ -63,14 +63,6 @@ def column_modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return best.select("column", F.col("b.value").alias("mode"), (-F.col("b.neg_n")).alias("freq"))
 
 
-def modes_struct(df: DataFrame, cols: Sequence[str]) -> Column:
-    """Scalar subquery: STRUCT<col: mode, ...> (computed once, no join)."""
-    m = column_modes(df, cols)
-    one = m.groupBy().agg(*[F.max(F.when(F.col("column") == c, F.col("mode"))).alias(c)
-                            for c in cols])
-    return one.select(F.struct(*cols).alias("m")).scalar()
-
-
 def clean_categoricals(df: DataFrame, cols: Sequence[str] = S.CATEGORICAL) -> DataFrame:
     """Normalise text, tokens -> NULL, fill with the column mode (else UNKNOWN)."""
     return fill_modes(normalized_categoricals(df, present(df, cols)), cols)
@@ -81,8 +73,10 @@ def fill_modes(norm: DataFrame, cols: Sequence[str] = S.CATEGORICAL) -> DataFram
     cols = present(norm, cols)
     if not cols:
         return norm
-    modes = modes_struct(norm, cols)
-    return norm.select(*[F.coalesce(F.col(c), modes.getField(c), F.lit(UNKNOWN)).alias(c)
+    # one job for all columns; the result is one value per column (bounded by
+    # the schema) and is applied as literals, like a fitted parameter
+    modes = {r["column"]: r["mode"] for r in column_modes(norm, cols).collect()}
+    return norm.select(*[F.coalesce(F.col(c), F.lit(modes.get(c) or UNKNOWN)).alias(c)
                          if c in cols else F.col(c) for c in norm.columns])
 
 

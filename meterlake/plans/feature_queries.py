@@ -239,10 +239,10 @@ def impute_median(spark, sf):
     + " FROM meter_norm"))
 def impute_mode(spark, sf):
     """K2: most-frequent imputation on strings (tie -> smallest)."""
-    from meterlake.operators.clean import modes_struct, normalized_categoricals
+    from meterlake.operators.clean import column_modes, normalized_categoricals
     n = normalized_categoricals(V.meter_typed(spark, sf))
-    m = modes_struct(n, S.CATEGORICAL)
-    return n.select(S.ROW_ID, *[F.coalesce(F.col(c), m.getField(c)).alias(c) for c in S.CATEGORICAL])
+    m = {r["column"]: r["mode"] for r in column_modes(n, S.CATEGORICAL).collect()}   # one value per column
+    return n.select(S.ROW_ID, *[F.coalesce(F.col(c), F.lit(m.get(c))).alias(c) for c in S.CATEGORICAL])
 
 
 @register("minmax_scale", O.rounded(mf(
