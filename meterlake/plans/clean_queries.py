@@ -107,9 +107,9 @@ def clean_rules(spark, sf):
     return C.clean_rules(V.meter_filled(spark, sf))
 
 
-@register("clean_pipeline", O.rounded(O.with_(O.CHAIN_CLEAN, "SELECT * FROM meter_clean"),
+@register("clean_job", O.rounded(O.with_(O.CHAIN_CLEAN, "SELECT * FROM meter_clean"),
                                       NUM_NO_NSM))
-def clean_pipeline(spark, sf):
+def clean_job(spark, sf):
     """The full cleaning job (flagship)."""
     return V.build_meter_clean(spark, sf)
 

@@ -5,7 +5,7 @@ import pytest
 
 from oracle_check import compare, duck
 
-SAMPLE = ["clean_pipeline", "median_by_group", "describe_numeric", "corr_matrix", "histogram50",
+SAMPLE = ["clean_job", "median_by_group", "describe_numeric", "corr_matrix", "histogram50",
           "feat_all", "preprocess_apply", "metrics_full", "validate_requests", "run_compare",
           "cell_diff", "iqr_outliers_lineitem"]
 

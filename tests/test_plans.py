@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 FORBIDDEN = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython|"
                        r"PythonUDF|FlatMapGroupsInPandas|MapInPandas")
-SAMPLE = ["clean_pipeline", "fill_group_median", "feat_high_flag", "iqr_outliers", "boxplot_stats",
+SAMPLE = ["clean_job", "fill_group_median", "feat_high_flag", "iqr_outliers", "boxplot_stats",
           "histogram50", "preprocess_apply", "drift_shift", "degradation", "validate_requests",
           "response_pack", "table_equal", "cell_diff", "best_run"]
 
