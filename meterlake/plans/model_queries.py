@@ -249,3 +249,47 @@ def evaluate_drift(spark, sf):
     """N5 + N6: every scaled feature + 0.25 std; metrics and degradation vs baseline."""
     base, drift = _eval(spark, sf, 0.0), _eval(spark, sf, 0.25)
     return EV.degradation(base, drift)
+
+
+# ---------------------------------------------------------------- C3 / L2
+def _knn_sql(body: str) -> str:
+    from meterlake.plans.feature_queries import _prep_names, _prep_sql
+    names = _prep_names()
+    med, fit_imp, app_imp, mm, feat_body = _prep_sql("meter_features", "meter_features", label=True)
+    split = "((row_id * 2654435761 + 42) % 1000 + 1000) % 1000"
+    d2 = " + ".join(f"(te.{c} - tr.{c}) * (te.{c} - tr.{c})" for c in names)
+    ctes = [med, fit_imp, app_imp, mm, f"feat AS ({feat_body})",
+            f"tr AS (SELECT * FROM feat WHERE label IS NOT NULL AND {split} < 800)",
+            f"te AS (SELECT * FROM feat WHERE label IS NOT NULL AND {split} >= 800)",
+            f"nb AS (SELECT te.row_id AS test_id, te.label AS y, tr.label AS label, row_number() OVER "
+            f"(PARTITION BY te.row_id ORDER BY {d2}, tr.row_id) AS rn FROM te, tr)",
+            "knn AS (SELECT test_id AS row_id, avg(label) AS prediction, CAST(count(*) AS BIGINT) AS neighbours, "
+            "any_value(y) AS y FROM nb WHERE rn <= 5 GROUP BY test_id)"]
+    return O.with_(O.CHAIN_FEATURES + ctes, body)
+
+
+def knn_predictions(spark, sf):
+    from meterlake.operators.knn import knn_regress
+    _p, t, names = prepared(spark, sf)
+    tr, te = split(spark, sf)
+    return knn_regress(tr, te, names, "label", k=5), te
+
+
+@register("knn_exact", O.rounded(_knn_sql("SELECT row_id, prediction, neighbours FROM knn"), ["prediction"]))
+def knn_exact(spark, sf):
+    """Exact 5-nearest-neighbour regression of the 20 % split on the 80 %
+    (Euclidean on the 30 transformed features, ties by train row_id)."""
+    return knn_predictions(spark, sf)[0]
+
+
+@register("fit_knn", O.rounded(_knn_sql(
+    "SELECT CAST(count(*) AS BIGINT) AS n, avg((y - prediction) * (y - prediction)) AS mse, "
+    "sqrt(avg((y - prediction) * (y - prediction))) AS rmse, avg(abs(y - prediction)) AS mae, "
+    "1 - sum((y - prediction) * (y - prediction)) / (var_pop(y) * count(*)) AS r2_score, "
+    "avg(abs((y - prediction) / (y + 1e-10))) * 100 AS mape, 'knn' AS model FROM knn"),
+    ["mse", "rmse", "mae", "r2_score", "mape"]))
+def fit_knn(spark, sf):
+    """L2: k-NN regressor (k = 5, uniform weights) evaluated on the 20 % split."""
+    pred, te = knn_predictions(spark, sf)
+    j = pred.join(te.select(S.ROW_ID, "label"), S.ROW_ID)
+    return EV.metrics(j, "label", "prediction").withColumn("model", F.lit("knn"))
