@@ -54,6 +54,12 @@ LETTERS = r"\p{L}+"
 NOT_LETTERS = r"\P{L}+"
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once: an expression named inside
+    a lambda would be computed anew for each element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def running_sum(values: Column) -> Column:
     """Prefix sums of an array, in blocks: appending to an array copies it, so
     the cost of one long array is kept near n * block instead of n * n."""
@@ -65,23 +71,34 @@ def running_sum(values: Column) -> Column:
             (acc["s"] + x).alias("s"), F.concat(acc["a"], F.array(acc["s"] + x)).alias("a")),
             lambda acc: acc["a"])
 
-    n = F.size(values)
-    blocks = F.transform(
-        F.when(n > 0, F.sequence(F.lit(0), F.floor((n - 1) / block).cast("int")))
-        .otherwise(F.array().cast("array<int>")),
-        lambda b: F.slice(values, b * block + 1, block))
-    totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0).cast("long"), lambda a, x: a + x))
-    ends = sums(totals, F.lit(0))
-    return F.flatten(F.transform(blocks, lambda b, i: sums(
-        b, F.get(ends, i) - F.get(totals, i))))
+    def cut(xs: Column) -> Column:
+        return F.transform(
+            F.when(F.size(xs) > 0, F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / block).cast("int")))
+            .otherwise(F.array().cast("array<int>")), lambda b: F.slice(xs, b * block + 1, block))
+
+    def joined(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0).cast("long"), lambda a, x: a + x))
+        before = F.zip_with(sums(totals, F.lit(0)), totals, lambda end, own: end - own)
+        return F.flatten(F.zip_with(blocks, before, sums))
+
+    return bound(values, lambda xs: bound(cut(xs), joined))
 
 
 def starts_of(gaps: Column, matches: Column) -> Column:
     """Code-point start of each match, from the texts between (``gaps``, one
-    more than matches) and the matches themselves."""
-    steps = F.transform(matches, lambda m, i: F.length(F.get(gaps, i)).cast("long")
-                        + F.coalesce(F.length(F.get(matches, i - 1)), F.lit(0)))
-    return running_sum(steps)
+    more than matches) and the matches themselves.  The last entry, one more,
+    is where the text ends."""
+    def lengths(xs: Column) -> Column:
+        return F.transform(xs, lambda x: F.length(x).cast("long"))
+
+    earlier = F.concat(F.array(F.lit(0).cast("long")), lengths(matches))
+    return running_sum(F.zip_with(lengths(gaps), earlier, lambda gap, match: gap + match))
+
+
+def located(matches: Column, starts: Column, kind: str) -> Column:
+    """array<struct<kind, start, end, value>>."""
+    return F.zip_with(matches, F.slice(starts, F.lit(1), F.size(matches)), lambda m, s: F.struct(
+        F.lit(kind).alias("kind"), s.alias("start"), (s + F.length(m)).alias("end"), m.alias("value")))
 
 
 def _digits(value: Column) -> Column:
@@ -134,11 +151,8 @@ def with_base_spans(docs: DataFrame, text: str = "text", as_col: str = "spans")
          .otherwise(F.array().cast("array<bigint>")) for k in KINDS})
 
     def spans(kind: str) -> Column:
-        start = F.col(f"_s_{kind}")
-        every = F.transform(f"_m_{kind}", lambda m, i: F.struct(
-            F.lit(kind).alias("kind"), F.get(start, i).alias("start"),
-            (F.get(start, i) + F.length(m)).alias("end"), m.alias("value")))
-        return F.filter(every, lambda s: valid(kind, s["value"]))
+        return F.filter(located(F.col(f"_m_{kind}"), F.col(f"_s_{kind}"), kind),
+                        lambda s: valid(kind, s["value"]))
 
     parts = [spans(k) for k in KINDS]
     return step.withColumn(as_col, F.concat(*parts)).drop(
@@ -206,10 +220,8 @@ def with_term_spans(hits: DataFrame) -> DataFrame:
         F.split("text", LETTERS, -1), F.col("_w"))).otherwise(F.array().cast("array<bigint>")))
 
     def of(kind: str) -> Column:
-        found = F.filter(F.transform("_w", lambda w, i: F.struct(
-            F.lit(kind).alias("kind"), F.get("_s", i).alias("start"),
-            (F.get("_s", i) + F.length(w)).alias("end"), w.alias("value"))),
-            lambda s: F.array_contains(F.col(kind), F.lower(s["value"])))
+        found = F.filter(located(F.col("_w"), F.col("_s"), kind),
+                         lambda s: F.array_contains(F.col(kind), F.lower(s["value"])))
         return F.filter(found, lambda s: ~F.exists(
             "spans", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
 
