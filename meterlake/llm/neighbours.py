@@ -8,10 +8,11 @@ Each block of vectors is hashed by ``projections`` single random projections,
 each kept as a sorted array.  A query opens a window of half-width r around
 its own projected value in every array; r grows by ``growth`` (virtual
 rehashing: wider windows over the same arrays) and only what a window newly
-covers is counted.  Vectors with at least ``threshold`` * projections
-collisions are candidates.  When a block holds k + ``verify`` * block candidates,
-or its windows cover it all, the candidates are verified by inner products
-of the original vectors in double precision, and the block's best k kept.
+covers is counted.  Growing stops when 10 k + ``verify`` * block vectors collide at
+least ``threshold`` * projections times, or the windows cover the block; the
+vectors over the highest collision threshold that leaves as many are verified
+by inner products of the original vectors in double precision, and the
+block's best k kept.
 
 The stated query set meets all vectors block by block; blocks and query chunks
 have fixed sizes, so a task's memory does not grow with the data.  Block
@@ -78,23 +79,24 @@ class Block:
         return ends
 
     def candidates(self, ends: np.ndarray, need: int, collisions: int) -> np.ndarray:
-        """Places of the vectors that collide often enough in the first
-        (narrowest) windows that give ``need`` of them."""
+        """Places of the vectors to verify: from the first (narrowest) windows
+        in which ``need`` vectors collide at least ``collisions`` times, those
+        over the highest threshold that still leaves ``need`` of them."""
         n = len(self.ids)
+        # Fewer entries than need * collisions cannot hold that many candidates.
+        held = (ends[:, 1] - ends[:, 0]).sum(axis=1)
+        first = int(np.argmax(held >= need * collisions)) if (held >= need * collisions).any() else 0
         count = np.zeros(n, np.int64)
-        low = high = None
-        for lo, hi in ends:
-            if low is None:
-                slices = [o[a:b] for o, a, b in zip(self.order, lo.tolist(), hi.tolist()) if a < b]
-            else:
-                slices = [o[a:b] for o, a, b in zip(self.order, lo.tolist(), low.tolist()) if a < b]
-                slices += [o[a:b] for o, a, b in zip(self.order, high.tolist(), hi.tolist()) if a < b]
+        low = high = ends[first, 0]
+        for lo, hi in ends[first:]:
+            slices = [o[a:b] for o, a, b in zip(self.order, lo.tolist(), low.tolist()) if a < b]
+            slices += [o[a:b] for o, a, b in zip(self.order, high.tolist(), hi.tolist()) if a < b]
             low, high = lo, hi
             if slices:
                 count += np.bincount(np.concatenate(slices), minlength=n)
-            hit = count >= collisions
-            if np.count_nonzero(hit) >= need:
-                return np.flatnonzero(hit)
+            if np.count_nonzero(count >= collisions) >= need:
+                over = np.cumsum(np.bincount(count)[::-1])[::-1]  # vectors by least collisions
+                return np.flatnonzero(count >= np.flatnonzero(over >= need)[-1])
         return np.arange(n)
 
 
@@ -132,7 +134,8 @@ def searched(vectors: DataFrame, queries: Column, k: int = K, projections: int =
         part = Block(*matrix(data_), max_norm, projections)
         steps = int(np.ceil(np.log(8 / FIRST_WIDTH) / np.log(GROWTH)))
         widths = FIRST_WIDTH * GROWTH ** np.arange(steps + 1)
-        need, collisions = k + int(verify * len(part.ids)), int(np.ceil(threshold * projections))
+        need = min(10 * k + int(verify * len(part.ids)), len(part.ids))
+        collisions = int(np.ceil(threshold * projections))
         out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
         for at in range(0, len(q_ids), 64):
             ends = part.windows(q_vecs[at:at + 64], widths)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from meterlake.llm import (chat_format, mixing, neighbours, packing, pii, quality, simhash,
+from meterlake.llm import (chat_format, lm, mixing, neighbours, packing, pii, quality, simhash,
                             token_counts, warc)
 from meterlake.llm.common import read
 
@@ -201,6 +201,13 @@ def rollup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.maintained(read(spark, sf_dir, "documents")).totals()
 
 
+# ---- 6: language-model scores ---------------------------------------------
+
+@query("op6_lm_scores")
+def lm_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(read(spark, sf_dir, "documents"))
+
+
 # ---- 7: WARC --------------------------------------------------------------
 
 WARC_SQL = """
