@@ -99,8 +99,3 @@ def run_name(prefix: str, ts: Column | None = None) -> Column:
 def weekday_mon0(ts: str | Column) -> Column:
     """Monday = 0 ... Sunday = 6 (pandas dt.dayofweek)."""
     return F.weekday(col(ts))
-
-
-def r(c: str | Column, digits: int = 6) -> Column:
-    """Round a DOUBLE for cross-engine comparison."""
-    return F.round(col(c).cast("double"), digits)

@@ -1,7 +1,7 @@
 """Table comparison G1: exact equality of two tables (NULL equals NULL).
 
-* multiset form: ``exceptAll`` both ways (set operations treat NULLs as
-  equal); the shuffle is on the full row, hot duplicate rows combine map-side.
+* multiset form: both sides tagged +1 / -1, united and summed per full row:
+  one shuffle, hot duplicate rows combine on the map side.
 * keyed form: full outer join on the key with ``<=>`` per column, listing
   every differing cell as a long row.
 """
@@ -15,29 +15,33 @@ from pyspark.sql import functions as F
 
 
 def table_equal(a: DataFrame, b: DataFrame, name: str = "table") -> DataFrame:
-    """(table, rows_a, rows_b, only_in_a, only_in_b, equal)."""
+    """(table, rows_a, rows_b, only_in_a, only_in_b, equal); each side is read
+    once."""
     cols = sorted(a.columns)
     if sorted(b.columns) != cols:
         raise ValueError(f"column sets differ: {sorted(a.columns)} vs {sorted(b.columns)}")
-    a, b = a.select(*cols), b.select(*cols)
-    only_a = a.exceptAll(b).select(F.count(F.lit(1))).scalar()
-    only_b = b.exceptAll(a).select(F.count(F.lit(1))).scalar()
-    na = a.select(F.count(F.lit(1))).scalar()
-    nb = b.select(F.count(F.lit(1))).scalar()
-    one = a.sparkSession.range(1)
-    return one.select(F.lit(name).alias("table"), na.alias("rows_a"), nb.alias("rows_b"),
-                      only_a.alias("only_in_a"), only_b.alias("only_in_b"),
-                      ((only_a == 0) & (only_b == 0)).cast("int").alias("equal"))
-
-
-def cell_diff(a: DataFrame, b: DataFrame, key: str, cols: Sequence[str] | None = None) -> DataFrame:
-    """Keyed variant: (key, column, value_a, value_b) for every differing cell."""
+    both = (a.select(*cols, F.lit(1).cast("long").alias("_a"), F.lit(0).cast("long").alias("_b"))
+            .unionAll(b.select(*cols, F.lit(0).cast("long").alias("_a"), F.lit(1).cast("long").alias("_b"))))
+    per_row = both.groupBy(*cols).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
+    more = F.col("_a") - F.col("_b")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    out = per_row.agg(total(F.col("_a")).alias("rows_a"), total(F.col("_b")).alias("rows_b"),
+                      total(F.greatest(more, F.lit(0))).alias("only_in_a"),
+                      total(F.greatest(-more, F.lit(0))).alias("only_in_b"))
+    return out.select(F.lit(name).alias("table"), "rows_a", "rows_b", "only_in_a", "only_in_b",
+                      ((F.col("only_in_a") == 0) & (F.col("only_in_b") == 0)).cast("int").alias("equal"))
+
+
+def cell_diff(a: DataFrame, b: DataFrame, key: str, cols: Sequence[str] | None = None,
+              as_type: str = "string") -> DataFrame:
+    """Keyed variant: (key, column, value_a, value_b) for every differing cell,
+    values cast to ``as_type`` after they were compared in their own types."""
     cols = [c for c in (cols or a.columns) if c != key]
-    aa = a.select(key, *[F.col(c).cast("string").alias(f"a__{c}") for c in cols])
-    bb = b.select(key, *[F.col(c).cast("string").alias(f"b__{c}") for c in cols])
+    aa = a.select(key, *[F.col(c).alias(f"a__{c}") for c in cols])
+    bb = b.select(key, *[F.col(c).alias(f"b__{c}") for c in cols])
     j = aa.join(bb, key, "full_outer")
-    rows = [F.struct(F.lit(c).alias("column"), F.col(f"a__{c}").alias("value_a"),
-                     F.col(f"b__{c}").alias("value_b"),
+    rows = [F.struct(F.lit(c).alias("column"), F.col(f"a__{c}").cast(as_type).alias("value_a"),
+                     F.col(f"b__{c}").cast(as_type).alias("value_b"),
                      (~F.col(f"a__{c}").eqNullSafe(F.col(f"b__{c}"))).alias("differs"))
             for c in cols]
     return (j.select(key, F.inline(F.array(*rows))).where("differs")

@@ -12,8 +12,10 @@ MAPE_EPS = 1e-10
 
 
 def metric_aggs(y: Column, yhat: Column, full: bool = True) -> list[Column]:
-    """One pass: MSE, RMSE, MAE, R^2 (1 - SSE / (n * var_pop(y))) [, MAPE]."""
+    """One pass over the scored rows (label and prediction present): MSE, RMSE,
+    MAE, R^2 (1 - SSE / (n * var_pop(y))) [, MAPE]; ``n`` counts them."""
     e = y - yhat
+    y = F.when(e.isNotNull(), y)
     n = F.count(e)
     sse = F.sum(e * e)
     mse = F.try_divide(sse, n)
@@ -27,10 +29,13 @@ def metric_aggs(y: Column, yhat: Column, full: bool = True) -> list[Column]:
 
 
 def metrics(df: DataFrame, label: str, prediction: str, by: Sequence[str] = (),
-            full: bool = True) -> DataFrame:
-    """N1 (``full=False``: MAE, RMSE, R^2) / N2 (+ MSE, MAPE); one row per ``by`` group."""
+            full: bool = True, unscored: bool = False) -> DataFrame:
+    """N1 (``full=False``: MAE, RMSE, R^2) / N2 (+ MSE, MAPE); one row per ``by``
+    group.  ``unscored`` adds the number of rows without label or prediction."""
     y, yh = F.col(label).cast("double"), F.col(prediction).cast("double")
     aggs = metric_aggs(y, yh, full)
+    if unscored:
+        aggs.append((F.count("*") - F.count(y - yh)).alias("n_unscored"))
     res = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
     if not full:
         res = res.select(*by, "mae", "rmse", F.col("r2_score").alias("r2"))

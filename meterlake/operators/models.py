@@ -112,7 +112,7 @@ def fit_pca95(df: DataFrame, cols: Sequence[str], variance: float = 0.95) -> tup
     d = len(cols)
     asm = VectorAssembler(inputCols=list(cols), outputCol="raw_features", handleInvalid="keep")
     ctr = StandardScaler(inputCol="raw_features", outputCol="centered", withMean=True, withStd=False)
-    full = Pipeline(stages=[asm, ctr, PCA(k=d, inputCol="centered", outputCol="pca_all")]).fit(df)
+    full = Pipeline(stages=[asm, ctr, PCA(k=d, inputCol="centered", outputCol=FEATURES)]).fit(df)
     ev = full.stages[-1].explainedVariance.toArray().tolist()
     cum = np.cumsum(ev)
     k = int(np.argmax(cum > variance) + 1) if (cum > variance).any() else d
@@ -136,22 +136,6 @@ def fit_pca_regressor(df: DataFrame, cols: Sequence[str], kind: str = "linear",
 
 
 # ---------------------------------------------------------------- L5, L7 RuleFit
-class _no_wholestage:
-    """Whole-stage codegen off for one job whose projection has hundreds of
-    rule expressions (a single generated method would pass the JVM's 64 KB
-    limit); expression-level codegen still applies."""
-
-    def __init__(self, spark):
-        self.spark = spark
-
-    def __enter__(self):
-        self.prev = self.spark.conf.get("spark.sql.codegen.wholeStage")
-        self.spark.conf.set("spark.sql.codegen.wholeStage", "false")
-
-    def __exit__(self, *exc):
-        self.spark.conf.set("spark.sql.codegen.wholeStage", self.prev)
-        return False
-
 def _tree_sizes(n_trees: int, mean_size: int, seed: int) -> list[int]:
     rng = np.random.default_rng(seed)
     return [int(2 + math.floor(rng.exponential(max(mean_size - 2, 1e-9)))) for _ in range(n_trees)]
@@ -198,22 +182,24 @@ def _simplify(rule: str) -> str:
 def fit_rulefit(df: DataFrame, cols: Sequence[str], label: str = "label", max_rules: int = 30,
                 tree_size: int = 4, n_trees: int = 100, exp_rand_tree_size: bool = True,
                 include_linear: bool = True, trim: float = 0.025, seed: int = 42,
-                lambdas: int = 12, bisect_steps: int = 4) -> tuple[RuleModel, DataFrame]:
-    """Returns (RuleModel, rule table with support and importance)."""
+                lambdas: int = 12, bisect_steps: int = 4, sample_fraction: float = 1.0
+                ) -> tuple[RuleModel, DataFrame]:
+    """Returns (RuleModel, rule table with support and importance).
+
+    Every boosting round sees all rows unless ``sample_fraction`` asks for a
+    row sample per round."""
     spark = df.sparkSession
     cols = list(cols)
-    n = df.select(F.count(F.lit(1))).first()[0]
     sizes = _tree_sizes(n_trees, tree_size, seed) if exp_rand_tree_size else [tree_size] * n_trees
     depths: dict[int, int] = {}
     for t in sizes:
         dd = max(1, math.ceil(math.log2(max(t, 2))))
         depths[dd] = depths.get(dd, 0) + 1
-    sub = min(0.5, (100 + 6 * math.sqrt(n)) / max(n, 1))
     data = assemble(df, cols)
     rules: list[str] = []
     for dd, cnt in sorted(depths.items()):
         gbt = GBTRegressor(featuresCol=FEATURES, labelCol=label, maxIter=cnt, maxDepth=dd, stepSize=0.01,
-                           subsamplingRate=sub, seed=seed + dd).fit(data)
+                           subsamplingRate=sample_fraction, seed=seed + dd).fit(data)
         path = scratch_path(spark, f"rulefit_trees_d{dd}")
         gbt.write().save(path)
         nodes = spark.read.parquet(path + "/data").collect()   # metadata-sized
@@ -238,9 +224,10 @@ def fit_rulefit(df: DataFrame, cols: Sequence[str], label: str = "label", max_ru
                                 for i, r in zip(rule_ids, rules)],
                        *[F.expr(e).alias(n_) for n_, e in lin_terms])
     names = rule_ids + [n_ for n_, _ in lin_terms]
-    with _no_wholestage(spark):  # one very wide projection: per-expression codegen instead
-        design = assemble(design, names).select(label, FEATURES).cache()
-        design.count()
+    # Rows wider than spark.sql.codegen.maxFields leave whole-stage codegen by
+    # themselves, so this projection needs no setting.
+    design = assemble(design, names).select(label, FEATURES).cache()
+    design.count()
     # lasso path from strong to weak penalty; keep the last fit within max_rules
     y_sd = df.agg(F.stddev_samp(label)).first()[0] or 1.0
     grid = [y_sd * 10 ** (1 - 4 * i / (lambdas - 1)) for i in range(lambdas)]
@@ -249,7 +236,7 @@ def fit_rulefit(df: DataFrame, cols: Sequence[str], label: str = "label", max_ru
                              maxIter=200, standardization=True).fit(design)
         return m, int(np.count_nonzero(m.coefficients.toArray()[:len(rules)]))
 
-    chosen, ok_lam, bad_lam = None, None, None
+    chosen, ok_lam, bad_lam, lam = None, None, None, grid[0]
     for lam in grid:
         m, nz = lasso(lam)
         if nz <= max_rules:
@@ -257,9 +244,14 @@ def fit_rulefit(df: DataFrame, cols: Sequence[str], label: str = "label", max_ru
         else:
             bad_lam = lam
             break
-    if chosen is None:
-        chosen = m
-    elif bad_lam is not None:
+    while chosen is None:  # even the strongest penalty kept too many: go on upward
+        bad_lam, lam = lam, lam * 10
+        if lam > grid[0] * 1e6:
+            raise ValueError(f"no penalty keeps at most {max_rules} rules")
+        m, nz = lasso(lam)
+        if nz <= max_rules:
+            chosen, ok_lam = m, lam
+    if bad_lam is not None:
         # refine between the last feasible and the first infeasible penalty
         for _ in range(bisect_steps):
             mid = math.sqrt(ok_lam * bad_lam)
@@ -270,9 +262,8 @@ def fit_rulefit(df: DataFrame, cols: Sequence[str], label: str = "label", max_ru
                 bad_lam = mid
     design.unpersist()
     coefs = chosen.coefficients.toArray()
-    with _no_wholestage(spark):
-        supports = df.agg(*[F.avg(F.coalesce(F.expr(r), F.lit(False)).cast("double")).alias(i)
-                            for i, r in zip(rule_ids, rules)]).first() if rules else {}
+    supports = df.agg(*[F.avg(F.coalesce(F.expr(r), F.lit(False)).cast("double")).alias(i)
+                        for i, r in zip(rule_ids, rules)]).first() if rules else {}
     rm_rules, rm_linear, table = [], [], []
     for j, (rid, cond) in enumerate(zip(rule_ids, rules)):
         c = float(coefs[j])

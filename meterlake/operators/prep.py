@@ -19,6 +19,7 @@ from meterlake import schema as S
 from meterlake.operators.clean import present
 from meterlake.operators.quantile import quantiles
 
+MAX_CATEGORIES = 10_000
 PARAM_SCHEMA = "group string, feature string, stat string, category string, value double"
 
 
@@ -78,6 +79,7 @@ class Preprocessor:
         out = []
         for c in self.num_skew:
             x = F.log1p(impute(F.col(c).cast("double"), self.medians[c]))
+            x = F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x)
             out.append(minmax(x, self.mins[c], self.maxs[c]).alias(f"num_skew__{c}"))
         for c in self.num_lin:
             x = impute(F.col(c).cast("double"), self.medians[c])
@@ -106,11 +108,12 @@ def impute(x: Column, value: float | None) -> Column:
 
 
 def minmax(x: Column, lo: float | None, hi: float | None) -> Column:
-    """K4 apply: (x - min) / (max - min); constant column -> 0; no clipping."""
+    """K4 apply: (x - min) / (max - min); a constant column has scale 1, so it
+    becomes x - min; no clipping."""
     if lo is None or hi is None:
         return F.lit(None).cast("double")
     if hi == lo:
-        return (x - F.lit(float(lo))) * F.lit(0.0)
+        return x - F.lit(float(lo))
     return (x - F.lit(float(lo))) / F.lit(float(hi - lo))
 
 
@@ -141,15 +144,16 @@ def fit(df: DataFrame, num_skew: Sequence[str] = S.NUM_SKEW, num_lin: Sequence[s
     if nums:
         med = quantiles(df, nums, [0.5]).select("column", "q").collect()
         p.medians = {r["column"]: r["q"] for r in med}
-        # a median imputation cannot move min / max, and log1p is monotone, so
-        # the scaler bounds come from one pass independent of the medians
+        # a median imputation cannot move min / max, so the scaler bounds come
+        # from one pass independent of the medians; values without a log
+        # (-1 and below) are left out of the bounds and NULL in their own rows
         exprs = []
         for c in nums:
             x = F.col(c).cast("double")
-            lo, hi = F.min(x), F.max(x)
             if c in num_skew:
-                lo, hi = F.log1p(lo), F.log1p(hi)
-            exprs += [lo.alias(f"{c}__min"), hi.alias(f"{c}__max")]
+                x = F.log1p(x)
+                x = F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x)
+            exprs += [F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
         row = df.agg(*exprs).first()
         p.mins = {c: row[f"{c}__min"] for c in nums}
         p.maxs = {c: row[f"{c}__max"] for c in nums}
@@ -157,7 +161,11 @@ def fit(df: DataFrame, num_skew: Sequence[str] = S.NUM_SKEW, num_lin: Sequence[s
     if cats:
         # one value-count pass (bounded by the categories) gives modes and levels
         from meterlake.operators.profile import value_counts
-        vc = value_counts(df, cats).select("column", "value", "n").collect()
+        # one output column per category: more than MAX_CATEGORIES is an error, not a truncation
+        bound = MAX_CATEGORIES * len(cats)
+        vc = value_counts(df, cats).select("column", "value", "n").limit(bound + 1).collect()
+        if len(vc) > bound:
+            raise ValueError(f"more than {MAX_CATEGORIES} categories a column; encode {cats} another way")
         for c in cats:
             rows = [(r["value"], r["n"]) for r in vc if r["column"] == c]
             p.modes[c] = min(rows, key=lambda t: (-t[1], t[0]))[0] if rows else None
@@ -170,11 +178,6 @@ def fit(df: DataFrame, num_skew: Sequence[str] = S.NUM_SKEW, num_lin: Sequence[s
     return p
 
 
-def fit_transform(df: DataFrame, **kw) -> tuple[Preprocessor, DataFrame]:
-    p = fit(df, **kw)
-    return p, p.transform(df)
-
-
 def split_80_20(df: DataFrame, key: str = S.ROW_ID, seed: int = 42, pct: int = 80) -> tuple[DataFrame, DataFrame]:
     """K9: deterministic per-row split, independent of partitioning."""
     h = F.pmod(F.col(key) * F.lit(2654435761) + F.lit(seed), F.lit(1000))
@@ -194,10 +197,17 @@ def standard_scale(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (S.
 
 
 def category_codes(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (S.ROW_ID,)) -> DataFrame:
-    """Alphabetical dense codes from 0 (MLlib StringIndexer, alphabetAsc)."""
-    from pyspark.ml.feature import StringIndexer
-    outs = [f"{c}__code" for c in cols]
-    model = StringIndexer(inputCols=list(cols), outputCols=outs, stringOrderType="alphabetAsc",
-                          handleInvalid="keep").fit(df)
-    res = model.transform(df)
-    return res.select(*present(df, keep), *[F.col(o).cast("bigint").alias(c) for c, o in zip(cols, outs)])
+    """Alphabetical dense codes from 0; NULL -> -1.
+
+    The code table of a column has one row per category and is joined back;
+    it is broadcast behind its size check, beyond that the join shuffles."""
+    from pyspark.sql import Window
+
+    from meterlake.operators.quantile import sized
+    out = df.select(*present(df, keep), *cols)
+    for c in cols:
+        table = (df.select(F.col(c).alias(f"_{c}")).where(F.col(c).isNotNull()).distinct()
+                 .withColumn(f"_{c}_code", F.row_number().over(Window.orderBy(f"_{c}")) - 1))
+        out = out.join(sized(table)[0], F.col(c) == F.col(f"_{c}"), "left").drop(f"_{c}")
+    return out.select(*present(df, keep), *[
+        F.coalesce(F.col(f"_{c}_code"), F.lit(-1)).cast("bigint").alias(c) for c in cols])

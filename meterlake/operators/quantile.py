@@ -52,6 +52,17 @@ def sized(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, int]:
     return F.broadcast(local), len(rows)
 
 
+def key_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where NULL meets NULL, so a NULL group is treated
+    like any other; the result has the left side's key columns."""
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    on = None
+    for k in keys:
+        same = left[k].eqNullSafe(renamed[f"_r_{k}"])
+        on = same if on is None else on & same
+    return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def to_long(df: DataFrame, value_cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by..., column, v) with nulls and NaN dropped (pandas ``skipna``)."""
     cols = list(value_cols)
@@ -101,10 +112,10 @@ def long_quantiles(long: DataFrame, keys: list[str], probs: list[float], *,
     if not any_large:
         return exact_small(long)
     large_df, n_large = large
-    small_q = exact_small(long.join(large_df.select(*keys), keys, "left_anti"))
+    small_q = exact_small(key_join(long, large_df.select(*keys), keys, "left_anti"))
     lo_ps = [max(p - delta, 0.0) for p in probs]
     hi_ps = [min(p + delta, 1.0) for p in probs]
-    stats = (long.join(large_df, keys).groupBy(*keys).agg(
+    stats = (key_join(long, large_df, keys).groupBy(*keys).agg(
         F.first("n").alias("n"),
         F.percentile_approx("v", F.array(*[F.lit(p) for p in lo_ps]), accuracy).alias("lo_arr"),
         F.percentile_approx("v", F.array(*[F.lit(p) for p in hi_ps]), accuracy).alias("hi_arr")))
@@ -129,20 +140,20 @@ def long_quantiles(long: DataFrame, keys: list[str], probs: list[float], *,
                .when(F.col("v") <= F.col("hi"), cell))
     tcols = [*keys, "i", "lo", "hi"]
     targets = sized(targets)[0]
-    hist = (long.join(targets.select(*tcols), keys)
+    hist = (key_join(long, targets.select(*tcols), keys)
             .where(F.col("v") <= F.col("hi"))
             .select(*keys, "i", cell_of.alias("cell"))
             .groupBy(*keys, "i", "cell").agg(F.count(F.lit(1)).alias("cnt")))
     w = Window.partitionBy(*keys, "i").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
     hist = hist.withColumn("cum", F.sum("cnt").over(w))
     # cell holding rank r: first cell with cum > r (cells below lo have id -1)
-    picked = (hist.join(targets, [*keys, "i"])
+    picked = (key_join(hist, targets, [*keys, "i"])
               .withColumn("start", F.col("cum") - F.col("cnt"))
               .where((F.col("cell") >= 0)
                      & (((F.col("start") <= F.col("r_lo")) & (F.col("r_lo") < F.col("cum")))
                         | ((F.col("start") <= F.col("r_hi")) & (F.col("r_hi") < F.col("cum")))))
               .select(*keys, "i", "cell", "start", "lo", "hi", "r_lo", "r_hi", "pos", "p"))
-    in_cell = (long.join(sized(picked)[0], keys)
+    in_cell = (key_join(long, sized(picked)[0], keys)
                .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
                .where(cell == F.col("cell"))
                .groupBy(*keys, "i", "cell", "start", "r_lo", "r_hi", "pos", "p", "v")

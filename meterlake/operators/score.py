@@ -24,6 +24,7 @@ from meterlake.functions.rules import (MAX_RECORDS, MIN_RECORDS, REQUEST_ENUMS,
 from meterlake.operators.features import engineer_inference
 from meterlake.sources.io import rename_map
 
+# The service's version string and record field names.
 MODEL_VERSION = "1.0.0"
 
 RECORD_TYPE = T.StructType([
@@ -38,8 +39,14 @@ RECORD_TYPE = T.StructType([
     T.StructField("Day_of_week", T.StringType()),
     T.StructField("Load_Type", T.StringType()),
 ])
-REQUEST_TYPE = T.StructType([T.StructField("data", T.ArrayType(RECORD_TYPE))])
 API_FIELDS = [f.name for f in RECORD_TYPE.fields]
+# The CO2 field's two accepted names, and accepted date forms.
+CO2_FIELD, CO2_ALIAS = "CO2(tCO2)", "CO2_tCO2"
+DATE_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]", "yyyy-MM-dd HH:mm", "yyyy-MM-dd"]
+# Bodies are decoded as text, so that a value of another JSON type is checked
+# for what it says instead of being lost.
+REQUEST_TYPE = T.StructType([T.StructField("data", T.ArrayType(T.StructType(
+    [T.StructField(f, T.StringType()) for f in [*API_FIELDS, CO2_ALIAS]])))])
 # Load type spelling accepted by the API, per cleaned value.
 API_LOAD = {"LIGHT_LOAD": "Light_Load", "MEDIUM_LOAD": "Medium_Load", "MAXIMUM_LOAD": "Maximum_Load"}
 
@@ -119,53 +126,77 @@ def requests_from_meter(clean: DataFrame, per_request: int = 10, bad_every: int
                 F.transform("items", lambda x: x.getField("rec")).alias("data"))).alias("body")))
 
 
-def decode_requests(requests: DataFrame, body: str = "body") -> DataFrame:
-    """(request_id, n_records, pos, record fields...) — one row per record;
-    a request with no parsable records keeps one row with ``pos`` NULL."""
-    parsed = requests.select("request_id", F.from_json(F.col(body), REQUEST_TYPE).alias("req"))
-    n = F.coalesce(F.size(F.col("req.data")), F.lit(-1))
-    return (parsed.select("request_id", F.when(n < 0, F.lit(0)).otherwise(n).alias("n_records"),
-                          F.posexplode_outer("req.data").alias("pos", "r"))
-            .select("request_id", "n_records", "pos", *[F.col("r").getField(f).alias(f) for f in API_FIELDS]))
-
-
-def record_reasons(rec: DataFrame) -> DataFrame:
-    """M2 per record: array of failed checks (empty when valid)."""
-    checks = []
+def _typed_record(r: Column) -> tuple[Column, Column]:
+    """(typed record, failed checks) of one raw record.  Numbers may come as
+    JSON numbers or numeric text, NSM as an integral float; the CO2 value under
+    either name (the first wins)."""
+    raw = {f: r[f] for f in API_FIELDS}
+    raw[CO2_FIELD] = F.coalesce(r[CO2_FIELD], r[CO2_ALIAS])
+    value, checks = {}, []
+    for f in RECORD_TYPE.fields:
+        x = raw[f.name]
+        if isinstance(f.dataType, T.DoubleType):
+            value[f.name] = X.to_double_or_null(x)
+        elif isinstance(f.dataType, T.IntegerType):
+            v = X.to_double_or_null(x)
+            value[f.name] = F.when(v == F.floor(v), v.try_cast("int"))
+        else:
+            value[f.name] = x
     for f in REQUEST_REQUIRED:
-        checks.append(F.when(F.col(f"`{f}`").isNull() & F.col("pos").isNotNull(), F.lit(f"{f}:missing")))
-    for r in REQUEST_RANGES:
-        c = F.col(f"`{r.field}`")
-        checks.append(F.when(~c.between(r.lo, r.hi), F.lit(f"{r.field}:out_of_range")))
+        checks.append(F.when(raw[f].isNull(), F.lit(f"{f}:missing"))
+                      .when(value[f].isNull(), F.lit(f"{f}:invalid_type")))
+    for rule in REQUEST_RANGES:
+        checks.append(F.when(~value[rule.field].between(rule.lo, rule.hi), F.lit(f"{rule.field}:out_of_range")))
     for f, allowed in REQUEST_ENUMS.items():
-        checks.append(F.when(~F.col(f).isin(*allowed), F.lit(f"{f}:invalid")))
-    checks.append(F.when(F.col("date").isNotNull() & X.to_timestamp_or_null("date").isNull(),
+        checks.append(F.when(~value[f].isin(*allowed), F.lit(f"{f}:invalid")))
+    checks.append(F.when(raw["date"].isNotNull() & X.to_timestamp_or_null(raw["date"], *DATE_FORMATS).isNull(),
                          F.lit("date:unparsable")))
-    checks.append(F.when((F.col("n_records") < MIN_RECORDS) | (F.col("n_records") > MAX_RECORDS),
-                         F.lit("data:size")))
-    return rec.withColumn("reasons", F.array_compact(F.array(*checks)))
+    record = F.struct(*[value[f].alias(f) for f in API_FIELDS])
+    return record, F.array_compact(F.array(*checks))
+
+
+def parse_requests(requests: DataFrame, body: str = "body") -> DataFrame:
+    """A8 + M2 in one row per request: (request_id, n_records, records, reasons,
+    accepted).  The body is decoded once and its records are checked inside
+    the array, without a shuffle; a body whose size is out of bounds is turned
+    down before its records are looked at (``records`` stays as decoded)."""
+    parsed = requests.select("request_id", F.from_json(F.col(body), REQUEST_TYPE).getField("data").alias("raw"))
+    sized = parsed.select("request_id", "raw", F.greatest(F.coalesce(F.size("raw"), F.lit(0)), F.lit(0))
+                          .alias("n_records"))
+    both = sized.withColumn("checked", F.transform("raw", lambda r: F.struct(
+        _typed_record(r)[0].alias("record"),
+        F.when(F.col("n_records") <= MAX_RECORDS, _typed_record(r)[1]).alias("reasons"))))
+    size_ok = F.col("n_records").between(MIN_RECORDS, MAX_RECORDS)
+    reasons = F.when(size_ok, F.array_sort(F.array_distinct(F.flatten(F.transform(
+        "checked", lambda c: c["reasons"]))))).otherwise(F.array(F.lit("data:size")))
+    return (both.select("request_id", "n_records", F.transform("checked", lambda c: c["record"]).alias("records"),
+                        reasons.alias("reasons"))
+            .withColumn("accepted", (F.size("reasons") == 0).cast("int")))
+
+
+def exploded(parsed: DataFrame) -> DataFrame:
+    """(request_id, n_records, pos, record fields...): one row per record; a
+    request with no parsable records keeps one row with ``pos`` NULL."""
+    rows = parsed.select("request_id", "n_records", F.posexplode_outer("records").alias("pos", "r"))
+    return rows.select("request_id", "n_records", "pos",
+                       *[F.col("r").getField(f).alias(f) for f in API_FIELDS])
 
 
-def validate_requests(rec: DataFrame) -> DataFrame:
-    """M2 per request: one bad record rejects the whole request."""
-    r = record_reasons(rec)
-    return (r.groupBy("request_id").agg(
-        F.max("n_records").alias("n_records"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("reasons")))).alias("reasons"))
-        .withColumn("accepted", (F.size("reasons") == 0).cast("int")))
+def decode_requests(requests: DataFrame, body: str = "body") -> DataFrame:
+    """Request bodies -> one row per record."""
+    return exploded(parse_requests(requests, body))
 
 
-def accepted_records(rec: DataFrame) -> DataFrame:
-    """Records of accepted requests (window-free: semi join on the verdicts)."""
-    ok = validate_requests(rec).where(F.col("accepted") == 1).select("request_id")
-    return rec.join(ok, "request_id", "left_semi")
+def validate_requests(requests: DataFrame, body: str = "body") -> DataFrame:
+    """M2 per request: one bad record rejects the whole request."""
+    return parse_requests(requests, body).select("request_id", "n_records", "reasons", "accepted")
 
 
 def to_internal(rec: DataFrame, upper_case: bool = True) -> DataFrame:
     """M3: API names -> internal names; categoricals upper-cased (the trained
     encoders expect upper case; ``upper_case=False`` keeps API spelling)."""
     d = rename_map(rec, {v: k for k, v in S.API_NAMES.items()})
-    d = d.withColumn(S.DATE, X.to_timestamp_or_null(S.DATE))
+    d = d.withColumn(S.DATE, X.to_timestamp_or_null(S.DATE, *DATE_FORMATS))
     if upper_case:
         d = d.withColumns({c: F.upper(F.col(c)) for c in S.CATEGORICAL})
     return d
@@ -204,20 +235,24 @@ def unpack_responses(resp: DataFrame) -> DataFrame:
                     F.col("r.model_version").alias("model_version"))
 
 
+def score_parsed(parsed: DataFrame, model, preprocessor=None, upper_case: bool = True) -> DataFrame:
+    """Responses of the accepted requests of ``parse_requests``."""
+    ok = exploded(parsed.where(F.col("accepted") == 1))
+    feats = request_features(ok, upper_case)
+    if preprocessor is not None:
+        feats = preprocessor.transform(feats, keep=("request_id", "pos"))
+    return pack_responses(predict(model, feats).select("request_id", "pos", "prediction"))
+
+
 def score_requests(requests: DataFrame, model, preprocessor=None, upper_case: bool = True
                    ) -> tuple[DataFrame, DataFrame]:
     """M5: decode -> validate -> rename -> features -> [preprocess] -> predict -> pack.
 
     ``model`` is a RuleModel or a fitted MLlib model reading a ``features``
     vector.  Returns (responses of accepted requests, verdicts of all)."""
-    rec = decode_requests(requests)
-    verdicts = validate_requests(rec)
-    ok = rec.join(verdicts.where(F.col("accepted") == 1).select("request_id"), "request_id", "left_semi")
-    feats = request_features(ok, upper_case)
-    if preprocessor is not None:
-        feats = preprocessor.transform(feats, keep=("request_id", "pos"))
-    pred = predict(model, feats)
-    return pack_responses(pred.select("request_id", "pos", "prediction")), verdicts
+    parsed = parse_requests(requests)
+    return (score_parsed(parsed, model, preprocessor, upper_case),
+            parsed.select("request_id", "n_records", "reasons", "accepted"))
 
 
 def predict(model, df: DataFrame) -> DataFrame:

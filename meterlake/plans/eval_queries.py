@@ -50,6 +50,23 @@ def metrics_full(spark, sf):
     return EV.metrics(preds(spark, sf), "y", "y_hat", by=["model"])
 
 
+_NULL_PRED = ("(SELECT l_returnflag AS model, l_extendedprice AS y, CASE WHEN l_orderkey % 7 <> 0 "
+              "THEN l_quantity * 2100 END AS y_hat FROM lineitem)")
+
+
+@register("metrics_null_predictions", O.rounded(
+    "SELECT a.*, b.n_unscored FROM (" + _metric_sql("model", src=_NULL_PRED + " WHERE y_hat IS NOT NULL")
+    + ") a JOIN (SELECT model, CAST(count(*) - count(y_hat) AS BIGINT) AS n_unscored FROM " + _NULL_PRED
+    + " GROUP BY model) b ON a.model = b.model", M_FULL))
+def metrics_null_predictions(spark, sf):
+    """N2 where some rows have no prediction: all metrics over the scored rows,
+    and how many were left out."""
+    li = V.table(spark, sf, "lineitem")
+    p = li.select(F.col("l_returnflag").alias("model"), F.col("l_extendedprice").alias("y"),
+                  F.when(F.col("l_orderkey") % 7 != 0, F.col("l_quantity") * 2100).alias("y_hat"))
+    return EV.metrics(p, "y", "y_hat", by=["model"], unscored=True)
+
+
 @register("drift_shift", O.rounded(O.with_(
     O.CHAIN_CLEAN, "SELECT row_id, " + ", ".join(
         f"{c} + 0.2 * (SELECT stddev_samp(CAST({c} AS DOUBLE)) FROM meter_clean) AS {c}" for c in S.NUMERIC)
@@ -173,10 +190,4 @@ def cell_diff(spark, sf):
     from meterlake.operators.clean import clean_rules
     filled = V.meter_filled(spark, sf).select(S.ROW_ID, *_RULED)
     ruled = clean_rules(filled)
-    r6 = lambda d: d.select(S.ROW_ID, *[F.col(c).cast("double").alias(c) for c in _RULED])
-    diff = G.cell_diff(filled, ruled, S.ROW_ID, _RULED)
-    keys = diff.select(S.ROW_ID, "column")
-    a = r6(filled).unpivot([S.ROW_ID], _RULED, "column", "value_a")
-    b = r6(ruled).unpivot([S.ROW_ID], _RULED, "column", "value_b")
-    return (keys.join(a, [S.ROW_ID, "column"]).join(b, [S.ROW_ID, "column"])
-            .select(S.ROW_ID, "column", "value_a", "value_b"))
+    return G.cell_diff(filled, ruled, S.ROW_ID, _RULED, as_type="double")

@@ -170,7 +170,8 @@ def _prep_sql(fit_src: str, apply_src: str, categories=("WEEKDAY", "WEEKEND"), l
 
     def imp(src):
         return (f"SELECT {src}.row_id, " + ", ".join(
-            (f"ln(1 + coalesce(CAST({src}.{c} AS DOUBLE), med.{c})) AS {c}" if c in S.NUM_SKEW
+            (f"CASE WHEN coalesce(CAST({src}.{c} AS DOUBLE), med.{c}) > -1 THEN "
+             f"ln(1 + coalesce(CAST({src}.{c} AS DOUBLE), med.{c})) END AS {c}" if c in S.NUM_SKEW
              else f"coalesce(CAST({src}.{c} AS DOUBLE), med.{c}) AS {c}") for c in NUMF)
             + f", {src}.week_status, {src}.load_type, {src}.usage_kwh AS label FROM {src}, med")
     fit_imp = f"fit_imp AS ({imp(fit_src)})"
@@ -180,7 +181,7 @@ def _prep_sql(fit_src: str, apply_src: str, categories=("WEEKDAY", "WEEKEND"), l
     cols = []
     for c in NUMF:
         g = "num_skew" if c in S.NUM_SKEW else "num_lin"
-        cols.append(f"CASE WHEN mm.{c}__mx = mm.{c}__mn THEN (a.{c} - mm.{c}__mn) * 0.0 "
+        cols.append(f"CASE WHEN mm.{c}__mx = mm.{c}__mn THEN a.{c} - mm.{c}__mn "
                     f"ELSE (a.{c} - mm.{c}__mn) / (mm.{c}__mx - mm.{c}__mn) END AS {g}__{c}")
     for v in categories[1:]:
         cols.append(f"CAST(coalesce(a.week_status = '{v}', false) AS DOUBLE) AS cat_nom__week_status_{v}")
@@ -223,6 +224,64 @@ def preprocess_transform_new(spark, sf):
     return p2.transform(f.where(F.col(S.ROW_ID) % 2 == 1))
 
 
+@register("preprocess_fit", O.rounded(O.with_(
+    O.CHAIN_FEATURES + list(_prep_sql("meter_features", "meter_features")[:2]),
+    " UNION ALL ".join(
+        f"SELECT '{'num_skew' if c in S.NUM_SKEW else 'num_lin'}' AS \"group\", '{c}' AS feature, '{stat}' AS stat, "
+        f"CAST(NULL AS VARCHAR) AS category, {e} AS value FROM {src}"
+        for c in NUMF for stat, e, src in (("median", f"max({c})", "med"), ("min", f"min({c})", "fit_imp"),
+                                           ("max", f"max({c})", "fit_imp")))
+    + f" UNION ALL SELECT 'cat_nom', 'week_status', 'mode', {O.mode_of('week_status', 'meter_features')}, NULL"
+    + " UNION ALL SELECT 'cat_nom', 'week_status', 'category', week_status, CAST(row_number() OVER (ORDER BY "
+      "week_status) - 1 AS DOUBLE) FROM (SELECT DISTINCT week_status FROM meter_features WHERE week_status IS NOT NULL)"
+    + f" UNION ALL SELECT 'cat_ord', 'load_type', 'mode', {O.mode_of('load_type', 'meter_features')}, NULL"
+    + "".join(f" UNION ALL SELECT 'cat_ord', 'load_type', 'level', '{v}', {float(i)}"
+              for i, v in enumerate(S.LOAD_ORDER))), ["value"]))
+def preprocess_fit(spark, sf):
+    """K7: the fitted parameters as one long table."""
+    return V.fitted_preprocessor(spark, sf).to_table(spark)
+
+
+@register("minmax_new_data", O.rounded(mf(
+    "SELECT row_id, " + ", ".join(
+        f"CASE WHEN mx_{i} = mn_{i} THEN CAST({c} AS DOUBLE) + 1 - mn_{i} "
+        f"ELSE (CAST({c} AS DOUBLE) + 1 - mn_{i}) / (mx_{i} - mn_{i}) END AS {c}"
+        for i, c in enumerate(S.NUM_LIN)) + " FROM meter_features, (SELECT " + ", ".join(
+        f"min(CAST({c} AS DOUBLE)) AS mn_{i}, max(CAST({c} AS DOUBLE)) AS mx_{i}" for i, c in enumerate(S.NUM_LIN))
+    + " FROM meter_features WHERE row_id % 2 = 0) WHERE row_id % 2 = 1"), S.NUM_LIN))
+def minmax_new_data(spark, sf):
+    """K4 / K8: bounds fitted on one part, applied to shifted values of the
+    other; columns that were constant in the fit (year) become x - min."""
+    f = V.meter_features(spark, sf)
+    p = PR.fit(f.where(F.col(S.ROW_ID) % 2 == 0), num_skew=[], cat_nom=[], cat_ord=[])
+    return f.where(F.col(S.ROW_ID) % 2 == 1).select(S.ROW_ID, *[
+        PR.minmax(F.col(c).cast("double") + 1, p.mins[c], p.maxs[c]).alias(c) for c in S.NUM_LIN])
+
+
+@register("preprocess_negative_logs", O.rounded(O.with_(O.CHAIN_FEATURES + [
+    "neg AS (SELECT * REPLACE (" + ", ".join(
+        f"CASE WHEN row_id % 10 = 3 THEN -5.0 ELSE {c} END AS {c}" for c in S.NUM_SKEW) + ") FROM meter_features)"]
+    + list(_prep_sql("neg", "neg")[:4]), _prep_sql("neg", "neg")[4]), _prep_names()))
+def preprocess_negative_logs(spark, sf):
+    """K7 / K8 with values that have no logarithm: those cells are NULL, the
+    column's bounds and all other rows are unaffected."""
+    f = V.meter_features(spark, sf).withColumns({
+        c: F.when(F.col(S.ROW_ID) % 10 == 3, F.lit(-5.0)).otherwise(F.col(c)) for c in S.NUM_SKEW})
+    return PR.fit(f).transform(f)
+
+
+@register("category_codes_nulls", mf(
+    "SELECT row_id, " + ", ".join(
+        f"CAST(CASE WHEN {c} IS NULL OR row_id % 5 = 0 THEN -1 ELSE (SELECT count(DISTINCT b.{c}) FROM meter_clean b "
+        f"WHERE b.{c} < a.{c} AND b.row_id % 5 <> 0) END AS BIGINT) AS {c}" for c in S.CATEGORICAL)
+    + " FROM meter_clean a"))
+def category_codes_nulls(spark, sf):
+    """K11 with missing values: NULL -> -1."""
+    d = V.meter_clean(spark, sf).select(S.ROW_ID, *[
+        F.when(F.col(S.ROW_ID) % 5 != 0, F.col(c)).alias(c) for c in S.CATEGORICAL])
+    return PR.category_codes(d, S.CATEGORICAL)
+
+
 @register("impute_median", O.rounded(mf(
     "SELECT row_id, " + ", ".join(
         f"coalesce(CAST({c} AS DOUBLE), (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM meter_features)) AS {c}"
@@ -247,12 +306,12 @@ def impute_mode(spark, sf):
 
 @register("minmax_scale", O.rounded(mf(
     "SELECT row_id, " + ", ".join(
-        f"CASE WHEN mx_{i} = mn_{i} THEN (CAST({c} AS DOUBLE) - mn_{i}) * 0.0 ELSE (CAST({c} AS DOUBLE) - mn_{i}) / (mx_{i} - mn_{i}) END AS {c}"
+        f"CASE WHEN mx_{i} = mn_{i} THEN CAST({c} AS DOUBLE) - mn_{i} ELSE (CAST({c} AS DOUBLE) - mn_{i}) / (mx_{i} - mn_{i}) END AS {c}"
         for i, c in enumerate(S.NUM_LIN)) + " FROM meter_features, (SELECT " + ", ".join(
         f"min(CAST({c} AS DOUBLE)) AS mn_{i}, max(CAST({c} AS DOUBLE)) AS mx_{i}" for i, c in enumerate(S.NUM_LIN))
     + " FROM meter_features)"), S.NUM_LIN))
 def minmax_scale(spark, sf):
-    """K4: min-max to [0, 1]; constant column -> 0 (year/month/quarter here)."""
+    """K4: min-max to [0, 1]; constant column -> x - min (year/month/quarter here)."""
     f = V.meter_features(spark, sf)
     p = PR.fit(f, num_skew=[], cat_nom=[], cat_ord=[])
     return f.select(S.ROW_ID, *[F.coalesce(PR.minmax(F.col(c).cast("double"), p.mins[c], p.maxs[c]),

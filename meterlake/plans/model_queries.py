@@ -27,7 +27,7 @@ _CACHE: dict[tuple, object] = {}
 
 
 def _memo(spark, sf, name, fn):
-    key = (spark.sparkContext.applicationId, sf, name)
+    key = V.source_key(spark, sf, f"model:{name}")
     if key not in _CACHE:
         _CACHE[key] = fn()
     return _CACHE[key]

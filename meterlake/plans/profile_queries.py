@@ -124,6 +124,37 @@ def describe_numeric(spark, sf):
     return P.describe_numeric(V.meter_clean(spark, sf), NUMS)
 
 
+_LARGE_KEY = "CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE l_returnflag END"
+
+
+@register("quantiles_large_groups", O.rounded(" UNION ALL ".join(
+    f"SELECT {_LARGE_KEY} AS flag, '{c}' AS \"column\", {p} AS p, quantile_cont(CAST({c} AS DOUBLE), {p}) AS q "
+    f"FROM lineitem GROUP BY 1" for c in ("l_extendedprice", "l_quantity") for p in (0.25, 0.5, 0.9)), ["p", "q"]))
+def quantiles_large_groups(spark, sf):
+    """Exact quantiles by the way of large groups (bracket, histogram, cell),
+    with a NULL key group that holds a third of all rows."""
+    from meterlake.operators.quantile import quantiles
+    rows = V.table(spark, sf, "lineitem").select(
+        F.when(F.col("l_orderkey") % 3 != 0, F.col("l_returnflag")).alias("flag"),
+        "l_extendedprice", "l_quantity")
+    return quantiles(rows, ["l_extendedprice", "l_quantity"], [0.25, 0.5, 0.9], by=["flag"], small=1_000)
+
+
+@register("n_unique_approx", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(1 AS BIGINT) AS within_bound FROM lineitem GROUP BY 1"
+    for c in ("l_orderkey", "l_partkey", "l_quantity")))
+def n_unique_approx(spark, sf):
+    """D9, approximate form: HyperLogLog++ counts, within three times their
+    stated error (1 %) of the exact distinct counts."""
+    cols = ["l_orderkey", "l_partkey", "l_quantity"]
+    d = V.table(spark, sf, "lineitem").agg(
+        *[F.approx_count_distinct(c, 0.01).alias(f"{c}_a") for c in cols],
+        *[F.count_distinct(c).alias(f"{c}_e") for c in cols])
+    return d.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), (
+        F.abs(F.col(f"{c}_a") - F.col(f"{c}_e")) <= F.greatest(F.col(f"{c}_e") * 0.03, F.lit(1)))
+        .cast("int").alias("within_bound")) for c in cols])))
+
+
 @register("describe_numeric_lineitem", O.rounded(_describe_sql("lineitem", LI_NUMS), _DESC))
 def describe_numeric_lineitem(spark, sf):
     """D5 volume run."""

@@ -61,14 +61,37 @@ def load_features(spark, sf):
     return x.join(y, S.ROW_ID)
 
 
-@register("feature_info", "SELECT feature, \"group\", CAST(position AS BIGINT) AS position FROM (VALUES " + ", ".join(
-    f"('{n}', '{n.split('__', 1)[0]}', {i})" for i, n in enumerate(_prep_names()))
-    + ") t(feature, \"group\", position)")
+def _original(name: str) -> str:
+    rest = name.split("__", 1)[1]
+    return "week_status" if rest.startswith("week_status") else rest
+
+
+@register("feature_info", O.with_(O.CHAIN_FEATURES, "SELECT feature, \"group\", original, CAST(position AS BIGINT) "
+    "AS position, (SELECT CAST(count(*) AS BIGINT) FROM meter_features) AS n_rows FROM (VALUES " + ", ".join(
+    f"('{n}', '{n.split('__', 1)[0]}', '{_original(n)}', {i})" for i, n in enumerate(_prep_names()))
+    + ") t(feature, \"group\", original, position)"))
 def feature_info(spark, sf):
-    """A5: column-group metadata of the fitted transformer."""
+    """A5: the feature table written whole, with its column-group metadata
+    (processed and original names) and the rows written."""
     f = V.meter_features(spark, sf)
     p = V.fitted_preprocessor(spark, sf)
-    return IO.sink_features(f.limit(0).select(S.ROW_ID), p.output_names(), scratch_path(spark, "finfo"))
+    path = scratch_path(spark, "finfo")
+    info = IO.sink_features(p.transform(f), p.output_names(), path)
+    return info.withColumn("n_rows", F.lit(spark.read.parquet(path).count()))
+
+
+@register("scan_csv_reordered", O.rounded(O.with_(O.CHAIN_TYPED, "SELECT date, " + ", ".join(
+    f"{O.num(c)} AS {c}" for c in S.NUMERIC) + ", " + ", ".join(S.CATEGORICAL) + " FROM meter_raw"), S.NUMERIC))
+def scan_csv_reordered(spark, sf):
+    """A1: a file with permuted columns, an unknown column and no row_id."""
+    from meterlake.functions import expr as X
+    path = scratch_path(spark, "raw_csv_reordered")
+    raw = V.meter_raw(spark, sf).select(*reversed(S.METER_COLUMNS)).withColumn(
+        "mixed_type_col", F.lit("x"))
+    IO.write_csv(IO.to_file_names(raw.select(S.METER_COLUMNS[3], "mixed_type_col", *[
+        c for c in raw.columns if c not in (S.METER_COLUMNS[3], "mixed_type_col")])), path)
+    back = IO.scan_csv_raw(spark, path)
+    return back.select(*[X.to_double_or_null(c).alias(c) if c in S.NUMERIC else F.col(c) for c in back.columns])
 
 
 def _rules_sql(src: str) -> str:
@@ -150,8 +173,39 @@ VERDICT = ("verdict AS (SELECT r.request_id, max(r.n_records) AS n_records, "
     "SELECT request_id, n_records, reasons, CAST(reasons = '' AS BIGINT) AS accepted FROM verdict"))
 def validate_requests(spark, sf):
     """M2: per-field checks, a bad record rejects its whole request (reasons listed)."""
-    rec = SC.decode_requests(SC.requests_from_meter(V.meter_clean(spark, sf)))
-    v = SC.validate_requests(rec)
+    v = SC.validate_requests(SC.requests_from_meter(V.meter_clean(spark, sf)))
+    return v.select("request_id", "n_records", F.array_join("reasons", ";").alias("reasons"), "accepted")
+
+
+FORMS = 8
+
+
+@register("validate_request_forms", O.with_(
+    O.CHAIN_CLEAN + [REQ_REC, _reason_sql(), VERDICT],
+    "SELECT request_id, CASE WHEN request_id % 8 = 7 THEN 0 ELSE n_records END AS n_records, "
+    "CASE WHEN request_id % 8 = 7 THEN 'data:size' WHEN request_id % 8 = 6 THEN "
+    "(SELECT string_agg(x, ';' ORDER BY x) FROM (SELECT unnest(list_distinct(list_concat("
+    "string_split(nullif(reasons, ''), ';'), ['Lagging_Current_Power_Factor:invalid_type']))) AS x)) "
+    "ELSE reasons END AS reasons, CAST(request_id % 8 < 6 AND reasons = '' AS BIGINT) AS accepted FROM verdict"))
+def validate_request_forms(spark, sf):
+    """The requests re-spelled by request id: as they are, NSM as
+    an integral float, numbers as text, the other CO2 name, ISO dates, dates
+    alone; then a wrong type and a broken body."""
+    reqs = SC.requests_from_meter(V.meter_clean(spark, sf))
+    body, form = F.col("body"), F.pmod(F.col("request_id"), F.lit(FORMS))
+    spelled = [
+        (1, F.regexp_replace(body, r'"NSM":(\d+)', r'"NSM":$1.0')),
+        (2, F.regexp_replace(body, r'(_Factor"):([0-9.E-]+)', r'$1:"$2"')),
+        (3, F.replace(body, F.lit('"CO2(tCO2)"'), F.lit('"CO2_tCO2"'))),
+        (4, F.regexp_replace(body, r'"date":"([0-9-]+) ', r'"date":"$1T')),
+        (5, F.regexp_replace(body, r'"date":"([0-9-]+) [0-9:]+"', r'"date":"$1"')),
+        (6, F.regexp_replace(body, r'"Lagging_Current_Power_Factor":[0-9.E-]+',
+                             '"Lagging_Current_Power_Factor":"high"')),
+        (7, F.concat(F.lit("{{"), F.substring(body, 1, 40)))]
+    text = body
+    for k, e in spelled:
+        text = F.when(form == k, e).otherwise(text)
+    v = SC.validate_requests(reqs.select("request_id", text.alias("body")))
     return v.select("request_id", "n_records", F.array_join("reasons", ";").alias("reasons"), "accepted")
 
 

@@ -12,17 +12,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.operators import clean as C
-from meterlake.session import scratch_path
+from meterlake.session import scratch_path, source_stamp
 from meterlake.sources.tables import meter_raw, table  # noqa: F401
 
 _STAGES: dict[tuple, DataFrame] = {}
 
 
+def source_key(spark: SparkSession, sf: str, name: str) -> tuple:
+    """What a stage of the meter view depends on: the session, and the files
+    of the one table that the view reads."""
+    return (spark.sparkContext.applicationId, name, sf,
+            source_stamp(spark, f"{sf.rstrip('/')}/events.parquet"))
+
+
 def materialize(spark: SparkSession, build, name: str, sf: str) -> DataFrame:
-    """Write ``build()`` once per (session, stage, sf) and return the scan of
-    it; ``build`` is a DataFrame or a callable, called only on a miss (so a
-    hit plans nothing and runs no statistics job)."""
-    key = (spark.sparkContext.applicationId, name, sf)
+    """Write ``build()`` once per (session, stage, state of the source files) and
+    return the scan of it; ``build`` is a DataFrame or a callable, called only on
+    a miss (so a hit plans nothing and runs no statistics job).  A rewritten
+    source makes a new stage."""
+    key = source_key(spark, sf, name)
     if key not in _STAGES:
         df = build() if callable(build) else build
         path = scratch_path(spark, name)
@@ -73,7 +81,7 @@ def fitted_preprocessor(spark: SparkSession, sf: str):
     """The 4-group transformer fitted on ``meter_features``, once per session
     (its parameter table is the stage artifact, like the stage tables)."""
     from meterlake.operators.prep import fit
-    key = (spark.sparkContext.applicationId, "preprocessor", sf)
+    key = source_key(spark, sf, "preprocessor")
     if key not in _FITTED:
         _FITTED[key] = fit(meter_features(spark, sf))
     return _FITTED[key]

@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -47,13 +47,17 @@ _LOCAL_CKPT: str | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one; otherwise (local
-    tests only) one fresh folder under the system temp dir, registered as the
-    context's checkpoint dir (core configs cannot be changed at runtime).
+    Uses ``spark.checkpoint.dir`` when the cluster names one.  Where it is
+    unset, a one-machine master (``local``, ``local[n]``) gets one fresh folder
+    under the system temp dir; on a cluster that folder would be another one
+    on every machine, so it is an error there.
     """
     global _LOCAL_CKPT
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if master.split("[")[0] != "local":
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder all executors share (master {master})")
         if _LOCAL_CKPT is None:
             _LOCAL_CKPT = tempfile.mkdtemp(prefix="meterlake-ckpt-")
             spark.sparkContext.setCheckpointDir(_LOCAL_CKPT)
@@ -67,9 +71,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/meterlake/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(checkpoint_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+def source_stamp(spark: SparkSession, path: str) -> tuple:
+    """Names, lengths and times of the files behind a path: changes whenever
+    the source is rewritten.  Reads metadata only, through the path's own
+    file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = [fs.getFileStatus(p)]
+    if files[0].isDirectory():
+        files = list(fs.listStatus(p))
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))

@@ -9,14 +9,17 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations"]
 
 
+SPREAD_BYTES = 256 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a source that has fewer splits than the session's default
-    parallelism (a small single-row-group file would otherwise run every
-    per-row expression in one task).  Large inputs already have many splits
-    and are returned untouched, so this costs nothing at scale."""
-    sc = df.sparkSession.sparkContext
-    target = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    """Round-robin a small source that has fewer splits than the session's
+    default parallelism (a single-row-group file would otherwise run every
+    per-row expression in one task).  A source of more than ``SPREAD_BYTES``
+    is never shuffled for this, whatever the cluster's size."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if size <= SPREAD_BYTES and df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
 

@@ -18,9 +18,9 @@ from meterlake.session import scratch_path
 REQUEST_FILE_SCHEMA = "request_id long, body string"
 
 
-def write_request_files(requests: DataFrame, path: str, files: int = 4) -> None:
+def write_request_files(requests: DataFrame, path: str) -> None:
     """Land request bodies as JSON lines (the stream's input folder)."""
-    requests.repartition(files, "request_id").write.mode("overwrite").json(path)
+    requests.write.mode("overwrite").json(path)
 
 
 def score_stream(spark: SparkSession, source: str, out: str, rejects: str, model,
@@ -34,11 +34,15 @@ def score_stream(spark: SparkSession, source: str, out: str, rejects: str, model
     checkpoint = checkpoint or scratch_path(spark, "score_stream_ckpt")
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
-        resp, verdicts = SC.score_requests(batch, model, preprocessor)
-        resp.write.mode("overwrite").parquet(f"{out}/epoch={epoch_id}")
-        (verdicts.where(F.col("accepted") == 0)
-         .select("request_id", "n_records", F.array_join("reasons", ";").alias("reasons"))
-         .write.mode("overwrite").parquet(f"{rejects}/epoch={epoch_id}"))
+        parsed = SC.parse_requests(batch).persist()  # decoded once for both outputs
+        try:
+            (SC.score_parsed(parsed, model, preprocessor)
+             .write.mode("overwrite").parquet(f"{out}/epoch={epoch_id}"))
+            (parsed.where(F.col("accepted") == 0)
+             .select("request_id", "n_records", F.array_join("reasons", ";").alias("reasons"))
+             .write.mode("overwrite").parquet(f"{rejects}/epoch={epoch_id}"))
+        finally:
+            parsed.unpersist()
 
     w = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
@@ -54,9 +58,8 @@ def run_to_completion(spark: SparkSession, requests: DataFrame, model, preproces
     write_request_files(requests, src)
     q = score_stream(spark, src, out, rej, model, preprocessor, max_files_per_trigger=2)
     q.awaitTermination()
-    responses = spark.read.parquet(out).drop("epoch")
-    try:
-        rejects = spark.read.parquet(rej).drop("epoch")
-    except Exception:  # noqa: BLE001 - no rejects written
-        rejects = spark.createDataFrame([], "request_id long, n_records int, reasons string")
-    return responses, rejects
+    if not q.recentProgress:  # no batch: nothing landed
+        return (spark.createDataFrame([], "request_id long, response string"),
+                spark.createDataFrame([], "request_id long, n_records int, reasons string"))
+    # Every batch writes both folders, empty ones too, so a read error is an error.
+    return spark.read.parquet(out).drop("epoch"), spark.read.parquet(rej).drop("epoch")

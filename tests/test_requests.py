@@ -15,7 +15,7 @@ GOOD = {"date": "2018-01-15 14:30:00", "Lagging_Current_Reactive_Power_kVarh": 4
 def verdict(spark, records):
     body = json.dumps({"data": records})
     df = spark.createDataFrame([(1, body)], "request_id long, body string")
-    v = SC.validate_requests(SC.decode_requests(df)).first()
+    v = SC.validate_requests(df).first()
     return v.accepted, list(v.reasons)
 
 
@@ -39,6 +39,15 @@ def bad(**kw):
     ([], 0, "data:size"),
     ([GOOD, bad(NSM=95000)], 0, "NSM:out_of_range"),
     ([bad(date="15/01/2018")], 0, "date:unparsable"),
+    ([bad(NSM=100.0)], 1, None),
+    ([bad(NSM=100.5)], 0, "NSM:invalid_type"),
+    ([bad(Lagging_Current_Power_Factor="0.9")], 1, None),
+    ([bad(Lagging_Current_Power_Factor="high")], 0, "Lagging_Current_Power_Factor:invalid_type"),
+    ([bad(date="2018-01-15T14:30:00")], 1, None),
+    ([bad(date="2018-01-15")], 1, None),
+    ([{**bad(**{"CO2(tCO2)": ...}), "CO2_tCO2": 0.008}], 1, None),
+    ([{**GOOD, "CO2_tCO2": 9.0}], 1, None),
+    ([bad(**{"CO2(tCO2)": ...})], 0, "CO2(tCO2):missing"),
 ])
 def test_reference_cases(spark, records, ok, reason):
     accepted, reasons = verdict(spark, records)
@@ -59,3 +68,13 @@ def test_scoring_response_shape(spark):
     r = json.loads(resp.first().response)
     assert r["n_predictions"] == 2 and len(r["predictions"]) == 2 and r["model_version"] == SC.MODEL_VERSION
     assert verdicts.first().accepted == 1
+
+
+def test_validation_has_no_shuffle(spark):
+    df = spark.createDataFrame([(1, json.dumps({"data": [GOOD]})), (2, "{"), (3, None)],
+                               "request_id long, body string")
+    v = SC.validate_requests(df)
+    plan = v._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("from_json") <= 1
+    got = {r.request_id: (r.n_records, r.accepted, r.reasons) for r in v.collect()}
+    assert got == {1: (1, 1, []), 2: (0, 0, ["data:size"]), 3: (0, 0, ["data:size"])}
