@@ -24,6 +24,7 @@ from meterlake.plans.registry import register
 from meterlake.session import scratch_path
 
 _CACHE: dict[tuple, object] = {}
+M_ALL = ["mse", "rmse", "mae", "r2_score", "mape"]
 
 
 def _memo(spark, sf, name, fn):
@@ -71,6 +72,80 @@ def _test_metrics(spark, sf, model, name):
     return EV.metrics(pred, "label", "prediction").withColumn("model", F.lit(name))
 
 
+_SPLIT = "((row_id * 2654435761 + 42) % 1000 + 1000) % 1000"
+_ROWS = "(SELECT * FROM meter_features WHERE usage_kwh IS NOT NULL)"
+
+
+def _facts_sql():
+    train = f"(SELECT count(*) FROM {_ROWS} WHERE {_SPLIT} < 800)"
+    test = f"(SELECT count(*) FROM {_ROWS} WHERE {_SPLIT} >= 800)"
+    every = f"(SELECT count(*) FROM {_ROWS})"
+    facts = [("linear", "train_rows", train), ("linear", "residuals_sum_to_zero", "1"),
+             ("linear", "residuals_orthogonal_to_features", "1"), ("forest", "test_rows", test),
+             ("forest", "importances_sum_to_one", "1"), ("forest", "better_than_mean", "1"),
+             ("pca", "explained_sums_to_one", "1"), ("pca", "k_is_least_above_95_percent", "1"),
+             ("rulefit", "rows", every), ("rulefit", "at_most_30_rules", "1"),
+             ("rulefit", "supports_recompute", "1"), ("rulefit", "better_than_mean", "1"),
+             ("drift", "rmse_rises", "1"), ("drift", "r2_falls", "1")]
+    return O.with_(O.CHAIN_FEATURES, " UNION ALL ".join(
+        f"SELECT '{m}' AS model, '{f}' AS fact, CAST({v} AS BIGINT) AS value" for m, f, v in facts))
+
+
+@register("model_facts", _facts_sql())
+def model_facts(spark, sf):
+    """Checkable facts of the fitted models (L1, L3, L5, L7, K10, N5): normal
+    equations, importances, explained variance, rule supports and errors
+    against the mean predictor; counts come from the source in the oracle."""
+    _p, t, names = prepared(spark, sf)
+    tr, te = split(spark, sf)
+    e = MD.predict_ml(MD.fit_linear(tr, names), tr).select("*", (F.col("label") - F.col("prediction")).alias("e"))
+    scale = e.agg(F.sum(F.abs("label")).alias("y"), F.count("*").alias("n"), F.sum("e").alias("e"),
+                  *[F.sum(F.col("e") * F.col(c)).alias(f"x{i}") for i, c in enumerate(names)]).first()
+    small = 1e-6 * max(scale["y"], 1.0)
+    out = [("linear", "train_rows", scale["n"]), ("linear", "residuals_sum_to_zero", abs(scale["e"]) < small),
+           ("linear", "residuals_orthogonal_to_features",
+            all(abs(scale[f"x{i}"]) < small for i in range(len(names))))]
+    fm = EV.metrics(MD.predict_ml(forest(spark, sf), te), "label", "prediction").first()
+    imp = forest(spark, sf).stages[-1].featureImportances.toArray().sum()
+    out += [("forest", "test_rows", fm["n"]), ("forest", "importances_sum_to_one", abs(imp - 1) < 1e-9),
+            ("forest", "better_than_mean", fm["r2_score"] > 0)]
+    _m, k, ev = MD.fit_pca95(t, names)
+    out += [("pca", "explained_sums_to_one", abs(sum(ev) - 1) < 1e-9),
+            ("pca", "k_is_least_above_95_percent", sum(ev[:k]) > 0.95 >= sum(ev[:k - 1]))]
+    model, table = rulefit(spark, sf)
+    rules = table.where("kind = 'rule'").collect()  # at most 30
+    again = t.agg(F.count("*").alias("n"), *[F.avg(F.coalesce(F.expr(r["condition"]), F.lit(False)).cast("double"))
+                                             .alias(r["rule_id"]) for r in rules]).first()
+    base, drift = _eval(spark, sf, 0.0).first(), _eval(spark, sf, 0.25).first()
+    out += [("rulefit", "rows", again["n"]), ("rulefit", "at_most_30_rules", len(rules) <= 30),
+            ("rulefit", "supports_recompute", all(abs(again[r["rule_id"]] - r["support"]) < 1e-9 for r in rules)),
+            ("rulefit", "better_than_mean", base["r2_score"] > 0),
+            ("drift", "rmse_rises", drift["rmse"] > base["rmse"]),
+            ("drift", "r2_falls", drift["r2_score"] < base["r2_score"])]
+    return spark.createDataFrame([(m, f, int(v)) for m, f, v in out], "model string, fact string, value long")
+
+
+@register("model_sweep")
+def model_sweep(spark, sf):
+    """The eight model kinds on one split, a ledger run each, compared
+    by RMSE."""
+    _p, t, names = prepared(spark, sf)
+    _tr, te = split(spark, sf)
+    model, _table = rulefit(spark, sf)
+    parts = [fit_linear(spark, sf), fit_forest(spark, sf), fit_gbt(spark, sf), fit_knn(spark, sf),
+             fit_pca_linear(spark, sf).drop("k"), fit_pca_forest(spark, sf).drop("k"),
+             fit_pca_gbt(spark, sf).drop("k"),
+             EV.metrics(model.transform(te), "label", "prediction").withColumn("model", F.lit("rulefit"))]
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    runs = L.as_runs(every.withColumn("experiment", F.lit("sweep")), "experiment", "model", M_ALL,
+                     param_cols=[], tag_cols=["n"])
+    path = scratch_path(spark, "sweep_ledger")
+    L.run_append(runs, path)
+    return L.run_compare(L.read_runs(spark, path))
+
+
 @register("fit_linear")
 def fit_linear(spark, sf):
     """L1: OLS on the 80 % split, metrics on the 20 %."""
@@ -193,7 +268,10 @@ def train_job(spark, sf):
     return L.run_compare(L.read_runs(spark, path))
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", O.with_(O.CHAIN_FEATURES, " UNION ALL ".join(
+    f"SELECT '{m}' AS \"table\", n AS rows_a, n AS rows_b, CAST(0 AS BIGINT) AS only_in_a, CAST(0 AS BIGINT) AS "
+    f"only_in_b, CAST(1 AS BIGINT) AS equal FROM (SELECT CAST(count(*) AS BIGINT) AS n FROM {_ROWS})"
+    for m in ("rule_model", "linear_pipeline"))))
 def model_roundtrip(spark, sf):
     """Save / load the rule model and a fitted pipeline; scores must be identical."""
     from pyspark.ml import PipelineModel
@@ -268,11 +346,11 @@ def _knn_sql(body: str) -> str:
     return O.with_(O.CHAIN_FEATURES + ctes, body)
 
 
-def knn_predictions(spark, sf):
-    from meterlake.operators.knn import knn_regress
+def knn_predictions(spark, sf, block_rows=None):
+    from meterlake.operators.knn import BLOCK_ROWS, knn_regress
     _p, t, names = prepared(spark, sf)
     tr, te = split(spark, sf)
-    return knn_regress(tr, te, names, "label", k=5), te
+    return knn_regress(tr, te, names, "label", k=5, block_rows=block_rows or BLOCK_ROWS), te
 
 
 @register("knn_exact", O.rounded(_knn_sql("SELECT row_id, prediction, neighbours FROM knn"), ["prediction"]))
@@ -282,6 +360,12 @@ def knn_exact(spark, sf):
     return knn_predictions(spark, sf)[0]
 
 
+@register("knn_multi_block", O.rounded(_knn_sql("SELECT row_id, prediction, neighbours FROM knn"), ["prediction"]))
+def knn_multi_block(spark, sf):
+    """C3 over many small cells and blocks: the way a large training set goes."""
+    return knn_predictions(spark, sf, block_rows=500)[0]
+
+
 @register("fit_knn", O.rounded(_knn_sql(
     "SELECT CAST(count(*) AS BIGINT) AS n, avg((y - prediction) * (y - prediction)) AS mse, "
     "sqrt(avg((y - prediction) * (y - prediction))) AS rmse, avg(abs(y - prediction)) AS mae, "
