@@ -176,22 +176,37 @@ def date_span(df: DataFrame, ts: str) -> DataFrame:
         F.timestamp_diff("DAY", F.col("min_date"), F.col("max_date")).alias("days"))
 
 
-def iqr_outliers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Quartiles, IQR, Tukey bounds, outlier count and % of all rows."""
-    q = (quantiles(df, cols, [0.25, 0.75]).groupBy("column").pivot("p", [0.25, 0.75])
-         .agg(F.first("q")).toDF("column", "q1", "q3"))
-    b, _n = sized(q.withColumn("iqr", F.col("q3") - F.col("q1"))
-                  .withColumn("lower", F.col("q1") - 1.5 * F.col("iqr"))
-                  .withColumn("upper", F.col("q3") + 1.5 * F.col("iqr")))   # one row per column
-    long = to_long(df, cols)
-    total = df.select(F.count(F.lit(1))).scalar()
-    # one stats row per profiled column: a proven, tiny broadcast
-    flagged = (long.join(b.select("column", "lower", "upper"), "column")
-               .groupBy("column").agg(F.count_if((F.col("v") < F.col("lower"))
-                                                 | (F.col("v") > F.col("upper"))).alias("n_out")))
-    return (b.join(flagged, "column", "left")
-            .withColumn("n_out", F.coalesce("n_out", F.lit(0)))
-            .withColumn("pct", F.try_divide(F.col("n_out") * 100.0, total)))
+def quartiles(df: DataFrame, cols: Sequence[str]) -> dict[str, dict[float, float]]:
+    """{column: {p: value}} for p = 0.25, 0.5, 0.75: three numbers per column,
+    applied afterwards as literals."""
+    out: dict[str, dict[float, float]] = {}
+    for r in quantiles(df, cols, [0.25, 0.5, 0.75]).select("column", "p", "q").collect():
+        out.setdefault(r["column"], {})[r["p"]] = r["q"]
+    return out
+
+
+def iqr_outliers(df: DataFrame, cols: Sequence[str],
+                 known: dict[str, dict[float, float]] | None = None) -> DataFrame:
+    """Quartiles, IQR, Tukey bounds, outlier count and % of all rows; the
+    counts of all columns in one pass."""
+    found = known if known is not None else quartiles(df, cols)
+    stats = []
+    for c in (c for c in cols if c in found):
+        q1, q3 = found[c][0.25], found[c][0.75]
+        stats.append((c, q1, q3, q3 - q1, q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)))
+    if not stats:
+        return df.sparkSession.createDataFrame(
+            [], "column string, q1 double, q3 double, iqr double, lower double, upper double, n_out long, pct double")
+    outside = []
+    for i, (c, *_b, lo, hi) in enumerate(stats):
+        x = F.col(c).cast("double")
+        outside.append(F.count_if(~F.isnan(x) & ((x < F.lit(lo)) | (x > F.lit(hi)))).alias(f"_o{i}"))
+    one = df.agg(F.count(F.lit(1)).alias("_n"), *outside)
+    names = ["column", "q1", "q3", "iqr", "lower", "upper"]
+    rows = [F.struct(*[F.lit(v).alias(k) for k, v in zip(names, s)], F.col(f"_o{i}").alias("n_out"),
+                     F.try_divide(F.col(f"_o{i}") * 100.0, F.col("_n")).alias("pct"))
+            for i, s in enumerate(stats)]
+    return one.select(F.inline(F.array(*rows)))
 
 
 def zscore_outliers(df: DataFrame, cols: Sequence[str], z: float = 3.0) -> DataFrame:
@@ -331,8 +346,10 @@ def eda_report(spark: SparkSession, df: DataFrame, target: str, cats: Sequence[s
                       F.lit(len(df.columns)).alias("features"),
                       F.lit(len(nums)).alias("numeric_features"),
                       F.lit(len(cats)).alias("categorical_features"))
-    tgt = summary_stats(df, target).select("mean", "median", "std", "skew")
-    iqr = iqr_outliers(df, [target]).select(F.col("n_out").alias("outliers_iqr"),
+    quart = quartiles(df, [target])  # once, for the median and the bounds
+    median = F.lit(quart.get(target, {}).get(0.5)).cast("double")
+    tgt = moments(df, [target]).select("mean", median.alias("median"), "std", "skew")
+    iqr = iqr_outliers(df, [target], quart).select(F.col("n_out").alias("outliers_iqr"),
                                             F.col("pct").alias("outliers_iqr_pct"))
     uniq = n_unique(df, cats).groupBy().pivot("column", list(cats)).agg(F.first("n_unique"))
     uniq = uniq.toDF(*[f"unique_{c}" for c in cats])

@@ -78,12 +78,26 @@ def quantiles(df: DataFrame, value_cols: Sequence[str] | str, probs: Sequence[fl
     if isinstance(value_cols, str):
         value_cols = [value_cols]
     probs = [float(p) for p in probs]
-    long = to_long(df, value_cols, by)
     # no group can exceed the table: a row count (metadata-only on a stored
     # table) settles the common case without a per-group size job
-    bounded = df.count() <= small
-    return long_quantiles(long, list(by) + ["column"], probs, small=small,
-                          accuracy=accuracy, delta=delta, buckets=buckets, bounded=bounded)
+    if df.count() <= small:
+        return wide_quantiles(df, value_cols, probs, by)
+    return long_quantiles(to_long(df, value_cols, by), list(by) + ["column"], probs, small=small,
+                          accuracy=accuracy, delta=delta, buckets=buckets)
+
+
+def wide_quantiles(df: DataFrame, value_cols: Sequence[str], probs: Sequence[float],
+                   by: Sequence[str] = ()) -> DataFrame:
+    """All columns in one aggregation, without repeating the rows per column;
+    for groups whose values fit one task."""
+    p_arr = F.array(*[F.lit(float(p)) for p in probs])
+    value = {c: F.col(c).cast("double") for c in value_cols}
+    aggs = [F.percentile(F.when(~F.isnan(x), x), p_arr).alias(f"_q{i}") for i, x in enumerate(value.values())]
+    one = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("p"),
+                              F.get(F.col(f"_q{i}"), F.lit(j)).alias("q"))
+                     for i, c in enumerate(value_cols) for j, p in enumerate(probs)])
+    return one.select(*by, F.inline(rows)).where(F.col("q").isNotNull())
 
 
 def long_quantiles(long: DataFrame, keys: list[str], probs: list[float], *,
