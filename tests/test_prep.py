@@ -16,7 +16,7 @@ def test_minmax_constant_onehot_unknown_ordinal(spark):
                                 "row_id long, a double, c double, week_status string, load_type string")
     r = p.transform(new).first().asDict()
     assert r["num_lin__a"] == 0.5                 # imputed median, scaled
-    assert r["num_lin__c"] == 0.0                 # constant column -> 0, no clipping to 1
+    assert r["num_lin__c"] == 2.0                 # constant column has scale 1: x - min
     assert r["cat_nom__week_status_WEEKEND"] == 0.0
     assert r["cat_ord__load_type"] == -1.0
     again = PR.Preprocessor.from_table(p.to_table(spark))

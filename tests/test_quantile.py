@@ -54,3 +54,13 @@ def test_large_path_on_lineitem_matches_duckdb(spark):
                 + f" FROM read_parquet('{sf}/lineitem.parquet') GROUP BY 1").fetchall():
             for p, q in zip(probs, qs):
                 assert got[(flag, c, p)] == pytest.approx(q, rel=1e-12), (flag, c, p)
+
+
+def test_large_null_key_group(spark):
+    """A NULL key with most rows goes the way of large groups like any other."""
+    from meterlake.operators.quantile import quantiles
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.lit("k")).alias("g"),
+                                    F.xxhash64("id").cast("double").alias("v"))
+    exact = {r["g"]: r["q"] for r in df.groupBy("g").agg(F.percentile("v", 0.5).alias("q")).collect()}
+    large = quantiles(df, ["v"], [0.5], by=["g"], small=1_000)
+    assert {r["g"]: r["q"] for r in large.collect()} == exact
