@@ -142,13 +142,15 @@ def n_unique(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFr
     return one.unpivot([], list(cols), "column", "n_unique")
 
 
-def distinct_values(df: DataFrame, cols: Sequence[str], stage: str | None = None) -> DataFrame:
-    """Sorted distinct values per column."""
+def distinct_values(df: DataFrame, cols: Sequence[str], stage: str | None = None,
+                    ordered: bool = True) -> DataFrame:
+    """Sorted distinct values per column (``ordered=False`` for a part of
+    a union, which would discard the order)."""
     long = (df.select(*[F.col(c).cast("string").alias(c) for c in cols])
             .unpivot([], list(cols), "column", "value").distinct())
     if stage is not None:
         long = long.withColumn("stage", F.lit(stage))
-    return long.orderBy("column", "value")
+    return long.orderBy("column", "value") if ordered else long
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

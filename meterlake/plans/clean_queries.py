@@ -155,11 +155,11 @@ def nanlike_count(spark, sf):
 @register("drop_if_present", O.rounded(O.with_(O.CHAIN_TYPED, "SELECT row_id, date, " + ", ".join(
     f"{O.num(c)} AS {c}" for c in NUMS) + ", " + ", ".join(S.CATEGORICAL) + " FROM meter_raw"), NUMS))
 def drop_if_present(spark, sf):
-    """B2: a junk column (the events' raw ``props`` text) is dropped if present;
-    dropping an absent name is a no-op."""
-    ev = V.table(spark, sf, "events").select(F.col("event_id").alias(S.ROW_ID),
-                                              F.col("props").alias("mixed_type_col"))
-    raw = V.meter_raw(spark, sf).join(ev, S.ROW_ID).drop("mixed_type_col", "column_that_is_not_there")
+    """B2: a junk column is dropped if present; dropping an absent name is a
+    no-op."""
+    junk = F.concat_ws("/", S.DATE, S.ROW_ID)
+    raw = (V.meter_raw(spark, sf).withColumn("mixed_type_col", junk)
+           .drop("mixed_type_col", "column_that_is_not_there"))
     # numeric text compared as DOUBLE (its text form is engine-specific)
     return raw.select(*[X.to_double_or_null(c).alias(c) if c in NUMS else F.col(c) for c in raw.columns])
 

@@ -34,8 +34,8 @@ def calendar_parts(spark, sf):
 
 @register("feat_calendar", feat_sql(CAL, []))
 def feat_calendar(spark, sf):
-    """J1 via the feature table."""
-    return V.meter_features(spark, sf).select(S.ROW_ID, *CAL)
+    """J1 out of the whole feature stage (the other features are pruned)."""
+    return V.build_meter_features(spark, sf).select(S.ROW_ID, *CAL)
 
 
 @register("cyclic_encode", feat_sql(S.CYCLIC, S.CYCLIC))
@@ -73,8 +73,9 @@ def safe_ratio(spark, sf):
                                   "reactive_power_diff"]))
 def pair_arith(spark, sf):
     """Sum, difference, mean of two columns."""
-    return V.meter_features(spark, sf).select(S.ROW_ID, "power_factor_diff", "avg_power_factor",
-                                              "reactive_power_total", "reactive_power_diff")
+    made = {**FE.power_factor(), **FE.reactive()}
+    return V.meter_clean(spark, sf).select(S.ROW_ID, *[made[c].alias(c) for c in (
+        "power_factor_diff", "avg_power_factor", "reactive_power_total", "reactive_power_diff")])
 
 
 @register("feat_intensity", feat_sql(S.INTENSITY + [S.HIGH_FLAG], S.INTENSITY))

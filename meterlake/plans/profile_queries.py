@@ -198,8 +198,8 @@ def n_unique(spark, sf):
     + ")"))
 def distinct_values(spark, sf):
     """Distinct categorical values before and after cleaning."""
-    raw = P.distinct_values(V.meter_raw(spark, sf), CATS, "raw")
-    cln = P.distinct_values(V.meter_clean(spark, sf), CATS, "clean")
+    raw = P.distinct_values(V.meter_raw(spark, sf), CATS, "raw", ordered=False)
+    cln = P.distinct_values(V.meter_clean(spark, sf), CATS, "clean", ordered=False)
     return raw.unionByName(cln)
 
 
