@@ -65,10 +65,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's part of the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/meterlake/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path inside the shared checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/meterlake/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, when all results that
+    read them have been written.  For the end of a job."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def source_stamp(spark: SparkSession, path: str) -> tuple:

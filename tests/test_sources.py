@@ -71,3 +71,9 @@ def test_rulefit_uses_every_row_and_keeps_its_bound(spark):
         ((F.col("id") % 17) * 2 + F.when(F.col("id") % 5 > 2, 30).otherwise(0)).cast("double").alias("label"))
     model, table = fit_rulefit(df, ["a", "b"], max_rules=3, n_trees=6)
     assert len(model.rules) <= 3 and table.where("kind = 'rule'").count() == len(model.rules)
+
+
+def test_scratch_is_one_folder_per_application(spark):
+    path = session.scratch_path(spark, "x")
+    assert path.startswith(session.scratch_root(spark)) and spark.sparkContext.applicationId in path
+    assert path != session.scratch_path(spark, "x")
