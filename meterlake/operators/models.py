@@ -34,10 +34,6 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = FEATURES) -> DataFra
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
 
 
-def feature_columns(df: DataFrame, exclude: Sequence[str] = ("row_id", "label")) -> list[str]:
-    return [c for c in df.columns if c not in exclude]
-
-
 # ---------------------------------------------------------------- L1, L3, L4
 def fit_linear(df: DataFrame, cols: Sequence[str], label: str = "label") -> PipelineModel:
     """L1: ordinary least squares with intercept (normal equations)."""

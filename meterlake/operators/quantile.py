@@ -184,14 +184,3 @@ def long_quantiles(long: DataFrame, keys: list[str], probs: list[float], *,
                        .otherwise((F.col("r_hi") - F.col("pos")) * F.col("v_lo")
                                   + (F.col("pos") - F.col("r_lo")) * F.col("v_hi")).alias("q")))
     return small_q.unionByName(large_q)
-
-
-def quantile_wide(df: DataFrame, value_cols: Sequence[str], probs: Sequence[float],
-                  by: Sequence[str] = (), **kw) -> DataFrame:
-    """One row per group with columns ``{column}__q{int(p*100)}``."""
-    q = quantiles(df, value_cols, probs, by, **kw)
-    name = F.concat(F.col("column"), F.lit("__q"),
-                    F.round(F.col("p") * 100).cast("int").cast("string"))
-    pivot_vals = [f"{c}__q{round(p * 100)}" for c in value_cols for p in probs]
-    return (q.withColumn("name", name).groupBy(*by).pivot("name", pivot_vals)
-            .agg(F.first("q")))

@@ -1,6 +1,5 @@
 """Fitted transformers: constant columns, unknown categories, round trip."""
 
-from pyspark.sql import functions as F
 
 from meterlake.operators import prep as PR
 
