@@ -42,7 +42,3 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def java_literal(text: str) -> str:
-    return text.replace("\\", "\\\\").replace("$", "\\$")

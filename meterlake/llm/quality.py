@@ -74,11 +74,6 @@ def stats_udf(text: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([text_stats(t) for t in text], columns=STATS, dtype="int64")
 
 
-def with_stats(docs: DataFrame, text_col: str = "text", as_col: str = "stats") -> DataFrame:
-    """``docs`` plus one struct column of the document measures."""
-    return docs.withColumn(as_col, stats_udf(col(docs, text_col)))
-
-
 def rule_failed(stats: str = "stats"):
     s = F.col(stats)
     return ((s["n_words"] < MIN_WORDS)
