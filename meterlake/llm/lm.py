@@ -11,16 +11,18 @@ the counts, and the weights per bucket that best explain its bigrams under
 the remaining counts are found; they are then used with all counts.
 
 How it runs.  Tasks cut their documents into chunks of about ``CHUNK`` tokens
-and keep each chunk's distinct words and bigrams once, sorted by 64-bit hash;
-the chunk's documents become positions in that list.  Counts are summed over
-chunks by hash range (``buckets`` ranges, their number following the corpus,
-so a range fits a task however large the corpus is), and the totals go back
-to the chunks, where documents are scored.  A very frequent word pair is one
-entry per chunk.  What is moved grows with the corpus; nothing but the weights
-(three per bucket) passes through the driver.
-
-Words are told apart by 64-bit hashes: among n distinct words and bigrams two
-share one with probability about n * n / 2^65.
+and store each as its distinct words' 64-bit hashes and the places of its
+tokens among them.  From that a chunk's distinct words and bigrams follow in a
+fixed order, sorted by key; their counts are summed over chunks by key range
+(the number of ranges follows the corpus, so a range fits a task however
+large the corpus is), and the totals go back to the chunks in the same order,
+so keys travel once and only counts return.  A very frequent word pair is
+one entry per chunk.  What is moved grows with the corpus; nothing but the
+weights (three per bucket) passes through the driver.
+
+Two of n words share a 64-bit hash with probability about n * n / 2^65.  Bigram
+keys have log2(tokens) + ``SPARE_BITS`` bits, so that at every corpus size a
+bigram shares its key with another one with probability below 1e-6.
 
 Defined results: null and empty texts are one token, the end; a null doc_id
 is hashed as 'null' for the split; repeated rows are each counted and scored;
@@ -30,6 +32,7 @@ empty one; only doc_id and text are read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,11 +44,12 @@ from pyspark.sql import functions as F
 from meterlake.llm.common import col, stored
 
 CHUNK = 1 << 20
-RANGE_BYTES = 16 << 20  # corpus bytes per hash range
+RANGE_TOKENS = 5 << 20  # corpus tokens per key range
 FREQUENCY_BUCKETS = 48
 FOLDS, HELD_OUT_FOLD, TUNE_FOLD = 7, 2, 3
 MAX_ROUNDS = 25
 LEAST_WEIGHT = 1e-6
+SPARE_BITS = 21
 END, BEGIN = b"\n", b"\n\n"  # no word holds white space
 
 
@@ -56,15 +60,18 @@ def fold(doc_id: Column) -> Column:
 # ---- compact arrays -------------------------------------------------------
 
 def planes(values: np.ndarray) -> bytes:
-    """Byte planes, low bytes first: small numbers leave long runs of zeros,
-    which the shuffle's and the file's compression take out."""
-    width = values.dtype.itemsize
-    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, width).T.tobytes()
+    """Whole numbers as byte planes, low bytes first, as many as the largest
+    needs; the first byte tells how many."""
+    wide = np.ascontiguousarray(values, np.uint64).view(np.uint8).reshape(-1, 8)
+    width = max((k + 1 for k in range(8) if wide[:, k].any()), default=1)
+    return bytes([width]) + wide[:, :width].T.tobytes()
 
 
-def unplanes(data: bytes, dtype) -> np.ndarray:
-    width = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(dtype).ravel()
+def unplanes(data: bytes) -> np.ndarray:
+    width = data[0]
+    wide = np.zeros(((len(data) - 1) // width, 8), np.uint8)
+    wide[:, :width] = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1).T
+    return wide.view(np.uint64).ravel()
 
 
 def sorted_planes(keys: np.ndarray) -> bytes:
@@ -72,7 +79,16 @@ def sorted_planes(keys: np.ndarray) -> bytes:
 
 
 def from_sorted_planes(data: bytes) -> np.ndarray:
-    return np.cumsum(unplanes(data, np.uint64), dtype=np.uint64)
+    return np.cumsum(unplanes(data), dtype=np.uint64)
+
+
+def counts(values: np.ndarray) -> bytes:
+    """Counts are mostly 0 and 1: entropy-coded, they take a fraction of a byte."""
+    return zlib.compress(planes(values), 1)
+
+
+def uncounts(data: bytes) -> np.ndarray:
+    return unplanes(zlib.decompress(data))
 
 
 def mixed(u: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -92,14 +108,11 @@ def frequency_bucket(count: np.ndarray) -> np.ndarray:
 
 # ---- chunks ---------------------------------------------------------------
 
-CHUNK_TYPE = ("chunk long, range int, keys binary, word binary, kept binary, tune binary, "
-              "doc_ids array<long>, folds array<long>, n_tokens array<long>, "
-              "token binary, pair_key binary, pair_context binary, pair_word binary, pair_tune binary")
-CHUNK_SCHEMA = pa.schema(
-    [("chunk", pa.int64()), ("range", pa.int32())]
-    + [(n, pa.binary()) for n in ("keys", "word", "kept", "tune")]
-    + [(n, pa.list_(pa.int64())) for n in ("doc_ids", "folds", "n_tokens")]
-    + [(n, pa.binary()) for n in ("token", "pair_key", "pair_context", "pair_word", "pair_tune")])
+CHUNK_TYPE = ("chunk long, doc_ids array<long>, folds array<long>, n_tokens array<long>, "
+              "words binary, tokens binary")
+CHUNK_SCHEMA = pa.schema([("chunk", pa.int64())]
+                         + [(n, pa.list_(pa.int64())) for n in ("doc_ids", "folds", "n_tokens")]
+                         + [(n, pa.binary()) for n in ("words", "tokens")])
 
 
 class _Places(dict):
@@ -109,15 +122,14 @@ class _Places(dict):
 
 
 class ChunkBuilder:
-    """Gathers documents and turns them into the chunk's rows."""
+    """Gathers documents and turns them into a chunk's row."""
 
-    def __init__(self, ranges: int):
-        self.ranges = ranges
+    def __init__(self):
         self._new()
 
     def _new(self) -> None:
-        self.words = _Places()
-        self.words[END], self.words[BEGIN]  # places 0 and 1
+        self.places = _Places()
+        self.places[END], self.places[BEGIN]  # places 0 and 1
         self.docs: list[tuple[int | None, int]] = []
         self.tokens: list[np.ndarray] = []
         self.size = 0
@@ -125,75 +137,41 @@ class ChunkBuilder:
     def add(self, doc_id: int | None, fold_: int, text: bytes) -> None:
         words = text.lower().split()
         ids = np.zeros(len(words) + 1, np.int32)  # the last one stays END
-        ids[:-1] = np.fromiter(map(self.words.__getitem__, words), np.int32, len(words))
+        ids[:-1] = np.fromiter(map(self.places.__getitem__, words), np.int32, len(words))
         self.docs.append((doc_id, fold_))
         self.tokens.append(ids)
         self.size += len(ids)
 
-    def rows(self, chunk: int) -> Iterator[dict]:
-        """One row per hash range with the chunk's keys and counts, then one
-        with its documents."""
+    def row(self, chunk: int) -> dict:
+        """The chunk; frequent words get small places, which store well."""
         import xxhash
 
-        n_words = len(self.words)
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, n_words)
-        word = np.concatenate(self.tokens)
-        lengths = np.fromiter(map(len, self.tokens), np.int64, len(self.tokens))
-        context = np.empty_like(word)
-        context[1:] = word[:-1]
-        context[np.cumsum(lengths) - lengths] = 1  # BEGIN
-        pairs, pair = np.unique(context.astype(np.int64) * n_words + word, return_inverse=True)
-        pair_context, pair_word = (pairs // n_words).astype(np.int32), (pairs % n_words).astype(np.int32)
-        folds = np.fromiter((f for _, f in self.docs), np.int64, len(self.docs))
-        of = np.repeat(folds, lengths)
-        tune, kept = of == TUNE_FOLD, (of != TUNE_FOLD) & (of != HELD_OUT_FOLD)
-        count = {name: (np.bincount(word[m], minlength=n_words), np.bincount(pair[m], minlength=len(pairs)))
-                 for name, m in (("kept", kept), ("tune", tune))}
-        keys = np.concatenate([hashes, mixed(hashes[pair_context], hashes[pair_word])])
-        is_word = np.arange(len(keys)) < n_words
-        order = np.argsort(keys, kind="stable")
-        place = np.empty(len(keys), np.int32)
-        place[order] = np.arange(len(keys))
-        keys, is_word = keys[order], is_word[order]
-        totals = {k: np.concatenate(v)[order].astype(np.uint32) for k, v in count.items()}
-        edges = np.searchsorted(range_of(keys, self.ranges), np.arange(self.ranges + 1))
-        for r in range(self.ranges):
-            a, b = int(edges[r]), int(edges[r + 1])
-            if a < b:
-                yield {"chunk": chunk, "range": r, "keys": sorted_planes(keys[a:b]),
-                       "word": np.packbits(is_word[a:b]).tobytes(),
-                       **{k: planes(v[a:b]) for k, v in totals.items()}}
-        yield {"chunk": chunk, "doc_ids": [d for d, _ in self.docs], "folds": folds.tolist(),
-               "n_tokens": lengths.tolist(), "token": planes(pair.astype(np.int32)),
-               "pair_key": planes(place[n_words:]), "pair_context": planes(place[:n_words][pair_context]),
-               "pair_word": planes(place[:n_words][pair_word]),
-               "pair_tune": planes(count["tune"][1].astype(np.uint32))}
+        n = len(self.places)
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.places), np.uint64, n)
+        tokens = np.concatenate(self.tokens)
+        often = np.bincount(tokens, minlength=n)
+        order = np.concatenate([[0, 1], 2 + np.argsort(-often[2:], kind="stable")])
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        out = {"chunk": chunk, "doc_ids": [d for d, _ in self.docs], "folds": [f for _, f in self.docs],
+               "n_tokens": [len(t) for t in self.tokens], "words": planes(hashes[order]),
+               "tokens": planes(place[tokens])}
         self._new()
+        return out
 
 
-def range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
-    """Ranges of equal width over the 64 bits, in key order."""
-    return ((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
-
-
-def chunks(docs: DataFrame, ranges: int, chunk_tokens: int = CHUNK) -> DataFrame:
+def chunks(docs: DataFrame, chunk_tokens: int = CHUNK) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId() << 32
-        build, n = ChunkBuilder(ranges), 0
-
-        def done() -> Iterator[pa.RecordBatch]:
-            nonlocal n
-            for row in build.rows(part + n):
-                yield pa.RecordBatch.from_pylist([row], schema=CHUNK_SCHEMA)
-            n += 1
-
+        build, n = ChunkBuilder(), 0
         for batch in batches:
-            for doc_id, fold_, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                build.add(doc_id, fold_, text)
+            for doc_id, fold_, text in zip(*(batch.column(i) for i in range(3))):
+                build.add(doc_id.as_py(), fold_.as_py(), text.as_py())
                 if build.size >= chunk_tokens:
-                    yield from done()
+                    yield pa.RecordBatch.from_pylist([build.row(part + n)], schema=CHUNK_SCHEMA)
+                    n += 1
         if build.docs:
-            yield from done()
+            yield pa.RecordBatch.from_pylist([build.row(part + n)], schema=CHUNK_SCHEMA)
 
     rows = docs.select(
         col(docs, "doc_id").cast("long").alias("doc_id"), fold(col(docs, "doc_id")).alias("fold"),
@@ -201,97 +179,159 @@ def chunks(docs: DataFrame, ranges: int, chunk_tokens: int = CHUNK) -> DataFrame
     return rows.mapInArrow(run, CHUNK_TYPE)
 
 
-def summed(cut: DataFrame) -> DataFrame:
-    """chunk, range, kept, tune: the corpus totals of every chunk's keys, in
-    their order; n_words: distinct training words of the range, on one row."""
-    schema = pa.schema([("chunk", pa.int64()), ("range", pa.int32()), ("kept", pa.binary()),
-                        ("tune", pa.binary()), ("n_words", pa.int64())])
+class Chunk:
+    """A stored chunk's distinct words and bigrams, both sorted by key."""
+
+    def __init__(self, row: dict, pair_bits: int):
+        hashes = unplanes(row["words"])
+        order = np.argsort(hashes, kind="stable")
+        self.words = hashes[order]
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.begin = place[1]
+        self.word = place[unplanes(row["tokens"]).astype(np.int64)]
+        self.lengths = np.array(row["n_tokens"], np.int64)
+        self.folds = np.array(row["folds"], np.int64)
+        context = np.empty_like(self.word)
+        context[1:] = self.word[:-1]
+        context[np.cumsum(self.lengths) - self.lengths] = self.begin
+        pairs, pair = np.unique(context * len(order) + self.word, return_inverse=True)
+        u, w = pairs // len(order), pairs % len(order)
+        keys = mixed(self.words[u], self.words[w]) >> np.uint64(64 - pair_bits)
+        sort = np.argsort(keys, kind="stable")
+        self.pairs, self.pair_context, self.pair_word = keys[sort], u[sort], w[sort]
+        back = np.empty(len(sort), np.int64)
+        back[sort] = np.arange(len(sort))
+        self.pair = back[pair]
+
+    def counted(self, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of words and of bigrams among the tokens of ``mask``."""
+        return (np.bincount(self.word[mask], minlength=len(self.words)),
+                np.bincount(self.pair[mask], minlength=len(self.pairs)))
+
+    def of(self, *folds: int) -> np.ndarray:
+        return np.isin(np.repeat(self.folds, self.lengths), folds)
+
+
+KEPT_FOLDS = tuple(f for f in range(FOLDS) if f not in (HELD_OUT_FOLD, TUNE_FOLD))
+KINDS = ("word", "pair")
+COUNTED = [f"{kind}_{name}" for kind in KINDS for name in ("kept", "tune")]
+
+
+def range_edges(keys: np.ndarray, bits: int, ranges: int) -> np.ndarray:
+    """Where ranges of equal width over ``bits``-bit sorted keys begin."""
+    top = keys >> np.uint64(bits - 32) if bits >= 32 else keys << np.uint64(32 - bits)
+    return np.searchsorted((top * np.uint64(ranges)) >> np.uint64(32), np.arange(ranges + 1))
+
+
+def key_rows(cut: DataFrame, ranges: int, pair_bits: int) -> DataFrame:
+    """chunk, range, sorted word and pair keys, and their counts in the chunk."""
+    schema = pa.schema([("chunk", pa.int64()), ("range", pa.int32())]
+                       + [(n, pa.binary()) for n in ("words", "pairs", *COUNTED)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(len(batch)):
+                row = batch.slice(at, 1).to_pylist()[0]
+                c = Chunk(row, pair_bits)
+                kept, tune = c.counted(c.of(*KEPT_FOLDS)), c.counted(c.of(TUNE_FOLD))
+                edges = [range_edges(c.words, 64, ranges), range_edges(c.pairs, pair_bits, ranges)]
+                for r in range(ranges):
+                    (a, b), (x, y) = ((int(e[r]), int(e[r + 1])) for e in edges)
+                    if a < b or x < y:
+                        yield pa.RecordBatch.from_pylist([{
+                            "chunk": row["chunk"], "range": r, "words": sorted_planes(c.words[a:b]),
+                            "pairs": sorted_planes(c.pairs[x:y]), "word_kept": counts(kept[0][a:b]),
+                            "word_tune": counts(tune[0][a:b]), "pair_kept": counts(kept[1][x:y]),
+                            "pair_tune": counts(tune[1][x:y])}], schema=schema)
+
+    columns = ["chunk", "folds", "n_tokens", "words", "tokens"]
+    return cut.select(*columns).mapInArrow(
+        run, "chunk long, range int, words binary, pairs binary, " + ", ".join(f"{n} binary" for n in COUNTED))
+
+
+def summed(rows: DataFrame) -> DataFrame:
+    """chunk, range and the corpus totals of every chunk's keys, in their
+    order; n_words: distinct training words of the range, on one row."""
+    schema = pa.schema([("chunk", pa.int64()), ("range", pa.int32())]
+                       + [(n, pa.binary()) for n in COUNTED] + [("n_words", pa.int64())])
 
     def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        keys = [from_sorted_planes(r["keys"]) for r in rows]
-        ends = np.cumsum([len(k) for k in keys])
-        distinct, where = np.unique(np.concatenate(keys), return_inverse=True)
-        total = {}
-        for name in ("kept", "tune"):
-            of = np.concatenate([unplanes(r[name], np.uint32) for r in rows])
-            total[name] = np.bincount(where, weights=of, minlength=len(distinct)).astype(np.uint64)
-        is_word = np.concatenate([np.unpackbits(np.frombuffer(r["word"], np.uint8), count=len(k))
-                                  for r, k in zip(rows, keys)]).astype(bool)
-        words = np.zeros(len(distinct), bool)
-        words[where[is_word]] = True
-        n_words = int((words & (total["kept"] + total["tune"] > 0)).sum())
-        out = []
-        for i, r in enumerate(rows):
-            at = where[ends[i] - len(keys[i]):ends[i]]
-            out.append({"chunk": r["chunk"], "range": r["range"], "n_words": n_words if i == 0 else 0,
-                        **{k: planes(v[at]) for k, v in total.items()}})
-        return pa.Table.from_pylist(out, schema=schema)
-
-    return (cut.where("range is not null").select("chunk", "range", "keys", "word", "kept", "tune")
-            .groupBy("range").applyInArrow(
-                run, "chunk long, range int, kept binary, tune binary, n_words long"))
-
-
-class Scored:
-    """A chunk with the totals of its keys."""
-
-    def __init__(self, state: dict, totals: list[dict]):
+        got = table.select(["chunk", "range"]).to_pylist()
+        n_words = 0
+        for kind in KINDS:
+            keys = [from_sorted_planes(k.as_py()) for k in table.column(f"{kind}s")]
+            ends = np.cumsum([len(k) for k in keys])
+            distinct, where = np.unique(np.concatenate(keys), return_inverse=True)
+            train = np.zeros(len(distinct))
+            for name in (f"{kind}_kept", f"{kind}_tune"):
+                own = np.concatenate([uncounts(x.as_py()) for x in table.column(name)])
+                total = np.bincount(where, weights=own, minlength=len(distinct))
+                train += total
+                for r, k, e in zip(got, keys, ends):
+                    r[name] = counts(total[where[e - len(k):e]])
+            if kind == "word":
+                n_words = int((train > 0).sum())
+        for i, r in enumerate(got):
+            r["n_words"] = n_words if i == 0 else 0
+        return pa.Table.from_pylist(got, schema=schema)
+
+    return rows.groupBy("range").applyInArrow(
+        run, "chunk long, range int, " + ", ".join(f"{n} binary" for n in COUNTED) + ", n_words long")
+
+
+class Scored(Chunk):
+    """A chunk with the corpus totals of its words and bigrams."""
+
+    def __init__(self, row: dict, totals: list[dict], pair_bits: int):
+        super().__init__(row, pair_bits)
         totals = sorted(totals, key=lambda r: r["range"])
-        self.count = {name: np.concatenate([unplanes(r[name], np.uint64) for r in totals]).astype(np.float64)
-                      for name in ("kept", "tune")}
-        self.count["train"] = self.count["kept"] + self.count["tune"]
-        self.pair, self.context, self.word = (
-            unplanes(state[n], np.int32) for n in ("pair_key", "pair_context", "pair_word"))
-        self.state = state
-
-    def counts(self, name: str, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """c(u, w), c(u), c(w) per distinct bigram.  BEGIN is no token: as a
-        context it comes once per document, which ``n_docs`` gives."""
-        c = self.count[name]
-        context = c[self.context]
-        context[self.begins()] = n_docs
-        return c[self.pair], context, c[self.word]
-
-    def begins(self) -> np.ndarray:
-        tokens = unplanes(self.state["token"], np.int32)
-        lengths = np.array(self.state["n_tokens"], np.int64)
-        first = np.unique(tokens[np.cumsum(lengths) - lengths])
-        same = self.context == self.context[first[0]]
-        return same
+        self.total = {n: np.concatenate([uncounts(r[n]) for r in totals]).astype(np.float64) for n in COUNTED}
 
+    def counts(self, training: bool, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """c(u, w), c(u), c(w) per distinct bigram, over all training documents
+        or those kept.  BEGIN is no token: as a context it comes once per
+        document, which ``n_docs`` gives."""
+        words, pairs = self.total["word_kept"].copy(), self.total["pair_kept"].copy()
+        if training:
+            words += self.total["word_tune"]
+            pairs += self.total["pair_tune"]
+        context = words[self.pair_context]
+        context[self.pair_context == self.begin] = n_docs
+        return pairs, context, words[self.pair_word]
 
-def _together(cut: DataFrame, totals: DataFrame, fn, schema: str, columns: list[str]) -> DataFrame:
-    """``fn(Scored)`` -> pa.Table for every chunk."""
-    state = cut.where("range is null").select("chunk", *columns)
 
-    def run(state_: pa.Table, totals_: pa.Table) -> pa.Table:
-        return fn(Scored(state_.to_pylist()[0], totals_.to_pylist()))
+def _together(cut: DataFrame, totals: DataFrame, pair_bits: int, fn, schema: str, columns: list[str]) -> DataFrame:
+    """``fn(row, Scored)`` -> pa.Table for every chunk."""
+    def run(state: pa.Table, totals_: pa.Table) -> pa.Table:
+        row = state.to_pylist()[0]
+        return fn(row, Scored(row, totals_.to_pylist(), pair_bits))
 
-    return state.groupBy("chunk").cogroup(
-        totals.select("chunk", "range", "kept", "tune").groupBy("chunk")).applyInArrow(run, schema)
+    return cut.select(*columns).groupBy("chunk").cogroup(
+        totals.select("chunk", "range", *COUNTED).groupBy("chunk")).applyInArrow(run, schema)
 
 
 # ---- weights --------------------------------------------------------------
 
-def deleted_counts(cut: DataFrame, totals: DataFrame, n_docs: int) -> DataFrame:
+def deleted_counts(cut: DataFrame, totals: DataFrame, pair_bits: int, n_docs: int) -> DataFrame:
     """c_pair, c_context, c_word, bucket, n: how often bigrams with these
     remaining counts occur in the deleted part.  The context's count only
     matters through its bucket where the pair is unseen."""
     schema = pa.schema([(n, pa.int64()) for n in ("c_pair", "c_context", "c_word", "bucket", "n")])
 
-    def fn(s: Scored) -> pa.Table:
-        times = unplanes(s.state["pair_tune"], np.uint32).astype(np.int64)
+    def fn(row: dict, s: Scored) -> pa.Table:
+        times = s.counted(s.of(TUNE_FOLD))[1]
         some = times > 0
-        c2, cu, cw = (x[some].astype(np.int64) for x in s.counts("kept", n_docs))
+        c2, cu, cw = (x[some].astype(np.int64) for x in s.counts(False, n_docs))
         bucket = frequency_bucket(cu)
         rows, where = np.unique(np.column_stack([c2, np.where(c2 > 0, cu, 0), cw, bucket]),
                                 axis=0, return_inverse=True)
         n = np.bincount(where.ravel(), weights=times[some], minlength=len(rows)).astype(np.int64)
         return pa.table([*(pa.array(rows[:, i]) for i in range(4)), pa.array(n)], schema=schema)
 
-    columns = ["n_tokens", "token", "pair_key", "pair_context", "pair_word", "pair_tune"]
-    rows = _together(cut, totals, fn, "c_pair long, c_context long, c_word long, bucket long, n long", columns)
+    rows = _together(cut, totals, pair_bits, fn,
+                     "c_pair long, c_context long, c_word long, bucket long, n long",
+                     ["chunk", "folds", "n_tokens", "words", "tokens"])
     return rows.groupBy("c_pair", "c_context", "c_word", "bucket").agg(F.sum("n").alias("n"))
 
 
@@ -335,40 +375,37 @@ def learned_weights(counts: DataFrame, n_tokens: int, n_words: int,
 
 def scores(docs: DataFrame, chunk_tokens: int = CHUNK) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    size = docs.agg(F.sum(F.octet_length(col(docs, "text")))).first()[0] or 0
-    ranges = max(1, -(-int(size) // RANGE_BYTES))
-    cut = stored(chunks(docs, ranges, chunk_tokens), "lm-chunks")
-    totals = stored(summed(cut), "lm-totals")
-    per_doc = cut.where("range is null").select(
-        F.explode(F.arrays_zip("folds", "n_tokens")).alias("d")).select("d.folds", "d.n_tokens")
+    cut = stored(chunks(docs, chunk_tokens), "lm-chunks")
+    per_doc = cut.select(F.explode(F.arrays_zip("folds", "n_tokens")).alias("d")).select("d.folds", "d.n_tokens")
     training, keeping = F.col("folds") != HELD_OUT_FOLD, ~F.col("folds").isin(HELD_OUT_FOLD, TUNE_FOLD)
     seen = per_doc.agg(*[F.coalesce(F.sum(F.when(m, x)), F.lit(0)).alias(n) for n, m, x in (
-        ("tokens", training, F.col("n_tokens")), ("docs", training, F.lit(1)),
-        ("kept_tokens", keeping, F.col("n_tokens")), ("kept_docs", keeping, F.lit(1)))]).first()
+        ("every", F.lit(True), F.col("n_tokens")), ("tokens", training, F.col("n_tokens")),
+        ("docs", training, F.lit(1)), ("kept_tokens", keeping, F.col("n_tokens")),
+        ("kept_docs", keeping, F.lit(1)))]).first()
+    ranges = max(1, -(-int(seen["every"]) // RANGE_TOKENS))
+    pair_bits = min(64, int(seen["every"]).bit_length() + SPARE_BITS)
+    totals = stored(summed(key_rows(cut, ranges, pair_bits)), "lm-totals")
     n_words = totals.agg(F.sum("n_words")).first()[0] or 0
-    deleted = stored(deleted_counts(cut, totals, seen["kept_docs"]), "lm-deleted")
+    deleted = stored(deleted_counts(cut, totals, pair_bits, seen["kept_docs"]), "lm-deleted")
     weights = learned_weights(deleted, seen["kept_tokens"], n_words)
     n_tokens, n_docs = int(seen["tokens"]), int(seen["docs"])
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                         ("n_known", pa.int64()), ("train_tokens", pa.int64()),
                         ("base_score", pa.float64()), ("score", pa.float64())])
 
-    def fn(s: Scored) -> pa.Table:
-        c2, cu, cw = s.counts("train", n_docs)
+    def fn(row: dict, s: Scored) -> pa.Table:
+        c2, cu, cw = s.counts(True, n_docs)
         a = weights[frequency_bucket(cu)]
         p = a[:, 0] * c2 / np.maximum(cu, 1) + a[:, 1] * cw / max(n_tokens, 1) + a[:, 2] / (n_words + 1)
         per_pair = {"score": np.log10(p), "n_known": (cw > 0).astype(np.float64),
                     "base_score": np.log10((cw + 1) / (n_tokens + n_words + 1))}
-        tokens = unplanes(s.state["token"], np.int32)
-        lengths = np.array(s.state["n_tokens"], np.int64)
-        start = np.cumsum(lengths) - lengths  # every text has at least its end
-        sums = {k: np.add.reduceat(v[tokens], start) for k, v in per_pair.items()}
+        start = np.cumsum(s.lengths) - s.lengths  # every text has at least its end
+        sums = {k: np.add.reduceat(v[s.pair], start) for k, v in per_pair.items()}
         return pa.table([
-            pa.array(s.state["doc_ids"], pa.int64()),
-            pa.array([f == HELD_OUT_FOLD for f in s.state["folds"]]), pa.array(lengths),
-            pa.array(sums["n_known"].astype(np.int64)), pa.array(np.full(len(lengths), n_tokens)),
+            pa.array(row["doc_ids"], pa.int64()), pa.array(s.folds == HELD_OUT_FOLD), pa.array(s.lengths),
+            pa.array(sums["n_known"].astype(np.int64)), pa.array(np.full(len(s.lengths), n_tokens)),
             pa.array(sums["base_score"]), pa.array(sums["score"])], schema=schema)
 
-    columns = ["doc_ids", "folds", "n_tokens", "token", "pair_key", "pair_context", "pair_word"]
-    return _together(cut, totals, fn, "doc_id long, held_out boolean, n_tokens long, n_known long, "
-                     "train_tokens long, base_score double, score double", columns)
+    return _together(cut, totals, pair_bits, fn, "doc_id long, held_out boolean, n_tokens long, n_known long, "
+                     "train_tokens long, base_score double, score double",
+                     ["chunk", "doc_ids", "folds", "n_tokens", "words", "tokens"])

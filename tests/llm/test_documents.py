@@ -449,8 +449,9 @@ def test_lm_odd_rows(odd, none):
 
 def test_planes_round_trip():
     rng = np.random.default_rng(0)
-    for dtype in (np.uint64, np.uint32, np.int32):
-        x = rng.integers(0, 1000, 77).astype(dtype)
-        assert (lm.unplanes(lm.planes(x), dtype) == x).all()
-    keys = np.sort(rng.integers(0, 2**63, 100).astype(np.uint64))
-    assert (lm.from_sorted_planes(lm.sorted_planes(keys)) == keys).all()
+    for top in (1, 200, 70_000, 2**40, 2**63):
+        x = rng.integers(0, top, 77).astype(np.uint64)
+        assert (lm.unplanes(lm.planes(x)) == x).all() and (lm.uncounts(lm.counts(x)) == x).all()
+        assert (lm.from_sorted_planes(lm.sorted_planes(np.sort(x))) == np.sort(x)).all()
+    assert len(lm.unplanes(lm.planes(np.zeros(0, np.uint64)))) == 0
+    assert lm.range_edges(np.array([0, 2**47, 2**48 - 1], np.uint64), 48, 2).tolist() == [0, 1, 3]
