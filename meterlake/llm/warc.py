@@ -78,12 +78,13 @@ def record_id(kind: str, page_id: Column, digest: Column, copy: Column) -> Colum
 def records(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
     """One row per WARC record, column ``record``, of pages (page_id, url,
     payload string)."""
-    rows = pages.withColumn("digest", F.sha2("payload", 256))
-    held = holders(pages, min_revisit).select(F.col("page_id").alias("_id"), F.col("digest").alias("_digest"),
-                                              "holder", F.lit(True).alias("shared"))
-    rows = rows.join(held, rows["page_id"].eqNullSafe(held["_id"]) & (rows["digest"] == held["_digest"]),
-                     "left").drop("_id", "_digest")
-    copy = F.row_number().over(Window.partitionBy("page_id", "digest").orderBy("url"))
+    # One text key for id and digest, never null: the join and the window below
+    # then share one shuffle of the payloads.
+    key = F.concat_ws(":", F.coalesce(F.col("page_id").cast("string"), F.lit("null")), F.col("digest"))
+    rows = pages.withColumn("digest", F.sha2("payload", 256)).withColumn("key", key)
+    held = holders(pages, min_revisit).select(key.alias("key"), "holder", F.lit(True).alias("shared"))
+    rows = rows.join(held, "key", "left")
+    copy = F.row_number().over(Window.partitionBy("key").orderBy("url"))
     rows = rows.withColumn("copy", copy)
     pid, digest, first = F.col("page_id"), F.col("digest"), F.lit(1)
     holds = pid.eqNullSafe(F.col("holder")) & (F.col("copy") == 1)
