@@ -9,8 +9,10 @@ from __future__ import annotations
 import os
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CACHE_WORDS = 700_000
+CACHE_WORDS = 500_000
 TOKENIZER_FILE = "word_bpe_49k.json"
 
 
@@ -139,14 +141,13 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def slices(texts: list[bytes | None], max_bytes: int = 4 << 20):
-    """Runs of texts of about ``max_bytes``, so arrays stay small whatever the
-    batch; a longer text is a run by itself."""
+def slices(texts: pa.Array, max_bytes: int = 4 << 20):
+    """(start, stop, texts) of runs of about ``max_bytes``, so that arrays stay
+    small whatever the batch; a longer text is a run by itself."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
     start, size = 0, 0
-    for i, t in enumerate(texts):
-        if i > start and size + len(t or b"") > max_bytes:
-            yield start, i
+    for i, n in enumerate([*sizes, max_bytes + 1]):
+        if i > start and size + n > max_bytes:
+            yield start, i, texts.slice(start, i - start).to_pylist()
             start, size = i, 0
-        size += len(t or b"")
-    if start < len(texts):
-        yield start, len(texts)
+        size += n

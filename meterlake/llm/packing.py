@@ -48,9 +48,8 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_id: int =
         seen = np.zeros(size + 1, np.int64)
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            texts = batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                flat, n = enc.ids(texts[a:b])
+            for a, b, texts in slices(batch.column(1)):
+                flat, n = enc.ids(texts)
                 total = n + 1
                 ends = np.cumsum(total)
                 ids = np.full(int(ends[-1]), end_id, np.int32)

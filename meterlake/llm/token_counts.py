@@ -27,12 +27,10 @@ def counted(docs: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for batch in batches:
-            texts = batch.column(5).to_pylist()
-            for a, b in slices(texts):
+            for a, b, texts in slices(batch.column(5)):
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(i) for i in range(5)] + [pa.array(enc.lengths(texts[a:b]))],
-                    schema=schema)
+                    [part.column(i) for i in range(5)] + [pa.array(enc.lengths(texts))], schema=schema)
 
     text = F.coalesce(col(docs, "text"), F.lit(""))
     return docs.select(
