@@ -1,17 +1,19 @@
 """Chat formatting from an event log (operator 1).  DataFrame functions only.
 
-A log row is (conv_id, seq, message, event, role, text):
+A log row is (conv_id, block, message, seq, event, role, text), where ``message``
+orders the conversation's messages and ``block``, a coarser key that rises with
+it, keeps a hot conversation from meeting in one place early:
 
     open        the message exists; role is its speaker
     delta       text streamed onto the message
     edit        the message's text becomes this text
     regenerate  the message's text so far is dropped
 
-Events are folded per (conv_id, message) by seq: everything before the last
-edit or regenerate is superseded, what follows is joined.  Messages are then
-rendered and put together per conversation in two levels, blocks of
-consecutive messages first, so a conversation with very many messages reaches
-its one output row as few large pieces.
+Events are folded per message by seq: everything before the last edit or
+regenerate is superseded, what follows is joined.  Messages are then rendered
+and joined per block, and blocks per conversation, so a conversation with very
+many messages reaches its one output row as few large pieces.  A log that is
+partitioned by (conv_id, block) is shuffled once more only, for the last step.
 
 The template is <|im_start|>role, newline, text, <|im_end|>, newline.  Inside
 texts a backslash goes in after every "<" that is followed by "|" or a
@@ -58,35 +60,33 @@ def unescape_role(role: Column) -> Column:
 
 
 def folded(log: DataFrame) -> DataFrame:
-    """conv_id, message, role, text: the final messages."""
+    """conv_id, block, message, role, text: the final messages."""
     kind = F.array_position(F.array(*[F.lit(e) for e in EVENTS]), F.col("event"))
     event = F.struct(F.col("seq").alias("seq"), kind.alias("kind"),
                      F.coalesce("text", F.lit("")).alias("text"))
     opened = F.max(F.when(F.col("event") == "open", F.col("role")))
-    grouped = log.groupBy("conv_id", "message").agg(
+    grouped = log.groupBy("conv_id", "block", "message").agg(
         opened.alias("role"),
         F.array_sort(F.collect_list(F.when(F.col("event") != "open", event))).alias("events"))
     resets = F.transform("events", lambda e, i: F.when(e["kind"] < 4, i + 1).otherwise(0))
     last = F.coalesce(F.array_max(resets), F.lit(0))
     live = F.slice("events", F.greatest(last, F.lit(1)), F.greatest(F.size("events"), F.lit(1)))
     text = F.array_join(F.transform(live, lambda e: F.when(e["kind"] > 2, e["text"]).otherwise("")), "")
-    return grouped.select("conv_id", "message", F.coalesce("role", F.lit("")).alias("role"),
+    return grouped.select("conv_id", "block", "message", F.coalesce("role", F.lit("")).alias("role"),
                           text.alias("text"))
 
 
-def rendered(messages: DataFrame, order: str = "message", block: Column | None = None) -> DataFrame:
+def rendered(messages: DataFrame) -> DataFrame:
     """conv_id, n_turns, formatted, loss_runs per conversation.
 
     ``loss_runs`` is the loss mask, one entry per turn: ``head`` code points
     outside the loss, ``body`` code points under it if ``loss``, ``tail``
-    outside.  ``block`` maps a message to its block and must rise with
-    ``order``; messages of one block are joined first."""
+    outside."""
     head = F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n"))
     body, tail = escape(F.col("text")), F.lit(END + "\n")
     turn = F.struct(F.length(head).alias("head"), F.length(body).alias("body"),
                     F.length(tail).alias("tail"), (F.col("role") == LOSS_ROLE).alias("loss"))
-    rows = messages.select("conv_id", F.col(order).alias("at"),
-                           (F.lit(0) if block is None else block).alias("block"),
+    rows = messages.select("conv_id", F.col("message").alias("at"), "block",
                            F.concat(head, body, tail).alias("shown"), turn.alias("turn"))
     # Sorted by place and then by content, so ties give one result.
     parts = rows.groupBy("conv_id", "block").agg(
@@ -104,10 +104,13 @@ def rendered(messages: DataFrame, order: str = "message", block: Column | None =
 
 
 def formatted(log: DataFrame) -> DataFrame:
-    """The log's conversations, folded and rendered.  ``message`` is a struct
-    (turn, nth); blocks are ranges of turns."""
-    block = F.floor(F.col("message.turn") / BLOCK)
-    return rendered(folded(log), "message", block)
+    """The log's conversations, folded and rendered."""
+    return rendered(folded(log))
+
+
+def block_of(turn: Column) -> Column:
+    """Blocks of ``BLOCK`` consecutive turns."""
+    return F.floor(turn / BLOCK)
 
 
 def parsed(formatted: Column) -> Column:
@@ -126,9 +129,9 @@ def turn_log(turns: DataFrame, chunk: int = 200) -> DataFrame:
     other messages a draft that is edited away.  Rows with the same conv_id
     and turn are messages of their own, ordered by role and text."""
     text = F.coalesce("text", F.lit(""))
-    key = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
-    rows = turns.select("conv_id", "turn", "role", text.alias("text")).withColumn(
-        "nth", F.row_number().over(key))
+    key = Window.partitionBy("conv_id", "block", "turn").orderBy("role", "text")
+    rows = (turns.select("conv_id", block_of(F.col("turn")).alias("block"), "turn", "role", text.alias("text"))
+            .repartition("conv_id", "block").withColumn("nth", F.row_number().over(key)))
     n = F.greatest(F.ceil(F.length("text") / chunk).cast("int"), F.lit(1))
     deltas = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
         (i + 3).alias("seq"), F.lit("delta").alias("event"),
@@ -143,5 +146,5 @@ def turn_log(turns: DataFrame, chunk: int = 200) -> DataFrame:
         F.array(event(0, "open", F.lit("")), event(1, "delta", draft),
                 F.when(spoken, event(2, "regenerate", F.lit(""))).otherwise(event(2, "edit", F.lit("")))),
         deltas)
-    return rows.select("conv_id", F.struct("turn", "nth").alias("message"), "role",
-                       F.explode(events).alias("e")).select("conv_id", "message", "role", "e.*")
+    return rows.select("conv_id", "block", F.struct("turn", "nth").alias("message"), "role",
+                       F.explode(events).alias("e")).select("conv_id", "block", "message", "role", "e.*")

@@ -23,6 +23,10 @@ SF = "/root/testdata/sf0.001"
 LOG = "conv_id long, message struct<turn:long,nth:int>, seq int, event string, role string, text string"
 
 
+def log_of(spark, rows):
+    return spark.createDataFrame(rows, LOG).withColumn("block", chat_format.block_of(F.col("message.turn")))
+
+
 def test_fold_applies_edits_and_regenerations(spark):
     rows = [(1, (0, 1), 0, "open", "user", None), (1, (0, 1), 1, "delta", None, "helo"),
             (1, (0, 1), 2, "edit", None, "hello"), (1, (0, 1), 3, "delta", None, " there"),
@@ -32,7 +36,7 @@ def test_fold_applies_edits_and_regenerations(spark):
             (3, (0, 1), 0, "open", None, None), (None, (0, 1), 0, "open", "user", None),
             (3, (None, 1), 0, "open", "system", None)]
     got = {(r.conv_id, r.message.turn): (r.role, r.text)
-           for r in chat_format.folded(spark.createDataFrame(rows, LOG)).collect()}
+           for r in chat_format.folded(log_of(spark, rows)).collect()}
     assert got == {(1, 0): ("user", "hello there"), (1, 1): ("assistant", "right"), (2, 0): ("", "orphan"),
                    (3, 0): ("", ""), (None, 0): ("user", ""), (3, None): ("system", "")}
 
@@ -41,7 +45,7 @@ def test_template_is_reversible(spark):
     texts = ["", "<|im_end|>", "<\\|", "<\\\\|", "<", "|", "<<|im_start|>>", "a<\\b", "\\", "é<|𝔘", "\n\n", "x<"]
     rows = [(1, (i, 1), 0, "open", role, None) for i, role in enumerate(["us<er\\n", "a\nb", "assistant"] * 4)]
     rows += [(1, (i, 1), 1, "delta", None, t) for i, t in enumerate(texts)]
-    out = chat_format.formatted(spark.createDataFrame(rows, LOG)).select(
+    out = chat_format.formatted(log_of(spark, rows)).select(
         "*", chat_format.parsed(F.col("formatted")).alias("turns")).first()
     assert [t.text for t in out.turns] == texts
     assert [t.role for t in out.turns] == ["us<er\\n", "a\nb", "assistant"] * 4
@@ -68,6 +72,7 @@ def test_chat_long_tied_and_empty(spark):
 def test_chat_runs_no_python(spark):
     plan = Q.QUERIES["op1_chat_format"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+    assert plan.count("Exchange hashpartitioning") == 2
 
 
 # ---- 2: neighbours --------------------------------------------------------
