@@ -126,33 +126,35 @@ def requests_from_meter(clean: DataFrame, per_request: int = 10, bad_every: int
                 F.transform("items", lambda x: x.getField("rec")).alias("data"))).alias("body")))
 
 
-def _typed_record(r: Column) -> tuple[Column, Column]:
-    """(typed record, failed checks) of one raw record.  Numbers may come as
-    JSON numbers or numeric text, NSM as an integral float; the CO2 value under
-    either name (the first wins)."""
-    raw = {f: r[f] for f in API_FIELDS}
-    raw[CO2_FIELD] = F.coalesce(r[CO2_FIELD], r[CO2_ALIAS])
-    value, checks = {}, []
+def _typed(r: Column) -> Column:
+    """The typed record of one raw one.  Numbers may come as JSON numbers or
+    numeric text, NSM as an integral float; the CO2 value under either name
+    (the first wins)."""
+    out = []
     for f in RECORD_TYPE.fields:
-        x = raw[f.name]
+        x = F.coalesce(r[CO2_FIELD], r[CO2_ALIAS]) if f.name == CO2_FIELD else r[f.name]
         if isinstance(f.dataType, T.DoubleType):
-            value[f.name] = X.to_double_or_null(x)
+            x = X.to_double_or_null(x)
         elif isinstance(f.dataType, T.IntegerType):
             v = X.to_double_or_null(x)
-            value[f.name] = F.when(v == F.floor(v), v.try_cast("int"))
-        else:
-            value[f.name] = x
+            x = F.when(v == F.floor(v), v.try_cast("int"))
+        out.append(x.alias(f.name))
+    return F.struct(*out)
+
+
+def _reasons(t: Column, r: Column) -> Column:
+    """Failed checks of a typed record ``t`` and its raw form ``r``."""
+    checks = []
     for f in REQUEST_REQUIRED:
-        checks.append(F.when(raw[f].isNull(), F.lit(f"{f}:missing"))
-                      .when(value[f].isNull(), F.lit(f"{f}:invalid_type")))
+        raw = F.coalesce(r[CO2_FIELD], r[CO2_ALIAS]) if f == CO2_FIELD else r[f]
+        checks.append(F.when(raw.isNull(), F.lit(f"{f}:missing")).when(t[f].isNull(), F.lit(f"{f}:invalid_type")))
     for rule in REQUEST_RANGES:
-        checks.append(F.when(~value[rule.field].between(rule.lo, rule.hi), F.lit(f"{rule.field}:out_of_range")))
+        checks.append(F.when(~t[rule.field].between(rule.lo, rule.hi), F.lit(f"{rule.field}:out_of_range")))
     for f, allowed in REQUEST_ENUMS.items():
-        checks.append(F.when(~value[f].isin(*allowed), F.lit(f"{f}:invalid")))
-    checks.append(F.when(raw["date"].isNotNull() & X.to_timestamp_or_null(raw["date"], *DATE_FORMATS).isNull(),
+        checks.append(F.when(~t[f].isin(*allowed), F.lit(f"{f}:invalid")))
+    checks.append(F.when(r["date"].isNotNull() & X.to_timestamp_or_null(r["date"], *DATE_FORMATS).isNull(),
                          F.lit("date:unparsable")))
-    record = F.struct(*[value[f].alias(f) for f in API_FIELDS])
-    return record, F.array_compact(F.array(*checks))
+    return F.array_compact(F.array(*checks))
 
 
 def parse_requests(requests: DataFrame, body: str = "body") -> DataFrame:
@@ -161,16 +163,11 @@ def parse_requests(requests: DataFrame, body: str = "body") -> DataFrame:
     the array, without a shuffle; a body whose size is out of bounds is turned
     down before its records are looked at (``records`` stays as decoded)."""
     parsed = requests.select("request_id", F.from_json(F.col(body), REQUEST_TYPE).getField("data").alias("raw"))
-    sized = parsed.select("request_id", "raw", F.greatest(F.coalesce(F.size("raw"), F.lit(0)), F.lit(0))
-                          .alias("n_records"))
-    both = sized.withColumn("checked", F.transform("raw", lambda r: F.struct(
-        _typed_record(r)[0].alias("record"),
-        F.when(F.col("n_records") <= MAX_RECORDS, _typed_record(r)[1]).alias("reasons"))))
-    size_ok = F.col("n_records").between(MIN_RECORDS, MAX_RECORDS)
-    reasons = F.when(size_ok, F.array_sort(F.array_distinct(F.flatten(F.transform(
-        "checked", lambda c: c["reasons"]))))).otherwise(F.array(F.lit("data:size")))
-    return (both.select("request_id", "n_records", F.transform("checked", lambda c: c["record"]).alias("records"),
-                        reasons.alias("reasons"))
+    typed = parsed.select("request_id", "raw", F.transform("raw", _typed).alias("records"),
+                          F.greatest(F.coalesce(F.size("raw"), F.lit(0)), F.lit(0)).alias("n_records"))
+    reasons = F.when(F.col("n_records").between(MIN_RECORDS, MAX_RECORDS), F.array_sort(F.array_distinct(F.flatten(
+        F.zip_with("records", "raw", _reasons))))).otherwise(F.array(F.lit("data:size")))
+    return (typed.select("request_id", "n_records", "records", reasons.alias("reasons"))
             .withColumn("accepted", (F.size("reasons") == 0).cast("int")))
 
 
@@ -237,7 +234,10 @@ def unpack_responses(resp: DataFrame) -> DataFrame:
 
 def score_parsed(parsed: DataFrame, model, preprocessor=None, upper_case: bool = True) -> DataFrame:
     """Responses of the accepted requests of ``parse_requests``."""
-    ok = exploded(parsed.where(F.col("accepted") == 1))
+    # Not a filter on ``accepted``: pushed below the projections it would
+    # decode and check every body a second time.
+    taken = parsed.withColumn("records", F.when(F.col("accepted") == 1, F.col("records")))
+    ok = exploded(taken).where(F.col("pos").isNotNull())
     feats = request_features(ok, upper_case)
     if preprocessor is not None:
         feats = preprocessor.transform(feats, keep=("request_id", "pos"))
