@@ -1,8 +1,13 @@
 """Approximate nearest neighbours by collision counting (operator 2).
 
-Nearness is the inner product.  Vectors are scaled by the largest norm and get
-one more component that lifts them to the unit sphere; queries are scaled to
-length one.  The nearest by distance there are those of largest inner product.
+Nearness is the inner product.  Blocks hold vectors of nearly equal norm: norms
+fall into bands ``NORM_STEP`` wide, a large band is split by id hash, and
+neighbouring bands share a block only while all its vectors are verified.
+The vectors of a block are scaled by its largest norm and get one more
+component that lifts them to the unit sphere; queries are scaled to length one.
+The nearest by distance there are those of largest inner product.  (Under one
+scale for vectors of uneven norms the shorter ones all lie near the lifting
+axis, where collisions hardly tell them apart.)
 
 Each block of vectors is hashed by ``projections`` single random projections,
 each kept as a sorted array.  A query opens a window of half-width r around
@@ -15,8 +20,9 @@ by inner products of the original vectors in double precision, and the
 block's best k kept.
 
 The stated query set meets all vectors block by block; blocks and query chunks
-have fixed sizes, so a task's memory does not grow with the data.  Block
-answers merge by a top-k that is cut on the map side.
+have fixed sizes, so a task's memory does not grow with the data; the driver
+sees one row per dimension and norm band.  Block answers merge by a top-k that
+is cut on the map side.
 
 Defined results: vectors that are null, zero, or hold null or non-finite
 components, and null ids take no part; of rows with one id the smallest
@@ -41,6 +47,7 @@ VERIFY = 0.2
 GROWTH = 1.25
 FIRST_WIDTH = 0.02
 BLOCK = 16_384
+NORM_STEP = 1.05
 CHUNK = 1_024
 SEED = 7
 
@@ -58,11 +65,12 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
 class Block:
     """Vectors of one block with their sorted projection arrays."""
 
-    def __init__(self, ids: np.ndarray, vecs: np.ndarray, max_norm: float, projections: int):
+    def __init__(self, ids: np.ndarray, vecs: np.ndarray, projections: int):
         self.ids, self.vecs = ids, vecs
         dim = vecs.shape[1]
         self.lines = np.random.default_rng([SEED, dim]).standard_normal((dim + 1, projections))
-        unit = vecs / max_norm
+        unit = vecs / np.abs(vecs).max()
+        unit /= np.sqrt(np.einsum("ij,ij->i", unit, unit).max())
         lift = np.sqrt(np.maximum(0.0, 1.0 - np.einsum("ij,ij->i", unit, unit)))
         at = np.column_stack([unit, lift]) @ self.lines
         self.order = [np.argsort(at[:, i], kind="stable") for i in range(projections)]
@@ -100,6 +108,36 @@ class Block:
         return np.arange(n)
 
 
+def with_band(vectors: DataFrame) -> DataFrame:
+    """``vectors`` with dim and band: the number of the norm band, by logarithms,
+    so that no square overflows; norm 1 is the middle of band 0."""
+    peak = F.array_max(F.transform("vec", lambda x: F.abs(x)))
+    squares = F.aggregate("vec", F.lit(0.0), lambda a, x: a + (x / F.col("peak")) * (x / F.col("peak")))
+    log_norm = F.log("peak") + F.log(squares) / 2
+    return (vectors.withColumns({"dim": F.size("vec"), "peak": peak})
+            .withColumn("band", F.floor(log_norm / float(np.log(NORM_STEP)) + 0.5)).drop("peak"))
+
+
+def norm_blocks(bands: list[tuple[int, int, int]], block: int, least: int) \
+        -> tuple[list[tuple[int, int, int, int]], list[tuple[int, int, int]]]:
+    """(dim, band, first block, blocks) of every (dim, band, vectors), and
+    (dim, first block, last block) of every dimension.  Neighbouring bands share
+    a block while it has at most ``least`` vectors."""
+    places, spans = [], {}
+    at, held, last = -1, 0, None
+    for dim, band, n in sorted(bands):
+        if dim == last and held + n <= least:
+            held += n
+            places.append((dim, band, at, 1))
+        else:
+            parts = -(-n // block)
+            at, held, last = at + 1, n, dim
+            places.append((dim, band, at, parts))
+            at += parts - 1
+        spans[dim] = (spans.get(dim, (places[-1][2],))[0], at)
+    return places, [(dim, *ends) for dim, ends in spans.items()]
+
+
 def searched(vectors: DataFrame, queries: Column, k: int = K, projections: int = PROJECTIONS,
              threshold: float = THRESHOLD, verify: float = VERIFY, block: int = BLOCK,
              chunk: int = CHUNK) -> DataFrame:
@@ -107,18 +145,24 @@ def searched(vectors: DataFrame, queries: Column, k: int = K, projections: int =
     meets the condition ``queries`` (on vec_id), among all other vectors.
 
     ``vectors`` is the output of ``usable``."""
-    vectors = stored(vectors.withColumn("dim", F.size("vec")), "vectors")
-    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
-    seen = vectors.agg(F.count("*").alias("n"), F.count(F.when(queries, 1)).alias("q"),
-                       F.max(norm).alias("norm")).first()
-    n_blocks, n_chunks = -(-max(seen["n"], 1) // block), -(-max(seen["q"], 1) // chunk)
-    max_norm = float(seen["norm"] or 1.0)
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    own = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n)).cast("int")
-    data = vectors.select("dim", own(n_blocks, 1).alias("block"), every(n_chunks).alias("chunk"),
-                          "vec_id", "vec")
-    asked = vectors.where(queries).select("dim", every(n_blocks).alias("block"),
-                                          own(n_chunks, 2).alias("chunk"), "vec_id", "vec")
+    spark = vectors.sparkSession
+    vectors = stored(with_band(vectors), "vectors")
+    seen = vectors.groupBy("dim", "band").agg(
+        F.count("*").alias("n"), F.count(F.when(queries, 1)).alias("q")).collect()
+    least = min(int(10 * k / (1 - verify)) if verify < 1 else block, block)  # all of so many are verified
+    places, spans = norm_blocks([(r["dim"], r["band"], r["n"]) for r in seen], block, least)
+    places = F.broadcast(spark.createDataFrame(places, "dim int, band long, first int, parts int"))
+    spans = F.broadcast(spark.createDataFrame(spans, "dim int, first int, last int"))
+    n_chunks = -(-max(sum(r["q"] for r in seen), 1) // chunk)
+    own = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), n).cast("int")
+    data = vectors.join(places, ["dim", "band"]).select(
+        "dim", (F.col("first") + own(F.col("parts"), 1)).alias("block"),
+        F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))).alias("chunk"), "vec_id", "vec")
+    # New names for its columns: data comes from the same table.
+    asked = vectors.where(queries).select(*[F.col(c).alias(c) for c in ("dim", "vec_id", "vec")])
+    asked = asked.join(spans, "dim").select(
+        "dim", F.explode(F.sequence("first", "last")).alias("block"),
+        own(F.lit(n_chunks), 2).alias("chunk"), "vec_id", "vec")
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.list_(pa.int64())),
                         ("score", pa.list_(pa.float64()))])
 
@@ -131,16 +175,17 @@ def searched(vectors: DataFrame, queries: Column, k: int = K, projections: int =
         if not len(asked_) or not len(data_):
             return schema.empty_table()
         q_ids, q_vecs = matrix(asked_)
-        part = Block(*matrix(data_), max_norm, projections)
+        part = Block(*matrix(data_), projections)
         steps = int(np.ceil(np.log(8 / FIRST_WIDTH) / np.log(GROWTH)))
         widths = FIRST_WIDTH * GROWTH ** np.arange(steps + 1)
         need = min(10 * k + int(verify * len(part.ids)), len(part.ids))
         collisions = int(np.ceil(threshold * projections))
         out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
         for at in range(0, len(q_ids), 64):
-            ends = part.windows(q_vecs[at:at + 64], widths)
+            ends = part.windows(q_vecs[at:at + 64], widths) if need < len(part.ids) else None
             for row, q in enumerate(range(at, min(at + 64, len(q_ids)))):
-                found = part.candidates(ends[row], need, collisions)
+                found = (np.arange(need) if ends is None
+                         else part.candidates(ends[row], need, collisions))
                 found = found[part.ids[found] != q_ids[q]]
                 score = part.vecs[found] @ q_vecs[q]
                 if len(found) > k:  # all that reach the k-th score stay for the tie rule

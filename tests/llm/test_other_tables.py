@@ -108,6 +108,27 @@ def test_recall_against_brute_force(spark):
     assert hits / (20 * len(want)) >= 0.9
 
 
+def test_one_longer_vector_costs_no_recall(spark):
+    """At the production block size, vectors that are not clustered."""
+    rng = np.random.default_rng(0)
+    vecs = rng.standard_normal((16_384, 64))
+    vecs /= np.linalg.norm(vecs, axis=1)[:, None]
+    vecs[5] *= 5
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in neighbours.searched(neighbours.usable(df), F.col("vec_id") % 512 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    want = brute_nearest(np.arange(len(vecs)), vecs, range(0, len(vecs), 512), 20)
+    assert sum(len(found[q] & {v for v, _ in rows}) for q, rows in want.items()) / (20 * len(want)) >= 0.95
+
+
+def test_norm_blocks_share_only_what_is_verified():
+    places, spans = neighbours.norm_blocks(
+        [(2, 5, 2500), (2, 0, 100), (2, 1, 150), (2, 9, 3), (3, 1, 10)], 1000, 250)
+    assert places == [(2, 0, 0, 1), (2, 1, 0, 1), (2, 5, 1, 3), (2, 9, 4, 1), (3, 1, 5, 1)]
+    assert spans == [(2, 0, 4), (3, 5, 5)] and neighbours.norm_blocks([], 1000, 250) == ([], [])
+
+
 def test_neighbours_odd_vectors(spark):
     same = [1.0, 2.0]
     rows = ([(i, same) for i in range(30)] + [(0, [9.0, 9.0])]
