@@ -8,10 +8,13 @@ an entity e, with a term t and with both, and measures what t gives away of e:
 
     IC(e) = -log2 p(e)      PMI(e; t) = log2 p(e, t) / (p(e) p(t))
 
-A term of a document exceeds the disclosure thresholds if, for an entity of
-that document, PMI >= ``min_bits``, PMI / IC >= ``min_share`` and the pair was
-seen in at least ``min_texts`` different texts.  It is removed if it occurs
-with that entity only (share 1), else generalised to a placeholder.  Since PMI
+A term exceeds the disclosure thresholds if, for an entity, PMI >= ``min_bits``,
+PMI / IC >= ``min_share`` and the pair was seen in at least ``min_texts``
+different texts.  It is removed if it occurs with that entity only (share 1),
+else generalised to a placeholder: with ``everywhere`` (as the registered query
+and the pipeline have it) in every document, since it gives the entity away
+also where the entity is not written next to it; without, in documents that
+hold the entity.  Since PMI
 never exceeds IC, entities with IC < ``min_bits`` (an address in every
 footer) need no pairs, which is exact and bounds what one entity can bring.
 Copies are collapsed by text digest before pairing and keep their number, so
@@ -175,9 +178,10 @@ def terms_of(text: Column, min_letters: int) -> Column:
 
 
 def disclosing(rows: DataFrame, hits: DataFrame, min_bits: float, min_share: float,
-               min_texts: int, min_letters: int) -> DataFrame:
+               min_texts: int, min_letters: int, everywhere: bool = False) -> DataFrame:
     """digest, generalise, remove: the terms of each text in ``hits`` (digest,
-    text, spans) that exceed the thresholds, from all of ``rows`` (text)."""
+    text, spans), or ``everywhere`` in ``rows``, that exceed the thresholds,
+    from all of ``rows`` (text)."""
     n_docs = rows.count()
     texts = stored(hits.groupBy("digest").agg(
         F.first("text").alias("text"), F.first("spans").alias("spans"),
@@ -204,8 +208,14 @@ def disclosing(rows: DataFrame, hits: DataFrame, min_bits: float, min_share: flo
         .select("entity", "term", pmi.alias("pmi"), (pmi / F.col("ic")).alias("share"))
         .where((F.col("pmi") >= min_bits) & (F.col("share") >= min_share)), "disclosing")
     whole = F.col("share") >= 1 - 1e-9
-    return (pairs.join(told, ["entity", "term"])
-            .groupBy("digest", "term").agg(F.max(whole).alias("whole"))
+    if everywhere:  # terms inside base spans may come along; they get no spans of their own
+        terms = stored(told.groupBy("term").agg(F.max(whole).alias("whole")), "disclosing-terms")
+        told_in = (rows.select(F.md5("text").alias("digest"),
+                               F.explode(terms_of(F.col("text"), min_letters)).alias("term"))
+                   .join(terms, "term"))
+    else:
+        told_in = pairs.join(told, ["entity", "term"]).withColumn("whole", whole)
+    return (told_in.groupBy("digest", "term").agg(F.max("whole").alias("whole"))
             .groupBy("digest").agg(
                 F.collect_list(F.when(~F.col("whole"), F.col("term"))).alias("generalise"),
                 F.collect_list(F.when(F.col("whole"), F.col("term"))).alias("remove")))
@@ -259,28 +269,33 @@ def rebuilt(text: Column, spans: Column) -> Column:
 
 def found(docs: DataFrame, text_col: str = "text", min_bits: float = MIN_BITS,
           min_share: float = MIN_SHARE, min_texts: int = MIN_TEXTS,
-          min_letters: int = MIN_LETTERS) -> DataFrame:
+          min_letters: int = MIN_LETTERS, everywhere: bool = False) -> DataFrame:
     """doc (struct of the input row), text, spans (base), more (the method's)
-    per row.  Only rows with base spans are stored and joined; the others pass
-    straight through a second scan."""
+    per row.  Only rows with base spans are stored; the others come from a
+    second scan and, with ``everywhere``, meet the texts that hold a disclosing
+    term there."""
     rows = docs.select(whole_row(docs).alias("doc"), col(docs, text_col).alias("text"))
     spanned = with_base_spans(rows)
     hits = stored(spanned.where(F.size("spans") > 0).withColumn("digest", F.md5("text")), "pii-hits")
-    terms = stored(disclosing(rows.select("text"), hits, min_bits, min_share, min_texts, min_letters),
-                   "pii-terms")
+    terms = stored(disclosing(rows.select("text"), hits, min_bits, min_share, min_texts, min_letters,
+                              everywhere), "pii-terms")
     none = F.array().cast("array<string>")
-    joined = (hits.join(terms, "digest", "left")
-              .withColumns({k: F.coalesce(F.col(k), none) for k in ("generalise", "remove")}))
-    with_more = with_term_spans(joined).select("doc", "text", "spans", "more")
-    clean = spanned.where(F.size("spans") == 0).select(
-        "doc", "text", "spans", F.col("spans").alias("more"))
-    return with_more.unionAll(clean)
 
+    def with_more(some: DataFrame) -> DataFrame:
+        joined = (some.join(terms, "digest", "left")
+                  .withColumns({k: F.coalesce(F.col(k), none) for k in ("generalise", "remove")}))
+        return with_term_spans(joined).select("doc", "text", "spans", "more")
 
-def sanitised(docs: DataFrame, text_col: str = "text", **thresholds) -> DataFrame:
+    clean = spanned.where(F.size("spans") == 0)
+    clean = (with_more(clean.withColumn("digest", F.md5("text"))) if everywhere
+             else clean.select("doc", "text", "spans", F.col("spans").alias("more")))
+    return with_more(hits).unionAll(clean)
+
+
+def sanitised(docs: DataFrame, text_col: str = "text", **how) -> DataFrame:
     """``docs`` with masked texts (and ``n_chars``, where there is such a
-    column, brought up to date)."""
-    out = found(docs, text_col, **thresholds).withColumn(
+    column, brought up to date); ``how`` as in ``found``."""
+    out = found(docs, text_col, **how).withColumn(
         "clean", rebuilt(F.col("text"), F.concat("spans", "more")))
     changed = F.size(F.concat("spans", "more")) > 0
     return out.select(*[

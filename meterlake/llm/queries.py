@@ -137,7 +137,7 @@ def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_pii")
 def pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = pii.found(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = pii.found(read(spark, sf_dir, "documents").select("doc_id", "text"), everywhere=True)
     base = F.col("spans")
     return out.select(
         F.col("doc.doc_id").alias("doc_id"), *[pii.n_of(k, base).alias(f"n_{k}") for k in pii.KINDS],

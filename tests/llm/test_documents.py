@@ -326,6 +326,24 @@ def test_generalised_and_removed(spark):
     assert out[0].startswith("plain [TERM] ") and out[500] == rows[500][1]
 
 
+def test_disclosing_terms_go_from_every_document(spark, tmp_path):
+    """In the registered query and the pipeline, also where the entity is not."""
+    from corpus_pipeline import pii_stage
+    rows = secret_corpus()
+    rows[500] = (500, "a Zanzibarcode elsewhere, zanzibarcode", "en", "s", 0)
+    rows[501] = (501, "a zanzibarcode elsewhere with other@host.example", "en", "s", 0)
+    rows[502] = (502, None, "en", "s", 0)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = {r.doc_id: r for r in pii_stage(spark, docs, None).collect()}
+    assert len(out) == 1000 and out[502].text is None
+    assert out[0].text.startswith("plain [TERM] ") and out[500].text == "a [TERM] elsewhere, [TERM]"
+    assert out[501].text == "a [TERM] elsewhere with [EMAIL]" and out[500].n_chars == len(out[500].text)
+    assert all(out[i].text == rows[i][1] for i in range(10, 1000) if i not in (500, 501))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.spans for r in Q.QUERIES["op10_pii"](spark, str(tmp_path)).collect()}
+    assert got[500] == "generalise:2:14,generalise:26:38" and got[10] == ""
+
+
 def test_running_sum_blocks(spark):
     n = 1000
     got = spark.range(1).select(pii.running_sum(F.sequence(F.lit(1), F.lit(n)).cast("array<bigint>"))).first()[0]
