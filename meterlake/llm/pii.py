@@ -200,8 +200,18 @@ def disclosing(rows: DataFrame, hits: DataFrame, min_bits: float, min_share: flo
     together = pairs.groupBy("entity", "term").agg(
         F.sum("weight").alias("n_et"), F.count("*").alias("n_texts"),
         F.first("n_e").alias("n_e"), F.first("ic").alias("ic")).where(F.col("n_texts") >= min_texts)
-    per_term = (rows.select(F.explode(terms_of(F.col("text"), min_letters)).alias("term"))
-                .groupBy("term").agg(F.count("*").alias("n_t")))
+    # Documents of a term outside base spans: those of the whole texts, put
+    # right by the terms that differ without the spans, so rows are read once.
+    raw, rest = terms_of(F.col("text"), min_letters), terms_of(bare, min_letters)
+
+    def times(terms: Column, n: Column) -> Column:
+        return F.transform(terms, lambda t: F.struct(t.alias("term"), n.alias("n")))
+
+    changes = texts.select("weight", raw.alias("raw"), rest.alias("rest")).select(F.explode(F.concat(
+        times(F.array_except("raw", "rest"), -F.col("weight")),
+        times(F.array_except("rest", "raw"), F.col("weight")))).alias("x")).select("x.*")
+    per_term = (rows.select(F.explode(raw).alias("term")).withColumn("n", F.lit(1).cast("long"))
+                .unionByName(changes).groupBy("term").agg(F.sum("n").alias("n_t")))
     pmi = F.log2(F.col("n_et") * F.lit(float(max(n_docs, 1))) / (F.col("n_e") * F.greatest("n_t", "n_et")))
     told = stored(
         per_term.join(stored(together, "together"), "term")
