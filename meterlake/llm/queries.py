@@ -198,7 +198,7 @@ def neighbours_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_token_rollup")
 def rollup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.maintained(read(spark, sf_dir, "documents")).totals()
+    return token_counts.maintained(read(spark, sf_dir, "documents")).totals(deleted=True)
 
 
 # ---- 6: language-model scores ---------------------------------------------

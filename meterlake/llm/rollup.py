@@ -6,6 +6,9 @@ under the batch's id:
 
     insert   + new          delete   - old          revise   - old + new
 
+A deletion can name the group that keeps the text (``kept``); its deltas stay
+apart, so the totals can list what was deleted as copies of a group's texts.
+
 A batch folder counts as committed when its success marker is there.
 Committing an id again is a no-op, and a batch that failed midway has no
 marker and is written anew, so retries and replays never count twice.  Totals
@@ -13,7 +16,8 @@ are the sum over committed batches.
 
 Defined results: null source, lang or tokenizer is a group of its own; null
 counts are 0; equal change rows each count; an empty batch commits no rows;
-groups whose documents and tokens are back to 0 are left out of the totals;
+groups whose documents and tokens are back to 0 are left out of the totals
+(with ``deleted``, if no deletions are listed there either);
 columns that are not named are not read.
 """
 
@@ -23,7 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 GROUP = ["source", "lang", "tokenizer"]
-SCHEMA = "source string, lang string, tokenizer string, d_docs long, d_tokens long"
+KEPT = "struct<source:string,lang:string>"
+SCHEMA = f"source string, lang string, tokenizer string, kept {KEPT}, d_docs long, d_tokens long"
 STATE = "struct<source:string,lang:string,tokenizer:string,tokens:bigint>"
 
 
@@ -38,16 +43,17 @@ def no_state():
 
 def signed(changes: DataFrame) -> DataFrame:
     """Summed deltas of changes (old, new: state or null; optionally n: how
-    many equal changes the row stands for).  One row per group and task
-    reaches the shuffle, however hot a group is."""
+    many equal changes the row stands for, and kept).  One row per group and
+    task reaches the shuffle, however hot a group is."""
     times = F.col("n").cast("long") if "n" in changes.columns else F.lit(1).cast("long")
+    kept = (F.col("kept") if "kept" in changes.columns else F.lit(None)).cast(KEPT)
     sides = F.filter(F.array(
         F.struct(F.col("new").alias("s"), F.lit(1).alias("sign")),
             F.struct(F.col("old").alias("s"), F.lit(-1).alias("sign"))), lambda x: x["s"].isNotNull())
-    rows = (changes.select(times.alias("n"), F.explode(sides).alias("x"))
-            .select("x.s.*", (F.col("x.sign") * F.col("n")).alias("times")))
-    return rows.groupBy(*GROUP).agg(F.sum("times").alias("d_docs"),
-                                    F.sum(F.col("times") * F.col("tokens")).alias("d_tokens"))
+    rows = (changes.select(times.alias("n"), kept.alias("kept"), F.explode(sides).alias("x"))
+            .select("x.s.*", "kept", (F.col("x.sign") * F.col("n")).alias("times")))
+    return rows.groupBy(*GROUP, "kept").agg(F.sum("times").alias("d_docs"),
+                                            F.sum(F.col("times") * F.col("tokens")).alias("d_tokens"))
 
 
 class Rollup:
@@ -85,8 +91,18 @@ class Rollup:
             return self.spark.createDataFrame([], SCHEMA)
         return self.spark.read.schema(SCHEMA).parquet(*paths)
 
-    def totals(self) -> DataFrame:
-        """source, lang, tokenizer, n_docs, n_tokens."""
-        return (self.deltas().groupBy(*GROUP)
-                .agg(F.sum("d_docs").alias("n_docs"), F.sum("d_tokens").alias("n_tokens"))
-                .where((F.col("n_docs") != 0) | (F.col("n_tokens") != 0)))
+    def totals(self, deleted: bool = False) -> DataFrame:
+        """source, lang, tokenizer, n_docs, n_tokens; with ``deleted`` also the
+        deleted copies of the group's texts, by their own source and lang."""
+        deltas = self.deltas()
+        sums = [F.sum("d_docs").alias("n_docs"), F.sum("d_tokens").alias("n_tokens")]
+        some = (F.col("n_docs") != 0) | (F.col("n_tokens") != 0)
+        if not deleted:
+            return deltas.groupBy(*GROUP).agg(*sums).where(some)
+        copies = F.struct("source", "lang", (-F.col("n_docs")).alias("n_docs"), (-F.col("n_tokens")).alias("n_tokens"))
+        gone = (deltas.where(F.col("kept").isNotNull()).groupBy(*GROUP, "kept").agg(*sums).where(some)
+                .select("kept.source", "kept.lang", "tokenizer", copies.alias("copies")))
+        return (deltas.unionByName(gone, allowMissingColumns=True).groupBy(*GROUP)
+                .agg(*[F.coalesce(x, F.lit(0)).alias(k) for x, k in zip(sums, ("n_docs", "n_tokens"))],
+                     F.sort_array(F.collect_list("copies")).alias("deleted"))
+                .where(some | (F.size("deleted") > 0)))

@@ -48,7 +48,9 @@ def maintained(docs: DataFrame, path: str | None = None, tokenizer: str | None =
              the tokenizer version 'estimate';
     revise   every document's estimate replaced by its counted tokens, moving
              it to ``version``;
-    delete   later copies of an equal text taken out again.
+    delete   later copies of an equal text taken out again.  The totals list
+             them (``deleted``) at the group that keeps the text, by their own
+             source and language; both together count all documents.
 
     Each batch is committed twice, as a retry would, and counts once."""
     spark = docs.sparkSession
@@ -68,7 +70,8 @@ def maintained(docs: DataFrame, path: str | None = None, tokenizer: str | None =
     batches = [
         ("0001-insert", rows.select(no_state().alias("old"), guessed.alias("new"))),
         ("0002-revise", rows.select(guessed.alias("old"), exact.alias("new"))),
-        ("0003-delete", later.select(exact.alias("old"), no_state().alias("new"), "n")),
+        ("0003-delete", later.select(exact.alias("old"), no_state().alias("new"), "n",
+                                      F.struct("kept.source", "kept.lang").alias("kept"))),
     ]
     for batch_id, changes in batches + batches:
         rollup.commit(batch_id, changes)

@@ -189,6 +189,32 @@ def test_token_rollup_odd_rows(odd, none):
     assert token_counts.maintained(none).totals().count() == 0
 
 
+def test_token_rollup_tells_deleted_copies(spark, odd, tmp_path):
+    """Totals and deleted copies together count all documents by source and lang."""
+    def whole(rows):
+        out = {}
+        for r in rows:
+            for x in [r, *r.deleted]:
+                n, t = out.get((x.source, x.lang), (0, 0))
+                out[x.source, x.lang] = (n + x.n_docs, t + x.n_tokens)
+        return out
+
+    enc = WordEncoder(default_tokenizer()).tokenizer
+    want = {}
+    for r in Q.read(spark, SF, "documents").collect():
+        n, t = want.get((r.source, r.lang), (0, 0))
+        want[r.source, r.lang] = (n + 1, t + len(enc.encode(r.text, add_special_tokens=False).ids))
+    assert whole(Q.QUERIES["op5_token_rollup"](spark, SF).collect()) == want
+    got = whole(token_counts.maintained(odd).totals(deleted=True).collect())
+    assert {k: n for k, (n, _) in got.items()} == {
+        (r.source, r.lang): r["count"] for r in odd.groupBy("source", "lang").count().collect()}
+    # Batches written before there was such a column have none.
+    spark.createDataFrame([("s", "en", "v", 2, 9)], "source string, lang string, tokenizer string, d_docs long, "
+                          "d_tokens long").write.parquet(f"{tmp_path}/old/batch=1")
+    old = Rollup(spark, f"{tmp_path}/old").totals(deleted=True)
+    assert [tuple(r) for r in old.collect()] == [("s", "en", "v", 2, 9, [])]
+
+
 # ---- 7: WARC --------------------------------------------------------------
 
 def test_warc_round_trip(spark):
