@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from meterlake.llm import (chat_format, lm, mixing, neighbours, packing, pii, quality, simhash,
-                            token_counts, warc)
+from meterlake.llm import (chat_format, id_files, lm, mixing, neighbours, packing, pii, quality,
+                            simhash, token_counts, warc)
 from meterlake.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -226,3 +226,10 @@ FROM h
 def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = warc.resolved(warc.archived(read(spark, sf_dir, "pages")))
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# ---- 11: token ids in Arrow files -----------------------------------------
+
+@query("op11_token_ids")
+def token_ids_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return id_files.round_trip(read(spark, sf_dir, "documents"))
