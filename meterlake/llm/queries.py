@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from meterlake.llm import (chat_format, id_files, lm, mixing, neighbours, packing, pii, quality,
-                            simhash, token_counts, warc)
+from meterlake.llm import (chat_format, id_files, lm, mixing, neighbours, packing, pii, prefix_trie,
+                            quality, simhash, token_counts, warc)
 from meterlake.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -233,3 +233,49 @@ def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_token_ids")
 def token_ids_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_files.round_trip(read(spark, sf_dir, "documents"))
+
+
+# ---- 12: prefix trie of conversations -------------------------------------
+
+def crc32_sql(text: str) -> str:
+    """DuckDB has no crc32: the bitwise definition, over an ASCII text."""
+    return f"""xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda ch: ascii(ch)::BIGINT)),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda a, z: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END::BIGINT))), 4294967295::BIGINT)"""
+
+
+TRIE_SQL = f"""
+WITH turns AS (SELECT conv_id, list(struct_pack(
+      id := md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')),
+      size := octet_length(encode(coalesce(text, ''))))
+      ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS s
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+plan AS (SELECT *, ({crc32_sql('conv_id::VARCHAR')}) % 9 AS h, conv_id - conv_id % 5 AS base FROM turns),
+built AS (SELECT p.conv_id, list_concat(coalesce(b.s[1:h], []), p.s[h + 1:]) AS s
+    FROM plan p LEFT JOIN turns b ON b.conv_id = p.base),
+prefixes AS (SELECT conv_id, d, list_transform(s[1:d], lambda x: x.id) AS p, d = len(s) AS whole,
+      CASE WHEN d > 0 THEN s[d].size ELSE 0 END AS bytes
+    FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM built)),
+nodes AS (SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(bytes) AS value,
+      sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (whole), '')) AS ends_sha256
+    FROM prefixes GROUP BY p, d),
+linked AS (SELECT c.*, a.conv_id AS parent_conv_id, coalesce(k.n, 0) AS n_children FROM nodes c
+    LEFT JOIN nodes a ON c.d > 0 AND a.d = c.d - 1 AND a.p = c.p[1:c.d - 1]
+    LEFT JOIN (SELECT p[1:d - 1] AS p, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL) k
+      ON k.d = c.d AND k.p = c.p),
+below AS (SELECT p[1:up] AS p, up AS d, sum(value) AS saved, sum((n_children = 0)::INT) AS n_leaves
+    FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM linked) GROUP BY ALL)
+SELECT conv_id, l.d::BIGINT AS depth, parent_conv_id, n_convs::BIGINT AS n_convs, n_children::BIGINT AS n_children,
+  n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, ends_sha256
+FROM linked l JOIN below b ON l.d = b.d AND l.p = b.p
+"""
+
+
+@query("op12_prefix_trie", TRIE_SQL)
+def trie_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations")
+    conv = F.col("conv_id")
+    shared = F.crc32(conv.cast("string").cast("binary")) % 9
+    rows = prefix_trie.branched(turns, shared=shared, base=conv - conv % 5)
+    return prefix_trie.trie(prefix_trie.sequences(rows))
