@@ -3,18 +3,18 @@
 Documents are put in ascending doc_id order by one range shuffle of their
 texts; each task tokenises its range, ends every document with ``end_id`` and
 writes the ids, documents running on from one sequence into the next, as Arrow
-IPC streams (``.arrows``).  A record batch holds ``BATCH`` sequences in two
+IPC streams (``.arrows``).  A record batch holds ``BATCH`` sequences in three
 columns:
 
-    ids   fixed_size_list<uint32>[size]
-    mask  fixed_size_list<uint8>[size]: 0 padding, 1 id, 2 last id of a document
+    ids   fixed_size_list<uint16>[size], uint32 for vocabularies beyond 65,536
+    mask  fixed_size_list<bool>[size]: false for padding
+    last  fixed_size_list<bool>[size]: true for the last id of a document
 
 Every batch of a file is written full (the last one is padded), without nulls
-and without compression, so all batch messages have one byte length and hold
-their buffers at the same places.  A stream has no footer, yet sequence k is
-found by arithmetic alone; on a mapped file it is a view, not a copy.  Beside
-each file lies its index, an Arrow stream of (doc_id, start, n_tokens) with
-starts counted within the file.
+and without compression, so all batch messages have one byte length.  A stream
+has no footer, yet sequence k is found by arithmetic alone; on a mapped file it
+is a view, not a copy.  Beside each file lies its index, an Arrow stream of
+(doc_id, start, n_tokens) with starts counted within the file.
 
 Files are written through ``pyarrow.fs`` into the shared folder under a name no
 other attempt of the task has; the rows a task returns name the files of the
@@ -48,20 +48,19 @@ from meterlake.session import scratch_path
 
 SEQUENCE = 2048
 BATCH = 64
-FILE_SEQUENCES = 1 << 17  # 2048 ids of 4 + 1 bytes each: files of at most 1.3 GB
+FILE_SEQUENCES = 1 << 17  # of 2048 ids of 2.25 bytes: files of 0.6 GB
 END_ID = 1
-PAD, TOKEN, LAST = 0, 1, 2
 
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 MANIFEST_TYPE = "part long, nth long, file string, documents long, tokens long"
 
 
-def sequence_schema(size: int) -> pa.Schema:
-    def fixed(kind):
-        return pa.list_(pa.field("item", kind, nullable=False), size)
+def sequence_schema(size: int, vocabulary: int) -> pa.Schema:
+    def fixed(name, kind):
+        return pa.field(name, pa.list_(pa.field("item", kind, nullable=False), size), nullable=False)
 
-    return pa.schema([pa.field("ids", fixed(pa.uint32()), nullable=False),
-                      pa.field("mask", fixed(pa.uint8()), nullable=False)])
+    return pa.schema([fixed("ids", pa.uint16() if vocabulary <= 1 << 16 else pa.uint32()),
+                      fixed("mask", pa.bool_()), fixed("last", pa.bool_())])
 
 
 def _open(path: str):
@@ -74,16 +73,16 @@ def _open(path: str):
 class _FileWriter:
     """One sequence file and its index, written batch by batch."""
 
-    def __init__(self, path: str, size: int, batch: int):
-        self.path, self.size, self.batch = path, size, batch
+    def __init__(self, path: str, schema: pa.Schema, batch: int):
+        self.path, self.schema = path, schema
+        self.size = schema.field("ids").type.list_size
         system, where = _open(path)
         system.create_dir(where.rsplit("/", 1)[0], recursive=True)
         self.sinks = [system.open_output_stream(where + end) for end in (".arrows", ".index.arrows")]
-        self.schema = sequence_schema(size)
-        self.out = pa.ipc.new_stream(self.sinks[0], self.schema)
+        self.out = pa.ipc.new_stream(self.sinks[0], schema)
         self.index = pa.ipc.new_stream(self.sinks[1], INDEX)
-        self.ids = np.zeros(size * batch, np.uint32)
-        self.mask = np.zeros(size * batch, np.uint8)
+        self.ids = np.zeros(self.size * batch, schema.field("ids").type.value_type.to_pandas_dtype())
+        self.last = np.zeros(len(self.ids), bool)
         self.used = self.tokens = self.documents = 0
 
     def room(self, sequences: int) -> int:
@@ -91,14 +90,14 @@ class _FileWriter:
 
     def put(self, ids: np.ndarray, ends: np.ndarray) -> None:
         """Append ids; ``ends``: places in ``ids`` of documents' last ids."""
-        mask = np.full(len(ids), TOKEN, np.uint8)
-        mask[ends] = LAST
+        last = np.zeros(len(ids), bool)
+        last[ends] = True
         self.tokens += len(ids)
         at = 0
         while at < len(ids):
             n = min(len(ids) - at, len(self.ids) - self.used)
             self.ids[self.used:self.used + n] = ids[at:at + n]
-            self.mask[self.used:self.used + n] = mask[at:at + n]
+            self.last[self.used:self.used + n] = last[at:at + n]
             self.used, at = self.used + n, at + n
             if self.used == len(self.ids):
                 self._flush()
@@ -109,10 +108,11 @@ class _FileWriter:
             [doc_ids, pa.array(starts), pa.array(counts)], schema=INDEX))
 
     def _flush(self) -> None:
-        self.ids[self.used:], self.mask[self.used:] = 0, PAD
+        self.ids[self.used:], self.last[self.used:] = 0, False
+        mask = np.arange(len(self.ids)) < self.used
         self.out.write_batch(pa.RecordBatch.from_arrays(
-            [pa.FixedSizeListArray.from_arrays(pa.array(x), type=self.schema.field(i).type)
-             for i, x in enumerate((self.ids, self.mask))], schema=self.schema))
+            [pa.FixedSizeListArray.from_arrays(pa.array(x), type=f.type)
+             for f, x in zip(self.schema, (self.ids, mask, self.last))], schema=self.schema))
         self.used = 0
 
     def close(self) -> tuple[str, int, int]:
@@ -145,6 +145,7 @@ def written(docs: DataFrame, path: str, tokenizer: str | None = None, size: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part = encoder(tokenizer), TaskContext.get().partitionId()
+        schema = sequence_schema(size, enc.tokenizer.get_vocab_size())
         out, done = None, []
         for rows in batches:
             for a, b, texts in slices(rows.column(1)):
@@ -160,7 +161,7 @@ def written(docs: DataFrame, path: str, tokenizer: str | None = None, size: int
                 while first < b - a:  # documents [first, last) go to one file
                     if out is None:
                         out = _FileWriter(f"{root}/part-{part:06d}-{len(done):04d}-{uuid.uuid4().hex[:12]}",
-                                          size, batch)
+                                          schema, batch)
                     base = int(ends[first] - total[first])
                     last = int(np.searchsorted(ends, base + max(out.room(file_sequences), 0), "right"))
                     if last <= first and out.tokens:
@@ -186,54 +187,43 @@ def written(docs: DataFrame, path: str, tokenizer: str | None = None, size: int
 
 
 class SequenceFile:
-    """Random access to one file.  Local files are mapped and sequences are
-    views of the map; elsewhere a sequence's bytes are read from its place."""
+    """Random access to one file by sequence number.  All batches are equally
+    long, so a batch's place follows from its number; arrays of a local file
+    are views of its map, elsewhere one batch is read."""
 
     def __init__(self, path: str):
-        system, where = _open(path)
         from pyarrow import fs
 
-        self.local = isinstance(system, fs.LocalFileSystem)
+        system, where = _open(path)
         name = where + ".arrows"
-        self.source = pa.memory_map(name) if self.local else system.open_input_file(name)
-        self.bytes = self.source.size()
-        reader = pa.ipc.MessageReader.open_stream(self.source)
-        self.schema = pa.ipc.read_schema(reader.read_next_message())
-        self.size = self.schema.field("ids").type.list_size
-        head = self.source.tell()
-        try:
-            first = pa.ipc.read_record_batch(reader.read_next_message(), self.schema)
-        except StopIteration:
-            self.batch, self.sequences = 1, 0
-            return
-        self.batch = first.num_rows
-        self.step = self.source.tell() - head
-        self.sequences = (self.bytes - head) // self.step * self.batch
-        # Where the two buffers lie within a batch: the body ends the message.
-        ids, mask = self.batch * self.size * 4, self.batch * self.size
-        padded = -(-ids // 8) * 8 + -(-mask // 8) * 8
-        self.ids_at = head + self.step - padded
-        self.mask_at = self.ids_at + -(-ids // 8) * 8
-
-    def _view(self, at: int, n: int, kind) -> np.ndarray:
-        if self.local:
-            self.source.seek(at)
-            return np.frombuffer(self.source.read_buffer(n), kind)  # no copy of a mapped file
-        return np.frombuffer(self.source.read_at(n, at), kind)
+        local = isinstance(system, fs.LocalFileSystem)
+        self.source = pa.memory_map(name) if local else system.open_input_file(name)
+        self.schema = pa.ipc.read_schema(self.source)
+        self.head, self.held = self.source.tell(), (None, None)
+        self.step = self.batch = 1
+        if self.head + 8 < self.source.size():  # more than the end mark
+            self.batch = self._batch(0).num_rows
+            self.step = self.source.tell() - self.head
+        self.sequences = (self.source.size() - self.head) // self.step * self.batch if self.step > 1 else 0
+
+    def _batch(self, k: int) -> pa.RecordBatch:
+        if self.held[0] != k:
+            self.source.seek(self.head + k * self.step)
+            self.held = k, pa.ipc.read_record_batch(pa.ipc.read_message(self.source), self.schema)
+        return self.held[1]
 
     def __len__(self) -> int:
         return self.sequences
 
-    def __getitem__(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, mask) of sequence k."""
+    def __getitem__(self, k: int) -> tuple[pa.Array, pa.Array, pa.Array]:
+        """(ids, mask, last) of sequence k."""
         if not 0 <= k < self.sequences:
             raise IndexError(k)
         batch, row = divmod(k, self.batch)
-        at = batch * self.step
-        return (self._view(self.ids_at + at + row * self.size * 4, self.size * 4, np.uint32),
-                self._view(self.mask_at + at + row * self.size, self.size, np.uint8))
+        return tuple(c.slice(row, 1).flatten() for c in self._batch(batch).columns)
 
     def close(self) -> None:
+        self.held = None, None
         self.source.close()
 
 
@@ -245,31 +235,31 @@ def index_batches(path: str) -> Iterator[pa.RecordBatch]:
 
 def documents_of(path: str) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, list[np.ndarray]]]:
     """(doc_ids, starts, counts, ids of each document) a run of documents at a
-    time, read in order; fails where the mask and the index differ."""
+    time, read in order; fails where the marks and the index differ."""
     system, where = _open(path)
     with system.open_input_stream(where + ".arrows") as f:
         stream = iter(pa.ipc.open_stream(f))
-        ids, mask, base = np.zeros(0, np.uint32), np.zeros(0, np.uint8), 0
+        ids, last, base = np.zeros(0, np.uint16), np.zeros(0, bool), 0
         for rows in index_batches(path):
             starts, counts = rows.column(1).to_numpy(), rows.column(2).to_numpy()
             first = 0
             while first < len(starts):
-                more_ids, more_mask = [ids[starts[first] - base:]], [mask[starts[first] - base:]]
-                base = int(starts[first])
-                have = len(more_ids[0])
+                parts = [(ids[starts[first] - base:], last[starts[first] - base:])]
+                base, have = int(starts[first]), len(parts[0][0])
                 while have < counts[first]:
                     got = next(stream)
-                    more_ids.append(got.column(0).flatten().to_numpy())
-                    more_mask.append(got.column(1).flatten().to_numpy())
-                    have += len(more_ids[-1])
-                ids, mask = np.concatenate(more_ids), np.concatenate(more_mask)
-                last = int(np.searchsorted(starts + counts, base + have, "right"))
-                a, z = starts[first:last] - base, (starts + counts)[first:last] - base
-                if not np.array_equal(np.flatnonzero(mask[:z[-1]] != TOKEN), z - 1) or (mask[z - 1] != LAST).any():
-                    raise ValueError(f"{path}: mask and index differ")
-                yield (rows.column(0).slice(first, last - first), starts[first:last], counts[first:last],
+                    keep = got.column(1).flatten().to_numpy(zero_copy_only=False)
+                    parts.append((got.column(0).flatten().to_numpy()[keep],
+                                  got.column(2).flatten().to_numpy(zero_copy_only=False)[keep]))
+                    have += len(parts[-1][0])
+                ids, last = (np.concatenate(x) for x in zip(*parts))
+                stop = int(np.searchsorted(starts + counts, base + have, "right"))
+                a, z = starts[first:stop] - base, (starts + counts)[first:stop] - base
+                if not np.array_equal(np.flatnonzero(last[:z[-1]]), z - 1):
+                    raise ValueError(f"{path}: marks and index differ")
+                yield (rows.column(0).slice(first, stop - first), starts[first:stop], counts[first:stop],
                        [ids[i:j] for i, j in zip(a, z)])
-                first = last
+                first = stop
 
 
 def read_back(manifest: DataFrame, ids: bool = True) -> DataFrame:
@@ -286,7 +276,7 @@ def read_back(manifest: DataFrame, ids: bool = True) -> DataFrame:
             for path, base in zip(files.column(0).to_pylist(), files.column(1).to_pylist()):
                 for doc_ids, starts, counts, parts in documents_of(path):
                     columns = [doc_ids, pa.array(starts + base), pa.array(counts),
-                               pa.array([zlib.crc32(x.astype("<u4", copy=False)) for x in parts], pa.int64())]
+                               pa.array([zlib.crc32(x.astype("<u4")) for x in parts], pa.int64())]
                     if ids:
                         columns.append(pa.array([x.astype(np.int64) for x in parts], pa.list_(pa.int64())))
                     yield pa.RecordBatch.from_arrays(columns, schema=schema)

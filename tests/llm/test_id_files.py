@@ -61,21 +61,25 @@ def test_empty_table(spark, none):
 
 def test_random_access_is_a_view(spark, odd):
     """Every sequence by number equals the stream's; local ones share memory
-    with the map; masks mark padding and document ends."""
+    with the map; masks tell padding and documents' ends."""
     files = id_files.written(odd, scratch_path(spark, "t"), size=64, batch=8).collect()
     for f in files:
         path = f.file.removeprefix("file:")
         with pa.OSFile(path + ".arrows") as source:
             table = pa.ipc.open_stream(source).read_all()
-        assert table.schema.field("ids").type == pa.list_(pa.field("item", pa.uint32(), nullable=False), 64)
+        assert table.schema.field("ids").type == pa.list_(pa.field("item", pa.uint16(), nullable=False), 64)
         got = id_files.SequenceFile(f.file)
         assert len(got) == len(table) and len(got) % 8 == 0
+        before = pa.total_allocated_bytes()
         for k in (0, 1, len(got) // 2, len(got) - 1):
-            ids, mask = got[k]
-            assert ids.tolist() == table["ids"][k].as_py() and mask.tolist() == table["mask"][k].as_py()
-            assert not ids.flags.owndata and not ids.flags.writeable
-        whole = np.concatenate([got[k][1] for k in range(len(got))])
-        assert (whole != id_files.PAD).sum() == f.tokens and (whole == id_files.LAST).sum() == f.documents
+            parts = got[k]
+            assert [p.to_pylist() for p in parts] == [table[c][k].as_py() for c in ("ids", "mask", "last")]
+            assert pa.total_allocated_bytes() - before < 64 * 8  # the map's pages, no buffers of Arrow's own
+            view = parts[0].to_numpy(zero_copy_only=True)
+            assert not view.flags.owndata and not view.flags.writeable
+        mask = [x for k in range(len(got)) for x in got[k][1].to_pylist()]
+        assert sum(mask) == f.tokens and all(mask[:f.tokens])
+        assert sum(sum(got[k][2].to_pylist()) for k in range(len(got))) == f.documents
         with pytest.raises(IndexError):
             got[len(got)]
 
@@ -97,3 +101,8 @@ def test_one_id_of_very_many_rows_is_no_hot_range(spark):
     files = id_files.written(docs, scratch_path(spark, "t")).collect()
     assert sum(f.documents for f in files) == 20_000
     assert len(files) == 1 or max(f.documents for f in files) < 10_000
+
+
+def test_vocabulary_decides_the_width():
+    assert id_files.sequence_schema(8, 49_408).field("ids").type.value_type == pa.uint16()
+    assert id_files.sequence_schema(8, 70_000).field("ids").type.value_type == pa.uint32()
