@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from meterlake.llm import (chat_format, id_files, lm, mixing, neighbours, packing, pii, prefix_trie,
-                            quality, simhash, token_counts, warc)
+                            quality, repair, simhash, token_counts, warc)
 from meterlake.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -279,3 +279,79 @@ def trie_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     shared = F.crc32(conv.cast("string").cast("binary")) % 9
     rows = prefix_trie.branched(turns, shared=shared, base=conv - conv % 5)
     return prefix_trie.trie(prefix_trie.sequences(rows))
+
+
+# ---- 13: conversation repair ----------------------------------------------
+
+# Dynamic programming over rows: the label of a state is its cost in eight
+# digits and the least audit with it, so that text order is label order.
+def _step(label: str, cost: str, letter: str) -> str:
+    return f"printf('%08d', substr({label}, 1, 8)::INT + {cost}) || substr({label}, 9) || '{letter}'"
+
+
+REPAIR_SQL = f"""
+WITH RECURSIVE keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    ({crc32_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")}) % 20 AS kind
+    FROM conversations),
+damaged AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+      CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+      unnest(CASE kind WHEN 0 THEN []::INT[] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM keyed),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM damaged),
+again AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS seen FROM placed),
+r AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN seen THEN 'd'
+      WHEN regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) NOT IN ('.', '!', '?') THEN 't'
+      ELSE 'k' END AS fault,
+      lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS prior, substr(role, 1, 1) AS initial FROM again),
+stats AS (SELECT conv_id, count(*) AS n, sum((fault = 'b')::INT) AS blank, sum((fault = 'd')::INT) AS duplicate,
+      sum((fault = 't')::INT) AS truncated,
+      sum((prior IS NOT NULL AND prior || initial NOT IN ('su', 'ua', 'au'))::INT) AS illegal,
+      coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps FROM r GROUP BY conv_id),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS pos, '00000000' AS q, NULL::VARCHAR AS s, NULL::VARCHAR AS u, NULL::VARCHAR AS a FROM stats
+  UNION ALL
+  SELECT conv_id, pos, {_step('q', '2', 'D')},
+    least({_step('s', '2', 'D')}, CASE WHEN may AND initial = 's' THEN {_step('q', 'cut', 'K')} END),
+    least({_step('u2', '2', 'D')}, CASE WHEN may THEN {_step('least(q, s, a2)', 'cut + 1', 'R')} END,
+      CASE WHEN may AND initial = 'u' THEN {_step('least(q, s, a2)', 'cut', 'K')} END),
+    least({_step('a2', '2', 'D')}, CASE WHEN may THEN {_step('u2', 'cut + 1', 'R')} END,
+      CASE WHEN may AND initial = 'a' THEN {_step('u2', 'cut', 'K')} END)
+  FROM (SELECT *, least(a, {_step('u2', '5', 'I')}) AS a2
+    FROM (SELECT w.conv_id, r.pos, q, s, a, least(u, {_step('least(q, s, a)', '5', 'I')}) AS u2, initial,
+        fault NOT IN ('b', 'd') AS may, CASE WHEN fault = 't' THEN 5 ELSE 0 END AS cut
+      FROM walk w JOIN r ON w.conv_id IS NOT DISTINCT FROM r.conv_id AND r.pos = w.pos + 1))),
+ended AS (SELECT w.conv_id, least(q, a, {_step('u', '5', 'I')},
+      {_step('(' + _step('s', '5', 'I') + ')', '5', 'I')}) AS label
+    FROM walk w JOIN stats t ON w.conv_id IS NOT DISTINCT FROM t.conv_id AND w.pos = t.n),
+told AS (
+  SELECT conv_id, substr(label, 9) AS audit, 0::BIGINT AS i, 0::BIGINT AS pos, '' AS last, '' AS said FROM ended
+  UNION ALL
+  SELECT t.conv_id, t.audit, t.i + 1, t.pos + (x <> 'I')::INT, CASE WHEN x = 'D' THEN last ELSE new END,
+    CASE WHEN x = 'D' THEN said ELSE said || CASE WHEN said = '' THEN '' ELSE chr(10) END ||
+      CASE WHEN x = 'K' THEN r.role WHEN new = 'u' THEN 'user' ELSE 'assistant' END || ':' ||
+      CASE WHEN x = 'I' THEN '' ELSE r.text END END
+  FROM (SELECT *, substr(audit, i + 1, 1) AS x FROM told WHERE i < length(audit)) t
+  LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM t.conv_id AND r.pos = t.pos + 1,
+  LATERAL (SELECT CASE WHEN x = 'K' THEN initial WHEN last = 'u' THEN 'a' ELSE 'u' END AS new)),
+done AS (SELECT conv_id, audit, sha256(said) AS repaired_sha256 FROM told WHERE i = length(audit))
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(substr(label, 1, 8)::BIGINT, 0) AS cost,
+  coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN stats t ON o.conv_id IS NOT DISTINCT FROM t.conv_id
+LEFT JOIN ended e ON o.conv_id IS NOT DISTINCT FROM e.conv_id
+LEFT JOIN done d ON o.conv_id IS NOT DISTINCT FROM d.conv_id
+"""
+
+
+@query("op13_conversation_repair", REPAIR_SQL)
+def repair_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    found = repair.report(repair.edits(repair.damaged(turns, F.crc32(key.cast("binary")) % 20)))
+    ids = turns.groupBy("conv_id").agg(F.count("*").alias("n")).select("conv_id")
+    zero = [F.coalesce(found[c], F.lit(0).cast("long")).alias(c)
+            for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return ids.join(found, ids["conv_id"].eqNullSafe(found["conv_id"]), "left").select(
+        ids["conv_id"], *zero, F.coalesce(found["audit"], F.lit("")).alias("audit"),
+        F.coalesce(found["repaired_sha256"], F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
