@@ -366,6 +366,35 @@ def knn_multi_block(spark, sf):
     return knn_predictions(spark, sf, block_rows=500)[0]
 
 
+_TESTS = f"SELECT CAST(count(*) AS BIGINT) AS n FROM {_ROWS} WHERE {_SPLIT} >= 800"
+
+
+@register("knn_visits", O.with_(O.CHAIN_FEATURES, f"SELECT n AS test_rows, CAST(1 AS BIGINT) AS below_half FROM ({_TESTS})"))
+def knn_visits(spark, sf):
+    """Blocks of ``knn_multi_block`` that a test row was compared with:
+    on average fewer than half of all."""
+    from meterlake.operators.knn import knn_search
+    _p, _t, names = prepared(spark, sf)
+    found = knn_search(*split(spark, sf), names, "label", k=5, block_rows=500)
+    per = found.asked.groupBy("test_id").agg(F.count(F.lit(1)).alias("visited"))
+    return per.agg(F.count(F.lit(1)).alias("test_rows"),
+                   F.coalesce(F.avg("visited") < 0.5 * found.blocks, F.lit(False)).cast("int").alias("below_half"))
+
+
+@register("knn_lsh", O.with_(O.CHAIN_FEATURES, f"SELECT n AS test_rows, CAST(1 AS BIGINT) AS recall_above_90 FROM ({_TESTS})"))
+def knn_lsh(spark, sf):
+    """Approximate neighbours by random-projection buckets; their share of
+    the exact ones (``knn_exact``, itself checked in SQL) joined pair by pair."""
+    from meterlake.operators.knn import knn_candidates, knn_lsh as approximate
+    _p, _t, names = prepared(spark, sf)
+    tr, te = split(spark, sf)
+    exact = knn_candidates(tr, te, names, "label", k=5).select("test_id", "train_id")
+    found = approximate(tr, te, names, "label", k=5).select("test_id", "train_id", F.lit(1).alias("hit"))
+    both = exact.join(found, ["test_id", "train_id"], "left")
+    return both.agg(F.count_distinct("test_id").alias("test_rows"),
+                    (F.sum("hit") >= 0.9 * F.count(F.lit(1))).cast("int").alias("recall_above_90"))
+
+
 @register("fit_knn", O.rounded(_knn_sql(
     "SELECT CAST(count(*) AS BIGINT) AS n, avg((y - prediction) * (y - prediction)) AS mse, "
     "sqrt(avg((y - prediction) * (y - prediction))) AS rmse, avg(abs(y - prediction)) AS mae, "
