@@ -5,10 +5,12 @@
 * RuleFit (Friedman & Popescu 2008): boosted shallow trees -> every non-root
   node is a rule (conjunction of splits on its path) -> 0/1 rule columns plus
   winsorised linear terms -> lasso path (log grid, then bisection) to the
-  weakest penalty that keeps at most ``max_rules`` rules.  The result is a ``RuleModel`` (one projection to score).
+  weakest penalty that keeps at most ``max_rules`` rules.  The path needs one
+  scan: it is solved by coordinate descent on the design's sums of products.
+  The result is a ``RuleModel`` (one projection to score).
 
 Only metadata-sized objects reach the driver: tree node tables, coefficient
-vectors, explained-variance vectors.
+vectors, sums of products of the rules, explained-variance vectors.
 """
 
 from __future__ import annotations
@@ -18,11 +20,12 @@ from collections.abc import Sequence
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.regression import (GBTRegressor, LinearRegression, RandomForestRegressor)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.operators.gram import LassoStatistics, centred_gram, moments_of, reduced
 from meterlake.operators.quantile import quantiles
 from meterlake.operators.score import RuleModel
 from meterlake.session import scratch_path
@@ -103,17 +106,37 @@ def predict_ml(model, df: DataFrame, out: str = "prediction") -> DataFrame:
 
 # ---------------------------------------------------------------- K10, L8
 def fit_pca95(df: DataFrame, cols: Sequence[str], variance: float = 0.95) -> tuple[PipelineModel, int, list[float]]:
-    """Centre (no scaling), PCA once with k = d, keep the smallest k with
-    cumulative explained variance > ``variance``."""
+    """Centre (no scaling), one PCA fit with k = d, keep the smallest k with
+    cumulative explained variance > ``variance``: the first k of its components."""
     d = len(cols)
     asm = VectorAssembler(inputCols=list(cols), outputCol="raw_features", handleInvalid="keep")
     ctr = StandardScaler(inputCol="raw_features", outputCol="centered", withMean=True, withStd=False)
-    full = Pipeline(stages=[asm, ctr, PCA(k=d, inputCol="centered", outputCol=FEATURES)]).fit(df)
+    full = Pipeline(stages=[asm, ctr, PCA(k=d, inputCol="centered", outputCol="components")]).fit(df)
     ev = full.stages[-1].explainedVariance.toArray().tolist()
     cum = np.cumsum(ev)
     k = int(np.argmax(cum > variance) + 1) if (cum > variance).any() else d
-    model = Pipeline(stages=[asm, ctr, PCA(k=k, inputCol="centered", outputCol=FEATURES)]).fit(df)
-    return model, k, ev
+    first = VectorSlicer(inputCol="components", outputCol=FEATURES, indices=list(range(k)))
+    return PipelineModel([*full.stages, first]), k, ev
+
+
+def pca_check(df: DataFrame, cols: Sequence[str], variance: float = 0.95) -> DataFrame:
+    """The fitted components seen from their own projections: total variance
+    (the features', if the rotation keeps lengths), whether they are
+    uncorrelated, and whether their variances give the same k."""
+    from pyspark.ml.functions import vector_to_array
+
+    model, k, _ = fit_pca95(df, cols, variance)
+    d = len(cols)
+    parts = vector_to_array("components")
+    rows = model.transform(df).select(*[parts[i].alias(f"p{i}") for i in range(d)])
+    n, _, s = moments_of(reduced(rows, rows.columns, centred_gram)[0])
+    cov = s / max(n - 1, 1)
+    share = np.cumsum(np.diag(cov)) / max(np.trace(cov), 1e-300)
+    again = int(np.argmax(share > variance) + 1) if (share > variance).any() else d
+    apart = np.abs(cov - np.diag(np.diag(cov))).max(initial=0.0) <= 1e-9 * max(np.trace(cov), 1e-300)
+    return df.sparkSession.createDataFrame(
+        [(n, float(np.trace(cov)), d, int(apart), int(again == k))],
+        "rows long, total_variance double, components int, uncorrelated int, same_k int")
 
 
 def fit_pca_regressor(df: DataFrame, cols: Sequence[str], kind: str = "linear", label: str = "label",
@@ -175,6 +198,55 @@ def _simplify(rule: str) -> str:
     return " AND ".join(sorted(terms))
 
 
+def rule_design(cols: Sequence[str], rules: Sequence[str], linear: Sequence[tuple[str, float, float]]):
+    """Gram of [1, rules as 0/1, winsorised linear terms (column, least,
+    greatest), label] of a batch of rows (cols..., label).  A comparison with a
+    missing value is false; rows without a label or a linear term take no part."""
+    place = {c: i for i, c in enumerate(cols)}
+    parsed = [[(place[f.strip("`")], op, float(v)) for f, op, v in (t.rsplit(" ", 2) for t in r.split(" AND "))]
+              for r in rules]
+    ends = [(place[c], lo, hi) for c, lo, hi in linear]
+
+    def make(x: np.ndarray) -> list[np.ndarray]:
+        x = x[~np.isnan(x[:, [*(i for i, _, _ in ends), -1]]).any(axis=1)]
+        z = np.ones((len(x), len(parsed) + len(ends) + 1))
+        for j, terms in enumerate(parsed):
+            for i, op, v in terms:
+                z[:, j] *= x[:, i] <= v if op == "<=" else x[:, i] > v
+        for j, (i, lo, hi) in enumerate(ends):
+            z[:, len(parsed) + j] = np.clip(x[:, i], lo, hi)
+        z[:, -1] = x[:, -1]
+        return centred_gram(z)
+
+    return make
+
+
+def kkt(df: DataFrame, model: RuleModel, label: str = "label", tol: float = 1e-6) -> DataFrame:
+    """Optimality of a fitted rule model's penalty, from a scan of its own: the
+    correlation of every rule of the pool with the residuals may not pass the
+    penalty, and equals it, with the coefficient's sign, where the rule is kept."""
+    active = {cond: c for _, cond, c in model.rules}
+    e = F.col(label) - model.prediction()
+    held = [F.coalesce(F.expr(r), F.lit(False)).cast("double") for r in model.pool]
+    one = df.where(F.col(label).isNotNull()).select(e.alias("e"), *[z.alias(f"z{i}") for i, z in enumerate(held)]).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("e").alias("e"), F.stddev_samp("e").alias("sd"),
+        *[F.struct(F.sum(F.col(f"z{i}") * F.col("e")).alias("ze"), F.stddev_pop(f"z{i}").alias("sd")).alias(f"s{i}")
+          for i in range(len(held))]).first()
+    slack, over, off = tol * max(model.penalty, one["sd"] or 0.0), 0, 0
+    for i, cond in enumerate(model.pool):
+        s = one[f"s{i}"]
+        if not s["sd"]:
+            continue
+        g = s["ze"] / (one["n"] * s["sd"])
+        if cond in active:
+            off += abs(g - math.copysign(model.penalty, active[cond])) > slack
+        else:
+            over += abs(g) > model.penalty + slack
+    centred = abs(one["e"] or 0.0) <= tol * max(one["n"], 1) * (one["sd"] or 1.0)
+    return df.sparkSession.createDataFrame(
+        [(one["n"], over, off, int(centred))], "rows long, zero_over_penalty long, kept_off_penalty long, centred int")
+
+
 def fit_rulefit(df: DataFrame, cols: Sequence[str], label: str = "label", max_rules: int = 30,
                 tree_size: int = 4, n_trees: int = 100, exp_rand_tree_size: bool = True,
                 include_linear: bool = True, trim: float = 0.025, seed: int = 42,
@@ -203,40 +275,36 @@ def fit_rulefit(df: DataFrame, cols: Sequence[str], label: str = "label", max_ru
     rules = sorted({_simplify(r) for r in rules})
     rule_ids = [f"rule_{i}" for i in range(len(rules))]
 
-    lin_terms: list[tuple[str, str]] = []
+    bounds: dict[str, dict[float, float]] = {}
+    wins: dict[str, str] = {}
     if include_linear and cols:
         q = quantiles(df, cols, [trim, 1 - trim]).collect()
-        bounds = {}
         for r in q:
             bounds.setdefault(r["column"], {})[r["p"]] = r["q"]
-        wins = {c: f"least(greatest(`{c}`, {bounds[c][trim]!r}), {bounds[c][1 - trim]!r})" for c in cols}
-        sds = df.agg(*[F.stddev_samp(F.expr(wins[c])).alias(c) for c in cols]).first()
-        for c in cols:
-            sd = sds[c]
-            if sd and sd > 0:
-                lin_terms.append((f"lin_{c}", f"(0.4 * {wins[c]} / {sd!r})"))
-
-    design = df.select(label, *[F.coalesce(F.expr(r), F.lit(False)).cast("double").alias(i)
-                                for i, r in zip(rule_ids, rules)],
-                       *[F.expr(e).alias(n_) for n_, e in lin_terms])
-    names = rule_ids + [n_ for n_, _ in lin_terms]
-    # Rows wider than spark.sql.codegen.maxFields leave whole-stage codegen by
-    # themselves, so this projection needs no setting.
-    design = assemble(design, names).select(label, FEATURES).cache()
-    design.count()
-    # lasso path from strong to weak penalty; keep the last fit within max_rules
-    y_sd = df.agg(F.stddev_samp(label)).first()[0] or 1.0
+        wins = {c: f"least(greatest(`{c}`, {bounds[c][trim]!r}), {bounds[c][1 - trim]!r})" for c in cols
+                if c in bounds}
+
+    # One pass over the rows: sums of products of all rule and linear columns
+    # and the label.  The whole penalty path, supports and the terms' scales
+    # come from that matrix.
+    n_rules, ends = len(rules), [(c, bounds[c][trim], bounds[c][1 - trim]) for c in wins]
+    stats = LassoStatistics(reduced(df, [*cols, label], rule_design(cols, rules, ends))[0])
+    lin_terms = [(f"lin_{c}", f"(0.4 * {wins[c]} / {sd!r})", 0.4 / sd) if live else None
+                 for c, sd, live in zip(wins, stats.sample_sd[n_rules:-1].tolist(), stats.live[n_rules:])]
+
+    def kept(lam, start):
+        b = stats.solve(lam, start)
+        return b, int(np.count_nonzero(b[:n_rules]))
+
+    # from strong to weak penalty; keep the last fit within max_rules
+    y_sd = float(stats.sample_sd[-1]) or 1.0
     grid = [y_sd * 10 ** (1 - 4 * i / (lambdas - 1)) for i in range(lambdas)]
-    def lasso(lam):
-        m = LinearRegression(featuresCol=FEATURES, labelCol=label, elasticNetParam=1.0, regParam=lam,
-                             maxIter=200, standardization=True).fit(design)
-        return m, int(np.count_nonzero(m.coefficients.toArray()[:len(rules)]))
-
-    chosen, ok_lam, bad_lam, lam = None, None, None, grid[0]
+    chosen, ok_lam, bad_lam, lam, warm = None, None, None, grid[0], None
     for lam in grid:
-        m, nz = lasso(lam)
+        b, nz = kept(lam, warm)
         if nz <= max_rules:
-            chosen, ok_lam = m, lam
+            chosen = warm = b
+            ok_lam = lam
         else:
             bad_lam = lam
             break
@@ -244,22 +312,20 @@ def fit_rulefit(df: DataFrame, cols: Sequence[str], label: str = "label", max_ru
         bad_lam, lam = lam, lam * 10
         if lam > grid[0] * 1e6:
             raise ValueError(f"no penalty keeps at most {max_rules} rules")
-        m, nz = lasso(lam)
+        b, nz = kept(lam, None)
         if nz <= max_rules:
-            chosen, ok_lam = m, lam
+            chosen, ok_lam = b, lam
     if bad_lam is not None:
         # refine between the last feasible and the first infeasible penalty
         for _ in range(bisect_steps):
             mid = math.sqrt(ok_lam * bad_lam)
-            m, nz = lasso(mid)
+            b, nz = kept(mid, chosen)
             if nz <= max_rules:
-                chosen, ok_lam = m, mid
+                chosen, ok_lam = b, mid
             else:
                 bad_lam = mid
-    design.unpersist()
-    coefs = chosen.coefficients.toArray()
-    supports = df.agg(*[F.avg(F.coalesce(F.expr(r), F.lit(False)).cast("double")).alias(i)
-                        for i, r in zip(rule_ids, rules)]).first() if rules else {}
+    coefs, intercept = stats.coefficients(chosen)
+    supports = dict(zip(rule_ids, stats.mean[:n_rules]))
     rm_rules, rm_linear, table = [], [], []
     for j, (rid, cond) in enumerate(zip(rule_ids, rules)):
         c = float(coefs[j])
@@ -267,12 +333,15 @@ def fit_rulefit(df: DataFrame, cols: Sequence[str], label: str = "label", max_ru
             s = float(supports[rid])
             rm_rules.append((rid, cond, c))
             table.append((rid, "rule", cond, c, s, abs(c) * math.sqrt(s * (1 - s))))
-    for j, (nm, e) in enumerate(lin_terms):
-        c = float(coefs[len(rules) + j])
+    for j, term in enumerate(lin_terms):
+        if term is None:  # a constant feature
+            continue
+        nm, e, unit = term
+        c = float(coefs[n_rules + j]) / unit
         if c != 0.0:
             rm_linear.append((e, c))
             table.append((nm, "linear", e, c, 1.0, abs(c) * 0.4))  # the term is scaled to std 0.4
-    model = RuleModel(float(chosen.intercept), rm_rules, rm_linear)
+    model = RuleModel(intercept, rm_rules, rm_linear, penalty=float(ok_lam), pool=rules)
     rule_table = spark.createDataFrame(
         table, "rule_id string, kind string, condition string, coefficient double, support double, "
                "importance double")

@@ -58,6 +58,8 @@ class RuleModel:
     intercept: float
     rules: list[tuple[str, str, float]] = field(default_factory=list)   # (rule_id, SQL condition, coef)
     linear: list[tuple[str, float]] = field(default_factory=list)        # (column or SQL expression, coef)
+    penalty: float = 0.0                                                 # lasso penalty of the fit, not stored
+    pool: list[str] = field(default_factory=list)                        # all candidate conditions, not stored
 
     def rule_columns(self) -> list[Column]:
         return [F.coalesce(F.expr(cond), F.lit(False)).cast("double").alias(rid)

@@ -199,6 +199,46 @@ def fit_rulefit(spark, sf):
     return m.withColumn("n_rules", F.lit(sum(1 for _ in model.rules)))
 
 
+@register("rulefit_kkt", O.with_(O.CHAIN_FEATURES, f"""SELECT CAST(count(*) AS BIGINT) AS rows,
+    CAST(0 AS BIGINT) AS zero_over_penalty, CAST(0 AS BIGINT) AS kept_off_penalty, CAST(1 AS BIGINT) AS centred
+    FROM {_ROWS}"""))
+def rulefit_kkt(spark, sf):
+    """The chosen point of the penalty path is optimal: residuals against
+    every rule of the pool, from a scan of its own."""
+    _p, t, _n = prepared(spark, sf)
+    return MD.kkt(t, rulefit(spark, sf)[0])
+
+
+# A small design whose sums of products SQL recomputes.
+FIXED_DESIGN = ["`num_lin__hour` > 0.5", "`cat_ord__load_type` <= 0.5 AND `num_skew__nsm` > 0.9",
+                "`num_skew__co2_tco2` <= 0.25"]
+FIXED_LINEAR = [("num_skew__lagging_reactive_kvarh", 0.1, 0.9), ("num_lin__leading_power_factor", 0.2, 0.8)]
+
+
+def _design_sql() -> str:
+    from meterlake.plans.feature_queries import _prep_sql
+    med, fit_imp, app_imp, mm, feat_body = _prep_sql("meter_features", "meter_features", label=True)
+    terms = ["1.0"] + [f"CASE WHEN {r.replace('`', '')} THEN 1.0 ELSE 0.0 END" for r in FIXED_DESIGN]
+    terms += [f"least(greatest({c}, {lo}), {hi})" for c, lo, hi in FIXED_LINEAR] + ["label"]
+    made = ", ".join(f"CAST({t} AS DOUBLE) AS z{i}" for i, t in enumerate(terms))
+    sums = " UNION ALL ".join(f"SELECT {i} AS a, {j} AS b, sum(z{i} * z{j}) AS total FROM z"
+                              for i in range(len(terms)) for j in range(len(terms)))
+    return O.with_(O.CHAIN_FEATURES + [med, fit_imp, app_imp, mm, f"feat AS ({feat_body})",
+                                       f"z AS (SELECT {made} FROM feat WHERE label IS NOT NULL)"],
+                   f"SELECT CAST(a AS BIGINT) AS a, CAST(b AS BIGINT) AS b, total FROM ({sums})")
+
+
+@register("rule_sums", O.rounded(_design_sql(), ["total"]))
+def rule_sums(spark, sf):
+    """Sums of products of [1, rules, winsorised terms, label] in one pass,
+    the statistics that the penalty path is solved on."""
+    from meterlake.operators.gram import reduced
+    _p, t, names = prepared(spark, sf)
+    g = reduced(t, [*names, "label"], MD.rule_design(names, FIXED_DESIGN, FIXED_LINEAR))[0]
+    return spark.createDataFrame([(i, j, float(v)) for i, row in enumerate(g) for j, v in enumerate(row)],
+                                 "a int, b int, total double")
+
+
 @register("rule_table")
 def rule_table(spark, sf):
     """Selected rules and linear terms with coefficient, support, importance."""
@@ -225,6 +265,25 @@ def pca_95(spark, sf):
     return spark.createDataFrame(rows, "component int, explained double, cumulative double, kept int")
 
 
+def _variance_sql() -> str:
+    from meterlake.plans.feature_queries import _prep_names, _prep_sql
+    med, fit_imp, app_imp, mm, feat_body = _prep_sql("meter_features", "meter_features", label=True)
+    names = _prep_names()
+    total = " + ".join(f"var_samp({c})" for c in names)
+    return O.with_(O.CHAIN_FEATURES + [med, fit_imp, app_imp, mm, f"feat AS ({feat_body})"],
+                   f"SELECT CAST(count(*) AS BIGINT) AS rows, {total} AS total_variance, CAST({len(names)} AS BIGINT) AS "
+                   "components, CAST(1 AS BIGINT) AS uncorrelated, CAST(1 AS BIGINT) AS same_k "
+                   "FROM feat WHERE label IS NOT NULL")
+
+
+@register("pca_variance", O.rounded(_variance_sql(), ["total_variance"]))
+def pca_variance(spark, sf):
+    """Variance of every component, and covariances between them, over the
+    projected rows: their sum is the total variance of the features."""
+    _p, t, names = prepared(spark, sf)
+    return MD.pca_check(t, names)
+
+
 @register("fit_pca_linear")
 def fit_pca_linear(spark, sf):
     """Centre -> PCA 95 % -> linear regression."""
