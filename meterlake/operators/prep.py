@@ -180,7 +180,8 @@ def fit(df: DataFrame, num_skew: Sequence[str] = S.NUM_SKEW, num_lin: Sequence[s
 
 def split_80_20(df: DataFrame, key: str = S.ROW_ID, seed: int = 42, pct: int = 80) -> tuple[DataFrame, DataFrame]:
     """K9: deterministic per-row split, independent of partitioning."""
-    h = F.pmod(F.col(key) * F.lit(2654435761) + F.lit(seed), F.lit(1000))
+    # (key * 2654435761 + seed) mod 1000, reduced first so that no key overflows
+    h = F.pmod(F.pmod(F.col(key), F.lit(1000)) * F.lit(2654435761 % 1000) + F.lit(seed), F.lit(1000))
     return df.where(h < pct * 10), df.where(h >= pct * 10)
 
 

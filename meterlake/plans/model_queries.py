@@ -68,7 +68,7 @@ def fit_line(spark, sf):
 
 def _test_metrics(spark, sf, model, name):
     _tr, te = split(spark, sf)
-    pred = MD.predict_ml(model, te) if not isinstance(model, SC.RuleModel) else model.transform(te)
+    pred = model.transform(te) if hasattr(model, "nodes") or isinstance(model, SC.RuleModel) else MD.predict_ml(model, te)
     return EV.metrics(pred, "label", "prediction").withColumn("model", F.lit(name))
 
 
@@ -176,6 +176,76 @@ def fit_gbt(spark, sf):
     return _test_metrics(spark, sf, MD.fit_gbt(tr, names), "gbt")
 
 
+@register("fit_gbt_l2")
+def fit_gbt_l2(spark, sf):
+    """L4: second-order boosting, L2 leaf penalty 1, row and column samples of
+    0.8 per tree, depth 6; 20 rounds at step 0.3."""
+    from meterlake.operators import boost as B
+    _p, _t, names = prepared(spark, sf)
+    tr, _te = split(spark, sf)
+    model = _memo(spark, sf, "gbt_l2", lambda: B.fit_gbt_l2(tr, names, rounds=20, step=0.3))
+    return _test_metrics(spark, sf, model, "gbt_l2")
+
+
+FIRST_TREE = dict(rounds=1, max_depth=2, subsample=0.8, col_sample=0.8, l2=1.0, seed=42)
+
+
+def _first_tree_sql() -> str:
+    """A tree of depth 2 grown in SQL: bins, histograms and gains per level."""
+    from meterlake.operators.boost import BINS, SAMPLE_OF, SCALE, sampled_columns
+    from meterlake.plans.feature_queries import _prep_names, _prep_sql
+    med, fit_imp, app_imp, mm, feat_body = _prep_sql("meter_features", "meter_features", label=True)
+    names = _prep_names()
+    used = sampled_columns(len(names), 0, FIRST_TREE["col_sample"], FIRST_TREE["seed"])
+    ends = ", ".join(f"min({names[j]}) AS a{j}, max({names[j]}) AS z{j}" for j in used)
+    bins = ", ".join(f"CASE WHEN z{j} <= a{j} THEN 0 ELSE least(greatest(floor(({names[j]} - a{j}) / ((z{j} - a{j}) / "
+                     f"{BINS})), 0), {BINS - 1}) END::BIGINT AS c{j}" for j in used)
+    sampled = (f"('0x' || substr(md5('{FIRST_TREE['seed']}:0:' || row_id::VARCHAR), 1, 8))::BIGINT % {SAMPLE_OF} < "
+               f"{round(FIRST_TREE['subsample'] * SAMPLE_OF)}")
+    part = lambda g, h: f"(({g}) / {SCALE}.0) * (({g}) / {SCALE}.0) / (({h}) + 1.0)"
+    ctes = [med, fit_imp, app_imp, mm, f"feat AS ({feat_body})",
+            f"tr AS (SELECT * FROM feat WHERE label IS NOT NULL AND {_SPLIT} < 800)",
+            f"ends AS (SELECT floor(avg(label) * 1e6 + 0.5) / 1e6 AS base, {ends} FROM tr)",
+            f"cut AS (SELECT row_id, round_even((base - label) * {SCALE}, 0)::BIGINT AS g, {bins} FROM tr, ends WHERE {sampled})",
+            f"long AS (UNPIVOT cut ON {', '.join(f'c{j}' for j in used)} INTO NAME f VALUE k)",
+            "pairs AS (SELECT row_id, g, substr(f, 2)::BIGINT AS j, k FROM long)"]
+
+    def best(rows: str) -> str:  # (node, j, k) of each node's split
+        return f"""SELECT node, j, k FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, j, k) AS rn
+          FROM (SELECT *, {part('gl', 'hl')} + {part('gt - gl', 'ht - hl')} - {part('gt', 'ht')} AS gain
+            FROM (SELECT node, j, k, sum(g) OVER c AS gl, sum(h) OVER c AS hl, sum(g) OVER t AS gt, sum(h) OVER t AS ht
+              FROM (SELECT node, j, k, sum(g) AS g, count(*) AS h FROM {rows} GROUP BY node, j, k)
+              WINDOW c AS (PARTITION BY node, j ORDER BY k), t AS (PARTITION BY node, j)))
+          WHERE hl >= 1 AND ht - hl >= 1 AND gain > 0) WHERE rn = 1"""
+
+    def down(rows: str, split: str) -> str:  # rows to the children of their node
+        return f"""SELECT p.row_id, p.g, 2 * p.node + 1 + (x.k > s.k)::BIGINT AS node FROM (SELECT DISTINCT row_id, g, node FROM {rows}) p
+          JOIN {split} s ON s.node = p.node JOIN pairs x ON x.row_id = p.row_id AND x.j = s.j"""
+
+    ctes += ["r0 AS (SELECT row_id, g, j, k, 0::BIGINT AS node FROM pairs)", f"s0 AS ({best('r0')})",
+             f"d1 AS ({down('r0', 's0')})", "r1 AS (SELECT p.row_id, p.g, p.node, x.j, x.k FROM d1 p JOIN pairs x USING (row_id))",
+             f"s1 AS ({best('r1')})", f"d2 AS ({down('r1', 's1')})",
+             "every AS (SELECT row_id, g, 0::BIGINT AS node FROM cut UNION ALL SELECT row_id, g, node FROM d1 "
+             "UNION ALL SELECT row_id, g, node FROM d2)",
+             f"sums AS (SELECT node, sum(g) / {SCALE}.0 AS g, count(*)::DOUBLE AS h FROM every GROUP BY node)",
+             "splits AS (FROM s0 UNION ALL FROM s1)"]
+    name = "CASE s.j " + " ".join(f"WHEN {j} THEN '{names[j]}'" for j in used) + " END"
+    body = (f"SELECT CAST(n.node AS BIGINT) AS node, {name} AS feature, CAST(s.k AS BIGINT) AS bin, n.g::DOUBLE AS g, n.h, "
+            "CASE WHEN s.j IS NULL THEN -n.g / (n.h + 1.0) ELSE 0 END::DOUBLE AS value "
+            "FROM sums n LEFT JOIN splits s ON s.node = n.node")
+    return O.with_(O.CHAIN_FEATURES + ctes, body)
+
+
+@register("gbt_l2_first_tree", O.rounded(_first_tree_sql(), ["g", "h", "value"]))
+def gbt_l2_first_tree(spark, sf):
+    """L4: the first tree, depth 2: splits, gradient sums and leaf values
+    -G / (H + 1)."""
+    from meterlake.operators import boost as B
+    _p, _t, names = prepared(spark, sf)
+    tr, _te = split(spark, sf)
+    return B.fit_gbt_l2(tr, names, **FIRST_TREE).nodes(spark).select("node", "feature", "bin", "g", "h", "value")
+
+
 @register("feature_importance")
 def feature_importance(spark, sf):
     """Forest importances, sorted."""
