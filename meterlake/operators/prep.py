@@ -165,7 +165,7 @@ def fit(df: DataFrame, num_skew: Sequence[str] = S.NUM_SKEW, num_lin: Sequence[s
         bound = MAX_CATEGORIES * len(cats)
         vc = value_counts(df, cats).select("column", "value", "n").limit(bound + 1).collect()
         if len(vc) > bound:
-            raise ValueError(f"more than {MAX_CATEGORIES} categories a column; encode {cats} another way")
+            raise ValueError(f"more than {MAX_CATEGORIES} categories a column; encode {cats} with onehot_sparse")
         for c in cats:
             rows = [(r["value"], r["n"]) for r in vc if r["column"] == c]
             p.modes[c] = min(rows, key=lambda t: (-t[1], t[0]))[0] if rows else None
@@ -197,18 +197,65 @@ def standard_scale(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (S.
     return df.select(*present(df, keep), *out)
 
 
-def category_codes(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (S.ROW_ID,)) -> DataFrame:
-    """Alphabetical dense codes from 0; NULL -> -1.
+def numbered_categories(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, value, code): the distinct values of every column numbered from 0
+    in their order, however many there are.
+
+    The values are range-partitioned by (column, value); a task numbers its own
+    as they are sorted, and what earlier tasks hold is added.  The driver sees a
+    count per task and column."""
+    from meterlake.operators.quantile import sized
+    from meterlake.session import scratch_path
 
-    The code table of a column has one row per category and is joined back;
-    it is broadcast behind its size check, beyond that the join shuffles."""
-    from pyspark.sql import Window
+    spark = df.sparkSession
+    kinds = {c: f.dataType for c, f in zip(cols, df.select(*cols).schema.fields)}
+    kind = kinds[cols[0]] if len(set(map(str, kinds.values()))) == 1 else "string"
+    long = df.select(*[F.col(c).cast(kind).alias(c) for c in cols]).unpivot([], list(cols), "column", "value")
+    rows = (long.where(F.col("value").isNotNull()).distinct().repartitionByRange("column", "value")
+            .sortWithinPartitions("column", "value"))
+    path = scratch_path(spark, "categories")  # fixed before it is counted
+    rows.select("column", "value", F.spark_partition_id().alias("part"),
+                F.monotonically_increasing_id().alias("at")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    counts = rows.groupBy("part", "column").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first")).collect()
+    before, seen = [], dict.fromkeys(cols, 0)
+    for r in sorted(counts, key=lambda r: r["part"]):
+        before.append((r["part"], r["column"], seen[r["column"]] - r["first"]))
+        seen[r["column"]] += r["n"]
+    shift = sized(spark.createDataFrame(before, "part int, column string, shift long"))[0]
+    return rows.join(shift, ["part", "column"]).select(
+        "column", "value", (F.col("at") + F.col("shift")).alias("code"))
 
+
+def _with_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``df`` with ``_<column>_code``, NULL for a missing value.  A code table is
+    broadcast behind its size check, beyond that the join shuffles."""
     from meterlake.operators.quantile import sized
-    out = df.select(*present(df, keep), *cols)
+
+    codes = numbered_categories(df, cols)
     for c in cols:
-        table = (df.select(F.col(c).alias(f"_{c}")).where(F.col(c).isNotNull()).distinct()
-                 .withColumn(f"_{c}_code", F.row_number().over(Window.orderBy(f"_{c}")) - 1))
-        out = out.join(sized(table)[0], F.col(c) == F.col(f"_{c}"), "left").drop(f"_{c}")
+        table = codes.where(F.col("column") == c).select(
+            F.col("value").cast(df.schema[c].dataType).alias(f"_{c}"), F.col("code").alias(f"_{c}_code"))
+        df = df.join(sized(table)[0], F.col(c) == F.col(f"_{c}"), "left").drop(f"_{c}")
+    return df
+
+
+def category_codes(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (S.ROW_ID,)) -> DataFrame:
+    """Dense codes from 0 in the order of the values; NULL -> -1."""
+    out = _with_codes(df.select(*present(df, keep), *cols), cols)
     return out.select(*present(df, keep), *[
         F.coalesce(F.col(f"_{c}_code"), F.lit(-1)).cast("bigint").alias(c) for c in cols])
+
+
+def onehot_sparse(df: DataFrame, col: str, keep: Sequence[str] = (S.ROW_ID,)) -> DataFrame:
+    """K5 for any number of categories: the one-hot row of ``col``, first category
+    dropped, as a sparse vector ``size``, ``indices``, ``values`` (at most one
+    entry; none for the first category and for a missing value)."""
+    out = _with_codes(df.select(*present(df, keep), *([] if col in keep else [col])), [col])
+    code = F.col(f"_{col}_code")
+    n = df.agg(F.count_distinct(col)).first()[0]
+    some = code > 0
+    return out.select(*present(df, keep), F.struct(
+        F.lit(max(n - 1, 0)).alias("size"),
+        F.when(some, F.array((code - 1).cast("int"))).otherwise(F.array().cast("array<int>")).alias("indices"),
+        F.when(some, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>")).alias("values")).alias("onehot"))

@@ -190,22 +190,22 @@ def quartiles(df: DataFrame, cols: Sequence[str]) -> dict[str, dict[float, float
 def iqr_outliers(df: DataFrame, cols: Sequence[str],
                  known: dict[str, dict[float, float]] | None = None) -> DataFrame:
     """Quartiles, IQR, Tukey bounds, outlier count and % of all rows; the
-    counts of all columns in one pass."""
+    counts of all columns in one pass.  A column without values has a row too
+    (NULL statistics, no outlier)."""
     found = known if known is not None else quartiles(df, cols)
     stats = []
-    for c in (c for c in cols if c in found):
-        q1, q3 = found[c][0.25], found[c][0.75]
-        stats.append((c, q1, q3, q3 - q1, q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)))
-    if not stats:
-        return df.sparkSession.createDataFrame(
-            [], "column string, q1 double, q3 double, iqr double, lower double, upper double, n_out long, pct double")
+    for c in cols:
+        q1, q3 = (found[c][0.25], found[c][0.75]) if c in found else (None, None)
+        stats.append((c, q1, q3, *((q3 - q1, q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)) if c in found else [None] * 3)))
     outside = []
     for i, (c, *_b, lo, hi) in enumerate(stats):
         x = F.col(c).cast("double")
-        outside.append(F.count_if(~F.isnan(x) & ((x < F.lit(lo)) | (x > F.lit(hi)))).alias(f"_o{i}"))
+        out = ~F.isnan(x) & ((x < F.lit(lo)) | (x > F.lit(hi))) if lo is not None else F.lit(False)
+        outside.append(F.count_if(out).alias(f"_o{i}"))
     one = df.agg(F.count(F.lit(1)).alias("_n"), *outside)
     names = ["column", "q1", "q3", "iqr", "lower", "upper"]
-    rows = [F.struct(*[F.lit(v).alias(k) for k, v in zip(names, s)], F.col(f"_o{i}").alias("n_out"),
+    rows = [F.struct(F.lit(s[0]).alias("column"), *[F.lit(v).cast("double").alias(k) for k, v in zip(names[1:], s[1:])],
+                     F.col(f"_o{i}").alias("n_out"),
                      F.try_divide(F.col(f"_o{i}") * 100.0, F.col("_n")).alias("pct"))
             for i, s in enumerate(stats)]
     return one.select(F.inline(F.array(*rows)))
@@ -237,6 +237,38 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return one.select(F.inline(F.array(*rows)))
 
 
+def corr_matrix_wide(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """D16 for tables of hundreds of columns: (a, b, r) for a <= b in the order of
+    ``cols``; NULL where fewer than two rows have both, or one does not vary.
+
+    ``corr_matrix`` asks for one aggregate expression a pair; this adds up four
+    p x p matrices instead (``gram.pairwise_corr``)."""
+    from meterlake.operators.gram import pairwise_corr
+
+    cols = list(cols)
+    r = pairwise_corr(df, cols)
+    return df.sparkSession.createDataFrame(
+        [(a, cols[j], None if math.isnan(r[i, j]) else float(r[i, j])) for i, a in enumerate(cols)
+         for j in range(i, len(cols))], "a string, b string, r double")
+
+
+def distinct_sketches(df: DataFrame, cols: Sequence[str], part: Column, lg_size: int = 12) -> DataFrame:
+    """One mergeable distinct-count sketch per part (a day, a month) and
+    column, stored; new parts are added without reading old ones."""
+    from meterlake.session import scratch_path
+
+    path = scratch_path(df.sparkSession, "distinct_sketches")
+    wide = df.groupBy(part.alias("part")).agg(*[F.hll_sketch_agg(F.col(c).cast("string"), lg_size).alias(c) for c in cols])
+    wide.unpivot(["part"], list(cols), "column", "sketch").write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def united_estimates(sketches: DataFrame) -> DataFrame:
+    """(column, parts, estimate) from stored sketches alone."""
+    return sketches.groupBy("column").agg(F.count(F.lit(1)).alias("parts"), F.hll_sketch_estimate(
+        F.hll_union_agg("sketch")).alias("estimate"))
+
+
 def strong_corr(corr: DataFrame, threshold: float = 0.5) -> DataFrame:
     """|r| > threshold (self pairs kept), sorted by r desc."""
     return corr.where(F.abs("r") > threshold).orderBy(F.desc("r"), "a", "b")
@@ -251,22 +283,31 @@ def corr_rank_slice(corr: DataFrame, target: str, start: int = 2, stop: int = 4)
     return ranked.where(F.col("rank").between(start, stop))
 
 
+def _finite(c: str) -> Column:
+    x = F.col(c).cast("double")
+    return F.when(F.abs(x) < float("inf"), x)  # NaN compares greater
+
+
 def _range_scalar(df: DataFrame, c: str) -> Column:
-    return df.agg(F.struct(F.min(c).alias("mn"), F.max(c).alias("mx"),
-                           F.count(c).alias("n")).alias("s")).scalar()
+    """Least and greatest finite value and their number; a constant column's
+    range is widened by a half on either side."""
+    x = _finite(c)
+    one = F.min(x) == F.max(x)
+    return df.agg(F.struct(F.when(one, F.min(x) - 0.5).otherwise(F.min(x)).alias("mn"),
+                           F.when(one, F.max(x) + 0.5).otherwise(F.max(x)).alias("mx"),
+                           F.count(x).alias("n")).alias("s")).scalar()
 
 
 def histogram(df: DataFrame, c: str, bins: int = 50, density: bool = False) -> DataFrame:
     """Equal-width bins over [min, max], last bin right-closed,
-    empty bins included."""
+    empty bins included.  Values that are not finite are left out."""
     spark = df.sparkSession
     s = _range_scalar(df, c)
-    mn, mx, n = s.getField("mn").cast("double"), s.getField("mx").cast("double"), s.getField("n")
+    mn, mx, n = s.getField("mn"), s.getField("mx"), s.getField("n")
     width = (mx - mn) / bins
-    v = F.col(c).cast("double")
-    b = F.when(mx > mn, F.least(F.floor((v - mn) / (mx - mn) * bins), F.lit(bins - 1))) \
-         .otherwise(F.lit(0)).cast("int")
-    counts = df.where(F.col(c).isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    v = _finite(c)
+    b = F.least(F.floor((v - mn) / (mx - mn) * bins), F.lit(bins - 1)).cast("int")
+    counts = df.where(v.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     grid = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     out = (grid.join(counts, "bin", "left").select(
         "bin", (mn + F.col("bin") * width).alias("lo"), (mn + (F.col("bin") + 1) * width).alias("hi"),
@@ -290,7 +331,8 @@ def normal_overlay(df: DataFrame, c: str, points: int = 100) -> DataFrame:
 
 
 def boxplot_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Quartiles, whiskers at the furthest point within 1.5 IQR, flier count."""
+    """Quartiles, whiskers at the furthest point within 1.5 IQR, flier count;
+    a column without values has NULLs and no flier."""
     q = (quantiles(df, cols, [0.25, 0.5, 0.75]).groupBy("column").pivot("p", [0.25, 0.5, 0.75])
          .agg(F.first("q")).toDF("column", "q1", "med", "q3"))
     b, _n = sized(q.withColumn("lo_f", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")))
@@ -301,8 +343,9 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.min(F.when(v >= F.col("lo_f"), v)).alias("whisker_lo"),
         F.max(F.when(v <= F.col("hi_f"), v)).alias("whisker_hi"),
         F.count_if((v < F.col("lo_f")) | (v > F.col("hi_f"))).alias("fliers")))
-    return b.join(agg, "column").select("column", "q1", "med", "q3", "whisker_lo",
-                                        "whisker_hi", "fliers")
+    every = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    return every.join(b, "column", "left").join(agg, "column", "left").select(
+        "column", "q1", "med", "q3", "whisker_lo", "whisker_hi", F.coalesce("fliers", F.lit(0)).alias("fliers"))
 
 
 def summary_stats(df: DataFrame, c: str) -> DataFrame:

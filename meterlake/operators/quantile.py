@@ -1,26 +1,21 @@
 """Exact quantiles (linear interpolation, as pandas / numpy / DuckDB
-``quantile_cont``) that never hold a whole group in one task.
+``quantile_cont``) in two passes, without holding a group in one task.
 
 Spark's ``percentile`` aggregate is exact but its final merge keeps every
-distinct value of a group in one task.  That is fine for small groups and
-unbounded for a hot one (a load type holding a third of all rows).  So:
-
-* a row count (or, when the table is larger than ``small``, a count per
-  group) decides the plan; groups with ``n <= small`` rows use
-  ``percentile`` (exact, state bounded by ``small`` values per group).
-* larger groups, per target rank:
-  1. ``percentile_approx`` brackets ``[lo, hi]`` at ``p -/+ delta``; with
-     relative error ``1/accuracy < delta`` the exact order statistics lie
-     inside the bracket once ``(delta - 1/accuracy) * n`` exceeds a few
-     ranks, which ``n > small`` guarantees;
-  2. one pass counts rows below ``lo`` and builds an equal-width histogram
-     of ``buckets`` cells over ``[lo, hi]`` (tiny, map-side combined);
-  3. a running sum over that histogram names the cell holding each target
-     rank; one more pass aggregates ``(v, count)`` inside those cells only
-     and picks the value by running count.
-
-Every shuffle carries either map-side combined counts or the rows of one
-histogram cell, so a skewed group is spread over all tasks.
+distinct value of a group in one task, which a hot one (a load type holding a
+third of all rows) makes unbounded.  So, at every size:
+
+1. one pass aggregates a mergeable KLL sketch per group and column (bounded
+   state, combined on the map side).  Its quantiles at p -/+ a multiple of the
+   sketch's rank error bracket the wanted order statistics; a group of fewer
+   values than the sketch holds has them exactly;
+2. a second pass counts the values below each bracket and those inside it by
+   value.  Only the values inside (about 0.4 % of a large group's, a few of a
+   small one's) are shuffled, as (value, count), and a running sum over them
+   names the wanted ones.
+
+The bracket is ``SIGMAS`` standard errors wide on either side; a rank that still
+lay outside would raise an error, never give a wrong value.
 Result: one row per (group keys..., ``column``, ``p``) with ``q``.
 """
 
@@ -31,10 +26,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SMALL_GROUP = 1_000_000
-ACCURACY = 20_000
-DELTA = 5e-4
-BUCKETS = 65_536
+SKETCH = 8_192
+SIGMAS = 8.0
+ERROR_AT_99 = 2.576  # standard errors in the sketch's stated rank error
 
 
 BROADCAST_ROWS = 100_000
@@ -71,101 +65,63 @@ def to_long(df: DataFrame, value_cols: Sequence[str], by: Sequence[str] = ()) ->
     return long.where(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
+def rank_error(k: int) -> float:
+    """Half width of a bracket in ranks, as a share of all values: the stated
+    rank error of a KLL sketch of size ``k`` (at 99 %), widened to ``SIGMAS``."""
+    return 2.296 / k ** 0.9021 * SIGMAS / ERROR_AT_99
+
+
+def brackets(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str], k: int) -> DataFrame:
+    """(by..., column, t) from one pass of sketches: ``t`` an array of (i, p,
+    pos, lo, hi), one per wanted quantile."""
+    clean = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols]
+    # A group without a single value of a column has no quantile of it.
+    sketches = df.groupBy(*by).agg(*[F.kll_sketch_agg_double(x, k).alias(f"_s{j}") for j, x in enumerate(clean)])
+    parts = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_s{j}").alias("s")) for j, c in enumerate(cols)])
+    rows = sketches.select(*by, F.inline(parts)).withColumn("n", F.kll_sketch_get_n_double("s")).where("n > 0")
+    error, n = rank_error(k), F.col("n").cast("double")
+
+    def at(p: float, side: int):
+        """The sketch's quantile two ranks and the error away.  Ranks are
+        literals there, so the two ranks are taken from a lower bound of n."""
+        def of(least: int):
+            rank = min(max(p + side * (error + 2.0 / least), 0.0), 1.0)
+            return F.kll_sketch_get_quantile_double("s", F.lit(rank))
+
+        out = of(1)
+        for least in (8, 64, 512, 4_096, 32_768):
+            out = F.when(n >= least, of(least)).otherwise(out)
+        return out
+
+    wanted = [F.struct(F.lit(i).alias("i"), F.lit(p).alias("p"), ((n - 1) * p).alias("pos"), at(p, -1).alias("lo"),
+                       at(p, 1).alias("hi")) for i, p in enumerate(probs)]
+    return rows.select(*by, "column", F.array(*wanted).alias("t"))
+
+
 def quantiles(df: DataFrame, value_cols: Sequence[str] | str, probs: Sequence[float],
-              by: Sequence[str] = (), *, small: int = SMALL_GROUP,
-              accuracy: int = ACCURACY, delta: float = DELTA,
-              buckets: int = BUCKETS) -> DataFrame:
-    if isinstance(value_cols, str):
-        value_cols = [value_cols]
-    probs = [float(p) for p in probs]
-    # no group can exceed the table: a row count (metadata-only on a stored
-    # table) settles the common case without a per-group size job
-    bounded = df.count() <= small
-    return long_quantiles(to_long(df, value_cols, by), list(by) + ["column"], probs, small=small,
-                          accuracy=accuracy, delta=delta, buckets=buckets, bounded=bounded)
-
-
-def long_quantiles(long: DataFrame, keys: list[str], probs: list[float], *,
-                   small: int = SMALL_GROUP, accuracy: int = ACCURACY,
-                   delta: float = DELTA, buckets: int = BUCKETS, bounded: bool = False) -> DataFrame:
-    """Exact quantiles of ``v`` per ``keys`` on a long (keys..., v) frame.
-
-    ``bounded=True``: the caller knows no group exceeds ``small`` rows."""
-    if 1.0 / accuracy >= delta:
-        raise ValueError("need 1/accuracy < delta for a guaranteed bracket")
-    p_arr = F.array(*[F.lit(p) for p in probs])
-    counts = long.groupBy(*keys).agg(F.count("v").alias("n"))
-    # bounded driver decision: which groups are too large for one task?  There
-    # are at most rows / small of them; up to BROADCAST_ROWS they come back as a
-    # small local table that is broadcast (no shuffle of a hot group by key),
-    # beyond that the joins stay shuffle joins (AQE splits skewed partitions).
-    large = None if bounded else sized(counts.where(F.col("n") > small))
-    any_large = large is not None and large[1] > 0
-
-    def exact_small(rows: DataFrame) -> DataFrame:
-        return (rows.groupBy(*keys).agg(F.percentile("v", p_arr).alias("q_arr"))
-                .select(*keys, F.posexplode(F.arrays_zip(
-                    p_arr.alias("p"), F.col("q_arr").alias("q"))).alias("i", "pq"))
-                .select(*keys, F.col("pq.p").alias("p"), F.col("pq.q").alias("q")))
-
-    if not any_large:
-        return exact_small(long)
-    large_df, n_large = large
-    small_q = exact_small(key_join(long, large_df.select(*keys), keys, "left_anti"))
-    lo_ps = [max(p - delta, 0.0) for p in probs]
-    hi_ps = [min(p + delta, 1.0) for p in probs]
-    stats = (key_join(long, large_df, keys).groupBy(*keys).agg(
-        F.first("n").alias("n"),
-        F.percentile_approx("v", F.array(*[F.lit(p) for p in lo_ps]), accuracy).alias("lo_arr"),
-        F.percentile_approx("v", F.array(*[F.lit(p) for p in hi_ps]), accuracy).alias("hi_arr")))
-
-    # -- large groups: bracket -> histogram -> exact pick inside one cell
-    targets = (stats
-               .select(*keys, "n", F.posexplode(F.arrays_zip(
-                   p_arr.alias("p"), F.col("lo_arr").alias("lo"),
-                   F.col("hi_arr").alias("hi"))).alias("i", "t"))
-               .select(*keys, "n", "i", F.col("t.p").alias("p"),
-                       F.col("t.lo").cast("double").alias("lo"),
-                       F.col("t.hi").cast("double").alias("hi"))
-               .withColumn("pos", (F.col("n") - 1) * F.col("p"))
-               .withColumn("r_lo", F.floor("pos").cast("long"))
-               .withColumn("r_hi", F.ceil("pos").cast("long")))
-    width = F.col("hi") - F.col("lo")
-    cell = (F.when(width > 0,
-                   F.least(F.floor((F.col("v") - F.col("lo")) / width * buckets).cast("long"),
-                           F.lit(buckets - 1)))
-            .otherwise(F.lit(0).cast("long")))
-    cell_of = (F.when(F.col("v") < F.col("lo"), F.lit(-1).cast("long"))
-               .when(F.col("v") <= F.col("hi"), cell))
-    tcols = [*keys, "i", "lo", "hi"]
-    targets = sized(targets)[0]
-    hist = (key_join(long, targets.select(*tcols), keys)
-            .where(F.col("v") <= F.col("hi"))
-            .select(*keys, "i", cell_of.alias("cell"))
-            .groupBy(*keys, "i", "cell").agg(F.count(F.lit(1)).alias("cnt")))
-    w = Window.partitionBy(*keys, "i").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
-    hist = hist.withColumn("cum", F.sum("cnt").over(w))
-    # cell holding rank r: first cell with cum > r (cells below lo have id -1)
-    picked = (key_join(hist, targets, [*keys, "i"])
-              .withColumn("start", F.col("cum") - F.col("cnt"))
-              .where((F.col("cell") >= 0)
-                     & (((F.col("start") <= F.col("r_lo")) & (F.col("r_lo") < F.col("cum")))
-                        | ((F.col("start") <= F.col("r_hi")) & (F.col("r_hi") < F.col("cum")))))
-              .select(*keys, "i", "cell", "start", "lo", "hi", "r_lo", "r_hi", "pos", "p"))
-    in_cell = (key_join(long, sized(picked)[0], keys)
-               .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-               .where(cell == F.col("cell"))
-               .groupBy(*keys, "i", "cell", "start", "r_lo", "r_hi", "pos", "p", "v")
-               .agg(F.count(F.lit(1)).alias("cnt")))
-    w2 = (Window.partitionBy(*keys, "i", "cell").orderBy("v")
-          .rowsBetween(Window.unboundedPreceding, 0))
-    ranked = (in_cell.withColumn("cum", F.col("start") + F.sum("cnt").over(w2))
-              .withColumn("first", F.col("cum") - F.col("cnt")))
-    covers = lambda r: (F.col("first") <= F.col(r)) & (F.col(r) < F.col("cum"))
-    large_q = (ranked.groupBy(*keys, "i", "p", "pos", "r_lo", "r_hi")
-               .agg(F.max(F.when(covers("r_lo"), F.col("v"))).alias("v_lo"),
-                    F.max(F.when(covers("r_hi"), F.col("v"))).alias("v_hi"))
-               .select(*keys, "p", F.when(F.col("r_lo") == F.col("r_hi"), F.col("v_lo"))
-                       .otherwise((F.col("r_hi") - F.col("pos")) * F.col("v_lo")
-                                  + (F.col("pos") - F.col("r_lo")) * F.col("v_hi")).alias("q")))
-    return small_q.unionByName(large_q)
+              by: Sequence[str] = (), *, k: int = SKETCH) -> DataFrame:
+    cols = [value_cols] if isinstance(value_cols, str) else list(value_cols)
+    by, probs = list(by), [float(p) for p in probs]
+    keys = by + ["column"]
+    wanted, _n = sized(brackets(df, cols, probs, by, k))
+    met = key_join(to_long(df, cols, by), wanted, keys)
+    inside = F.filter("t", lambda t: F.col("v") <= t["hi"])
+    hits = met.select(*keys, "v", F.explode(inside).alias("t")).select(
+        *keys, "t.i", "t.p", "t.pos", F.when(F.col("v") >= F.col("t.lo"), F.col("v")).alias("v"))
+    # One row per quantile for all values below its bracket (v NULL), one per
+    # distinct value inside.
+    counts = hits.groupBy(*keys, "i", "p", "pos", "v").agg(F.count(F.lit(1)).alias("cnt"))
+    w = Window.partitionBy(*keys, "i").orderBy(F.col("v").asc_nulls_first())
+    ranked = (counts.withColumn("upto", F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("first", F.col("upto") - F.col("cnt")))
+    low, high = F.floor("pos"), F.ceil("pos")
+
+    def value(rank):
+        covers = F.col("v").isNotNull() & (F.col("first") <= rank) & (rank < F.col("upto"))
+        return F.max(F.when(covers, F.col("v")))
+
+    found = ranked.groupBy(*keys, "i", "p", "pos").agg(value(low).alias("a"), value(high).alias("z"))
+    q = (F.when(F.col("a").isNull() | F.col("z").isNull(), F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
+         .when(low == high, F.col("a"))
+         .otherwise((high - F.col("pos")) * F.col("a") + (F.col("pos") - low) * F.col("z")))
+    return found.select(*keys, "p", q.alias("q"))

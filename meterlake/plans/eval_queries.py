@@ -106,7 +106,8 @@ def _runs(spark, sf):
 
 def _ledger(spark, sf):
     path = scratch_path(spark, "run_ledger")
-    L.run_append(_runs(spark, sf), path)
+    for _attempt in range(2):  # a retried commit counts once
+        L.run_append(_runs(spark, sf), path)
     return spark, path
 
 

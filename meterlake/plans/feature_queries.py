@@ -360,6 +360,29 @@ def category_codes(spark, sf):
     return PR.category_codes(V.meter_clean(spark, sf), S.CATEGORICAL)
 
 
+@register("onehot_sparse", """WITH codes AS (SELECT l_orderkey, dense_rank() OVER (ORDER BY l_orderkey) - 1 AS code
+      FROM (SELECT DISTINCT l_orderkey FROM lineitem))
+    SELECT l.l_orderkey, l.l_linenumber, (SELECT count(*) - 1 FROM codes)::BIGINT AS size,
+      CASE WHEN code > 0 THEN code - 1 END::BIGINT AS at, CASE WHEN code > 0 THEN 1 ELSE 0 END::BIGINT AS entries
+    FROM lineitem l JOIN codes USING (l_orderkey)""")
+def onehot_sparse(spark, sf):
+    """K5 on a column of more than 10,000 categories: sparse one-hot rows."""
+    d = V.table(spark, sf, "lineitem")
+    v = PR.onehot_sparse(d, "l_orderkey", keep=("l_orderkey", "l_linenumber"))
+    return v.select("l_orderkey", "l_linenumber", F.col("onehot.size").cast("bigint").alias("size"),
+                    F.get("onehot.indices", F.lit(0)).alias("at"), F.size("onehot.values").alias("entries"))
+
+
+@register("category_codes_many", """SELECT l_orderkey, l_linenumber,
+    dense_rank() OVER (ORDER BY l_orderkey) - 1 AS order_code, dense_rank() OVER (ORDER BY l_partkey) - 1 AS part_code
+    FROM lineitem""")
+def category_codes_many(spark, sf):
+    """K11 on columns with as many categories as the data has keys."""
+    d = V.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_orderkey").alias("order_code"),
+                                              F.col("l_partkey").alias("part_code"))
+    return PR.category_codes(d, ["order_code", "part_code"], keep=("l_orderkey", "l_linenumber"))
+
+
 @register("standard_scale", O.rounded(mf(
     "SELECT row_id, " + ", ".join(
         f"CASE WHEN s_{i} > 0 THEN (CAST({c} AS DOUBLE) - m_{i}) / s_{i} ELSE 0.0 END AS {c}"

@@ -131,28 +131,48 @@ _LARGE_KEY = "CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE l_returnflag END"
     f"SELECT {_LARGE_KEY} AS flag, '{c}' AS \"column\", {p} AS p, quantile_cont(CAST({c} AS DOUBLE), {p}) AS q "
     f"FROM lineitem GROUP BY 1" for c in ("l_extendedprice", "l_quantity") for p in (0.25, 0.5, 0.9)), ["p", "q"]))
 def quantiles_large_groups(spark, sf):
-    """Exact quantiles by the way of large groups (bracket, histogram, cell),
-    with a NULL key group that holds a third of all rows."""
+    """Exact quantiles of groups far larger than their sketches, with a NULL key
+    group that holds a third of all rows."""
     from meterlake.operators.quantile import quantiles
     rows = V.table(spark, sf, "lineitem").select(
         F.when(F.col("l_orderkey") % 3 != 0, F.col("l_returnflag")).alias("flag"),
         "l_extendedprice", "l_quantity")
-    return quantiles(rows, ["l_extendedprice", "l_quantity"], [0.25, 0.5, 0.9], by=["flag"], small=1_000)
+    return quantiles(rows, ["l_extendedprice", "l_quantity"], [0.25, 0.5, 0.9], by=["flag"], k=200)
 
 
 @register("n_unique_approx", " UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", CAST(1 AS BIGINT) AS within_bound FROM lineitem GROUP BY 1"
+    f"SELECT '{c}' AS \"column\", count(DISTINCT date_trunc('month', l_shipdate)) AS parts, "
+    f"count(DISTINCT {c}) AS exact, CAST(1 AS BIGINT) AS within_bound FROM lineitem"
     for c in ("l_orderkey", "l_partkey", "l_quantity")))
 def n_unique_approx(spark, sf):
-    """D9, approximate form: HyperLogLog++ counts, within three times their
-    stated error (1 %) of the exact distinct counts."""
+    """D9, approximate form: sketches stored per month, united without a rescan;
+    the estimates lie within 5 % of the exact counts."""
     cols = ["l_orderkey", "l_partkey", "l_quantity"]
-    d = V.table(spark, sf, "lineitem").agg(
-        *[F.approx_count_distinct(c, 0.01).alias(f"{c}_a") for c in cols],
-        *[F.count_distinct(c).alias(f"{c}_e") for c in cols])
-    return d.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), (
-        F.abs(F.col(f"{c}_a") - F.col(f"{c}_e")) <= F.greatest(F.col(f"{c}_e") * 0.03, F.lit(1)))
-        .cast("int").alias("within_bound")) for c in cols])))
+    rows = V.table(spark, sf, "lineitem")
+    stored = P.distinct_sketches(rows, cols, F.date_trunc("month", "l_shipdate").cast("timestamp_ntz"))
+    exact = P.n_unique(rows, cols).withColumnRenamed("n_unique", "exact")
+    near = F.abs(F.col("estimate") - F.col("exact")) <= F.greatest(F.col("exact") * 0.05, F.lit(1))
+    return P.united_estimates(stored).join(exact, "column").select(
+        "column", "parts", "exact", near.cast("int").alias("within_bound"))
+
+
+WIDE = 200
+# Column k of the wide table over the cleaned meter table, the same in both engines.
+WIDE_COLS = [f"CASE WHEN (row_id + {k}) % 7 = 0 THEN NULL ELSE CAST(usage_kwh AS DOUBLE) * {k % 5 + 1} + "
+             f"(row_id * {k + 11}) % 97 END AS w{k}" for k in range(WIDE)]
+
+
+@register("corr_matrix_wide", O.rounded(O.with_(O.CHAIN_CLEAN + [
+    f"wide AS (SELECT row_id, {', '.join(WIDE_COLS)} FROM meter_clean)",
+    f"long AS (SELECT row_id, f, substr(f, 2)::INT AS k, v FROM (UNPIVOT wide ON "
+    f"{', '.join(f'w{k}' for k in range(WIDE))} INTO NAME f VALUE v))"],
+    f"SELECT a, b, corr(x, y) AS r FROM (SELECT p.f AS a, q.f AS b, p.v AS x, q.v AS y, p.k AS i, q.k AS j FROM long p "
+    f"JOIN long q ON p.row_id = q.row_id AND p.k <= q.k) GROUP BY a, b"), ["r"]))
+def corr_matrix_wide(spark, sf):
+    """D16 on 200 columns with NULLs: presence, sums and products of all pairs
+    in one pass."""
+    d = V.meter_clean(spark, sf).selectExpr("row_id", *WIDE_COLS)
+    return P.corr_matrix_wide(d, [f"w{k}" for k in range(WIDE)])
 
 
 @register("describe_numeric_lineitem", O.rounded(_describe_sql("lineitem", LI_NUMS), _DESC))
@@ -347,13 +367,16 @@ def corr_top3(spark, sf):
 
 def _hist_sql(src, c, bins=50, density=False):
     dens = ", coalesce(h.n, 0) / (s.cnt * (s.mx - s.mn) / 50) AS density" if density else ""
+    # NumPy's rules: values that are not finite are left out, a constant column's
+    # range is widened by a half on either side.
+    x = f"CASE WHEN isfinite(CAST({c} AS DOUBLE)) THEN CAST({c} AS DOUBLE) END"
+    ends = (f"(SELECT CASE WHEN a = z THEN a - 0.5 ELSE a END AS mn, CASE WHEN a = z THEN z + 0.5 ELSE z END AS mx, cnt "
+            f"FROM (SELECT min({x}) AS a, max({x}) AS z, count({x}) AS cnt FROM {src}))")
     return (f"SELECT CAST(g.bin AS BIGINT) AS bin, s.mn + g.bin * ((s.mx - s.mn) / {bins}) AS lo, "
             f"s.mn + (g.bin + 1) * ((s.mx - s.mn) / {bins}) AS hi, CAST(coalesce(h.n, 0) AS BIGINT) AS n{dens} "
-            f"FROM (SELECT range AS bin FROM range({bins})) g "
-            f"CROSS JOIN (SELECT CAST(min({c}) AS DOUBLE) AS mn, CAST(max({c}) AS DOUBLE) AS mx, count({c}) AS cnt FROM {src}) s "
-            f"LEFT JOIN (SELECT CAST(CASE WHEN s2.mx > s2.mn THEN least(floor((CAST({c} AS DOUBLE) - s2.mn) / (s2.mx - s2.mn) * {bins}), {bins - 1}) "
-            f"ELSE 0 END AS INT) AS bin, count(*) AS n FROM {src}, (SELECT CAST(min({c}) AS DOUBLE) AS mn, "
-            f"CAST(max({c}) AS DOUBLE) AS mx FROM {src}) s2 WHERE {c} IS NOT NULL GROUP BY 1) h ON h.bin = g.bin")
+            f"FROM (SELECT range AS bin FROM range({bins})) g CROSS JOIN {ends} s "
+            f"LEFT JOIN (SELECT CAST(least(floor(({x} - s2.mn) / (s2.mx - s2.mn) * {bins}), {bins - 1}) AS INT) AS bin, "
+            f"count(*) AS n FROM {src}, {ends} s2 WHERE {x} IS NOT NULL GROUP BY 1) h ON h.bin = g.bin")
 
 
 @register("histogram50", O.rounded(mc(_hist_sql("meter_clean", S.TARGET)), ["lo", "hi"]))
@@ -362,6 +385,22 @@ def histogram50(spark, sf):
     return P.histogram(V.meter_clean(spark, sf), S.TARGET, 50)
 
 
+_ODD_HIST = "(SELECT {} AS x FROM meter_clean)"
+_WITH_INF = f"CASE row_id % 40 WHEN 0 THEN CAST('inf' AS DOUBLE) WHEN 1 THEN CAST('-inf' AS DOUBLE) WHEN 2 THEN CAST('nan' AS DOUBLE) ELSE {S.TARGET} END"
+
+
+@register("histogram_constant", O.rounded(mc(_hist_sql(_ODD_HIST.format("CAST(7 AS DOUBLE)"), "x")), ["lo", "hi"]))
+def histogram_constant(spark, sf):
+    """D17 of a constant column: all rows in the middle bin of a range of 1."""
+    return P.histogram(V.meter_clean(spark, sf).selectExpr("CAST(7 AS DOUBLE) AS x"), "x", 50)
+
+
+@register("histogram_inf", O.rounded(mc(_hist_sql(_ODD_HIST.format(_WITH_INF), "x")), ["lo", "hi"]))
+def histogram_inf(spark, sf):
+    """D17 with infinite and NaN values: left out of range and counts."""
+    return P.histogram(V.meter_clean(spark, sf).selectExpr(f"{_WITH_INF} AS x"), "x", 50)
+
+
 @register("histogram50_lineitem", O.rounded(_hist_sql("lineitem", "l_extendedprice"), ["lo", "hi"]))
 def histogram50_lineitem(spark, sf):
     """D17 volume run."""
