@@ -20,9 +20,8 @@ so keys travel once and only counts return.  A very frequent word pair is
 one entry per chunk.  What is moved grows with the corpus; nothing but the
 weights (three per bucket) passes through the driver.
 
-Two of n words share a 64-bit hash with probability about n * n / 2^65.  Bigram
-keys have log2(tokens) + ``SPARE_BITS`` bits, so that at every corpus size a
-bigram shares its key with another one with probability below 1e-6.
+Words and bigrams are told apart by 64-bit hashes at every corpus size: two of
+n share one with probability about n * n / 2^65.
 
 Defined results: null and empty texts are one token, the end; a null doc_id
 is hashed as 'null' for the split; repeated rows are each counted and scored;
@@ -49,7 +48,6 @@ FREQUENCY_BUCKETS = 48
 FOLDS, HELD_OUT_FOLD, TUNE_FOLD = 7, 2, 3
 MAX_ROUNDS = 25
 LEAST_WEIGHT = 1e-6
-SPARE_BITS = 21
 END, BEGIN = b"\n", b"\n\n"  # no word holds white space
 
 
@@ -182,7 +180,7 @@ def chunks(docs: DataFrame, chunk_tokens: int = CHUNK) -> DataFrame:
 class Chunk:
     """A stored chunk's distinct words and bigrams, both sorted by key."""
 
-    def __init__(self, row: dict, pair_bits: int):
+    def __init__(self, row: dict):
         hashes = unplanes(row["words"])
         order = np.argsort(hashes, kind="stable")
         self.words = hashes[order]
@@ -197,7 +195,7 @@ class Chunk:
         context[np.cumsum(self.lengths) - self.lengths] = self.begin
         pairs, pair = np.unique(context * len(order) + self.word, return_inverse=True)
         u, w = pairs // len(order), pairs % len(order)
-        keys = mixed(self.words[u], self.words[w]) >> np.uint64(64 - pair_bits)
+        keys = mixed(self.words[u], self.words[w])
         sort = np.argsort(keys, kind="stable")
         self.pairs, self.pair_context, self.pair_word = keys[sort], u[sort], w[sort]
         back = np.empty(len(sort), np.int64)
@@ -218,13 +216,12 @@ KINDS = ("word", "pair")
 COUNTED = [f"{kind}_{name}" for kind in KINDS for name in ("kept", "tune")]
 
 
-def range_edges(keys: np.ndarray, bits: int, ranges: int) -> np.ndarray:
-    """Where ranges of equal width over ``bits``-bit sorted keys begin."""
-    top = keys >> np.uint64(bits - 32) if bits >= 32 else keys << np.uint64(32 - bits)
-    return np.searchsorted((top * np.uint64(ranges)) >> np.uint64(32), np.arange(ranges + 1))
+def range_edges(keys: np.ndarray, ranges: int) -> np.ndarray:
+    """Where ranges of equal width over sorted 64-bit keys begin."""
+    return np.searchsorted(((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32), np.arange(ranges + 1))
 
 
-def key_rows(cut: DataFrame, ranges: int, pair_bits: int) -> DataFrame:
+def key_rows(cut: DataFrame, ranges: int) -> DataFrame:
     """chunk, range, sorted word and pair keys, and their counts in the chunk."""
     schema = pa.schema([("chunk", pa.int64()), ("range", pa.int32())]
                        + [(n, pa.binary()) for n in ("words", "pairs", *COUNTED)])
@@ -233,9 +230,9 @@ def key_rows(cut: DataFrame, ranges: int, pair_bits: int) -> DataFrame:
         for batch in batches:
             for at in range(len(batch)):
                 row = batch.slice(at, 1).to_pylist()[0]
-                c = Chunk(row, pair_bits)
+                c = Chunk(row)
                 kept, tune = c.counted(c.of(*KEPT_FOLDS)), c.counted(c.of(TUNE_FOLD))
-                edges = [range_edges(c.words, 64, ranges), range_edges(c.pairs, pair_bits, ranges)]
+                edges = [range_edges(c.words, ranges), range_edges(c.pairs, ranges)]
                 for r in range(ranges):
                     (a, b), (x, y) = ((int(e[r]), int(e[r + 1])) for e in edges)
                     if a < b or x < y:
@@ -283,8 +280,8 @@ def summed(rows: DataFrame) -> DataFrame:
 class Scored(Chunk):
     """A chunk with the corpus totals of its words and bigrams."""
 
-    def __init__(self, row: dict, totals: list[dict], pair_bits: int):
-        super().__init__(row, pair_bits)
+    def __init__(self, row: dict, totals: list[dict]):
+        super().__init__(row)
         totals = sorted(totals, key=lambda r: r["range"])
         self.total = {n: np.concatenate([uncounts(r[n]) for r in totals]).astype(np.float64) for n in COUNTED}
 
@@ -301,11 +298,11 @@ class Scored(Chunk):
         return pairs, context, words[self.pair_word]
 
 
-def _together(cut: DataFrame, totals: DataFrame, pair_bits: int, fn, schema: str, columns: list[str]) -> DataFrame:
+def _together(cut: DataFrame, totals: DataFrame, fn, schema: str, columns: list[str]) -> DataFrame:
     """``fn(row, Scored)`` -> pa.Table for every chunk."""
     def run(state: pa.Table, totals_: pa.Table) -> pa.Table:
         row = state.to_pylist()[0]
-        return fn(row, Scored(row, totals_.to_pylist(), pair_bits))
+        return fn(row, Scored(row, totals_.to_pylist()))
 
     return cut.select(*columns).groupBy("chunk").cogroup(
         totals.select("chunk", "range", *COUNTED).groupBy("chunk")).applyInArrow(run, schema)
@@ -313,7 +310,7 @@ def _together(cut: DataFrame, totals: DataFrame, pair_bits: int, fn, schema: str
 
 # ---- weights --------------------------------------------------------------
 
-def deleted_counts(cut: DataFrame, totals: DataFrame, pair_bits: int, n_docs: int) -> DataFrame:
+def deleted_counts(cut: DataFrame, totals: DataFrame, n_docs: int) -> DataFrame:
     """c_pair, c_context, c_word, bucket, n: how often bigrams with these
     remaining counts occur in the deleted part.  The context's count only
     matters through its bucket where the pair is unseen."""
@@ -329,7 +326,7 @@ def deleted_counts(cut: DataFrame, totals: DataFrame, pair_bits: int, n_docs: in
         n = np.bincount(where.ravel(), weights=times[some], minlength=len(rows)).astype(np.int64)
         return pa.table([*(pa.array(rows[:, i]) for i in range(4)), pa.array(n)], schema=schema)
 
-    rows = _together(cut, totals, pair_bits, fn,
+    rows = _together(cut, totals, fn,
                      "c_pair long, c_context long, c_word long, bucket long, n long",
                      ["chunk", "folds", "n_tokens", "words", "tokens"])
     return rows.groupBy("c_pair", "c_context", "c_word", "bucket").agg(F.sum("n").alias("n"))
@@ -383,10 +380,9 @@ def scores(docs: DataFrame, chunk_tokens: int = CHUNK) -> DataFrame:
         ("docs", training, F.lit(1)), ("kept_tokens", keeping, F.col("n_tokens")),
         ("kept_docs", keeping, F.lit(1)))]).first()
     ranges = max(1, -(-int(seen["every"]) // RANGE_TOKENS))
-    pair_bits = min(64, int(seen["every"]).bit_length() + SPARE_BITS)
-    totals = stored(summed(key_rows(cut, ranges, pair_bits)), "lm-totals")
+    totals = stored(summed(key_rows(cut, ranges)), "lm-totals")
     n_words = totals.agg(F.sum("n_words")).first()[0] or 0
-    deleted = stored(deleted_counts(cut, totals, pair_bits, seen["kept_docs"]), "lm-deleted")
+    deleted = stored(deleted_counts(cut, totals, seen["kept_docs"]), "lm-deleted")
     weights = learned_weights(deleted, seen["kept_tokens"], n_words)
     n_tokens, n_docs = int(seen["tokens"]), int(seen["docs"])
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
@@ -406,6 +402,6 @@ def scores(docs: DataFrame, chunk_tokens: int = CHUNK) -> DataFrame:
             pa.array(sums["n_known"].astype(np.int64)), pa.array(np.full(len(s.lengths), n_tokens)),
             pa.array(sums["base_score"]), pa.array(sums["score"])], schema=schema)
 
-    return _together(cut, totals, pair_bits, fn, "doc_id long, held_out boolean, n_tokens long, n_known long, "
+    return _together(cut, totals, fn, "doc_id long, held_out boolean, n_tokens long, n_known long, "
                      "train_tokens long, base_score double, score double",
                      ["chunk", "doc_ids", "folds", "n_tokens", "words", "tokens"])
