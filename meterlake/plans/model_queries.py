@@ -535,3 +535,90 @@ def fit_knn(spark, sf):
     pred, te = knn_predictions(spark, sf)
     j = pred.join(te.select(S.ROW_ID, "label"), S.ROW_ID)
     return EV.metrics(j, "label", "prediction").withColumn("model", F.lit("knn"))
+
+
+# ---------------------------------------------------------------- fixed models
+# A literal rule model over the transformed features, so that SQL
+# recomputes scores, drift and supports from the source tables.
+FIXED_MODEL = SC.RuleModel(
+    intercept=20.0,
+    rules=[("f1", FIXED_DESIGN[0], 12.0), ("f2", FIXED_DESIGN[1], -7.5), ("f3", FIXED_DESIGN[2], 5.0)],
+    linear=[("num_skew__lagging_reactive_kvarh", 30.0), ("num_lin__leading_power_factor", -4.0)])
+
+
+def _fixed_sql(body: str, extra: list[str] | None = None) -> str:
+    """``body`` over feat (row_id, features, label), the transformed feature table."""
+    from meterlake.plans.feature_queries import _prep_sql
+    med, fit_imp, app_imp, mm, feat_body = _prep_sql("meter_features", "meter_features", label=True)
+    return O.with_(O.CHAIN_FEATURES + [med, fit_imp, app_imp, mm,
+                                       f"feat AS (SELECT * FROM ({feat_body}) WHERE label IS NOT NULL)", *(extra or [])], body)
+
+
+def _fixed_prediction() -> str:
+    terms = [f"{c!r} * CASE WHEN {cond.replace('`', '')} THEN 1.0 ELSE 0.0 END" for _, cond, c in FIXED_MODEL.rules]
+    terms += [f"{c!r} * {x}" for x, c in FIXED_MODEL.linear]
+    return f"CAST({FIXED_MODEL.intercept!r} AS DOUBLE) + " + " + ".join(terms)
+
+
+@register("score_batch_fixed", O.rounded(_fixed_sql(
+    f"SELECT row_id, label, {_fixed_prediction()} AS prediction FROM feat"), ["label", "prediction"]))
+def score_batch_fixed(spark, sf):
+    """M1: batch scoring of every row with a literal rule model."""
+    _p, t, _n = prepared(spark, sf)
+    return FIXED_MODEL.transform(t).select(S.ROW_ID, "label", "prediction")
+
+
+def _drift_sql() -> str:
+    from meterlake.plans.feature_queries import _prep_names
+    names = _prep_names()
+    moved = ", ".join(f"feat.{c} + 0.25 * sds.{c} AS {c}" for c in names)
+    scored = [f"sds AS (SELECT {', '.join(f'stddev_samp({c}) AS {c}' for c in names)} FROM feat)",
+              f"moved AS (SELECT label, {moved} FROM feat, sds)"]
+    for name, src in (("base", "feat"), ("drift", "moved")):
+        scored.append(
+            f"{name} AS (SELECT sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae, 1 - sum(e * e) / (var_pop(label) * count(*)) "
+            f"AS r2_score FROM (SELECT label, label - ({_fixed_prediction()}) AS e FROM {src}))")
+    return _fixed_sql(" UNION ALL ".join(
+        f"SELECT '{m}' AS metric, b.{m} AS base, d.{m} AS drifted, (d.{m} - b.{m}) / b.{m} * 100 AS change_pct "
+        f"FROM base b, drift d" for m in ("rmse", "mae", "r2_score")), scored)
+
+
+@register("evaluate_fixed", O.rounded(_drift_sql(), ["base", "drifted", "change_pct"]))
+def evaluate_fixed(spark, sf):
+    """A literal rule model evaluated as it is and with every feature
+    moved by 0.25 of its deviation."""
+    _p, t, names = prepared(spark, sf)
+    base, drift = (EV.metrics(FIXED_MODEL.transform(x), "label", "prediction") for x in (t, EV.drift_shift(t, names, 0.25)))
+    return EV.degradation(base, drift)
+
+
+@register("rule_table_fixed", O.rounded(_fixed_sql(" UNION ALL ".join(
+    f"SELECT '{i}' AS rule_id, {c!r}::DOUBLE AS coefficient, s AS support, abs({c!r}) * sqrt(s * (1 - s)) AS importance FROM "
+    f"(SELECT avg(CASE WHEN {cond.replace('`', '')} THEN 1.0 ELSE 0.0 END) AS s FROM feat)"
+    for i, cond, c in FIXED_MODEL.rules)), ["coefficient", "support", "importance"]))
+def rule_table_fixed(spark, sf):
+    """Support and importance of literal rules, supports from the one-pass
+    sums that the rule ensemble is fitted on."""
+    from meterlake.operators.gram import moments_of, reduced
+    _p, t, names = prepared(spark, sf)
+    _n, mean, _s = moments_of(reduced(t, [*names, "label"], MD.rule_design(names, FIXED_DESIGN, []))[0])
+    return spark.createDataFrame(
+        [(i, float(c), float(s), abs(c) * float(s * (1 - s)) ** 0.5) for (i, _, c), s in zip(FIXED_MODEL.rules, mean)],
+        "rule_id string, coefficient double, support double, importance double")
+
+
+_X1, _X2 = "num_skew__lagging_reactive_kvarh", "num_lin__leading_power_factor"
+
+
+@register("fit_linear_two", O.rounded(_fixed_sql(
+    "SELECT (b1) AS coef_1, (b2) AS coef_2, my - b1 * m1 - b2 * m2 AS intercept FROM (SELECT *, "
+    "(c1y * v2 - c2y * c12) / (v1 * v2 - c12 * c12) AS b1, (c2y * v1 - c1y * c12) / (v1 * v2 - c12 * c12) AS b2 FROM "
+    f"(SELECT avg(label) AS my, avg({_X1}) AS m1, avg({_X2}) AS m2, var_pop({_X1}) AS v1, var_pop({_X2}) AS v2, "
+    f"covar_pop({_X1}, {_X2}) AS c12, covar_pop({_X1}, label) AS c1y, covar_pop({_X2}, label) AS c2y FROM feat))"),
+    ["coef_1", "coef_2", "intercept"]))
+def fit_linear_two(spark, sf):
+    """L1 on two features: the fitted coefficients, against the closed form."""
+    _p, t, _n = prepared(spark, sf)
+    lr = MD.fit_linear(t, [_X1, _X2]).stages[-1]
+    a, b = (float(x) for x in lr.coefficients.toArray())
+    return spark.createDataFrame([(a, b, float(lr.intercept))], "coef_1 double, coef_2 double, intercept double")
