@@ -2,8 +2,9 @@
 
 ``fit`` runs distributed aggregations and returns a small parameter table
 ``(group, feature, stat, category, value)`` — its size is bounded by the
-number of features and categories, not by the data — which is collected to
-build one ``select`` (``apply``).  Output column names follow the reference's
+number of features and ``MAX_CATEGORIES``, not by the data — which is collected to
+build one ``select`` (``apply``).  A nominal column of more categories has its
+numbers in a table of their own and becomes one sparse vector.  Output column names follow the reference's
 ``group__column`` convention.
 """
 
@@ -36,6 +37,8 @@ class Preprocessor:
     modes: dict[str, str] = field(default_factory=dict)
     categories: dict[str, list[str]] = field(default_factory=dict)
     ordinal: dict[str, list[str]] = field(default_factory=dict)
+    # Nominal columns of more than MAX_CATEGORIES: (categories, folder of their numbers).
+    sparse: dict[str, tuple[int, str]] = field(default_factory=dict)
 
     # ---------------------------------------------------------------- table form
     def to_table(self, spark) -> DataFrame:
@@ -46,7 +49,9 @@ class Preprocessor:
                          (g, c, "min", None, self.mins.get(c)), (g, c, "max", None, self.maxs.get(c))]
         for c in self.cat_nom:
             rows.append(("cat_nom", c, "mode", self.modes.get(c), None))
-            rows += [("cat_nom", c, "category", v, float(i)) for i, v in enumerate(self.categories[c])]
+            rows += [("cat_nom", c, "category", v, float(i)) for i, v in enumerate(self.categories.get(c, []))]
+            if c in self.sparse:
+                rows.append(("cat_nom", c, "numbers", self.sparse[c][1], float(self.sparse[c][0])))
         for c in self.cat_ord:
             rows.append(("cat_ord", c, "mode", self.modes.get(c), None))
             rows += [("cat_ord", c, "level", v, float(i)) for i, v in enumerate(self.ordinal[c])]
@@ -70,6 +75,8 @@ class Preprocessor:
                 p.modes[c] = r["category"]
             elif r["stat"] == "category":
                 p.categories.setdefault(c, []).append(r["category"])
+            elif r["stat"] == "numbers":
+                p.sparse[c] = (int(r["value"]), r["category"])
             elif r["stat"] == "level":
                 p.ordinal.setdefault(c, []).append(r["category"])
         return p
@@ -85,8 +92,11 @@ class Preprocessor:
             x = impute(F.col(c).cast("double"), self.medians[c])
             out.append(minmax(x, self.mins[c], self.maxs[c]).alias(f"num_lin__{c}"))
         for c in self.cat_nom:
+            if c in self.sparse:
+                out.append(F.col(f"_{c}_onehot").alias(f"cat_nom__{c}"))
+                continue
             x = F.coalesce(F.col(c), F.lit(self.modes[c]))
-            out += onehot_drop_first(x, c, self.categories[c])
+            out += onehot_drop_first(x, c, self.categories.get(c, []))
         for c in self.cat_ord:
             x = F.coalesce(F.col(c), F.lit(self.modes[c]))
             out.append(ordinal(x, self.ordinal[c]).alias(f"cat_ord__{c}"))
@@ -95,11 +105,20 @@ class Preprocessor:
     def output_names(self) -> list[str]:
         names = [f"num_skew__{c}" for c in self.num_skew] + [f"num_lin__{c}" for c in self.num_lin]
         for c in self.cat_nom:
-            names += [f"cat_nom__{c}_{v}" for v in self.categories[c][1:]]
+            names += [f"cat_nom__{c}"] if c in self.sparse else [
+                f"cat_nom__{c}_{v}" for v in self.categories.get(c, [])[1:]]
         return names + [f"cat_ord__{c}" for c in self.cat_ord]
 
     def transform(self, df: DataFrame, keep: Sequence[str] = (S.ROW_ID,)) -> DataFrame:
-        return df.select(*present(df, keep), *self.columns())
+        """A column of very many categories becomes one sparse vector (``onehot_sparse``)
+        by a join with its numbers; all others are expressions."""
+        kept = present(df, keep)
+        for c, (n, path) in self.sparse.items():
+            codes = df.sparkSession.read.parquet(path)
+            filled = F.coalesce(F.col(c).cast("string"), F.lit(self.modes[c]))
+            df = _joined_codes(df.withColumn(f"_{c}_value", filled), f"_{c}_value", codes, f"_{c}_code")
+            df = df.withColumn(f"_{c}_onehot", sparse_vector(F.col(f"_{c}_code"), n))
+        return df.select(*kept, *self.columns())
 
 
 def impute(x: Column, value: float | None) -> Column:
@@ -159,21 +178,21 @@ def fit(df: DataFrame, num_skew: Sequence[str] = S.NUM_SKEW, num_lin: Sequence[s
         p.maxs = {c: row[f"{c}__max"] for c in nums}
     cats = cat_nom + cat_ord
     if cats:
-        # one value-count pass (bounded by the categories) gives modes and levels
+        # one value-count pass gives modes and levels
         from meterlake.operators.profile import value_counts
-        # one output column per category: more than MAX_CATEGORIES is an error, not a truncation
-        bound = MAX_CATEGORIES * len(cats)
-        vc = value_counts(df, cats).select("column", "value", "n").limit(bound + 1).collect()
-        if len(vc) > bound:
-            raise ValueError(f"more than {MAX_CATEGORIES} categories a column; encode {cats} with onehot_sparse")
-        for c in cats:
-            rows = [(r["value"], r["n"]) for r in vc if r["column"] == c]
-            p.modes[c] = min(rows, key=lambda t: (-t[1], t[0]))[0] if rows else None
+        from meterlake.session import scratch_path
+        vc = value_counts(df, cats).select("column", "value", "n")
+        top = F.min(F.struct((-F.col("n")).alias("n"), F.col("value").alias("v")))
+        seen = {r["column"]: r for r in vc.groupBy("column").agg(F.count(F.lit(1)).alias("k"), top.alias("top")).collect()}
+        p.modes = {c: seen[c]["top"]["v"] if c in seen else None for c in cats}
+        few = [c for c in cat_nom if c not in seen or seen[c]["k"] <= MAX_CATEGORIES]
+        levels = vc.where(F.col("column").isin(few)).select("column", "value").collect() if few else []
+        p.categories = {c: sorted(r["value"] for r in levels if r["column"] == c) for c in few}
         for c in cat_nom:
-            levels = sorted(v for v, _ in [(r["value"], r["n"]) for r in vc if r["column"] == c])
-            if p.modes[c] is None:
-                levels = []
-            p.categories[c] = levels
+            if c not in few:
+                path = scratch_path(df.sparkSession, "category_numbers")
+                numbered_categories(df.select(F.col(c).cast("string").alias(c)), [c]).select("value", "code").write.parquet(path)
+                p.sparse[c] = (seen[c]["k"], path)
         p.ordinal = {c: list(ordinal_levels[c]) for c in cat_ord}
     return p
 
@@ -230,16 +249,30 @@ def numbered_categories(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def _with_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``df`` with ``_<column>_code``, NULL for a missing value.  A code table is
     broadcast behind its size check, beyond that the join shuffles."""
-    from meterlake.operators.quantile import sized
-
     codes = numbered_categories(df, cols)
     for c in cols:
-        table = codes.where(F.col("column") == c).select(
-            F.col("value").cast(df.schema[c].dataType).alias(f"_{c}"), F.col("code").alias(f"_{c}_code"))
-        df = df.join(sized(table)[0], F.col(c) == F.col(f"_{c}"), "left").drop(f"_{c}")
+        table = codes.where(F.col("column") == c).select(F.col("value").cast(df.schema[c].dataType).alias("value"), "code")
+        df = _joined_codes(df, c, table, f"_{c}_code")
     return df
 
 
+def _joined_codes(df: DataFrame, col: str, codes: DataFrame, out: str) -> DataFrame:
+    from meterlake.operators.quantile import sized
+
+    table = codes.select(F.col("value").alias(f"_{col}"), F.col("code").alias(out))
+    return df.join(sized(table)[0], F.col(col) == F.col(f"_{col}"), "left").drop(f"_{col}")
+
+
+def sparse_vector(code: Column, categories: int) -> Column:
+    """struct<size, indices, values> of a category number, the first category
+    dropped: at most one entry."""
+    some = code > 0
+    return F.struct(
+        F.lit(max(categories - 1, 0)).alias("size"),
+        F.when(some, F.array((code - 1).cast("int"))).otherwise(F.array().cast("array<int>")).alias("indices"),
+        F.when(some, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>")).alias("values"))
+
+
 def category_codes(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (S.ROW_ID,)) -> DataFrame:
     """Dense codes from 0 in the order of the values; NULL -> -1."""
     out = _with_codes(df.select(*present(df, keep), *cols), cols)
@@ -252,10 +285,5 @@ def onehot_sparse(df: DataFrame, col: str, keep: Sequence[str] = (S.ROW_ID,)) ->
     dropped, as a sparse vector ``size``, ``indices``, ``values`` (at most one
     entry; none for the first category and for a missing value)."""
     out = _with_codes(df.select(*present(df, keep), *([] if col in keep else [col])), [col])
-    code = F.col(f"_{col}_code")
     n = df.agg(F.count_distinct(col)).first()[0]
-    some = code > 0
-    return out.select(*present(df, keep), F.struct(
-        F.lit(max(n - 1, 0)).alias("size"),
-        F.when(some, F.array((code - 1).cast("int"))).otherwise(F.array().cast("array<int>")).alias("indices"),
-        F.when(some, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>")).alias("values")).alias("onehot"))
+    return out.select(*present(df, keep), sparse_vector(F.col(f"_{col}_code"), n).alias("onehot"))

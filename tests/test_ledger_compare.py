@@ -110,6 +110,22 @@ def test_sparse_onehot(spark):
     assert PR.onehot_sparse(df.limit(0), "g").count() == 0
 
 
+def test_transformer_with_very_many_categories(spark):
+    """More than MAX_CATEGORIES values: fitted, stored as a table, applied."""
+    df = spark.range(12_500).select(F.col("id").alias("row_id"), F.when(F.col("id") != 3, F.format_string("v%05d", F.col("id"))).alias("g"),
+                                    F.when(F.col("id") % 2 == 0, "x").otherwise("y").alias("h"))
+    df = df.unionByName(df.where("row_id = 77").withColumn("row_id", F.lit(99_999).cast("long")))  # the mode
+    p = PR.fit(df, num_skew=[], num_lin=[], cat_nom=["g", "h"], cat_ord=[])
+    again = PR.Preprocessor.from_table(p.to_table(spark))
+    assert p.sparse["g"][0] == 12_499 and again.sparse == p.sparse and again.output_names() == ["cat_nom__g", "cat_nom__h_y"]
+    new = spark.createDataFrame([(1, "v00000", "y"), (2, "v00005", "x"), (3, None, "y"), (4, "unknown", None)],
+                                "row_id long, g string, h string")
+    got = {r.row_id: (r["cat_nom__g"]["size"], r["cat_nom__g"]["indices"], r["cat_nom__h_y"]) for r in again.transform(new).collect()}
+    # v00003 is missing, so v00005 is category 4 and v00077 (the mode) 76.
+    assert got == {1: (12_498, [], 1.0), 2: (12_498, [3], 0.0), 3: (12_498, [75], 1.0), 4: (12_498, [], 1.0)}
+    assert p.transform(df).count() == 12_501
+
+
 def test_distinct_sketches_unite_without_a_rescan(spark):
     df = spark.range(40_000).select((F.col("id") % 9_000).alias("u"), (F.col("id") % 8).alias("day"))
     kept = P.distinct_sketches(df, ["u"], F.col("day"))
