@@ -3,13 +3,18 @@
 Document rules are measured on the whole text.  Their failures are aggregated
 per host (here: the ``source`` column), each host's failure rate is shrunk by
 an empirical beta prior fitted to all hosts by moments, and the host verdict
-is joined back: a document stays if it passes its own rules and its host's
-shrunk rate stays at or below ``max_host_rate``.
+is joined back.  The posterior of a host's rate is a beta, too; ``sure_rate`` is
+the value that the rate exceeds with probability ``LEVEL`` (95 %, by the
+posterior's mean and deviation).  A host is rejected where that value is above
+both ``max_host_rate``, so that most of its documents fail, and the corpus rate:
+a host of twice or five times the usual rate still holds mostly clean documents,
+which stay.
 
 Defined results: null text counts as no words (fails the minimum length); a
 null host is a host of its own; repeated rows are judged and counted each;
-an empty table gives empty tables; input columns are never read beyond the
-ones named, so extra columns of any name are harmless.
+very long texts are measured whole, one at a time in a task; an empty table
+gives empty tables; input columns are never read beyond the ones named, so
+extra columns of any name are harmless.
 """
 
 from __future__ import annotations
@@ -28,7 +33,8 @@ SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-MAX_HOST_RATE = 0.8
+MAX_HOST_RATE = 0.5
+LEVEL = 1.645  # standard deviations below the posterior mean: 95 %
 
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 STATS_TYPE = T.StructType([T.StructField(c, T.LongType()) for c in STATS])
@@ -81,11 +87,13 @@ def rule_failed(stats: str = "stats"):
 
 
 def host_rates(judged: DataFrame, host: str = "host", failed: str = "failed") -> DataFrame:
-    """One row per host: documents, failures, shrunk failure rate.
+    """One row per host: documents, failures, shrunk failure rate, sure_rate and
+    the corpus rate.
 
     Prior by moments: mean = overall rate m; the document-weighted variance of
-    the host rates, less its binomial part, gives the precision a + b,
-    bounded to [1, 1e6] (equal rates everywhere pull every host to the mean).
+    the host rates, less its binomial part, gives the precision a + b, at least
+    1 and at most the mean number of documents a host: however alike the other
+    hosts are, the prior never outweighs an average host's own documents.
     Counts are combined on the map side, so a hot host costs one row a task."""
     per = judged.groupBy(F.col(host).alias("host")).agg(
         F.count("*").alias("n_docs"),
@@ -98,19 +106,24 @@ def host_rates(judged: DataFrame, host: str = "host", failed: str = "failed") ->
     between = F.greatest(F.col("ff") / F.col("n") - mean * mean, F.lit(0.0))
     within = mean * (1 - mean) * F.col("h") / F.col("n")
     excess = F.greatest(between - within, F.lit(1e-12))
-    strength = F.least(F.greatest(mean * (1 - mean) / excess - 1, F.lit(1.0)), F.lit(1e6))
+    most = F.greatest(F.col("n") / F.col("h"), F.lit(1.0))
+    strength = F.least(F.greatest(mean * (1 - mean) / excess - 1, F.lit(1.0)), most)
     prior = tot.select(mean.alias("mean"), strength.alias("strength")).first()
     m, s = (prior["mean"] or 0.0, prior["strength"] or 1.0)
     rate = (f + F.lit(m * s)) / (n + F.lit(s))
-    return per.select("host", "n_docs", "n_failed", rate.alias("shrunk_rate"))
+    sure = rate - LEVEL * F.sqrt(rate * (1 - rate) / (n + F.lit(s) + 1))
+    return per.select("host", "n_docs", "n_failed", rate.alias("shrunk_rate"), sure.alias("sure_rate"),
+                      F.lit(float(m)).alias("corpus_rate"))
 
 
 def with_verdict(judged: DataFrame, rates: DataFrame, host: str = "host",
                  failed: str = "failed", max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """``judged`` plus ``shrunk_rate`` and ``kept``."""
-    r = rates.select(F.col("host").alias("_rate_host"), F.col("shrunk_rate").alias("shrunk_rate"))
+    """``judged`` plus ``shrunk_rate``, ``sure_rate`` and ``kept``."""
+    bad = (F.col("sure_rate") > max_host_rate) & (F.col("sure_rate") > F.col("corpus_rate"))
+    r = rates.select(F.col("host").alias("_rate_host"), F.col("shrunk_rate").alias("shrunk_rate"),
+                     F.col("sure_rate").alias("sure_rate"), bad.alias("_bad_host"))
     out = judged.join(r, judged[host].eqNullSafe(r["_rate_host"]), "left").drop("_rate_host")
-    return out.withColumn("kept", ~F.col(failed) & (F.col("shrunk_rate") <= max_host_rate))
+    return out.withColumn("kept", ~F.col(failed) & ~F.col("_bad_host")).drop("_bad_host")
 
 
 def judged_documents(docs: DataFrame, host_col: str = "source", text_col: str = "text",
@@ -126,7 +139,7 @@ def judged_documents(docs: DataFrame, host_col: str = "source", text_col: str =
 
 def quality_report(docs: DataFrame, max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
     """doc (struct of the input columns but text), stats, host, failed,
-    shrunk_rate, kept: one row per document.  The measures are stored once
+    shrunk_rate, sure_rate, kept: one row per document.  The measures are stored once
     (no texts), so both the host totals and the join read the small table."""
     judged = stored(judged_documents(docs), "quality-stats")
     return with_verdict(judged, host_rates(judged), max_host_rate=max_host_rate)

@@ -117,12 +117,13 @@ hosts AS (SELECT source, count(*)::DOUBLE AS n, sum(base_failed::INT)::DOUBLE AS
   FROM judged GROUP BY source),
 tot AS (SELECT sum(f) AS f, sum(n) AS n, count(*) AS h, sum(f * f / n) AS ff FROM hosts),
 prior AS (SELECT f / n AS m, least(greatest((f / n) * (1 - f / n) / greatest(
-    greatest(ff / n - (f / n) * (f / n), 0) - (f / n) * (1 - f / n) * h / n, 1e-12) - 1, 1), 1e6) AS s
+    greatest(ff / n - (f / n) * (f / n), 0) - (f / n) * (1 - f / n) * h / n, 1e-12) - 1, 1), greatest(n / h, 1)) AS s
   FROM tot),
-rates AS (SELECT source, (f + m * s) / (n + s) AS rate FROM hosts, prior)
+rates AS (SELECT source, m, n + s AS weight, (f + m * s) / (n + s) AS rate FROM hosts, prior),
+sure AS (SELECT source, m, rate - 1.645 * sqrt(rate * (1 - rate) / (weight + 1)) AS sure FROM rates)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND rate <= 0.8 AS kept
-FROM judged JOIN rates ON judged.source IS NOT DISTINCT FROM rates.source
+       NOT base_failed AND NOT (sure > 0.5 AND sure > m) AS kept
+FROM judged JOIN sure ON judged.source IS NOT DISTINCT FROM sure.source
 """
 
 
