@@ -16,10 +16,12 @@ Links join fingerprints at ``max_bits`` = 3 or fewer differing bits:
   {indices near its i} x {own index of j} and under {own index of i} x {indices
   near its j}; two fingerprints with at most one error in each meet between the
   two kinds of keys;
-* those that meet are verified by counting differing bits.  Within a key all
-  members are compared in blocks, but only links that join two groups not yet
-  joined in that task are emitted, so a dense group of m near copies gives
-  about m rows, not m * m.  No key or member is skipped.
+* those that meet are verified by counting differing bits.  A key's members are
+  dealt into blocks of about ``BLOCK`` and every left block meets every right
+  block in a group of its own, so a key that a third of all fingerprints share
+  is many tasks' work.  Only links that join two groups not yet joined in that
+  task are emitted, so a dense group of m near copies gives about m rows a
+  block, not m * m.  No key or member is skipped.
 
 Groups are the connected components over those links, by repeated minimum
 exchange on link tables (large-star, small-star), each round written to the
@@ -50,6 +52,8 @@ MAX_BITS = 3
 SEED = 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 PAIRS = ((0, 1), (0, 2), (1, 2))
+BLOCK = 8_192   # members of one kind that a task holds of a key
+ONE_OF = 64     # fingerprints looked at to find the large keys
 
 # ---- fingerprints ---------------------------------------------------------
 
@@ -177,8 +181,14 @@ def filed(distinct: DataFrame) -> DataFrame:
 class Joined:
     """Which fingerprints this task has already joined (union by path halving)."""
 
-    def __init__(self):
+    def __init__(self, most: int = 1_000_000):
         self.up: dict[int, int] = {}
+        self.most = most
+
+    def forget(self) -> None:
+        """Bounded memory: what is forgotten can only cost a link told twice."""
+        if len(self.up) > self.most:
+            self.up.clear()
 
     def root(self, x: int) -> int:
         up = self.up
@@ -210,7 +220,32 @@ def run_links(left: np.ndarray, right: np.ndarray, max_bits: int, joined: Joined
                     out.append((a, b))
 
 
-def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def large_keys(distinct: DataFrame, block: int, one_of: int) -> DataFrame:
+    """key, lefts, rights: keys with more than about ``block`` members of a kind,
+    and into how many blocks each kind is split.  They are found among one of
+    ``one_of`` fingerprints, which only steers the work: a key that is missed
+    stays one group, no link depends on it."""
+    some = distinct.where(F.pmod(F.xxhash64("fp", F.lit(3)), F.lit(one_of)) == 0)
+    seen = filed(some).groupBy("key").agg(*[F.count(F.when(F.col("kind") == k, 1)).alias(n)
+                                            for k, n in enumerate(("lefts", "rights"))])
+    parts = [F.greatest(F.ceil(F.col(n) * one_of / block), F.lit(1)).cast("int").alias(n) for n in ("lefts", "rights")]
+    return seen.select("key", *parts).where("lefts > 1 OR rights > 1")
+
+
+def grouped(distinct: DataFrame, block: int = BLOCK, one_of: int = ONE_OF) -> DataFrame:
+    """key, left, right, kind, fp: the filings, a large key's members dealt into
+    blocks such that every left block meets every right block."""
+    large = stored(large_keys(distinct, block, one_of), "large-keys")  # broadcast while small
+    rows = filed(distinct).join(large, "key", "left")
+    own = lambda n: F.pmod(F.xxhash64("fp"), F.coalesce(n, F.lit(1))).cast("int")
+    every = lambda n: F.sequence(F.lit(0), F.coalesce(n, F.lit(1)) - 1)
+    place = F.when(F.col("kind") == 0, F.transform(every(F.col("rights")), lambda j: F.struct(
+        own(F.col("lefts")).alias("left"), j.alias("right")))).otherwise(F.transform(
+            every(F.col("lefts")), lambda i: F.struct(i.alias("left"), own(F.col("rights")).alias("right"))))
+    return rows.select("key", "kind", "fp", F.explode(place).alias("at")).select("key", "at.left", "at.right", "kind", "fp")
+
+
+def links(distinct: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK, one_of: int = ONE_OF) -> DataFrame:
     """a, b: links that connect the near-duplicate groups of distinct
     fingerprints (every two linked ones are connected by them)."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -218,6 +253,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         joined = Joined()
         rest = [np.zeros(0, np.int64), np.zeros(0, np.int8), np.zeros(0, np.int64)]
+        last_group, numbers = None, 0
 
         def flush(key, kind, fp):
             out: list[tuple[int, int]] = []
@@ -236,16 +272,26 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                  pa.array([x[1] for x in out], pa.int64())], schema=schema)
 
         for batch in batches:
-            cols = [np.concatenate([r, batch.column(i).to_numpy(zero_copy_only=False)])
-                    for i, r in enumerate(rest)]
+            if not batch.num_rows:
+                continue
+            # Groups (key, left, right) are numbered as they come, in order.
+            place = np.column_stack([batch.column(i).to_numpy() for i in range(3)])
+            fresh = np.any(place[1:] != place[:-1], axis=1)
+            fresh = np.concatenate([[last_group is not None and tuple(place[0]) != last_group], fresh])
+            number = numbers + np.cumsum(fresh)
+            numbers, last_group = int(number[-1]), tuple(place[-1])
+            new = [number, batch.column(3).to_numpy(zero_copy_only=False), batch.column(4).to_numpy(zero_copy_only=False)]
+            cols = [np.concatenate([r, x]) for r, x in zip(rest, new)]
             last = int(np.searchsorted(cols[0], cols[0][-1], "left")) if len(cols[0]) else 0
             rest = [c[last:] for c in cols]  # the last key may go on in the next batch
             if last:
                 yield flush(*[c[:last] for c in cols])
+                joined.forget()
         if len(rest[0]):
             yield flush(*rest)
 
-    return (filed(distinct).repartition("key").sortWithinPartitions("key", "kind", "fp")
+    by = ["key", "left", "right"]
+    return (grouped(distinct, block, one_of).repartition(*by).sortWithinPartitions(*by, "kind", "fp")
             .mapInArrow(run, "a long, b long"))
 
 
