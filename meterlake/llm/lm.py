@@ -25,8 +25,9 @@ n share one with probability about n * n / 2^65.
 
 Defined results: null and empty texts are one token, the end; a null doc_id
 is hashed as 'null' for the split; repeated rows are each counted and scored;
-with no training documents the model is uniform; an empty table gives an
-empty one; only doc_id and text are read.
+with no training documents the model is uniform; a very long text is one chunk,
+which bounds a text by a task's memory (12 bytes a token); an empty table gives
+an empty one; only doc_id and text are read.
 """
 
 from __future__ import annotations

@@ -8,8 +8,10 @@ fraction, drawn from a hash of (doc_id, seed).
 
 Defined results: null text has size 0; null source is a source of its own,
 last in order; a source of size 0 has rate 0; repeated rows share one draw
-(same doc_id); a null doc_id draws as the text 'null'; an empty table gives an
-empty mix.  Only the named columns are read, so extra ones are harmless.
+(same doc_id); a null doc_id draws as the text 'null'; a very long text is
+counted whole, as one cell; an empty table gives an empty mix.  Only the named
+columns are read, so extra ones are harmless.  Sources are ordered and shared
+out in one task, a row each: a bound of some millions of sources.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ the pieces are written, and the count of that length in earlier tasks is added.
 
 Defined results: null and empty texts are one piece holding the end id;
 repeated rows are packed each; a null doc_id stays null; an empty table gives
-no pieces; columns beyond doc_id and text are not read.
+no pieces; a very long text is tokenised as one cell and cut into as many pieces
+as it needs; columns beyond doc_id and text are not read.
 """
 
 from __future__ import annotations

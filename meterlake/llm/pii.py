@@ -24,7 +24,8 @@ Terms are runs of at least ``min_letters`` letters, lower-cased, outside base
 spans.
 
 Defined results: null text has no spans and stays null; empty text has none;
-repeated rows are treated alike; an empty table gives an empty table; extra
+repeated rows are treated alike; a very long text is one cell and searched
+whole; an empty table gives an empty table; extra
 columns ride along in one struct, so their names never clash.
 """
 

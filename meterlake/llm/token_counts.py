@@ -1,5 +1,13 @@
 """Token counts of whole texts, and the change batches of a corpus (operator
-5)."""
+5).
+
+Defined results: null and empty texts count zero tokens; rows with equal ids or
+equal rows are counted each; of rows with an equal text the one of smallest
+doc_id (null last, then source and language) keeps it and the others are listed
+as deleted; null source and language are groups of their own; a very long text
+is counted as one cell; an empty table gives no group; columns beyond doc_id,
+text, source and lang are not read.
+"""
 
 from __future__ import annotations
 

@@ -16,8 +16,9 @@ they refer to; one nested row per capture.
 
 Defined results: null payload is empty; rows with equal id and payload are
 captures of their own: the first is the response, the others revisit it; a null
-id is an id of its own, ordered last; null url is empty; an empty table writes
-no record and reads back empty; other columns are not read.
+id is an id of its own, ordered last; null url is empty; a very long
+payload is one record and one cell; an empty table writes no record and reads
+back empty; other columns are not read.
 """
 
 from __future__ import annotations

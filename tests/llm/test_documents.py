@@ -483,4 +483,4 @@ def test_planes_round_trip():
         assert (lm.unplanes(lm.planes(x)) == x).all() and (lm.uncounts(lm.counts(x)) == x).all()
         assert (lm.from_sorted_planes(lm.sorted_planes(np.sort(x))) == np.sort(x)).all()
     assert len(lm.unplanes(lm.planes(np.zeros(0, np.uint64)))) == 0
-    assert lm.range_edges(np.array([0, 2**47, 2**48 - 1], np.uint64), 48, 2).tolist() == [0, 1, 3]
+    assert lm.range_edges(np.array([0, 2**63, 2**64 - 1], np.uint64), 2).tolist() == [0, 1, 3]
