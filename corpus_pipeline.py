@@ -1,6 +1,12 @@
 """The corpus pipeline: quality rules, near-duplicates, personal data, source
 mix, packing.  Each stage takes the previous one's documents, written as
-Parquet and read again."""
+Parquet and read again.
+
+Defined results: every row is a document, whatever it holds; null and blank texts
+fail the quality rules and go; repeated rows and near copies leave one document;
+ties are broken as the stages' modules say; very long texts pass whole; an empty
+table gives no pieces; extra columns, also of clashing names, ride along to the
+packing."""
 
 from __future__ import annotations
 
