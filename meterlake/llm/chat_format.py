@@ -122,6 +122,14 @@ def parsed(formatted: Column) -> Column:
                              - len(END) - 1)).alias("text")))
 
 
+def under_loss(formatted: Column, loss_runs: Column) -> Column:
+    """array<string>: per turn the unescaped text under the loss mask, ``body``
+    code points after ``head`` of the turn's part of the output; "" outside."""
+    shown = F.split(formatted, r"<\|im_start\|>")
+    return F.zip_with(F.slice(shown, F.lit(2), F.size(shown)), loss_runs, lambda t, r: F.when(
+        r["loss"], unescape(F.substring(t, r["head"] - len(START) + 1, r["body"]))).otherwise(""))
+
+
 def turn_log(turns: DataFrame, chunk: int = 200) -> DataFrame:
     """An event log that replays a table of finished turns (conv_id, turn,
     role, text): every message is opened and streamed in deltas of ``chunk``

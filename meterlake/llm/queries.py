@@ -178,7 +178,8 @@ def chat_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = out.select("conv_id", "n_turns", "formatted", "loss_runs",
                       chat_format.parsed(F.col("formatted")).alias("turns"))
     said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    lost = F.zip_with("turns", "loss_runs", lambda t, r: F.when(r["loss"], t["text"]).otherwise(""))
+    # The loss texts are cut out of the formatted conversation by the mask alone.
+    lost = chat_format.under_loss(F.col("formatted"), F.col("loss_runs"))
     return back.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"),
         F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
