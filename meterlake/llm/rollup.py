@@ -18,7 +18,7 @@ Defined results: null source, lang or tokenizer is a group of its own; null
 counts are 0; equal change rows each count; an empty batch commits no rows;
 groups whose documents and tokens are back to 0 are left out of the totals
 (with ``deleted``, if no deletions are listed there either);
-columns that are not named are not read.
+texts are not seen here, however long; columns that are not named are not read.
 """
 
 from __future__ import annotations
@@ -82,7 +82,7 @@ class Rollup:
         """True if this call applied the batch, False if it was there."""
         if self.committed(batch_id):
             return False
-        signed(changes).coalesce(1).write.mode("overwrite").parquet(self._folder(batch_id))
+        signed(changes).write.mode("overwrite").parquet(self._folder(batch_id))
         return True
 
     def deltas(self) -> DataFrame:
