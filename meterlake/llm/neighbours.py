@@ -25,10 +25,11 @@ sees one row per dimension and norm band.  Block answers merge by a top-k that
 is cut on the map side.
 
 Defined results: vectors that are null, zero, or hold null or non-finite
-components, and null ids take no part; of rows with one id the smallest
-vector counts; only vectors of the query's dimension are its candidates; ties
-go to the smaller id; an empty table gives an empty result; other columns are
-not read.
+components take no part; every other row does, whatever its id: rows that share
+an id are candidates and queries of their own, a null id is a candidate's; a
+query leaves out its own row alone; only vectors of the query's dimension are
+its candidates; ties go to the smaller id, null last; vectors of any length pass
+as one cell; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -48,25 +49,25 @@ GROWTH = 1.25
 FIRST_WIDTH = 0.02
 BLOCK = 16_384
 NORM_STEP = 1.05
-CHUNK = 1_024
+CHUNK = 4_096
 SEED = 7
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """vec_id, vec (array<double>) of the rows that take part."""
+    """row (a number of its own), vec_id, vec (array<double>) of the rows that take
+    part."""
     v = col(vectors, vector_col).cast("array<double>")
     rows = vectors.select(col(vectors, id_col).cast("long").alias("vec_id"), v.alias("vec"))
     sound = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = rows.where(F.col("vec_id").isNotNull() & F.col("vec").isNotNull()
-                      & F.coalesce(sound, F.lit(False)) & F.exists("vec", lambda x: x != 0))
-    return rows.groupBy("vec_id").agg(F.min("vec").alias("vec"))
+    rows = rows.where(F.col("vec").isNotNull() & F.coalesce(sound, F.lit(False)) & F.exists("vec", lambda x: x != 0))
+    return rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", "vec")
 
 
 class Block:
     """Vectors of one block with their sorted projection arrays."""
 
-    def __init__(self, ids: np.ndarray, vecs: np.ndarray, projections: int):
-        self.ids, self.vecs = ids, vecs
+    def __init__(self, rows: np.ndarray, vecs: np.ndarray, projections: int):
+        self.rows, self.vecs = rows, vecs
         dim = vecs.shape[1]
         self.lines = np.random.default_rng([SEED, dim]).standard_normal((dim + 1, projections))
         unit = vecs / np.abs(vecs).max()
@@ -90,7 +91,7 @@ class Block:
         """Places of the vectors to verify: from the first (narrowest) windows
         in which ``need`` vectors collide at least ``collisions`` times, those
         over the highest threshold that still leaves ``need`` of them."""
-        n = len(self.ids)
+        n = len(self.rows)
         # Fewer entries than need * collisions cannot hold that many candidates.
         held = (ends[:, 1] - ends[:, 0]).sum(axis=1)
         first = int(np.argmax(held >= need * collisions)) if (held >= need * collisions).any() else 0
@@ -154,54 +155,57 @@ def searched(vectors: DataFrame, queries: Column, k: int = K, projections: int =
     places = F.broadcast(spark.createDataFrame(places, "dim int, band long, first int, parts int"))
     spans = F.broadcast(spark.createDataFrame(spans, "dim int, first int, last int"))
     n_chunks = -(-max(sum(r["q"] for r in seen), 1) // chunk)
-    own = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), n).cast("int")
+    own = lambda n, seed: F.pmod(F.xxhash64("row", F.lit(seed)), n).cast("int")
     data = vectors.join(places, ["dim", "band"]).select(
         "dim", (F.col("first") + own(F.col("parts"), 1)).alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))).alias("chunk"), "vec_id", "vec")
+        F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))).alias("chunk"), "row", "vec_id", "vec")
     # New names for its columns: data comes from the same table.
-    asked = vectors.where(queries).select(*[F.col(c).alias(c) for c in ("dim", "vec_id", "vec")])
+    asked = vectors.where(queries).select(*[F.col(c).alias(c) for c in ("dim", "row", "vec_id", "vec")])
     asked = asked.join(spans, "dim").select(
         "dim", F.explode(F.sequence("first", "last")).alias("block"),
-        own(F.lit(n_chunks), 2).alias("chunk"), "vec_id", "vec")
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.list_(pa.int64())),
+        own(F.lit(n_chunks), 2).alias("chunk"), "row", "vec_id", "vec")
+    schema = pa.schema([("row", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.list_(pa.int64())),
                         ("score", pa.list_(pa.float64()))])
 
     def matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        ids = table.column("vec_id").to_numpy()
+        rows = table.column("row").to_numpy()
         flat = table.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        return ids, flat.reshape(len(ids), -1)
+        return rows, flat.reshape(len(rows), -1)
 
     def search(asked_: pa.Table, data_: pa.Table) -> pa.Table:
         if not len(asked_) or not len(data_):
             return schema.empty_table()
-        q_ids, q_vecs = matrix(asked_)
+        q_rows, q_vecs = matrix(asked_)
         part = Block(*matrix(data_), projections)
+        names = data_.column("vec_id").combine_chunks()
+        # Ties go by id, null last.
+        order = names.fill_null(np.iinfo(np.int64).max).to_numpy()
         steps = int(np.ceil(np.log(8 / FIRST_WIDTH) / np.log(GROWTH)))
         widths = FIRST_WIDTH * GROWTH ** np.arange(steps + 1)
-        need = min(10 * k + int(verify * len(part.ids)), len(part.ids))
+        need = min(10 * k + int(verify * len(part.rows)), len(part.rows))
         collisions = int(np.ceil(threshold * projections))
-        out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
-        for at in range(0, len(q_ids), 64):
-            ends = part.windows(q_vecs[at:at + 64], widths) if need < len(part.ids) else None
-            for row, q in enumerate(range(at, min(at + 64, len(q_ids)))):
+        out: dict[str, list] = {"row": [], "query_id": asked_.column("vec_id"), "vec_id": [], "score": []}
+        for at in range(0, len(q_rows), 64):
+            ends = part.windows(q_vecs[at:at + 64], widths) if need < len(part.rows) else None
+            for row, q in enumerate(range(at, min(at + 64, len(q_rows)))):
                 found = (np.arange(need) if ends is None
                          else part.candidates(ends[row], need, collisions))
-                found = found[part.ids[found] != q_ids[q]]
+                found = found[part.rows[found] != q_rows[q]]
                 score = part.vecs[found] @ q_vecs[q]
                 if len(found) > k:  # all that reach the k-th score stay for the tie rule
                     best = score >= np.partition(score, len(score) - k)[len(score) - k]
                     found, score = found[best], score[best]
-                first = np.lexsort((part.ids[found], -score))[:k]
-                out["query_id"].append(q_ids[q])
-                out["vec_id"].append(part.ids[found][first])
+                first = np.lexsort((order[found], -score))[:k]
+                out["row"].append(q_rows[q])
+                out["vec_id"].append(names.take(pa.array(found[first])))
                 out["score"].append(score[first])
         return pa.table(out, schema=schema)
 
     key = ["dim", "block", "chunk"]
     best = asked.groupBy(*key).cogroup(data.groupBy(*key)).applyInArrow(
-        search, "query_id long, vec_id array<long>, score array<double>")
-    pairs = best.select("query_id", F.explode(F.arrays_zip("vec_id", "score")).alias("x")).select(
-        "query_id", "x.vec_id", "x.score")
-    by = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
+        search, "row long, query_id long, vec_id array<long>, score array<double>")
+    pairs = best.select("row", "query_id", F.explode(F.arrays_zip("vec_id", "score")).alias("x")).select(
+        "row", "query_id", "x.vec_id", "x.score")
+    by = Window.partitionBy("row").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
     return pairs.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
