@@ -105,22 +105,24 @@ def quantiles(df: DataFrame, value_cols: Sequence[str] | str, probs: Sequence[fl
     keys = by + ["column"]
     wanted, _n = sized(brackets(df, cols, probs, by, k))
     met = key_join(to_long(df, cols, by), wanted, keys)
-    inside = F.filter("t", lambda t: F.col("v") <= t["hi"])
-    hits = met.select(*keys, "v", F.explode(inside).alias("t")).select(
-        *keys, "t.i", "t.p", "t.pos", F.when(F.col("v") >= F.col("t.lo"), F.col("v")).alias("v"))
-    # One row per quantile for all values below its bracket (v NULL), one per
-    # distinct value inside.
-    counts = hits.groupBy(*keys, "i", "p", "pos", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    w = Window.partitionBy(*keys, "i").orderBy(F.col("v").asc_nulls_first())
+    # One row per value: all that lie between two brackets (or below the first)
+    # are one count, v NULL, before the values of the next bracket.
+    zone = F.size(F.filter("t", lambda t: t["hi"] < F.col("v")))
+    inside = F.exists("t", lambda t: (t["lo"] <= F.col("v")) & (F.col("v") <= t["hi"]))
+    counts = (met.select(*keys, zone.alias("zone"), F.when(inside, F.col("v")).alias("v"))
+              .groupBy(*keys, "zone", "v").agg(F.count(F.lit(1)).alias("cnt")))
+    w = Window.partitionBy(*keys).orderBy("zone", F.col("v").asc_nulls_first())
     ranked = (counts.withColumn("upto", F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("first", F.col("upto") - F.col("cnt")))
+              .withColumn("first", F.col("upto") - F.col("cnt")).where(F.col("v").isNotNull()))
     low, high = F.floor("pos"), F.ceil("pos")
 
     def value(rank):
-        covers = F.col("v").isNotNull() & (F.col("first") <= rank) & (rank < F.col("upto"))
-        return F.max(F.when(covers, F.col("v")))
+        return F.max(F.when((F.col("first") <= rank) & (rank < F.col("upto")), F.col("v")))
 
-    found = ranked.groupBy(*keys, "i", "p", "pos").agg(value(low).alias("a"), value(high).alias("z"))
+    own = F.filter("t", lambda t: (t["lo"] <= F.col("v")) & (F.col("v") <= t["hi"]))
+    found = (key_join(ranked, wanted, keys).select(*keys, "v", "first", "upto", F.explode(own).alias("t"))
+             .select(*keys, "v", "first", "upto", "t.i", "t.p", "t.pos")
+             .groupBy(*keys, "i", "p", "pos").agg(value(low).alias("a"), value(high).alias("z")))
     q = (F.when(F.col("a").isNull() | F.col("z").isNull(), F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
          .when(low == high, F.col("a"))
          .otherwise((high - F.col("pos")) * F.col("a") + (F.col("pos") - low) * F.col("z")))
