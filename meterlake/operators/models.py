@@ -37,7 +37,7 @@ FEATURES = "features"
 FOREST_MB = 128
 TRAIN_ROWS = 50_000
 # Nodes of trees that the driver holds at a time.
-FOREST_NODES = 500_000
+FOREST_NODES = 1_000_000
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = FEATURES) -> DataFrame:
