@@ -10,14 +10,19 @@ and the driver picks every node's split by the gain
 
 a leaf's value being -G / (H + l2) (squared error: g = prediction - label,
 h = 1).  A level's sums give the next level's totals, so the deepest level needs
-no pass.  Gradients are summed as whole multiples of 2^-16, so sums do not
-depend on the order of rows, and equal gains go to the first feature and bin:
-the model is the same on any partitioning.
+no pass.  Of two children only the one with fewer rows is summed; the other's
+sums are its parent's less these.  Gradients are summed as whole multiples of
+2^-16, so sums do not depend on the order of rows, the differences are exact,
+and equal gains go to the first feature and bin: the model is the same on any
+partitioning.
 
 What a pass shuffles is bounded by tasks x nodes x features x bins and what the
 driver sees by nodes x features x bins, whatever the rows.  Predictions so far
 are kept beside the rows and written down every ``KEEP`` trees, so a pass
-replays at most that many trees and a lost executor no more.
+replays at most that many trees and a lost executor no more.  The rows are kept
+in blocks of at most ``BLOCK``: labels, predictions, samples (one bit a tree, so a
+row id is hashed once per tree and not once per level) and bins are a cell each,
+so that a pass hands blocks and not rows to its tasks.
 
 Defined results: rows without a label take no part in fitting; a missing value
 goes left of every split; a constant feature is never split.
@@ -26,7 +31,7 @@ goes left of every split; a constant feature is never split.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -42,6 +47,8 @@ BINS = 256
 SCALE = 1 << 16
 KEEP = 10
 SAMPLE_OF = 1000
+BLOCK = 4096
+BLOCKS = "y binary, p binary, taken binary, bins binary"
 
 
 @dataclass
@@ -55,10 +62,16 @@ class Tree:
     value: np.ndarray
 
     def node_of(self, bins: np.ndarray) -> np.ndarray:
-        at = np.zeros(len(bins), np.int64)
-        while (inner := np.flatnonzero(self.feature[at] >= 0)).size:
-            n = at[inner]
-            at[inner] = 2 * n + 1 + (bins[inner, self.feature[n]] > self.bin[n])
+        at, inner = np.zeros(len(bins), np.int64), self.feature >= 0
+        if not inner.any():
+            return at
+        # Every row takes as many steps as the tree is deep; at a leaf it stays.
+        here = np.arange(len(inner))
+        left, feature = np.where(inner, 2 * here + 1, here), np.where(inner, self.feature, 0)
+        last = np.where(inner, self.bin, BINS).astype(bins.dtype)
+        flat, row = np.ascontiguousarray(bins).ravel(), np.arange(len(bins)) * bins.shape[1]
+        for _ in range(int(np.flatnonzero(inner)[-1] + 1).bit_length()):
+            at = left.take(at) + (flat.take(row + feature.take(at)) > last.take(at))
         return at
 
 
@@ -138,11 +151,16 @@ def sampled_columns(n: int, tree: int, share: float, seed: int) -> list[int]:
     return sorted(sorted(range(n), key=key)[:max(1, round(share * n))])
 
 
-def in_sample(row_id: Column, tree: int, share: float, seed: int) -> Column:
-    """Whether a row is in a tree's sample, by a hash of both."""
-    mixed = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(str(tree)), row_id.cast("string"))), 1, 8),
-                   16, 10).cast("long")
-    return mixed % SAMPLE_OF < round(share * SAMPLE_OF)
+def samples(ids: list[int | None], trees: int, share: float, seed: int) -> np.ndarray:
+    """rows x words of ``KEEP`` trees, one bit a tree: whether the row is in the
+    tree's sample, by a hash of both."""
+    tails = [b"" if i is None else b":%d" % i for i in ids]
+    out = np.zeros((len(ids), -(-trees // KEEP)), np.int32)
+    for t in range(trees):
+        head = f"{seed}:{t}".encode()
+        mixed = np.frombuffer(b"".join([hashlib.md5(head + x).digest() for x in tails]), ">u4")[::4]
+        out[:, t // KEEP] |= (mixed % SAMPLE_OF < round(share * SAMPLE_OF)).astype(np.int32) << t % KEEP
+    return out
 
 
 def best_split(g: np.ndarray, h: np.ndarray, l2: float, min_weight: float) -> tuple[float, int, int] | None:
@@ -179,46 +197,70 @@ def fit_gbt_l2(df: DataFrame, cols: Sequence[str], label: str = "label", id_col:
 
     def stored(table: DataFrame) -> DataFrame:
         path = scratch_path(spark, "boost-rows")
-        table.write.parquet(path)
-        return spark.read.schema(table.schema).parquet(path)
+        # A reader's batch may hold a whole row group.
+        table.write.option("parquet.block.size", 16 << 20).parquet(path)
+        return spark.read.schema(BLOCKS).parquet(path)
 
-    data = stored(rows.select(F.col(f"`{id_col}`").cast("long").alias("id"), y.alias("y"), F.lit(model.base).alias("p"),
-                              F.array(*model.binned()).alias("bins")))
-    kept = 0
+    data = stored(rows.select(F.col(f"`{id_col}`").cast("long").alias("id"), y.alias("y"),
+                              F.array(*model.binned()).alias("bins"))
+                  .mapInArrow(_blocks(model.base, d, lambda ids: samples(ids, rounds, subsample, seed)), BLOCKS))
     for t in range(rounds):
-        if t - kept == KEEP:
-            data = stored(_advanced(data, model, model.trees[kept:], d))
-            kept = t
+        kept = t // KEEP * KEEP
+        if 0 < t == kept:
+            data = stored(_advanced(data, model, model.trees[t - KEEP:], d))
         used = sampled_columns(d, t, col_sample, seed)
-        sample = data.where(in_sample(F.col("id"), t, subsample, seed))
-        model.trees.append(_grow(sample, model, model.trees[kept:], used, d, max_depth, l2, min_weight))
+        model.trees.append(_grow(data, model, model.trees[kept:], used, d, max_depth, l2, min_weight))
     return model
 
 
-def _bins(column: pa.Array, d: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+def _blocks(base: float, d: int, taken: Callable[[list], np.ndarray]):
+    """Rows (id, label, bins) packed into blocks; the prediction is ``base``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, BLOCK):
+                b = whole.slice(at, BLOCK)
+                bins = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+                yield _cells(b.column(1).to_numpy(), np.full(len(bins), base), taken(b.column(0).to_pylist()),
+                             bins.astype(np.int16))
+    return run
+
+
+def _cells(*parts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in parts],
+                                      names=["y", "p", "taken", "bins"])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch], d: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """y, p, taken (rows x words of ``KEEP`` trees) and bins (rows x features) of every block."""
+    for b in batches:
+        for i in range(b.num_rows):
+            y, p, taken, bins = (np.frombuffer(b.column(k)[i].as_buffer(), kind)
+                                 for k, kind in enumerate((np.float64, np.float64, np.int32, np.int16)))
+            yield y, p, taken.reshape(len(y), -1), bins.reshape(len(y), d)
 
 
 def _advanced(data: DataFrame, model: Boosted, trees: list[Tree], d: int) -> DataFrame:
-    """The rows with the trees' part added to their predictions."""
+    """The blocks with the trees' part added to their predictions."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            p = b.column(2).to_numpy() + model.score(_bins(b.column(3), d), trees)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(p), b.column(3)], names=b.schema.names)
+        for y, p, taken, bins in _unpacked(batches, d):
+            yield _cells(y, p + model.score(bins, trees), taken, bins)
 
-    return data.mapInArrow(run, data.schema)
+    return data.mapInArrow(run, BLOCKS)
 
 
-def _grow(sample: DataFrame, model: Boosted, replay: list[Tree], used: list[int], d: int, max_depth: int,
+def _grow(data: DataFrame, model: Boosted, replay: list[Tree], used: list[int], d: int, max_depth: int,
           l2: float, min_weight: float) -> Tree:
     size = 2 ** (max_depth + 1) - 1
     tree = Tree(np.full(size, -1), np.zeros(size, np.int64), np.zeros(size), np.zeros(size), np.zeros(size))
-    open_nodes = [0]
+    open_nodes, summed = [0], [0]
+    sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for depth in range(max_depth):
         if not open_nodes:
             break
-        sums = _histograms(sample, model, replay, tree, open_nodes, used, d)
-        following = []
+        above, sums = sums, _histograms(data, model, replay, tree, summed, used, d)
+        for node in set(open_nodes) - set(summed):  # its sibling is summed: 1, 2 and so on are siblings
+            sums[node] = tuple(a - b for a, b in zip(above[(node - 1) // 2], sums[node + 1 if node % 2 else node - 1]))
+        following, summed = [], []
         for node in open_nodes:
             g, h = sums[node]
             if depth == 0:
@@ -233,41 +275,50 @@ def _grow(sample: DataFrame, model: Boosted, replay: list[Tree], used: list[int]
             tree.g[left], tree.h[left] = gl / SCALE, hl
             tree.g[left + 1], tree.h[left + 1] = (g[j].sum() - gl) / SCALE, h[j].sum() - hl
             following += [left, left + 1]
+            summed.append(left if tree.h[left] <= tree.h[left + 1] else left + 1)
         open_nodes = following
     tree.value = np.where(tree.feature < 0, -tree.g / (tree.h + l2), 0.0)
     return tree
 
 
-def _histograms(sample: DataFrame, model: Boosted, replay: list[Tree], tree: Tree, open_nodes: list[int],
+def _histograms(data: DataFrame, model: Boosted, replay: list[Tree], tree: Tree, open_nodes: list[int],
                 used: list[int], d: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """node -> (gradient sums, row counts), each features x (bins + 1), in one
-    pass: a task sums its rows, the next stage the tasks."""
+    """node -> (gradient sums, row counts) of the sample of the tree after the
+    model's, each features x (bins + 1), in one pass: a task sums its rows, the
+    next stage the tasks."""
     slots, wide = np.full(len(tree.feature), -1), BINS + 1
     slots[open_nodes] = np.arange(len(open_nodes))
     cells = len(used) * wide
+    word, bit = divmod(len(model.trees), KEEP)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g = np.zeros((len(open_nodes), cells), np.int64)
-        h = np.zeros((len(open_nodes), cells), np.int64)
-        place = np.arange(len(used)) * wide + 1
-        for b in batches:
-            bins = _bins(b.column(3), d)
-            p = b.column(2).to_numpy() + model.score(bins, replay)
-            grad = np.rint((p - b.column(1).to_numpy()) * SCALE).astype(np.int64)
+        g = np.zeros((len(used), len(open_nodes) * wide), np.int64)
+        h = np.zeros((len(used), len(open_nodes) * wide), np.int64)
+        for y, p, taken, bins in _unpacked(batches, d):
             slot = slots[tree.node_of(bins)]
-            live = slot >= 0
-            at = (slot[live, None] * cells + bins[live][:, used] + place).ravel()
-            # Sums of whole numbers: split, so that the doubles of bincount are exact.
-            each = np.repeat(grad[live], len(used))
-            for part, unit in ((each >> 24, 1 << 24), (each & 0xFFFFFF, 1)):
-                g += np.bincount(at, part, g.size).astype(np.int64).reshape(g.shape) * unit
-            h += np.bincount(at, minlength=h.size).reshape(h.shape)
+            live = np.flatnonzero((slot >= 0) & (taken[:, word] >> bit & 1 > 0))
+            if not live.size:
+                continue
+            bins, first = bins.take(live, axis=0), slot[live] * wide + 1
+            p = p[live] + model.score(bins, replay)
+            grad = np.rint((p - y[live]) * SCALE).astype(np.int64)
+            # Sums of whole numbers: split where the doubles of bincount might not be exact.
+            exact = max(int(grad.max()), -int(grad.min())) * len(grad) < 1 << 53
+            parts = [(grad.astype(float), 1)] if exact else [(grad >> 24, 1 << 24), (grad & 0xFFFFFF, 1)]
+            by_feature = np.ascontiguousarray(bins.T)
+            for i, j in enumerate(used):
+                at = first + by_feature[j]
+                for part, unit in parts:
+                    g[i] += np.bincount(at, part, g.shape[1]).astype(np.int64) * unit
+                h[i] += np.bincount(at, minlength=h.shape[1])
+        # Cells in the order node, feature, bin.
+        g, h = (x.reshape(len(used), len(open_nodes), wide).swapaxes(0, 1).ravel() for x in (g, h))
         some = np.flatnonzero(h)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(g.ravel()[some]), pa.array(h.ravel()[some])],
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(g[some]), pa.array(h[some])],
                                          names=["cell", "g", "h"])
 
-    cores = sample.sparkSession.sparkContext.defaultParallelism
-    parts = sample.coalesce(TASKS_PER_CORE * cores).mapInArrow(partial, "cell long, g long, h long")
+    cores = data.sparkSession.sparkContext.defaultParallelism
+    parts = data.coalesce(TASKS_PER_CORE * cores).mapInArrow(partial, "cell long, g long, h long")
     rows = parts.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()
     g, h = np.zeros(len(open_nodes) * cells, np.int64), np.zeros(len(open_nodes) * cells, np.int64)
     at = rows.column("cell").to_numpy()

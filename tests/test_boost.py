@@ -1,5 +1,7 @@
 """Boosting with an L2 leaf penalty against NumPy and against its own export."""
 
+import hashlib
+
 import duckdb
 import numpy as np
 import pandas as pd
@@ -82,6 +84,39 @@ def test_odd_rows(spark, rows):
     assert none.transform(odd).agg(F.max("prediction")).first()[0] == 0.0
 
 
+def test_fewer_rows_summed_than_the_levels_hold(rows, monkeypatch):
+    """Below the root a pass sums the smaller child of every split; the tree is
+    that of all sums."""
+    df, _ = rows
+    summed, passes = [], B._histograms
+
+    def seen(*a):
+        out = passes(*a)
+        summed.append(sum(int(h[0].sum()) for _, h in out.values()))
+        return out
+
+    monkeypatch.setattr(B, "_histograms", seen)
+    t = B.fit_gbt_l2(df, FEATS, rounds=1, max_depth=4, subsample=1.0, col_sample=1.0).trees[0]
+    assert summed[0] == 500 and len(summed) == 4 and max(summed[1:]) <= 250
+    for i in np.flatnonzero(t.feature >= 0):
+        assert t.h[2 * i + 1] + t.h[2 * i + 2] == t.h[i] and abs(t.g[2 * i + 1] + t.g[2 * i + 2] - t.g[i]) < 1e-9
+
+
+def test_samples_and_predictions_across_written_blocks(rows, monkeypatch):
+    """Blocks of a few rows, trees past two rewrites: the samples are those of
+    the row ids and the model that of one block."""
+    df, _ = rows
+    fit = lambda: B.fit_gbt_l2(df, FEATS, rounds=5, max_depth=2, step=0.5)
+    one = fit()
+    monkeypatch.setattr(B, "BLOCK", 7)
+    monkeypatch.setattr(B, "KEEP", 2)
+    many = fit()
+    for t, (a, b) in enumerate(zip(one.trees, many.trees)):
+        assert a.h[0] == sum(int(hashlib.md5(f"42:{t}:{i}".encode()).hexdigest()[:8], 16) % 1000 < 800 for i in range(500))
+        assert np.array_equal(a.feature, b.feature) and np.array_equal(a.bin, b.bin) and np.array_equal(a.h, b.h)
+        assert np.allclose(a.value, b.value, atol=1e-3)
+
+
 def test_trees_take_their_own_columns():
     picks = [B.sampled_columns(10, t, 0.8, 42) for t in range(20)]
     assert all(len(p) == 8 and p == sorted(p) for p in picks) and len({tuple(p) for p in picks}) > 5
