@@ -12,8 +12,10 @@ axis, where collisions hardly tell them apart.)
 Each block of vectors is hashed by ``projections`` single random projections,
 each kept as a sorted array.  A query opens a window of half-width r around
 its own projected value in every array; r grows by ``growth`` (virtual
-rehashing: wider windows over the same arrays) and only what a window newly
-covers is counted.  Growing stops when 10 k + ``verify`` * block vectors collide at
+rehashing: wider windows over the same arrays).  Collisions are counted by the
+vectors' places in the arrays, and as windows only gain vectors, growing begins
+at the width where the last query's stopped, going back while that is too wide.
+Growing stops when 10 k + ``verify`` * block vectors collide at
 least ``threshold`` * projections times, or the windows cover the block; the
 vectors over the highest collision threshold that leaves as many are verified
 by inner products of the original vectors in double precision, and the
@@ -34,6 +36,8 @@ as one cell; an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -50,6 +54,7 @@ FIRST_WIDTH = 0.02
 BLOCK = 16_384
 NORM_STEP = 1.05
 CHUNK = 4_096
+LINES = 16
 SEED = 7
 
 
@@ -77,36 +82,58 @@ class Block:
         self.order = [np.argsort(at[:, i], kind="stable") for i in range(projections)]
         self.sorted = [at[o, i] for i, o in enumerate(self.order)]
 
-    def windows(self, queries: np.ndarray, widths: np.ndarray) -> np.ndarray:
-        """(queries, widths, 2, projections) ends of every window."""
-        centre = (queries / np.linalg.norm(queries, axis=1)[:, None]) @ self.lines[:-1]
-        ends = np.empty((len(queries), len(widths), 2, len(self.order)), np.int32)
-        for i, values in enumerate(self.sorted):
-            c = centre[:, i][:, None]
-            ends[:, :, 0, i] = np.searchsorted(values, c - widths, "left")
-            ends[:, :, 1, i] = np.searchsorted(values, c + widths, "right")
-        return ends
-
-    def candidates(self, ends: np.ndarray, need: int, collisions: int) -> np.ndarray:
+        # A vector's places in the arrays, line by line; narrow, so that counting streams through them.
+        self.place = np.empty((projections, len(rows)), np.uint16 if len(rows) <= 1 << 16 else np.uint32)
+        for place, o in zip(self.place, self.order):
+            place[o] = np.arange(len(rows))
+
+    def centres(self, queries: np.ndarray) -> np.ndarray:
+        """(queries, projections) projected values."""
+        return (queries / np.linalg.norm(queries, axis=1)[:, None]) @ self.lines[:-1]
+
+    def windows(self, centre: np.ndarray, width: float) -> tuple[np.ndarray, np.ndarray]:
+        """(queries, projections) first places and sizes of the windows in the
+        sorted arrays."""
+        low = np.column_stack([v.searchsorted(c - width, "left") for v, c in zip(self.sorted, centre.T)])
+        high = np.column_stack([v.searchsorted(c + width, "right") for v, c in zip(self.sorted, centre.T)])
+        return low, high - low
+
+    def counts(self, low: np.ndarray, span: np.ndarray) -> np.ndarray:
+        """Collisions of every vector with a query: windows that its place lies in."""
+        n, kind = len(self.rows), self.place.dtype
+        whole = span == n  # a place may equal the type's largest number, a span may not
+        low, span = low.astype(kind)[:, None], np.where(whole, 0, span).astype(kind)[:, None]
+        count = np.full(n, np.count_nonzero(whole), np.uint8 if len(self.place) < 256 else np.int64)
+        for i in range(0, len(self.place), LINES):
+            # Places below a window wrap round to large numbers.
+            inside = self.place[i:i + LINES] - low[i:i + LINES] < span[i:i + LINES]
+            count += inside.view(np.uint8).sum(axis=0, dtype=count.dtype)
+        return count
+
+    def candidates(self, ends: Callable[[int], tuple[np.ndarray, np.ndarray]], widths: int, need: int,
+                   collisions: int, near: int) -> tuple[np.ndarray, int]:
         """Places of the vectors to verify: from the first (narrowest) windows
         in which ``need`` vectors collide at least ``collisions`` times, those
-        over the highest threshold that still leaves ``need`` of them."""
-        n = len(self.rows)
-        # Fewer entries than need * collisions cannot hold that many candidates.
-        held = (ends[:, 1] - ends[:, 0]).sum(axis=1)
-        first = int(np.argmax(held >= need * collisions)) if (held >= need * collisions).any() else 0
-        count = np.zeros(n, np.int64)
-        low = high = ends[first, 0]
-        for lo, hi in ends[first:]:
-            slices = [o[a:b] for o, a, b in zip(self.order, lo.tolist(), low.tolist()) if a < b]
-            slices += [o[a:b] for o, a, b in zip(self.order, high.tolist(), hi.tolist()) if a < b]
-            low, high = lo, hi
-            if slices:
-                count += np.bincount(np.concatenate(slices), minlength=n)
-            if np.count_nonzero(count >= collisions) >= need:
-                over = np.cumsum(np.bincount(count)[::-1])[::-1]  # vectors by least collisions
-                return np.flatnonzero(count >= np.flatnonzero(over >= need)[-1])
-        return np.arange(n)
+        over the highest threshold that still leaves ``need`` of them; and the
+        number of that width.  ``ends`` gives the windows of a width.  They only
+        gain vectors as they widen, so the search may begin at any width: at
+        ``near``, the last query's."""
+        def enough(i: int) -> np.ndarray | None:
+            count = self.counts(*ends(i))
+            return count if np.count_nonzero(count >= collisions) >= need else None
+
+        at, count = near, enough(near)
+        if count is None:
+            while count is None:
+                at += 1
+                if at == widths:
+                    return np.arange(len(self.rows)), near
+                count = enough(at)
+        else:
+            while at and (less := enough(at - 1)) is not None:
+                at, count = at - 1, less
+        over = np.cumsum(np.bincount(count)[::-1])[::-1]  # vectors by least collisions
+        return np.flatnonzero(count >= np.flatnonzero(over >= need)[-1]), at
 
 
 def with_band(vectors: DataFrame) -> DataFrame:
@@ -185,20 +212,30 @@ def searched(vectors: DataFrame, queries: Column, k: int = K, projections: int =
         need = min(10 * k + int(verify * len(part.rows)), len(part.rows))
         collisions = int(np.ceil(threshold * projections))
         out: dict[str, list] = {"row": [], "query_id": asked_.column("vec_id"), "vec_id": [], "score": []}
-        for at in range(0, len(q_rows), 64):
-            ends = part.windows(q_vecs[at:at + 64], widths) if need < len(part.rows) else None
-            for row, q in enumerate(range(at, min(at + 64, len(q_rows)))):
-                found = (np.arange(need) if ends is None
-                         else part.candidates(ends[row], need, collisions))
-                found = found[part.rows[found] != q_rows[q]]
-                score = part.vecs[found] @ q_vecs[q]
-                if len(found) > k:  # all that reach the k-th score stay for the tie rule
-                    best = score >= np.partition(score, len(score) - k)[len(score) - k]
-                    found, score = found[best], score[best]
-                first = np.lexsort((order[found], -score))[:k]
-                out["row"].append(q_rows[q])
-                out["vec_id"].append(names.take(pa.array(found[first])))
-                out["score"].append(score[first])
+        near = 0
+        for q in range(len(q_rows)):
+            if need == len(part.rows):
+                found = np.arange(need)
+            else:
+                if q % 64 == 0:  # windows are looked up for so many queries at once
+                    batch = part.centres(q_vecs[q:q + 64])
+                    looked: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+                def ends(i: int) -> tuple[np.ndarray, np.ndarray]:
+                    if i not in looked:
+                        looked[i] = part.windows(batch, widths[i])
+                    return looked[i][0][q % 64], looked[i][1][q % 64]
+
+                found, near = part.candidates(ends, len(widths), need, collisions, near)
+            found = found[part.rows[found] != q_rows[q]]
+            score = part.vecs.take(found, axis=0) @ q_vecs[q]
+            if len(found) > k:  # all that reach the k-th score stay for the tie rule
+                best = score >= np.partition(score, len(score) - k)[len(score) - k]
+                found, score = found[best], score[best]
+            first = np.lexsort((order[found], -score))[:k]
+            out["row"].append(q_rows[q])
+            out["vec_id"].append(names.take(pa.array(found[first])))
+            out["score"].append(score[first])
         return pa.table(out, schema=schema)
 
     key = ["dim", "block", "chunk"]

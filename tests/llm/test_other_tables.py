@@ -145,6 +145,39 @@ def test_neighbours_odd_vectors(spark):
     assert neighbours.searched(neighbours.usable(df.limit(0)), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_candidates_by_few_countings(monkeypatch):
+    """From whatever width the search begins, the candidates are those of the
+    first windows that hold enough; a block's later queries are counted at few
+    widths."""
+    rng = np.random.default_rng(1)
+    vecs = np.concatenate([rng.standard_normal((900, 16)), np.ones((100, 16))])
+    part = neighbours.Block(np.arange(1000), vecs, 96)
+    widths = neighbours.FIRST_WIDTH * neighbours.GROWTH ** np.arange(28)
+    centres = part.centres(vecs[::20])
+    at = np.column_stack([vecs / np.linalg.norm(vecs, axis=1).max(), np.zeros(1000)])
+    at[:, -1] = np.sqrt(np.maximum(0.0, 1.0 - (at * at).sum(axis=1)))
+    at = at @ part.lines
+    calls = []
+    counts = neighbours.Block.counts
+    monkeypatch.setattr(neighbours.Block, "counts", lambda self, *a: calls.append(1) or counts(self, *a))
+    near = 0
+    for i, centre in enumerate(centres):
+        def ends(w, i=i):
+            low, span = part.windows(centres[i:i + 1], widths[w])
+            return low[0], span[0]
+
+        for need in (250, 990):
+            plain = [((at >= centre - w) & (at <= centre + w)).sum(axis=1) for w in widths]
+            first = next((c for c in plain if (c >= 72).sum() >= need), None)
+            want = range(1000) if first is None else np.flatnonzero(first >= np.sort(first)[-need])
+            for start in (0, 13, 27):
+                assert part.candidates(ends, 28, need, 72, start)[0].tolist() == list(want)
+    last = len(calls)
+    for i in range(50):  # each from the last one's width
+        near = part.candidates(lambda w: tuple(x[i] for x in part.windows(centres, widths[w])), 28, 250, 72, near)[1]
+    assert len(calls) - last <= 50 * 4
+
+
 # ---- 5: rollup ------------------------------------------------------------
 
 def test_rollup_batches_are_idempotent(spark):
