@@ -151,15 +151,15 @@ def sampled_columns(n: int, tree: int, share: float, seed: int) -> list[int]:
     return sorted(sorted(range(n), key=key)[:max(1, round(share * n))])
 
 
-def samples(ids: list[int | None], trees: int, share: float, seed: int) -> np.ndarray:
-    """rows x words of ``KEEP`` trees, one bit a tree: whether the row is in the
+def samples(ids: list[int | None], trees: int, keep: int, share: float, seed: int) -> np.ndarray:
+    """rows x words of ``keep`` trees, one bit a tree: whether the row is in the
     tree's sample, by a hash of both."""
     tails = [b"" if i is None else b":%d" % i for i in ids]
-    out = np.zeros((len(ids), -(-trees // KEEP)), np.int32)
+    out = np.zeros((len(ids), -(-trees // keep)), np.int32)
     for t in range(trees):
         head = f"{seed}:{t}".encode()
         mixed = np.frombuffer(b"".join([hashlib.md5(head + x).digest() for x in tails]), ">u4")[::4]
-        out[:, t // KEEP] |= (mixed % SAMPLE_OF < round(share * SAMPLE_OF)).astype(np.int32) << t % KEEP
+        out[:, t // keep] |= (mixed % SAMPLE_OF < round(share * SAMPLE_OF)).astype(np.int32) << t % keep
     return out
 
 
@@ -201,9 +201,10 @@ def fit_gbt_l2(df: DataFrame, cols: Sequence[str], label: str = "label", id_col:
         table.write.option("parquet.block.size", 16 << 20).parquet(path)
         return spark.read.schema(BLOCKS).parquet(path)
 
+    block, keep = BLOCK, KEEP  # as the driver has them
     data = stored(rows.select(F.col(f"`{id_col}`").cast("long").alias("id"), y.alias("y"),
                               F.array(*model.binned()).alias("bins"))
-                  .mapInArrow(_blocks(model.base, d, lambda ids: samples(ids, rounds, subsample, seed)), BLOCKS))
+                  .mapInArrow(_blocks(model.base, d, block, lambda ids: samples(ids, rounds, keep, subsample, seed)), BLOCKS))
     for t in range(rounds):
         kept = t // KEEP * KEEP
         if 0 < t == kept:
@@ -213,12 +214,12 @@ def fit_gbt_l2(df: DataFrame, cols: Sequence[str], label: str = "label", id_col:
     return model
 
 
-def _blocks(base: float, d: int, taken: Callable[[list], np.ndarray]):
+def _blocks(base: float, d: int, block: int, taken: Callable[[list], np.ndarray]):
     """Rows (id, label, bins) packed into blocks; the prediction is ``base``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, BLOCK):
-                b = whole.slice(at, BLOCK)
+            for at in range(0, whole.num_rows, block):
+                b = whole.slice(at, block)
                 bins = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
                 yield _cells(b.column(1).to_numpy(), np.full(len(bins), base), taken(b.column(0).to_pylist()),
                              bins.astype(np.int16))
