@@ -35,7 +35,7 @@ from meterlake.operators.forest import MAX_BINS, Nodes, best_splits, binned, sto
 from meterlake.session import forget, scratch_path
 
 LOCAL_ROWS = 200_000
-KEEP = 5
+KEEP = 2
 ROWS = "part int, block int, y binary, bins binary, p binary"
 
 
@@ -117,7 +117,12 @@ def add_up(sums: np.ndarray, by_feature: np.ndarray, rest: np.ndarray, q: np.nda
     if not len(rows):
         return
     cell, r = q[rows] * width, rest[rows]
+    count, total = np.bincount(q[rows], minlength=m), np.bincount(q[rows], r, m)
     for j in range(d):
+        if not by_feature[j].any():  # as of a constant feature
+            sums[0, :, j, 0] += count
+            sums[1, :, j, 0] += total
+            continue
         at = cell + by_feature[j].take(rows)
         sums[0, :, j] += np.bincount(at, minlength=m * width).reshape(m, width)
         sums[1, :, j] += np.bincount(at, r, m * width).reshape(m, width)
